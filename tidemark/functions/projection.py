@@ -8,8 +8,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
-from tidemark.functions.types import cast_type, declared_length
+from tidemark.functions.types import cast_type, declared_length, text_pattern
 
 _TARGET_NAME = re.compile(r"^[a-z_][a-z0-9_]*$")
 
@@ -51,18 +52,35 @@ class ColumnMap:
             value = self.source
         return value if self.null_default is None else f"coalesce({value}, {self.null_default})"
 
-    def to_sql(self, strict: bool = False) -> str:
-        """The whole rule as Spark SQL; a failed cast is NULL unless ``strict``."""
-        return f"{'cast' if strict else 'try_cast'}({self.value_sql()} as {cast_type(self.type)})"
+    def to_sql(self, strict: bool = False, text: bool = False) -> str:
+        """The whole rule as Spark SQL; a failed cast is NULL unless ``strict``.
 
-    def to_column(self, strict: bool = False) -> Column:
-        return F.expr(self.to_sql(strict)).alias(self.target)
+        ``text`` says that the value is a string. A failing ``try_cast`` throws and catches
+        an exception for its row, some 50 times the cost of one that succeeds, so text that
+        cannot be a number, date or flag is sorted out by a pattern first.
+        """
+        value, kind = self.value_sql(), cast_type(self.type)
+        if strict:
+            return f"cast({value} as {kind})"
+        pattern = text_pattern(kind) if text else None
+        if pattern is None:
+            return f"try_cast({value} as {kind})"
+        return f"case when {value} rlike '{pattern}' then try_cast({value} as {kind}) end"
 
 
 def project(df: DataFrame, mapping: Sequence[ColumnMap], strict: bool = False) -> DataFrame:
     """Apply a mapping. A narrow projection, so the scan reads mapped columns only."""
+    return df.select(*mapped_columns(df, mapping, strict))
+
+
+def mapped_columns(df: DataFrame, mapping: Sequence[ColumnMap], strict: bool = False) -> list[Column]:
+    """The columns that ``project`` selects, for use next to others."""
     check_mapping(mapping)
-    return df.select(*[rule.to_column(strict) for rule in mapping])
+    values = df.select(*[F.expr(rule.value_sql()).alias(rule.target) for rule in mapping]).schema
+    return [
+        F.expr(rule.to_sql(strict, isinstance(value.dataType, StringType))).alias(rule.target)
+        for rule, value in zip(mapping, values)
+    ]
 
 
 def check_mapping(mapping: Sequence[ColumnMap]) -> None:

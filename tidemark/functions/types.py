@@ -94,3 +94,22 @@ def declared_length(type_name: str) -> int | None:
 def cast_type(type_name: str) -> str:
     """The type to cast to. Spark keeps VARCHAR(n) values whole, so they are plain STRING."""
     return "STRING" if declared_length(type_name) is not None else type_name
+
+
+def text_pattern(type_name: str) -> str | None:
+    """A pattern that all text castable to the type matches, and most other text does not.
+
+    It looks at the letters and digits only; what surrounds them is left to the cast.
+    """
+    base = type_name.split("(")[0].strip().upper()
+    if base in ("TINYINT", "SMALLINT", "INT", "INTEGER", "BIGINT", "LONG", "SHORT", "BYTE"):
+        return "^[^A-Za-z]*[0-9][^A-Za-z]*$"
+    if base in ("DECIMAL", "DEC", "NUMERIC"):
+        return "^[^0-9A-Za-z]*[0-9]"
+    if base in ("FLOAT", "REAL", "DOUBLE"):
+        return "^[^0-9A-Za-z]*([0-9]|[Nn][Aa][Nn]|[Ii][Nn][Ff])"
+    if base in ("DATE", "TIMESTAMP", "TIMESTAMP_NTZ", "TIMESTAMP_LTZ"):
+        return "^[^0-9A-Za-z]*T?[0-9]"
+    if base == "BOOLEAN":
+        return "^[^0-9A-Za-z]*([TtFfYyNn01])"
+    return None

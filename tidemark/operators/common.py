@@ -38,6 +38,17 @@ def differs(columns: Sequence[str], prefix: str = BATCH) -> Column:
     return any_of(~F.col(name).eqNullSafe(F.col(prefix + name)) for name in columns)
 
 
+def unseen_rows(target: DataFrame, batch: DataFrame, keys: Sequence[str], prefix: str = BATCH) -> DataFrame:
+    """Rows of a small ``prefixed`` batch whose key the target lacks.
+
+    The target's key columns are first cut down to the batch's keys, so that only a set as
+    small as the batch takes part in the anti join.
+    """
+    wanted = batch.select(*[F.col(prefix + name) for name in keys])
+    seen = target.select(*keys).join(wanted, same_keys(keys, prefix), "left_semi")
+    return batch.join(seen, same_keys(keys, prefix), "left_anti")
+
+
 def like_target(target: DataFrame, name: str, value: Column) -> Column:
     return value.cast(target.schema[name].dataType).alias(name)
 

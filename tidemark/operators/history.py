@@ -95,11 +95,19 @@ def scd2_extend(
     versions: Versions = Versions(),
     carry: Sequence[str] = (),
     cell: str | Column = "day",
+    small_changes: bool | None = None,
 ) -> DataFrame:
     """Like ``scd2_delta`` for a log with several changes per key: one pass, any number of versions.
 
-    Every change of a key must be later than its current version's start.
+    Every change of a key must be later than its current version's start. When the changes
+    are small enough to broadcast, current rows of other keys pass through unshuffled.
     """
+    if fits_broadcast(changes) if small_changes is None else small_changes:
+        wanted = changes.select(*keys)
+        rest = current.join(wanted, list(keys), "left_anti")
+        touched = current.join(wanted, list(keys), "left_semi")
+        extended = scd2_extend(touched, changes, keys, tracked, ts, versions, carry, cell, False)
+        return rest.select(*current.columns).unionByName(extended)
     start = F.col(versions.valid_from).alias(ts)
     log = current.select(*keys, *tracked, *carry, start).unionByName(
         changes.select(*keys, *tracked, *carry, F.col(ts).cast("timestamp_ntz").alias(ts))

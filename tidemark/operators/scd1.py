@@ -17,6 +17,7 @@ from tidemark.operators.common import (
     prefixed,
     require_columns,
     same_keys,
+    unseen_rows,
 )
 
 
@@ -35,6 +36,7 @@ def scd1_upsert(
     change_test: str = "hash",
     carry_untracked: bool = False,
     small_batch: bool | None = None,
+    null_keys: bool = True,
 ) -> DataFrame:
     """Target after the merge, with the target's columns.
 
@@ -43,10 +45,12 @@ def scd1_upsert(
     ``"hash"`` (record hashes differ and neither is NULL; load times are compared when
     the audit has no hash) or ``"tracked"`` (any tracked column differs, null-safe).
     Columns that are not tracked are left alone, and NULL in inserted rows, unless
-    ``carry_untracked`` takes them from the batch too. Batch keys must be unique.
+    ``carry_untracked`` takes them from the batch too. Batch keys must be unique;
+    ``null_keys=False`` states that no key is NULL.
 
-    A large batch takes one full outer join. A batch that is small enough to broadcast
-    (measured when ``small_batch`` is None) is joined to the target without shuffling it.
+    A large batch takes one full outer join. With a batch that is small enough to
+    broadcast (measured when ``small_batch`` is None) the target is not shuffled; a second
+    look at its key columns finds the batch's new keys.
     """
     tracked = list(tracked) or default_tracked(batch, keys, audit)
     assigned = [*tracked, *audit.columns()]
@@ -64,43 +68,39 @@ def scd1_upsert(
         raise ValueError(f"unknown change test {change_test!r}")
 
     new = batch.select(*keys, *assigned)
-    keyed = prefixed(new.where(~has_null(keys)))
-    # A row with a NULL key matches nothing: it skips the join, so that such rows do not
-    # all meet in one task. On Parquet the test reads row-group statistics only.
-    loose = new.where(has_null(keys))
-    untouched = target.where(has_null(keys))
-    matchable = target.where(~has_null(keys))
+    keyed = prefixed(new.where(~has_null(keys)) if null_keys else new)
+    matchable = target.where(~has_null(keys)) if null_keys else target
 
-    def updated(take: Column) -> list[Column]:
-        return [
-            F.when(take, like_target(target, name, F.col(BATCH + name))).otherwise(F.col(name)).alias(name)
+    def updated(take: Column) -> dict[str, Column]:
+        return {
+            name: F.when(take, like_target(target, name, F.col(BATCH + name))).otherwise(F.col(name)).alias(name)
             if name in assigned
             else F.col(name)
             for name in target.columns
-        ]
+        }
 
-    def inserted(df: DataFrame, prefix: str) -> DataFrame:
+    def inserted(prefix: str) -> list[Column]:
         taken = {*keys, *assigned}
-        return df.select(
-            *[
-                like_target(target, name, F.col(prefix + name) if name in taken else F.lit(None))
-                for name in target.columns
-            ]
-        )
+        return [
+            like_target(target, name, F.col(prefix + name) if name in taken else F.lit(None))
+            for name in target.columns
+        ]
 
-    small = fits_broadcast(batch) if small_batch is None else small_batch
     found = F.col(BATCH + keys[0]).isNotNull()
-    if small:
-        merged = matchable.join(keyed, same_keys(keys), "left").select(*updated(found & changed))
-        seen = matchable.select(*keys).join(keyed.select(*[BATCH + k for k in keys]), same_keys(keys), "inner")
-        unseen = keyed.join(seen.select(*keys), same_keys(keys), "left_anti")
-        merged = merged.unionByName(inserted(unseen, BATCH))
+    if fits_broadcast(batch) if small_batch is None else small_batch:
+        joined = matchable.join(keyed, same_keys(keys), "left")
+        merged = joined.select(*updated(found & changed).values())
+        merged = merged.unionByName(unseen_rows(matchable, keyed, keys).select(*inserted(BATCH)))
     else:
         is_new = F.col(keys[0]).isNull()
         joined = matchable.join(keyed, same_keys(keys), "full_outer")
-        columns = dict(zip(target.columns, updated(is_new | (found & changed))))
-        columns |= {
-            key: F.coalesce(F.col(key), like_target(target, key, F.col(BATCH + key))).alias(key) for key in keys
-        }
-        merged = joined.select(*[columns[name] for name in target.columns])
-    return merged.unionByName(untouched).unionByName(inserted(loose, ""))
+        columns = updated(is_new | (found & changed))
+        for key in keys:
+            columns[key] = F.coalesce(F.col(key), like_target(target, key, F.col(BATCH + key))).alias(key)
+        merged = joined.select(*columns.values())
+    if null_keys:
+        # A NULL key matches nothing, so such rows skip the join instead of meeting in one
+        # task. On Parquet the extra reads look at row-group statistics only.
+        loose = new.where(has_null(keys)).select(*inserted(""))
+        merged = merged.unionByName(target.where(has_null(keys))).unionByName(loose)
+    return merged

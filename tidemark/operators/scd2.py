@@ -19,6 +19,7 @@ from tidemark.operators.common import (
     prefixed,
     require_columns,
     same_keys,
+    unseen_rows,
 )
 
 
@@ -80,6 +81,7 @@ def scd2_delta(
     carry_untracked: bool = False,
     close_missing: bool = False,
     small_batch: bool | None = None,
+    null_keys: bool = True,
 ) -> DataFrame:
     """What becomes of the current versions: kept, closed, and newly opened rows.
 
@@ -88,7 +90,11 @@ def scd2_delta(
     is opened for its key; a batch key without a current version is opened too; other
     rows stay. ``close_missing`` also closes keys that the batch lacks. Inserted rows get
     keys, tracked and technical columns, and all shared columns with ``carry_untracked``.
-    Batch keys must be unique.
+    Batch keys must be unique; ``null_keys=False`` states that no key is NULL.
+
+    A large batch takes one full outer join. With a batch that is small enough to
+    broadcast (measured when ``small_batch`` is None) the target is not shuffled; a second
+    look at its key columns finds the batch's new keys.
     """
     names = current.columns
     technical = [name for name in audit.columns() if name in names]
@@ -103,10 +109,6 @@ def scd2_delta(
 
     start = "_start"
     new = batch.select(*taken, instant(load_ts).alias(start))
-    keyed = prefixed(new.where(~has_null(keys)))
-    loose = new.where(has_null(keys))  # a NULL key matches nothing, so it skips the join
-    matchable = current.where(~has_null(keys))
-    untouched = current.where(has_null(keys))
 
     def opened(prefix: str) -> list[Column]:
         values = {name: F.col(prefix + name) for name in taken}
@@ -115,45 +117,35 @@ def scd2_delta(
         values[versions.is_current] = F.lit(True)
         return [like_target(current, name, values.get(name, F.lit(None))) for name in names]
 
-    def closed(when: Column) -> list[Column]:
-        values = {versions.valid_to: when, versions.is_current: F.lit(False)}
+    def closed(at: Column) -> list[Column]:
+        values = {versions.valid_to: at, versions.is_current: F.lit(False)}
         return [like_target(current, name, values.get(name, F.col(name))) for name in names]
 
     in_target = F.col(keys[0]).isNotNull()
     in_batch = F.col(BATCH + keys[0]).isNotNull()
     changed = in_target & in_batch & differs(tracked)
-    ends = changed | (in_target & ~in_batch) if close_missing else changed
     end_time = F.coalesce(F.col(BATCH + start), instant(load_ts)) if close_missing else F.col(BATCH + start)
-
-    small = fits_broadcast(batch) if small_batch is None else small_batch
-    if small:
-        joined = matchable.join(keyed, same_keys(keys), "left")
-        replaced = closed(end_time)
-        kept = joined.select(
-            *[
-                F.when(ends, column).otherwise(F.col(name)).alias(name)
-                if name in (versions.valid_to, versions.is_current)
-                else F.col(name)
-                for name, column in zip(names, replaced)
-            ]
-        )
-        same = matchable.join(keyed, same_keys(keys) & ~differs(tracked), "inner").select(*keys)
-        fresh = keyed.join(same, same_keys(keys), "left_anti").select(*opened(BATCH))
-        delta = kept.unionByName(fresh)
+    as_is = F.struct(*[F.col(name) for name in names])
+    ending = F.struct(*closed(end_time))
+    opening = F.struct(*opened(BATCH))
+    rows = F.when(changed, F.array(ending, opening)).when(~in_target, F.array(opening))
+    if close_missing:
+        rows = rows.when(~in_batch, F.array(ending))
+    outcome = F.inline(rows.otherwise(F.array(as_is)))
+
+    keyed = prefixed(new.where(~has_null(keys)) if null_keys else new)
+    matchable = current.where(~has_null(keys)) if null_keys else current
+    if fits_broadcast(batch) if small_batch is None else small_batch:
+        kept = matchable.join(keyed, same_keys(keys), "left").select(outcome)
+        delta = kept.unionByName(unseen_rows(matchable, keyed, keys).select(*opened(BATCH)))
     else:
-        joined = matchable.join(keyed, same_keys(keys), "full_outer")
-        as_is = F.struct(*[F.col(name) for name in names])
-        ending = F.struct(*closed(end_time))
-        opening = F.struct(*opened(BATCH))
-        rows = (
-            F.when(changed, F.array(ending, opening))
-            .when(~in_target, F.array(opening))
-            .when(ends, F.array(ending))
-            .otherwise(F.array(as_is))
-        )
-        delta = joined.select(F.inline(rows))
-    added = loose.select(*opened(""))
-    return delta.unionByName(untouched).unionByName(added)
+        delta = matchable.join(keyed, same_keys(keys), "full_outer").select(outcome)
+    if null_keys:
+        # A NULL key matches nothing, so such rows skip the join instead of meeting in one
+        # task. On Parquet the extra reads look at row-group statistics only.
+        loose = new.where(has_null(keys)).select(*opened(""))
+        delta = delta.unionByName(current.where(has_null(keys))).unionByName(loose)
+    return delta
 
 
 def scd2_merge(

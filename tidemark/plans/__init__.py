@@ -1,7 +1,7 @@
 from tidemark.plans.runner import LoadResult, prepare, run_load
 from tidemark.plans.spec import Full, Incremental, LoadSpec, Scd1, Scd2, load_spec
 from tidemark.plans.versioned import VersionedTable
-from tidemark.plans.workspace import scratch_path, shared_folder
+from tidemark.plans.workspace import scratch_path, shared_folder, staged
 
 __all__ = [
     "Full",
@@ -16,4 +16,5 @@ __all__ = [
     "run_load",
     "scratch_path",
     "shared_folder",
+    "staged",
 ]

@@ -13,8 +13,9 @@ from tidemark.operators.incremental import latest_per_key
 from tidemark.operators.quality import refuse_bad_batch
 from tidemark.operators.scd1 import default_tracked, scd1_upsert
 from tidemark.operators.scd2 import first_versions, scd2_delta
-from tidemark.plans.spec import Full, Incremental, LoadSpec, Scd1, Scd2
-from tidemark.plans.versioned import VersionedTable
+from tidemark.plans.spec import Full, Incremental, LoadSpec, Scd1
+from tidemark.plans.versioned import Manifest, VersionedTable
+from tidemark.plans.workspace import staged
 from tidemark.sources.files import read_incremental
 
 
@@ -50,35 +51,36 @@ def run_load(
     """
     stamp = utc_text(load_ts)
     load_id = load_id or f"{spec.name}@{stamp}"
-    if table.has_load(load_id):
-        manifest = table.manifest()
+    manifest = table.manifest()
+    if manifest is not None and load_id in manifest.loads:
         return LoadResult(load_id, {}, manifest.watermark)
     strategy = spec.strategy
     if isinstance(strategy, Full):
         return LoadResult(load_id, table.replace(prepare(spec, source, load_ts), load_id, stamp))
     if isinstance(strategy, Incremental):
-        return _incremental(spec, strategy, source, table, load_ts, stamp, lower_bound, load_id)
+        return _incremental(spec, strategy, source, table, manifest, load_ts, stamp, lower_bound, load_id)
 
-    batch = prepare(spec, source, load_ts)
+    if manifest is not None and datetime.fromisoformat(stamp) < datetime.fromisoformat(manifest.load_ts):
+        raise ValueError(f"load time {stamp} is before the table's last load {manifest.load_ts}")
+    # Check and merge need the batch more than once: extract it once.
+    batch = staged(prepare(spec, source, load_ts), spec.name)
     keys = list(strategy.business_keys)
     refuse_bad_batch(batch, keys)
-    manifest = table.manifest()
-    if manifest is not None and manifest.load_ts is not None and datetime.fromisoformat(stamp) < datetime.fromisoformat(manifest.load_ts):
-        raise ValueError(f"load time {stamp} is before the table's last load {manifest.load_ts}")
+    buckets = table.touched_buckets(batch)
     if isinstance(strategy, Scd1):
         tracked = list(strategy.tracked) or default_tracked(batch, keys, spec.audit)
-        columns = [*keys, *tracked, *spec.audit.columns()]
-        merged = batch.select(*columns)
+        merged = batch.select(*keys, *tracked, *spec.audit.columns())
         if manifest is not None:
-            merged = scd1_upsert(table.read(manifest), batch, keys, tracked, spec.audit)
-        return LoadResult(load_id, table.replace(merged, load_id, stamp))
-    assert isinstance(strategy, Scd2)
+            target = table.read(manifest, buckets=buckets)
+            merged = scd1_upsert(target, batch, keys, tracked, spec.audit, null_keys=False)
+        return LoadResult(load_id, table.commit_rows(merged, load_id, stamp, buckets))
     tracked, versions = list(strategy.tracked), strategy.versions
     if manifest is None:
         delta = first_versions(batch.select(*keys, *tracked, *spec.audit.columns()), load_ts, versions)
     else:
-        delta = scd2_delta(table.current(versions), batch, keys, tracked, load_ts, versions, spec.audit)
-    return LoadResult(load_id, table.commit_versions(delta, load_id, stamp, versions))
+        current = table.current(versions, manifest, buckets)
+        delta = scd2_delta(current, batch, keys, tracked, load_ts, versions, spec.audit, null_keys=False)
+    return LoadResult(load_id, table.commit_versions(delta, load_id, stamp, versions, buckets))
 
 
 def _incremental(
@@ -86,12 +88,12 @@ def _incremental(
     strategy: Incremental,
     source: DataFrame,
     table: VersionedTable,
+    manifest: Manifest | None,
     load_ts: datetime | str,
     stamp: str,
     lower_bound: datetime | str | None,
     load_id: str,
 ) -> LoadResult:
-    manifest = table.manifest()
     if lower_bound is None and manifest is not None:
         lower_bound = manifest.watermark
     source_column = strategy.source_watermark or strategy.watermark
@@ -104,4 +106,3 @@ def _incremental(
         latest = latest_per_key(both, strategy.business_keys, strategy.watermark, tie)
         figures = table.replace(latest, load_id, stamp, strategy.watermark)
     return LoadResult(load_id, figures, figures.get("watermark") or (manifest.watermark if manifest else None))
-

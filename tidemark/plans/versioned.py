@@ -1,9 +1,10 @@
-"""A table of plain files that loads can replace or extend safely.
+"""A table of plain files that loads can replace, extend or merge into safely.
 
 Spark cannot overwrite files that it is reading, and replacing a folder is not atomic. So
-each load writes a new segment, and then one small manifest that lists the segments the
-table is made of. Readers follow the newest manifest: a load that dies half-way leaves the
-table as it was. Closed history is listed again, never rewritten.
+each load writes a new segment, and then one small manifest that lists the paths the table
+is made of. Readers follow the newest manifest: a load that dies half-way leaves the table
+as it was. Closed history is listed again, never rewritten. With key buckets, a merge also
+reads and rewrites only those buckets that its batch has keys in.
 
 Layout: ``<root>/data/segment=<n>/[column=value/]part-*`` and ``<root>/manifest/<n>/``.
 """
@@ -14,7 +15,7 @@ import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -23,13 +24,16 @@ from tidemark.operators.scd2 import Versions
 from tidemark.sinks.tables import balanced, observe
 
 SEGMENT = "segment"
-_MANIFEST = "number long, load_id string, load_ts string, watermark string, schema string, paths array<string>"
+BUCKET = "key_bucket"
+_MANIFEST = "number long, loads array<string>, load_ts string, watermark string, schema string, paths array<string>"
 
 
 @dataclass(frozen=True)
 class Manifest:
+    """One state of a table: its files, and the loads that went into it."""
+
     number: int
-    load_id: str
+    loads: tuple[str, ...]
     load_ts: str | None
     watermark: str | None
     schema: StructType
@@ -37,7 +41,11 @@ class Manifest:
 
 
 class VersionedTable:
-    """One table under ``root``; one writer at a time."""
+    """One table under ``root``; one writer at a time.
+
+    ``partition_by`` suits tables that are replaced or appended to. ``bucket_by`` with a
+    number of ``buckets`` suits tables that are merged into by these keys.
+    """
 
     def __init__(
         self,
@@ -45,126 +53,192 @@ class VersionedTable:
         root: str,
         file_format: str = "parquet",
         partition_by: Sequence[str] = (),
+        bucket_by: Sequence[str] = (),
+        buckets: int = 0,
     ) -> None:
+        if bool(bucket_by) != (buckets > 0):
+            raise ValueError("bucket columns and a number of buckets go together")
+        if bucket_by and partition_by:
+            raise ValueError("a table is partitioned by values or by key buckets, not both")
         self.spark = spark
         self.root = root.rstrip("/")
         self.file_format = file_format
         self.partition_by = list(partition_by)
+        self.bucket_by = list(bucket_by)
+        self.buckets = buckets
+
+    # reading
 
     def manifest(self) -> Manifest | None:
         """The newest manifest; None before the first load."""
-        listed = self._manifests()
-        newest = listed.orderBy(F.col("number").desc()).first() if listed is not None else None
-        if newest is None:
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/manifest")
+        files = folder.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
+        if not files.exists(folder):
             return None
-        return Manifest(
-            newest["number"],
-            newest["load_id"],
-            newest["load_ts"],
-            newest["watermark"],
-            StructType.fromJson(json.loads(newest["schema"])),
-            tuple(newest["paths"]),
-        )
+        numbers = sorted((int(s.getPath().getName()) for s in files.listStatus(folder)), reverse=True)
+        for number in numbers:  # the newest one may be the remains of a commit that died
+            found = self.spark.read.schema(_MANIFEST).json(f"{self.root}/manifest/{number}").first()
+            if found is not None:
+                schema = StructType.fromJson(json.loads(found["schema"]))
+                return Manifest(
+                    number, tuple(found["loads"]), found["load_ts"], found["watermark"], schema, tuple(found["paths"])
+                )
+        return None
 
     def has_load(self, load_id: str) -> bool:
         """Whether a load of this id was committed; lets a retried load do nothing."""
-        listed = self._manifests()
-        return listed is not None and not listed.where(F.col("load_id") == load_id).isEmpty()
+        manifest = self.manifest()
+        return manifest is not None and load_id in manifest.loads
 
-    def _manifests(self) -> DataFrame | None:
-        folder = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/manifest")
-        files = folder.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
-        if not files.exists(folder):
-            return None
-        return self.spark.read.schema(_MANIFEST).json(f"{self.root}/manifest/*")
+    def read(
+        self, manifest: Manifest | None = None, part: str | None = None, buckets: Sequence[int] | None = None
+    ) -> DataFrame:
+        """The table, as one scan over its files.
 
-    def read(self, manifest: Manifest | None = None, only: str | None = None) -> DataFrame:
-        """The table, as one scan over its segments; ``only`` keeps paths of one ``column=value``."""
+        ``part`` (``column=value``) and ``buckets`` keep only the paths that have them.
+        """
         manifest = manifest or self.manifest()
         if manifest is None:
             raise ValueError(f"no table at {self.root}")
-        paths = [p for p in manifest.paths if only is None or p.endswith("/" + only)]
+        paths = [p for p in manifest.paths if part is None or part in p.split("/")]
+        if buckets is not None:
+            paths = [p for p in paths if _bucket_of(p) in buckets]
         if not paths:
             return self.spark.createDataFrame([], manifest.schema)
         base = f"{self.root}/data"
         reader = self.spark.read.format(self.file_format).schema(manifest.schema).option("basePath", base)
         return reader.load([f"{base}/{path}" for path in paths]).select(*manifest.schema.names)
 
+    def current(
+        self,
+        versions: Versions = Versions(),
+        manifest: Manifest | None = None,
+        buckets: Sequence[int] | None = None,
+    ) -> DataFrame:
+        """Current rows of a history table: reads just their files."""
+        return self.read(manifest, f"{versions.is_current}=true", buckets)
+
+    def bucket(self) -> Column:
+        """The bucket of a row: the same hash that Spark shuffles by, so that a merge's tasks
+        (with a shuffle partition count that is a multiple of ``buckets``) hold one bucket each."""
+        return F.pmod(F.hash(*self.bucket_by), F.lit(self.buckets))
+
+    def touched_buckets(self, batch: DataFrame) -> list[int] | None:
+        """Buckets that a batch has keys in; None for a table without buckets."""
+        if not self.bucket_by:
+            return None
+        found = batch.select(self.bucket().alias(BUCKET)).distinct().collect()  # at most ``buckets`` rows
+        return sorted(row[BUCKET] for row in found)
+
+    # writing
+
     def replace(self, df: DataFrame, load_id: str, load_ts: str | None = None, watermark: str | None = None) -> dict:
         """Make ``df`` the whole table. Returns the figures observed while writing."""
-        return self._load(df, load_id, load_ts, watermark, keep=False)
+        old = self.manifest()
+        number, figures = self._write(df, old, self._figures(watermark), self.partition_by)
+        loads = (*(old.loads if old else ()), load_id)
+        self._commit(Manifest(number, loads, load_ts, figures.get("watermark"), df.schema, (f"{SEGMENT}={number}",)))
+        return figures
 
     def append(self, df: DataFrame, load_id: str, load_ts: str | None = None, watermark: str | None = None) -> dict:
         """Add ``df`` to the table; a load id that is there already adds nothing."""
-        if self.has_load(load_id):
+        old = self.manifest()
+        if old is None:
+            return self.replace(df, load_id, load_ts, watermark)
+        if load_id in old.loads:
             return {}
-        return self._load(df, load_id, load_ts, watermark, keep=True)
+        rows = df.select(*old.schema.names)
+        number, figures = self._write(rows, old, self._figures(watermark), self.partition_by)
+        paths = (*old.paths, f"{SEGMENT}={number}") if figures["rows"] else old.paths
+        high = figures.get("watermark") or old.watermark
+        self._commit(Manifest(number, (*old.loads, load_id), load_ts or old.load_ts, high, old.schema, paths))
+        return figures
 
-    def _load(self, df: DataFrame, load_id: str, load_ts: str | None, watermark: str | None, keep: bool) -> dict:
+    def commit_rows(self, merged: DataFrame, load_id: str, load_ts: str, buckets: Sequence[int] | None = None) -> dict:
+        """Take in the outcome of an in-place merge of the given buckets (all rows if None)."""
         old = self.manifest()
-        number = old.number + 1 if old else 1
-        figures = {"rows": F.count(F.lit(1))}
-        if watermark:
-            figures["watermark"] = F.max(watermark).cast("string")
-        seen = Observation()
-        segment = f"{SEGMENT}={number}"
-        self._write(observe(df, seen, figures), segment, self.partition_by)
-        found = seen.get
-        schema, paths = df.schema, (segment,)
-        high = found.get("watermark")
-        if keep and old:
-            schema = old.schema
-            paths = (*old.paths, segment) if found["rows"] else old.paths
-            high = high if high is not None else old.watermark
-        self._commit(Manifest(number, load_id, load_ts or (old.load_ts if old else None), high, schema, paths))
-        return found
+        if not self.bucket_by:
+            return self.replace(merged, load_id, load_ts)
+        rows = merged.withColumn(BUCKET, self.bucket())
+        number, figures = self._write(rows, old, self._figures(None), [BUCKET], shuffle=old is None)
+        kept = [p for p in old.paths if _bucket_of(p) not in (buckets or ())] if old else []
+        new = [f"{SEGMENT}={number}/{BUCKET}={b}" for b in buckets or ()]
+        loads = (*(old.loads if old else ()), load_id)
+        self._commit(Manifest(number, loads, load_ts, None, merged.schema, tuple(kept + new)))
+        return figures
 
-    def commit_versions(self, delta: DataFrame, load_id: str, load_ts: str, versions: Versions = Versions()) -> dict:
-        """Take in the outcome of a history merge (``scd2_delta``).
+    def commit_versions(
+        self,
+        delta: DataFrame,
+        load_id: str,
+        load_ts: str,
+        versions: Versions = Versions(),
+        buckets: Sequence[int] | None = None,
+    ) -> dict:
+        """Take in the outcome of a history merge (``scd2_delta``) of the given buckets.
 
-        Rows are written by current flag. The open ones become the table's current rows;
-        the closed ones are added to the history, whose older files stay as they are.
-        Returns counts of rows written, closed and opened.
+        Rows are written by current flag. The open ones become the current rows of their
+        buckets; the closed ones are added to the history, whose older files stay as they
+        are. Returns counts of rows written, current, closed and opened.
         """
         flag = versions.is_current
         old = self.manifest()
-        number = old.number + 1 if old else 1
-        opened = F.col(flag) & (F.col(versions.valid_from) == instant(load_ts))
-        seen = Observation()
-        rows = observe(
-            delta,
-            seen,
-            {
-                "rows": F.count(F.lit(1)),
-                "current": F.count_if(F.col(flag)),
-                "closed": F.count_if(~F.col(flag)),
-                "opened": F.count_if(opened),
-            },
-        )
-        segment = f"{SEGMENT}={number}"
-        self._write(rows, segment, [flag])
-        found = seen.get
-        history = [p for p in old.paths if p.endswith(f"{flag}=false")] if old else []
-        paths = history + [f"{segment}/{flag}=false"] * bool(found["closed"])
-        paths += [f"{segment}/{flag}=true"] * bool(found["current"])
-        self._commit(Manifest(number, load_id, load_ts, None, delta.schema, tuple(paths)))
+        figures = {
+            **self._figures(None),
+            "current": F.count_if(F.col(flag)),
+            "closed": F.count_if(~F.col(flag)),
+            "opened": F.count_if(F.col(flag) & (F.col(versions.valid_from) == instant(load_ts))),
+        }
+        rows, layout = delta, [flag]
+        if self.bucket_by:
+            rows, layout = delta.withColumn(BUCKET, self.bucket()), [flag, BUCKET]
+        number, found = self._write(rows, old, figures, layout, shuffle=bool(self.bucket_by) and old is None)
+        history, current = f"{SEGMENT}={number}/{flag}=false", f"{SEGMENT}={number}/{flag}=true"
+        paths = list(old.paths) if old else []
+        if self.bucket_by:
+            replaced = {b for b in buckets or ()}
+            paths = [p for p in paths if f"{flag}=false" in p.split("/") or _bucket_of(p) not in replaced]
+            paths += [f"{current}/{BUCKET}={b}" for b in buckets or ()]
+        else:
+            paths = [p for p in paths if f"{flag}=false" in p.split("/")]
+            paths += [current] if found["current"] else []
+        paths += [history] if found["closed"] else []
+        loads = (*(old.loads if old else ()), load_id)
+        self._commit(Manifest(number, loads, load_ts, None, delta.schema, tuple(paths)))
         return found
 
-    def current(self, versions: Versions = Versions()) -> DataFrame:
-        """Current rows only: a table written by ``commit_versions`` reads just their files."""
-        return self.read(only=f"{versions.is_current}=true")
+    @staticmethod
+    def _figures(watermark: str | None) -> dict[str, Column]:
+        figures = {"rows": F.count(F.lit(1))}
+        if watermark:
+            figures["watermark"] = F.max(watermark).cast("string")
+        return figures
 
-    def _write(self, df: DataFrame, segment: str, partition_by: Sequence[str]) -> None:
+    def _write(
+        self,
+        df: DataFrame,
+        old: Manifest | None,
+        figures: dict[str, Column],
+        partition_by: Sequence[str],
+        shuffle: bool | None = None,
+    ) -> tuple[int, dict]:
+        """Write the next segment. Rows are brought together by partition unless the tasks
+        of a merge hold few partitions each anyway."""
+        number = old.number + 1 if old else 1
+        by_value = partition_by == self.partition_by if shuffle is None else shuffle
+        seen = Observation()
+        rows = observe(balanced(df, partition_by) if by_value else df, seen, figures)
         # A segment left behind by a load that died before its commit is overwritten.
-        writer = balanced(df, partition_by).write.format(self.file_format).mode("overwrite")
+        writer = rows.write.format(self.file_format).mode("overwrite")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
-        writer.save(f"{self.root}/data/{segment}")
+        writer.save(f"{self.root}/data/{SEGMENT}={number}")
+        return number, seen.get
 
     def _commit(self, manifest: Manifest) -> None:
         row = (
             manifest.number,
-            manifest.load_id,
+            list(manifest.loads),
             manifest.load_ts,
             manifest.watermark,
             manifest.schema.json(),
@@ -173,3 +247,10 @@ class VersionedTable:
         one = self.spark.createDataFrame([row], _MANIFEST).coalesce(1)
         # The number is new, so at most the remains of a commit that died are overwritten.
         one.write.mode("overwrite").json(f"{self.root}/manifest/{manifest.number}")
+
+
+def _bucket_of(path: str) -> int | None:
+    for step in path.split("/"):
+        if step.startswith(BUCKET + "="):
+            return int(step.split("=")[1])
+    return None

@@ -22,18 +22,18 @@ def balanced(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
 def _writer(df: DataFrame, file_format: str, mode: str, partition_by: Sequence[str]) -> DataFrameWriter:
     if file_format not in TABLE_FORMATS:
         raise ValueError(f"unknown table format {file_format!r}")
-    writer = balanced(df, partition_by).write.format(file_format).mode(mode)
+    writer = df.write.format(file_format).mode(mode)
     return writer.partitionBy(*partition_by) if partition_by else writer
 
 
 def full_load(df: DataFrame, path: str, file_format: str = "parquet", partition_by: Sequence[str] = ()) -> None:
     """Replace everything at ``path``; the path is created if absent."""
-    _writer(df, file_format, "overwrite", partition_by).save(path)
+    _writer(balanced(df, partition_by), file_format, "overwrite", partition_by).save(path)
 
 
 def append(df: DataFrame, path: str, file_format: str = "parquet", partition_by: Sequence[str] = ()) -> None:
     """Add the rows to the table at ``path``."""
-    _writer(df, file_format, "append", partition_by).save(path)
+    _writer(balanced(df, partition_by), file_format, "append", partition_by).save(path)
 
 
 def append_with_watermark(
@@ -44,11 +44,14 @@ def append_with_watermark(
     The maximum is observed while the rows are written, so the source is read once.
     """
     seen = Observation()
-    append(observe(df, seen, {"watermark": F.max(watermark)}), path, file_format, partition_by)
+    rows = observe(balanced(df, partition_by), seen, {"watermark": F.max(watermark)})
+    _writer(rows, file_format, "append", partition_by).save(path)
     return seen.get["watermark"]
 
 
 def observe(df: DataFrame, observation: Observation, figures: dict[str, Column]) -> DataFrame:
+    """Take figures while ``df`` is written. Keep it last, after any shuffle: a task of the
+    writing stage counts once, however often it is retried."""
     return df.observe(observation, *[column.alias(name) for name, column in figures.items()])
 
 
@@ -68,7 +71,7 @@ def full_load_table(
     read the table without shuffling it.
     """
     options = {**(properties or {}), **({"path": path} if path else {})}
-    writer = _writer(df, file_format, "overwrite", partition_by).options(**options)
+    writer = _writer(balanced(df, partition_by), file_format, "overwrite", partition_by).options(**options)
     if bucket_by:
         if buckets < 1:
             raise ValueError("give the number of buckets")

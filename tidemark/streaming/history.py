@@ -8,11 +8,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.operators.common import BATCH, has_null, prefixed, same_keys
+from tidemark.operators.common import BATCH, differs, fits_broadcast, has_null, prefixed, same_keys
 from tidemark.operators.history import scd2_extend, scd2_rebuild
 from tidemark.operators.incremental import latest_per_key
 from tidemark.operators.scd2 import Versions
 from tidemark.plans.versioned import VersionedTable
+from tidemark.plans.workspace import staged
 
 
 def merge_changes(
@@ -34,35 +35,34 @@ def merge_changes(
     those that differ from it are written to ``late_path`` (raising if there is none), and
     so are rows with a NULL key. A load id that was committed is skipped.
     """
-    if table.has_load(load_id):
+    manifest = table.manifest()
+    if manifest is not None and load_id in manifest.loads:
         return {}
     named = changes.select(*keys, *tracked, *carry, F.col(ts).cast("timestamp_ntz").alias(ts))
-    rows = latest_per_key(named, [*keys, ts], ts)
-    unkeyed = rows.where(has_null([*keys, ts]))
-    rows = rows.where(~has_null([*keys, ts]))
-    manifest = table.manifest()
+    landed = staged(latest_per_key(named, [*keys, ts], ts), "changes")
+    unkeyed = landed.where(has_null([*keys, ts]))
+    rows = landed.where(~has_null([*keys, ts]))
+    buckets = table.touched_buckets(rows)
     if manifest is None:
         late = unkeyed
         delta = scd2_rebuild(rows, keys, tracked, ts, versions, carry, cell)
     else:
-        current = table.current(versions)
+        current = table.current(versions, manifest, buckets)
         start = BATCH + versions.valid_from
-        seen = prefixed(current.select(*keys, *tracked, versions.valid_from))
-        paired = rows.join(seen, same_keys(keys), "left")
+        # Current versions of the changed keys; a small batch is broadcast to find them.
+        seen = current.select(*keys, *tracked, versions.valid_from).join(rows.select(*keys), list(keys), "left_semi")
+        paired = rows.join(prefixed(seen), same_keys(keys), "left")
         is_late = F.col(start).isNotNull() & (F.col(ts) <= F.col(start))
-        same = F.lit(True)
-        for name in tracked:
-            same = same & F.col(name).eqNullSafe(F.col(BATCH + name))
-        replayed = same & (F.col(ts) == F.col(start))
+        replayed = (F.col(ts) == F.col(start)) & ~differs(tracked)
         late = paired.where(is_late & ~replayed).select(*rows.columns).unionByName(unkeyed)
         fresh = paired.where(~is_late).select(*rows.columns)
-        delta = scd2_extend(current, fresh, keys, tracked, ts, versions, carry, cell)
+        delta = scd2_extend(current, fresh, keys, tracked, ts, versions, carry, cell, fits_broadcast(landed))
     if not late.isEmpty():
         if late_path is None:
             raise ValueError("changes older than the current version of their key, or without a key")
         late.write.mode("overwrite").parquet(f"{late_path}/load={load_id}")
     stamp = rows.agg(F.max(ts).cast("string")).first()[0] or (manifest.load_ts if manifest else "1970-01-01 00:00:00")
-    return table.commit_versions(delta, load_id, stamp, versions)
+    return table.commit_versions(delta, load_id, stamp, versions, buckets)
 
 
 def stream_scd2(

@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions import project
 from tidemark.operators import as_of_join, first_versions, scd2_changes, scd2_extend, scd2_merge, scd2_rebuild
-from tidemark.plans import LoadSpec, Scd2, VersionedTable, run_load, scratch_path
+from tidemark.plans import LoadSpec, Scd2, VersionedTable, run_load, scratch_path, staged
 from warehouse_queries.inputs import (
     CLIENT_HISTORY_SQL,
     CLIENT_KEYS,
@@ -54,7 +53,7 @@ def scd2_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
         "dds_clients", f"{SYSTEM}.public.clients", "warehouse.dds.dim_clients",
         Scd2(CLIENT_KEYS, CLIENT_TRACKED), CLIENTS,
     )
-    target = VersionedTable(spark, scratch_path(spark, "dim-clients"))
+    target = VersionedTable(spark, scratch_path(spark, "dim-clients"), bucket_by=CLIENT_KEYS, buckets=8)
     second = customer_second(spark, sf_dir)
     run_load(spec, table(spark, sf_dir, "customer"), target, FIRST)
     run_load(spec, second, target, SECOND)
@@ -84,7 +83,7 @@ def scd2_extend_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _order_segments(spark: SparkSession, sf_dir: str, small_dim: bool | None) -> DataFrame:
     target, batch = first_history(spark, sf_dir, EARLY)
-    dim = scd2_merge(target, batch, CLIENT_KEYS, CLIENT_TRACKED, LATER)
+    dim = staged(scd2_merge(target, batch, CLIENT_KEYS, CLIENT_TRACKED, LATER), "dim-clients")
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", F.col("o_custkey").alias("client_id"), "o_orderdate"
     )
@@ -107,14 +106,10 @@ def as_of_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     facts = events.where("event_type = 'purchase'").select(
         "event_id", "user_id", (F.col("ts") - F.expr("interval 1 hour")).alias("at")
     )
-    dim = event_history(spark, sf_dir)
+    dim = staged(event_history(spark, sf_dir), "event-history")
     return as_of_join(facts, dim, ["user_id"], "at", ["event_type"], how="inner", small_dim=False)
 
 
-def project_second(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return project(customer_second(spark, sf_dir), CLIENTS)
-
-
 _HISTORY_AS_OF = CLIENT_HISTORY_SQL.replace(FIRST, EARLY).replace(SECOND, LATER)
 _AS_OF = (
     _HISTORY_AS_OF
