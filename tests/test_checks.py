@@ -1,0 +1,225 @@
+from __future__ import annotations
+
+import json
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.functions import ColumnMap, add_audit, project
+from tidemark.operators import (
+    BatchRefused,
+    Versions,
+    batch_faults,
+    canonicalise,
+    check_lengths,
+    check_not_null,
+    check_references,
+    check_unique,
+    check_write_conflicts,
+    column_lineage_audit,
+    dataset_lineage,
+    draft_mapping,
+    first_versions,
+    key_candidates,
+    lineage_events,
+    profile_table,
+    reconcile,
+    reconcile_summary,
+    refuse_bad_batch,
+    run_audit,
+    scd2_merge,
+)
+
+T1, T2 = datetime(2026, 1, 1), datetime(2026, 1, 2)
+
+
+def rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def hot(spark, size=30_000):
+    """A third of all rows has key 0."""
+    return spark.range(0, size, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"), F.col("id").alias("v")
+    )
+
+
+def test_unique(spark):
+    df = spark.createDataFrame([(1, "a"), (1, "a"), (2, None), (2, None), (3, "c")], "k int, v string")
+    assert rows(check_unique(df, ["k", "v"])) == [(1, "a", 2), (2, None, 2)]
+    with pytest.raises(ValueError):
+        check_unique(df, ["nope"])
+
+
+def test_unique_counts_a_hot_key_before_the_shuffle(spark):
+    out = check_unique(hot(spark), ["k"])
+    assert "partial_count" in plan(out).split("Exchange", 1)[1]
+    assert rows(out) == [(0, 10_000)]
+
+
+def test_references(spark):
+    child = spark.createDataFrame([(1,), (2,), (2,), (None,), (9,)], "fk int")
+    parent = spark.createDataFrame([(1,), (1,), (None,)], "pk int")
+    assert rows(check_references(child, ["fk"], parent, ["pk"])) == [(2, 2), (9, 1)]
+    two = spark.createDataFrame([(1, "x"), (1, "y"), (None, "x")], "a int, b string")
+    up = spark.createDataFrame([(1, "x")], "c int, d string")
+    assert rows(check_references(two, ["a", "b"], up, ["c", "d"])) == [(1, "y", 1)]
+    with pytest.raises(ValueError):
+        check_references(two, ["a", "b"], up, ["c"])
+
+
+def test_references_join_one_row_per_key(spark):
+    out = check_references(hot(spark), ["k"], spark.range(1, 30_000), ["id"])
+    assert rows(out) == [(0, 10_000)]
+
+
+def test_not_null_and_lengths(spark):
+    df = spark.createDataFrame([(1, "abc"), (None, "äöüß"), (3, None)], "k int, v string")
+    assert rows(check_not_null(df, ["k", "v"])) == [("k", 3, 1), ("v", 3, 1)]
+    assert rows(check_lengths(df, {"v": 3})) == [("v", 3, 4, 1)]
+    assert rows(check_lengths(df.limit(0), {"v": 3})) == [("v", 3, None, 0)]
+    assert rows(check_not_null(df.limit(0), ["k"])) == [("k", 0, 0)]
+
+
+def test_write_conflicts(spark):
+    one = spark.createDataFrame([(1,), (1,), (2,)], "k int")
+    two = spark.createDataFrame([(2,), (3,)], "k int")
+    assert rows(check_write_conflicts({"a": one, "b": two}, ["k"])) == [(2, 2, 2)]
+    assert rows(check_write_conflicts({"a": one, "b": two, "c": two}, ["k"])) == [(2, 3, 3), (3, 2, 2)]
+    with pytest.raises(ValueError):
+        check_write_conflicts({}, ["k"])
+
+
+def test_bad_batches_are_refused(spark):
+    good = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    refuse_bad_batch(good, ["k"])
+    refuse_bad_batch(good.limit(0), ["k"])
+    twice = good.union(good)
+    nulls = spark.createDataFrame([(None, "a"), (None, "b")], "k int, v string")
+    assert tuple(batch_faults(twice, ["k"]).first()) == (4, 0, 2)
+    assert tuple(batch_faults(nulls, ["k"]).first()) == (2, 2, 0)
+    for bad in (twice, nulls):
+        with pytest.raises(BatchRefused):
+            refuse_bad_batch(bad, ["k"])
+
+
+def test_reconcile(spark):
+    source = spark.createDataFrame([(1, "a"), (2, "b"), (3, None), (5, "e"), (5, "e")], "k int, v string")
+    target = spark.createDataFrame([(1, "a"), (2, "B"), (3, ""), (4, "d"), (5, "e")], "k int, v string")
+    out = reconcile(source, target, ["k"])
+    assert rows(out) == [
+        (1, 1, 1, "equal"),
+        (2, 1, 1, "changed"),
+        (3, 1, 1, "changed"),
+        (4, 0, 1, "extra"),
+        (5, 2, 1, "changed"),
+    ]
+    assert tuple(reconcile_summary(out).first()) == (0, 1, 3, 1)
+    assert {r.status for r in reconcile(source, source, ["k"]).collect()} == {"equal"}
+    assert [r.status for r in reconcile(source.where("k = 1"), source.limit(0), ["k"]).collect()] == ["missing"]
+
+
+def test_reconcile_pairs_nothing_on_repeated_keys(spark):
+    """10,000 rows of one key on both sides: counted, not joined."""
+    out = reconcile(hot(spark), hot(spark).withColumn("v", F.when(F.col("v") == 3, -1).otherwise(F.col("v"))), ["k"])
+    assert "Join" not in plan(out)
+    assert rows(out.where("k = 0")) == [(0, 10_000, 10_000, "changed")]
+    assert out.where("status = 'equal'").count() == 20_000
+
+
+def test_profile(spark):
+    df = spark.createDataFrame(
+        [(1, "b", [1], {"x": 1}), (2, "a", [1], {"x": 1}), (2, None, None, {"y": 1})],
+        "id smallint, name string, tags array<int>, props map<string,int>",
+    )
+    expected = [
+        ("id", "SMALLINT", 3, 0, "1", "2", 2),
+        ("name", "STRING", 3, 1, "a", "b", 2),
+        ("props", "STRING", 3, 0, None, None, 2),
+        ("tags", "STRING", 3, 1, None, None, 1),
+    ]
+    assert rows(profile_table(df)) == expected
+    assert rows(profile_table(df, distinct="approx")) == expected
+    assert rows(profile_table(df, ["id"], distinct="none")) == [("id", "SMALLINT", 3, 0, "1", "2", None)]
+    assert rows(profile_table(df.limit(0), ["id"])) == [("id", "SMALLINT", 0, 0, None, None, 0)]
+
+
+def test_key_candidates(spark):
+    df = spark.createDataFrame([(1, 1, "a"), (1, 2, "a"), (2, 1, None)], "a int, b int, c string")
+    assert rows(key_candidates(df, [["a"], ["a", "b"], ["c", "b"]])) == [
+        ("a", 3, 2, 0, False),
+        ("a,b", 3, 3, 0, True),
+        ("c,b", 3, 2, 1, False),
+    ]
+
+
+def test_canonical_table_and_draft(spark):
+    df = spark.createDataFrame(
+        [(1, 1.5, [1, 2], datetime(2026, 1, 1), bytearray(b"x"))],
+        "Id tinyint, f float, tags array<int>, at timestamp_ntz, raw binary",
+    )
+    out = canonicalise(df)
+    assert out.dtypes == [
+        ("Id", "smallint"), ("f", "float"), ("tags", "string"), ("at", "timestamp"), ("raw", "binary")
+    ]
+    assert out.first().tags == "[1,2]"
+    draft = draft_mapping(df, keys=["Id"])
+    assert [(m.target, m.type, m.pk) for m in draft] == [
+        ("id", "SMALLINT", True), ("f", "FLOAT", False), ("tags", "STRING", False), ("at", "TIMESTAMP", False),
+        ("raw", "BINARY", False),
+    ]
+    assert project(df, draft).first().tags == "[1,2]"
+
+
+MAPPING = [
+    ColumnMap("id", "INT", source="src_id", pk=True),
+    ColumnMap("name", "STRING", source="nm", transform="upper($)"),
+    ColumnMap("amount", "INT", source="amt", null_default="0"),
+    ColumnMap("free", "INT", expression="src_id + 1"),
+]
+
+
+def test_column_lineage(spark):
+    before = spark.createDataFrame([(1, "a", "5"), (2, "b", "x"), (3, "c", None)], "src_id int, nm string, amt string")
+    target = project(before, MAPPING)
+    now = before.withColumn("nm", F.when(F.col("src_id") == 1, "z").otherwise(F.col("nm"))).where("src_id < 3")
+    out = column_lineage_audit(now, target, MAPPING, ["id"])
+    assert rows(out.select("target_column", "source_column", "rows_compared", "mismatches", "nulls_produced")) == [
+        ("amount", "amt", 2, 0, 1),
+        ("id", "src_id", 2, 0, 0),
+        ("name", "nm", 2, 1, 0),
+    ]
+
+
+def test_dataset_lineage_and_documents(spark):
+    first = add_audit(spark.createDataFrame([(1, 10), (2, 20)], "id int, w int"), T1, "shop")
+    second = add_audit(spark.createDataFrame([(3, 30)], "id int, w int"), T2, "shop")
+    edges = dataset_lineage({"ods.a": first.union(second), "ods.b": first}, "w")
+    assert rows(edges.select("upstream", "downstream", "load_ts", "row_count", "first_watermark", "last_watermark")) == [
+        ("shop", "ods.a", T1, 2, 10, 20),
+        ("shop", "ods.a", T2, 1, 30, 30),
+        ("shop", "ods.b", T1, 2, 10, 20),
+    ]
+    events = lineage_events(edges, {"ods.a": MAPPING, "ods.b": MAPPING[:1]})
+    documents = [json.loads(r.event) for r in events.collect()]
+    assert len(documents) == 3
+    of_b = next(d for d in documents if d["downstream"] == "ods.b")
+    assert of_b["columns"] == [{"source": "src_id", "target": "id"}] and of_b["row_count"] == 2
+    assert len(next(d for d in documents if d["downstream"] == "ods.a")["columns"]) == 3
+
+
+def test_run_audit_of_a_history(spark):
+    def batch(data, ts):
+        return add_audit(spark.createDataFrame(data, "k int, a string"), ts, "shop")
+
+    before = first_versions(batch([(1, "a"), (2, "b"), (3, "c")], T1), T1)
+    after = scd2_merge(before, batch([(1, "a"), (2, "B"), (4, "d")], T2), ["k"], ["a"], T2, close_missing=True)
+    counts = run_audit(before, after, ["k"], T2, Versions()).first().asDict()
+    assert counts == {"load_ts": T2, "inserted": 1, "updated": 1, "closed": 2, "unchanged": 1}
+    again = run_audit(after, after.limit(0), ["k"], T2, Versions()).first().asDict()
+    assert again == {"load_ts": T2, "inserted": 0, "updated": 0, "closed": 0, "unchanged": 0}

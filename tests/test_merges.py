@@ -1,0 +1,323 @@
+from __future__ import annotations
+
+import random
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.functions import Audit, add_audit
+from tidemark.operators import (
+    apply_changes,
+    check_scd2,
+    first_versions,
+    incremental_append,
+    latest_per_key,
+    next_watermark,
+    run_audit,
+    scd1_upsert,
+    scd2_changes,
+    scd2_merge,
+)
+from tidemark.operators.common import fits_broadcast
+
+FORMS = [True, False]
+T1, T2, T3 = (datetime(2026, 1, d) for d in (1, 2, 3))
+END = datetime(9999, 12, 31)
+
+
+def rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def table(spark, data, columns="k int, a string, u int"):
+    return spark.createDataFrame(data, columns)
+
+
+def loaded(spark, data, ts):
+    return add_audit(table(spark, data), ts, "shop")
+
+
+# in-place merge
+
+
+@pytest.mark.parametrize("small", FORMS)
+def test_scd1_updates_inserts_and_keeps(spark, small):
+    target = loaded(spark, [(1, "a", 1), (2, "b", 1), (3, "c", 1)], T1)
+    batch = loaded(spark, [(1, "a", 1), (2, "B", 2), (4, "d", 4)], T2)
+    out = scd1_upsert(target, batch, ["k"], ["a"], small_batch=small)
+    assert rows(out.select("k", "a", "u", "load_ts")) == [
+        (1, "a", 1, T1),  # same hash: not touched
+        (2, "B", 1, T2),  # changed: tracked and audit columns only
+        (3, "c", 1, T1),  # only in the target
+        (4, "d", None, T2),  # inserted without its untracked column
+    ]
+    carried = scd1_upsert(target, batch, ["k"], ["a"], carry_untracked=True, small_batch=small)
+    assert rows(carried.select("k", "u")) == [(1, 1), (2, 2), (3, 1), (4, 4)]
+
+
+@pytest.mark.parametrize("small", FORMS)
+def test_scd1_null_hash_is_no_update_and_null_key_is_inserted(spark, small):
+    target = loaded(spark, [(1, "a", 1), (None, "n", 1)], T1)
+    target = target.withColumn("record_hash", F.when(F.col("k") == 1, F.lit(None)).otherwise(F.col("record_hash")))
+    batch = loaded(spark, [(1, "z", 1), (None, "n", 1)], T2)
+    out = scd1_upsert(target, batch, ["k"], small_batch=small)
+    assert rows(out.select("k", "a", "load_ts")) == [(1, "a", T1), (None, "n", T1), (None, "n", T2)]
+
+
+@pytest.mark.parametrize("small", FORMS)
+def test_scd1_without_hash_compares_load_times(spark, small):
+    audit = Audit(record_hash=None)
+    target = add_audit(table(spark, [(1, "a", 1)]), T1, "shop", audit)
+    same = add_audit(table(spark, [(1, "a", 1)]), T2, "shop", audit)
+    out = scd1_upsert(target, same, ["k"], audit=audit, small_batch=small)
+    assert rows(out.select("k", "load_ts")) == [(1, T2)]
+
+
+@pytest.mark.parametrize("small", FORMS)
+def test_scd1_tracked_test_ignores_other_columns(spark, small):
+    target = loaded(spark, [(1, "a", 1), (2, None, 1)], T1)
+    batch = loaded(spark, [(1, "a", 9), (2, "x", 1)], T2)
+    out = scd1_upsert(target, batch, ["k"], ["a"], change_test="tracked", small_batch=small)
+    assert rows(out.select("k", "a", "load_ts")) == [(1, "a", T1), (2, "x", T2)]
+
+
+@pytest.mark.parametrize("small", FORMS)
+@pytest.mark.parametrize("empty", ["target", "batch"])
+def test_scd1_with_an_empty_side(spark, small, empty):
+    full, none = loaded(spark, [(1, "a", 1)], T1), loaded(spark, [], T1)
+    target, batch = (none, full) if empty == "target" else (full, none)
+    assert rows(scd1_upsert(target, batch, ["k"], small_batch=small)) == rows(full)
+
+
+@pytest.mark.parametrize("small", FORMS)
+def test_scd1_composite_keys_and_replay(spark, small):
+    def state(data, ts):
+        return add_audit(spark.createDataFrame(data, "k int, l string, v double"), ts, "shop")
+
+    target = state([(1, "x", 1.0), (1, "y", 2.0)], T1)
+    batch = state([(1, "y", 3.0), (2, "x", 4.0)], T2)
+    once = scd1_upsert(target, batch, ["k", "l"], small_batch=small)
+    assert rows(once.select("k", "l", "v")) == [(1, "x", 1.0), (1, "y", 3.0), (2, "x", 4.0)]
+    assert rows(scd1_upsert(once, batch, ["k", "l"], small_batch=small)) == rows(once)
+
+
+def test_merge_arguments_are_checked(spark):
+    target, batch = loaded(spark, [(1, "a", 1)], T1), loaded(spark, [(1, "a", 1)], T2)
+    with pytest.raises(ValueError):
+        scd1_upsert(target, batch, ["k"], change_test="guess")
+    with pytest.raises(ValueError):
+        scd1_upsert(target, batch.drop("a"), ["k"], ["a"])
+    with pytest.raises(ValueError):
+        scd2_merge(target, batch, ["k"], ["a"], T2)
+
+
+# version-keeping merge
+
+
+def history(spark, data, ts):
+    return first_versions(loaded(spark, data, ts).select("k", "a", "load_ts", "source_system", "record_hash"), ts)
+
+
+@pytest.mark.parametrize("small", FORMS)
+def test_scd2_closes_and_opens(spark, small):
+    target = history(spark, [(1, "a", 0), (2, "b", 0), (3, None, 0), (4, "d", 0), (5, "e", 0)], T1)
+    batch = loaded(spark, [(1, "a", 9), (2, "B", 0), (3, "c", 0), (4, None, 0), (6, "f", 0)], T2)
+    out = scd2_merge(target, batch, ["k"], ["a"], T2, small_batch=small)
+    assert rows(out.select("k", "a", "valid_from", "valid_to", "is_current")) == sorted(
+        [
+            (1, "a", T1, END, True),
+            (2, "b", T1, T2, False),
+            (2, "B", T2, END, True),
+            (3, None, T1, T2, False),
+            (3, "c", T2, END, True),
+            (4, "d", T1, T2, False),
+            (4, None, T2, END, True),
+            (5, "e", T1, END, True),
+            (6, "f", T2, END, True),
+        ],
+        key=repr,
+    )
+    assert out.columns == target.columns
+    assert check_scd2(out, ["k"]).isEmpty()
+
+
+@pytest.mark.parametrize("small", FORMS)
+def test_scd2_replay_changes_nothing(spark, small):
+    target = history(spark, [(1, "a", 0), (2, "b", 0)], T1)
+    batch = loaded(spark, [(1, "x", 0), (3, "c", 0)], T2)
+    once = scd2_merge(target, batch, ["k"], ["a"], T2, small_batch=small)
+    assert rows(scd2_merge(once, batch, ["k"], ["a"], T2, small_batch=small)) == rows(once)
+
+
+@pytest.mark.parametrize("small", FORMS)
+def test_scd2_key_with_only_closed_versions_is_opened_again(spark, small):
+    closed = history(spark, [(1, "a", 0)], T1).withColumns({"is_current": F.lit(False), "valid_to": F.lit(T2)})
+    out = scd2_merge(closed, loaded(spark, [(1, "a", 0)], T3), ["k"], ["a"], T3, small_batch=small)
+    assert rows(out.select("valid_from", "valid_to", "is_current")) == [(T1, T2, False), (T3, END, True)]
+
+
+@pytest.mark.parametrize("small", FORMS)
+def test_scd2_null_key_and_null_flag(spark, small):
+    target = history(spark, [(None, "n", 0), (1, "a", 0)], T1)
+    target = target.withColumn("is_current", F.when(F.col("k").isNull(), F.col("is_current")))  # flag of 1 is NULL
+    out = scd2_merge(target, loaded(spark, [(None, "n", 0), (1, "b", 0)], T2), ["k"], ["a"], T2, small_batch=small)
+    assert rows(out.select("k", "a", "valid_from", "is_current")) == sorted(
+        [(None, "n", T1, True), (None, "n", T2, True), (1, "a", T1, None), (1, "b", T2, True)], key=repr
+    )
+
+
+@pytest.mark.parametrize("small", FORMS)
+@pytest.mark.parametrize("empty", ["target", "batch"])
+def test_scd2_with_an_empty_side(spark, small, empty):
+    target = history(spark, [] if empty == "target" else [(1, "a", 0)], T1)
+    batch = loaded(spark, [] if empty == "batch" else [(1, "a", 0)], T1)
+    out = scd2_merge(target, batch, ["k"], ["a"], T1, small_batch=small)
+    assert rows(out) == rows(history(spark, [(1, "a", 0)], T1))
+
+
+@pytest.mark.parametrize("small", FORMS)
+def test_scd2_options(spark, small):
+    target = history(spark, [(1, "a", 0), (2, "b", 0)], T1).withColumn("u", F.lit(7))
+    batch = loaded(spark, [(1, "x", 5)], T2)
+    out = scd2_merge(
+        target, batch, ["k"], ["a"], T2, carry_untracked=True, close_missing=True, small_batch=small
+    )
+    assert rows(out.select("k", "a", "u", "valid_to")) == [(1, "a", 7, T2), (1, "x", 5, END), (2, "b", 7, T2)]
+    with pytest.raises(ValueError):
+        scd2_merge(target, batch, ["k"], ["a"], F.col("load_ts"), close_missing=True)
+
+
+def test_scd2_changes_lists_old_and_new(spark):
+    target = history(spark, [(1, "a", 0), (2, "b", 0)], T1)
+    out = scd2_changes(target, loaded(spark, [(1, "a", 0), (2, None, 0), (3, "c", 0)], T2), ["k"], ["a"])
+    assert out.columns == ["k", "old_a", "new_a"]
+    assert rows(out) == [(2, "b", None)]
+
+
+@pytest.mark.parametrize("small", FORMS)
+def test_scd2_random_batches_keep_the_invariants(spark, small, tmp_path):
+    rng = random.Random(7)
+    state = None
+    expected: dict[int, list] = {}
+    for day in range(1, 6):
+        ts = datetime(2026, 2, day)
+        values = {k: rng.choice(["x", "y", None]) for k in range(30) if rng.random() < 0.7}
+        batch = loaded(spark, [(k, v, 0) for k, v in values.items()], ts)
+        for k, v in values.items():
+            if not expected.get(k) or expected[k][-1][0] != v:
+                expected.setdefault(k, []).append((v, ts))
+        if state is None:
+            merged = first_versions(batch.select("k", "a", "load_ts", "source_system", "record_hash"), ts)
+        else:
+            merged = scd2_merge(state, batch, ["k"], ["a"], ts, small_batch=small)
+        merged.write.parquet(f"{tmp_path}/{day}")
+        before, state = state, spark.read.parquet(f"{tmp_path}/{day}")
+        assert check_scd2(state, ["k"]).isEmpty()
+    found = {}
+    for r in state.orderBy("k", "valid_from").collect():
+        found.setdefault(r.k, []).append((r.a, r.valid_from))
+    assert found == expected
+    counts = run_audit(before, state, ["k"], ts, versions=first_versions.__defaults__[0]).first()
+    assert counts.inserted + counts.updated == state.where(F.col("valid_from") == F.lit(ts)).count()
+    assert counts.closed == counts.updated
+
+
+# plans
+
+
+def test_large_merge_shuffles_each_side_once(spark, sf_dir):
+    target = first_versions(add_audit(spark.read.parquet(f"{sf_dir}/customer.parquet"), T1, "shop"), T1)
+    batch = add_audit(spark.read.parquet(f"{sf_dir}/customer.parquet"), T2, "shop")
+    merged = scd2_merge(target, batch, ["c_custkey"], ["c_name"], T2, small_batch=False)
+    assert plan(merged).count("Exchange hashpartitioning") == 2
+    assert "BatchEvalPython" not in plan(merged) and "ArrowEvalPython" not in plan(merged)
+
+
+def test_small_merge_does_not_shuffle_the_target(spark, tmp_path):
+    loaded_rows = add_audit(spark.range(0, 50_000, 1, 8).withColumn("a", F.col("id") * 2), T1, "shop")
+    first_versions(loaded_rows, T1).write.parquet(f"{tmp_path}/t")
+    target = spark.read.parquet(f"{tmp_path}/t")
+    batch = add_audit(spark.range(100).withColumn("a", F.col("id") * 3), T2, "shop")
+    merged = scd2_merge(target, batch, ["id"], ["a"], T2, null_keys=False)
+    merged.collect()
+    done = plan(merged)
+    final = done.split("== Initial Plan ==")[0]
+    assert "BroadcastHashJoin" in final and "FullOuter" not in final
+    kept = final.split("Union")[1].split("LeftAnti")[0]
+    assert "hashpartitioning" not in kept
+
+
+def test_size_check_follows_the_session_limit(spark, sf_dir):
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    assert fits_broadcast(lines)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1000")
+    try:
+        assert not fits_broadcast(lines)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+# incremental
+
+
+def test_latest_per_key_is_cut_before_the_shuffle(spark):
+    """One key holds a third of the rows; each map task sends one row of it."""
+    df = spark.range(0, 30_000, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"), F.col("id").alias("w")
+    )
+    out = latest_per_key(df, ["k"], "w")
+    before, after = plan(out).split("Exchange", 1)
+    assert "WindowGroupLimit" in after and "Partial" in after
+    assert out.where("k = 0").collect()[0].w == 29_997
+    assert out.count() == 20_001
+
+
+def test_latest_per_key_ties_and_nulls(spark):
+    df = spark.createDataFrame([(1, None, "z"), (1, 5, "a"), (1, 5, "b"), (2, None, "c")], "k int, w int, v string")
+    assert rows(latest_per_key(df, ["k"], "w", ["v"])) == [(1, 5, "b"), (2, None, "c")]
+    assert latest_per_key(df, ["k"], "w").count() == 2
+
+
+def test_append_with_and_without_keys(spark):
+    target = spark.createDataFrame([(1, 1, "a"), (2, 1, "b")], "k int, w int, v string")
+    batch = spark.createDataFrame([(2, 2, "B"), (3, 2, "c")], "k int, w int, v string")
+    assert incremental_append(target, batch).count() == 4
+    kept = incremental_append(target, batch, ["k"], "w")
+    assert rows(kept) == [(1, 1, "a"), (2, 2, "B"), (3, 2, "c")]
+    assert rows(incremental_append(kept, batch, ["k"], "w")) == rows(kept)
+    with pytest.raises(ValueError):
+        incremental_append(target, batch, ["k"])
+
+
+def test_next_watermark(spark):
+    df = spark.createDataFrame([(1,), (None,), (3,)], "w int")
+    assert next_watermark(df, "w").first().next_watermark == 3
+    assert next_watermark(df.where("w > 5"), "w").first().next_watermark is None
+
+
+# change feed
+
+
+def test_apply_changes(spark):
+    target = spark.createDataFrame([(1, "a", 1), (2, "b", 1), (3, "c", 5), (None, "n", 1)], "k int, v string, seq int")
+    feed = spark.createDataFrame(
+        [
+            (1, "x", 2, "U"), (1, "y", 3, "U"),  # the later one wins
+            (2, None, 2, "D"),
+            (3, "old", 4, "U"),  # older than the stored row
+            (4, "d", 1, "I"), (4, None, 2, "D"),  # inserted and deleted
+            (5, "e", 1, "I"),
+            (6, "f", 1, None),  # no operation named: a plain write
+        ],
+        "k int, v string, seq int, op string",
+    )
+    out = apply_changes(target, feed, ["k"], "seq", "op")
+    expected = sorted([(1, "y", 3), (3, "c", 5), (5, "e", 1), (6, "f", 1), (None, "n", 1)], key=repr)
+    assert rows(out) == expected
+    kept = [c for c in rows(apply_changes(out, feed, ["k"], "seq", "op"))]
+    assert kept == expected

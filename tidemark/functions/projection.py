@@ -42,15 +42,21 @@ class ColumnMap:
         if self.expression is None and not self.source:
             raise ValueError(f"{self.target}: source or expression is required")
 
-    def value_sql(self) -> str:
-        """The value before its cast, as Spark SQL."""
+    def source_sql(self) -> str:
+        """The value before default and cast, as Spark SQL."""
         if self.expression is not None:
-            value = self.expression
-        elif self.transform is not None:
-            value = self.transform.replace("$", self.source)
-        else:
-            value = self.source
-        return value if self.null_default is None else f"coalesce({value}, {self.null_default})"
+            return self.expression
+        if self.transform is not None:
+            return self.transform.replace("$", self.source)
+        return self.source
+
+    def value_sql(self, text: bool = False) -> str:
+        """The value before its cast. A default for a string is text too: in ANSI mode
+        ``coalesce(string, 0)`` would turn the strings into numbers, and fail on them."""
+        if self.null_default is None:
+            return self.source_sql()
+        default = f"cast({self.null_default} as string)" if text else self.null_default
+        return f"coalesce({self.source_sql()}, {default})"
 
     def to_sql(self, strict: bool = False, text: bool = False) -> str:
         """The whole rule as Spark SQL; a failed cast is NULL unless ``strict``.
@@ -59,7 +65,7 @@ class ColumnMap:
         an exception for its row, some 50 times the cost of one that succeeds, so text that
         cannot be a number, date or flag is sorted out by a pattern first.
         """
-        value, kind = self.value_sql(), cast_type(self.type)
+        value, kind = self.value_sql(text), cast_type(self.type)
         if strict:
             return f"cast({value} as {kind})"
         pattern = text_pattern(kind) if text else None
@@ -76,7 +82,7 @@ def project(df: DataFrame, mapping: Sequence[ColumnMap], strict: bool = False) -
 def mapped_columns(df: DataFrame, mapping: Sequence[ColumnMap], strict: bool = False) -> list[Column]:
     """The columns that ``project`` selects, for use next to others."""
     check_mapping(mapping)
-    values = df.select(*[F.expr(rule.value_sql()).alias(rule.target) for rule in mapping]).schema
+    values = df.select(*[F.expr(rule.source_sql()).alias(rule.target) for rule in mapping]).schema
     return [
         F.expr(rule.to_sql(strict, isinstance(value.dataType, StringType))).alias(rule.target)
         for rule, value in zip(mapping, values)

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.audit import instant
-from tidemark.operators.common import any_of, fits_broadcast, has_null, require_columns
+from tidemark.operators.common import any_of, fits_broadcast, has_null, like_target, require_columns
 from tidemark.operators.scd2 import Versions, closed_rows, current_rows
 
 CELL = "_cell"
@@ -113,7 +113,7 @@ def scd2_extend(
         changes.select(*keys, *tracked, *carry, F.col(ts).cast("timestamp_ntz").alias(ts))
     )
     rebuilt = scd2_rebuild(log, keys, tracked, ts, versions, carry, cell)
-    return rebuilt.select(*current.columns)
+    return rebuilt.select(*[like_target(current, name, F.col(name)) for name in current.columns])
 
 
 def with_next(

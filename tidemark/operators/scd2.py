@@ -45,6 +45,7 @@ class Versions:
 
 
 def current_rows(target: DataFrame, versions: Versions = Versions()) -> DataFrame:
+    require_columns(target, versions.columns(), "the target")
     return target.where(F.col(versions.is_current))
 
 

@@ -66,7 +66,7 @@ def run_load(
     batch = staged(prepare(spec, source, load_ts), spec.name)
     keys = list(strategy.business_keys)
     refuse_bad_batch(batch, keys)
-    buckets = table.touched_buckets(batch)
+    buckets = table.touched_buckets(batch, manifest)
     if isinstance(strategy, Scd1):
         tracked = list(strategy.tracked) or default_tracked(batch, keys, spec.audit)
         merged = batch.select(*keys, *tracked, *spec.audit.columns())

@@ -123,11 +123,15 @@ class VersionedTable:
         (with a shuffle partition count that is a multiple of ``buckets``) hold one bucket each."""
         return F.pmod(F.hash(*self.bucket_by), F.lit(self.buckets))
 
-    def touched_buckets(self, batch: DataFrame) -> list[int] | None:
+    def touched_buckets(self, batch: DataFrame, manifest: Manifest | None = None) -> list[int] | None:
         """Buckets that a batch has keys in; None for a table without buckets."""
         if not self.bucket_by:
             return None
-        found = batch.select(self.bucket().alias(BUCKET)).distinct().collect()  # at most ``buckets`` rows
+        types = {name: batch.schema[name].dataType for name in self.bucket_by}
+        if manifest is not None:  # equal keys of different types have different hashes
+            types = {name: manifest.schema[name].dataType for name in self.bucket_by}
+        keys = batch.select(*[F.col(name).cast(kind).alias(name) for name, kind in types.items()])
+        found = keys.select(self.bucket().alias(BUCKET)).distinct().collect()  # at most ``buckets`` rows
         return sorted(row[BUCKET] for row in found)
 
     # writing

@@ -42,7 +42,7 @@ def merge_changes(
     landed = staged(latest_per_key(named, [*keys, ts], ts), "changes")
     unkeyed = landed.where(has_null([*keys, ts]))
     rows = landed.where(~has_null([*keys, ts]))
-    buckets = table.touched_buckets(rows)
+    buckets = table.touched_buckets(rows, manifest)
     if manifest is None:
         late = unkeyed
         delta = scd2_rebuild(rows, keys, tracked, ts, versions, carry, cell)
