@@ -15,10 +15,14 @@ from tidemark.plans import (
     Scd1,
     Scd2,
     VersionedTable,
+    cluster_settings,
+    extract,
+    load_connection,
     load_spec,
     run_load,
     scratch_path,
     shared_folder,
+    shuffle_partitions,
 )
 
 T1, T2, T3 = "2026-01-01 00:00:00", "2026-01-02 00:00:00", "2026-01-03 00:00:00"
@@ -127,6 +131,22 @@ def test_bad_documents_are_refused(change):
         load_spec({**DOCUMENT, **change})
 
 
+def test_connection_from_a_document():
+    connection = {"kind": "postgres", "host": "db", "port": 5432, "database": "shop", "user": "env:U", "password": "env:P"}
+    name, found = load_connection({"name": "shop", "connection": connection})
+    assert (name, found.url) == ("shop", "jdbc:postgresql://db:5432/shop")
+    with pytest.raises(ValueError):
+        load_connection({"name": "shop", "connection": {**connection, "pool": 3}})
+    with pytest.raises(KeyError):
+        extract(None, spec(Full()), {})
+
+
+def test_cluster_settings_size_the_shuffle():
+    assert shuffle_partitions(0.1) == 8
+    assert shuffle_partitions(100 * 1024) == 409_600
+    assert cluster_settings(1024)["spark.sql.shuffle.partitions"] == "4096"
+
+
 # tables
 
 

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.audit import record_hash
+from tidemark.operators.common import all_of
 
 STATUSES = ("missing", "extra", "changed", "equal")
 
@@ -25,34 +26,47 @@ def reconcile(
     rows on both sides; ``changed``: otherwise. Rows are compared by the hash of
     ``compared`` (default: all columns of the source) or by a stored ``hash_column``.
 
-    Both sides are stacked and counted, not joined: repeated keys are compared as whole
-    groups without pairing their rows, and equal rows shrink before the shuffle. NULL keys
-    form one group.
+    Both sides are stacked and summed up per key, not joined: one shuffle of a few numbers
+    per key and map task, with repeated keys compared as whole groups instead of pairing
+    their rows. NULL keys form one group.
     """
     compared = list(compared or source.columns)
 
-    def side(df: DataFrame, in_source: int) -> DataFrame:
+    def side(df: DataFrame, sign: int) -> DataFrame:
         mark = F.col(hash_column) if hash_column else record_hash(compared, version=2)
-        return df.select(
-            *keys, mark.alias("_hash"), F.lit(in_source).alias("_source"), F.lit(1 - in_source).alias("_target")
-        )
-
-    rows = side(source, 1).unionByName(side(target, 0))
-    counted = rows.groupBy(*keys, "_hash").agg(F.sum("_source").alias("_source"), F.sum("_target").alias("_target"))
-    per_key = counted.groupBy(*keys).agg(
-        F.sum("_source").alias("source_rows"),
-        F.sum("_target").alias("target_rows"),
-        F.max(F.when(F.col("_source") == F.col("_target"), 0).otherwise(1)).alias("_differs"),
+        marked = df.select(*keys, mark.alias("_hash"))
+        return marked.select(*keys, F.lit(sign).cast("bigint").alias("_sign"), *_hash_parts("_hash"))
+
+    rows = side(source, 1).unionByName(side(target, -1))
+    per_key = rows.groupBy(*keys).agg(
+        F.count_if(F.col("_sign") == 1).alias("source_rows"),
+        F.count_if(F.col("_sign") == -1).alias("target_rows"),
+        *[F.sum(F.col("_sign") * F.col(part)).alias(part) for part in _PARTS],
     )
+    same = all_of([F.col("source_rows") == F.col("target_rows"), *[F.col(part) == 0 for part in _PARTS]])
     status = (
         F.when(F.col("target_rows") == 0, "missing")
         .when(F.col("source_rows") == 0, "extra")
-        .when(F.col("_differs") == 1, "changed")
-        .otherwise("equal")
+        .when(same, "equal")
+        .otherwise("changed")
     )
     return per_key.select(*keys, "source_rows", "target_rows", status.alias("status"))
 
 
+_PARTS = ("_part_1", "_part_2", "_part_3", "_part_4")
+
+
+def _hash_parts(name: str) -> list[Column]:
+    """Four 32-bit numbers of a record hash. Their sums over a key's rows do not depend on
+    order, cannot overflow below two thousand million rows, and differ, short of a 128-bit
+    collision, when the rows do."""
+    halves = []
+    for seed in (1, 2):
+        number = F.xxhash64(F.lit(seed), F.col(name))
+        halves += [F.shiftright(number, 32), number.bitwiseAND(F.lit(0xFFFFFFFF))]
+    return [half.alias(part) for half, part in zip(halves, _PARTS)]
+
+
 def reconcile_summary(compared: DataFrame) -> DataFrame:
     """Keys per status of a ``reconcile`` result; one row with a count for each status."""
     return compared.agg(*[F.count_if(F.col("status") == status).alias(f"{status}_keys") for status in STATUSES])

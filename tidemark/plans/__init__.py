@@ -1,5 +1,6 @@
-from tidemark.plans.runner import LoadResult, prepare, run_load
-from tidemark.plans.spec import Full, Incremental, LoadSpec, Scd1, Scd2, load_spec
+from tidemark.plans.runner import LoadResult, export, extract, prepare, run_load
+from tidemark.plans.session import cluster_settings, shuffle_partitions
+from tidemark.plans.spec import Full, Incremental, LoadSpec, Scd1, Scd2, load_connection, load_spec
 from tidemark.plans.versioned import VersionedTable
 from tidemark.plans.workspace import scratch_path, shared_folder, staged
 
@@ -11,10 +12,15 @@ __all__ = [
     "Scd1",
     "Scd2",
     "VersionedTable",
+    "cluster_settings",
+    "export",
+    "extract",
+    "load_connection",
     "load_spec",
     "prepare",
     "run_load",
     "scratch_path",
     "shared_folder",
+    "shuffle_partitions",
     "staged",
 ]

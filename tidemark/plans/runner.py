@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.functions.audit import add_audit, utc_text
 from tidemark.functions.projection import project
@@ -16,7 +17,9 @@ from tidemark.operators.scd2 import first_versions, scd2_delta
 from tidemark.plans.spec import Full, Incremental, LoadSpec, Scd1
 from tidemark.plans.versioned import Manifest, VersionedTable
 from tidemark.plans.workspace import staged
+from tidemark.sinks.mart import export_mart
 from tidemark.sources.files import read_incremental
+from tidemark.sources.jdbc import Connection, Partitioning, read_jdbc
 
 
 @dataclass(frozen=True)
@@ -28,6 +31,27 @@ class LoadResult:
     watermark: str | None = None
 
 
+def extract(
+    spark: SparkSession,
+    spec: LoadSpec,
+    connections: Mapping[str, Connection],
+    partitioning: Partitioning | None = None,
+) -> DataFrame:
+    """The spec's source table over JDBC; ``connections`` are keyed by source system.
+
+    Lazy: the watermark filter of an incremental run is sent to the database with it.
+    """
+    if spec.source_system not in connections:
+        raise KeyError(f"no connection for source system {spec.source_system!r}")
+    return read_jdbc(spark, connections[spec.source_system], spec.source_table, partitioning=partitioning)
+
+
+def export(spec: LoadSpec, df: DataFrame, keep: Sequence[str] = ()) -> None:
+    """Write a loaded table to every sink of the spec."""
+    for sink in spec.sinks:
+        export_mart(df, sink, spec.mapping, spec.primary_keys, keep=keep)
+
+
 def prepare(spec: LoadSpec, source: DataFrame, load_ts: datetime | str) -> DataFrame:
     """Source rows as target rows: mapping, then technical columns. Narrow, no shuffle."""
     return add_audit(

@@ -11,6 +11,7 @@ from tidemark.functions.audit import Audit
 from tidemark.functions.projection import ColumnMap, check_mapping
 from tidemark.operators.scd2 import Versions
 from tidemark.sinks.mart import MartSink
+from tidemark.sources.jdbc import Connection
 
 LAYERS = ("stg", "ods", "dds", "dm")
 _SOURCE_REF = re.compile(r"^[a-z0-9_]+(\.[a-z0-9_]+){2}$")
@@ -152,6 +153,13 @@ def load_spec(document: Mapping[str, Any]) -> LoadSpec:
     )
 
 
+def load_connection(document: Mapping[str, Any]) -> tuple[str, Connection]:
+    """Source system name and ``Connection`` from a parsed source document."""
+    _only(document, "document", "apiVersion", "kind", "name", "description", "connection")
+    _only(document["connection"], "connection", *[f.name for f in fields(Connection)])
+    return document["name"], Connection(**document["connection"])
+
+
 def _strategy(load: dict[str, Any]) -> Strategy:
     kind = load.pop("strategy")
     if kind == "full":
