@@ -7,8 +7,9 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import as_of_join, check_scd2, first_versions, scd2_extend, scd2_merge, scd2_rebuild
 from tidemark.functions import Audit, add_audit
+from tidemark.operators import as_of_join, check_scd2, first_versions, scd2_extend, scd2_merge, scd2_rebuild
+from tidemark.operators.history import cell_of
 from tidemark.plans import staged
 
 END = datetime(9999, 12, 31)
@@ -59,6 +60,26 @@ def test_rebuild_takes_any_growing_cell(spark):
     assert rows(scd2_rebuild(df, ["k"], ["v"], "at", cell=cell)) == versions_of(log)
 
 
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Kolkata"])
+@pytest.mark.parametrize("kind", ["timestamp_ntz", "timestamp", "date"])
+@pytest.mark.parametrize("cell", ["minute", "hour", "day", "week", "quarter"])
+def test_cells_grow_with_time_in_any_zone(spark, zone, kind, cell):
+    """Times around clock changes, and before 1970."""
+    if kind == "date" and cell in ("minute", "hour"):
+        pytest.skip("a date has no hours")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        starts = ["1969-12-31 12:00:00", "2024-03-10 00:30:00", "2024-11-03 00:00:00"]
+        df = spark.createDataFrame([(s, i) for s in starts for i in range(300)], "s string, i int").select(
+            (F.col("s").cast("timestamp_ntz") + F.make_dt_interval(mins=F.col("i"))).cast(kind).alias("t")
+        )
+        cells = df.select("t", cell_of(df, "t", cell).alias("c"))
+        out_of_order = cells.alias("a").join(cells.alias("b"), F.expr("a.t < b.t and a.c > b.c"))
+        assert out_of_order.isEmpty() and cells.where("c is null").isEmpty()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_rebuild_equals_merging_batch_by_batch(spark, tmp_path):
     rng = random.Random(5)
     bare = Audit(record_hash=None)

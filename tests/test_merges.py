@@ -20,6 +20,7 @@ from tidemark.operators import (
     scd2_merge,
 )
 from tidemark.operators.common import fits_broadcast
+from tidemark.operators.merge_into import scd1_merge_into, scd2_merge_into
 
 FORMS = [True, False]
 T1, T2, T3 = (datetime(2026, 1, d) for d in (1, 2, 3))
@@ -321,3 +322,18 @@ def test_apply_changes(spark):
     assert rows(out) == expected
     kept = [c for c in rows(apply_changes(out, feed, ["k"], "seq", "op"))]
     assert kept == expected
+
+
+# MERGE statements: no catalog here has tables that support them, so only the refusal is seen
+
+
+def test_merge_into_needs_a_table_that_can(spark):
+    batch = loaded(spark, [(1, "a", 1)], T1)
+    first_versions(batch, T1).write.mode("overwrite").saveAsTable("plain")
+    try:
+        with pytest.raises(Exception, match="(?i)merge"):
+            scd1_merge_into(batch, "plain", ["k"], ["a"])
+        with pytest.raises(Exception, match="(?i)merge"):
+            scd2_merge_into(batch, "plain", ["k"], ["a"], T2)
+    finally:
+        spark.sql("DROP TABLE plain")

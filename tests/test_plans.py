@@ -289,6 +289,22 @@ def test_bad_batches_and_old_load_times_are_refused(spark):
     assert table.read().count() == 1
 
 
+@pytest.mark.parametrize("strategy", [Scd1(["k"], latest_by="w"), Scd2(["k"], ["a"], latest_by="w")])
+def test_repeated_keys_can_be_cut_to_the_latest(spark, strategy):
+    table = fresh(spark)
+    run_load(spec(strategy), source(spark, [(1, "a", 1), (1, "b", 3), (1, "c", 2)]), table, T1)
+    assert rows(table.read().select("k", "a")) == [(1, "B")]
+
+
+def test_surrogate_key_is_loaded(spark):
+    table = fresh(spark)
+    audited = spec(Scd2(["k"], ["a"]), audit=Audit(surrogate_key="sk"))
+    run_load(audited, source(spark, [(1, "a", 1), (2, "b", 1)]), table, T1)
+    run_load(audited, source(spark, [(1, "z", 1)]), table, T2)
+    keys = {(r.k, r.sk) for r in table.read().collect()}
+    assert len(keys) == 2 and None not in {sk for _, sk in keys}
+
+
 def test_manifest_lists_loads(spark):
     table = fresh(spark)
     run_load(spec(Full()), source(spark, [(1, "a", 1)]), table, T1)

@@ -34,6 +34,19 @@ def test_copies_are_appended_once(spark, splits):
     assert rows(spark.read.parquet(out)) == rows(hot.distinct())
 
 
+def test_row_times_survive_a_clock_change(spark):
+    landing, out, checkpoint = (scratch_path(spark, n) for n in ("landing", "out", "checkpoint"))
+    skipped_hour = spark.createDataFrame([(1, datetime(2024, 3, 10, 2, 30))], "k int, at timestamp_ntz")
+    skipped_hour.write.parquet(landing)
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        arriving = spark.readStream.schema(skipped_hour.schema).parquet(landing)
+        append_stream(stream_incremental(arriving, ["k"], "at", "1 day"), out, checkpoint).awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert rows(spark.read.parquet(out)) == [(1, datetime(2024, 3, 10, 2, 30))]
+
+
 @pytest.mark.parametrize("options", [{}, {"bucket_by": ["k"], "buckets": 4}])
 def test_history_follows_the_stream(spark, options):
     table = VersionedTable(spark, scratch_path(spark, "dim"), **options)

@@ -23,8 +23,8 @@ class Audit:
 
     def columns(self) -> list[str]:
         """Audit columns that a load overwrites on an update."""
-        names = [self.load_ts, self.source_system]
-        return names + [self.record_hash] if self.record_hash else names
+        names = [self.load_ts, self.source_system, self.record_hash, self.surrogate_key]
+        return [name for name in names if name]
 
 
 def utc_text(value: datetime | str) -> str:

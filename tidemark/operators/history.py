@@ -12,6 +12,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampNTZType
 
 from tidemark.functions.audit import instant
 from tidemark.operators.common import any_of, fits_broadcast, has_null, like_target, require_columns
@@ -20,9 +21,25 @@ from tidemark.operators.scd2 import Versions, closed_rows, current_rows
 CELL = "_cell"
 
 
-def cell_of(order: str, cell: str | Column) -> Column:
-    """The calendar cell of a time; a Column must grow with ``order``."""
-    return cell if isinstance(cell, Column) else F.date_trunc(cell, F.col(order))
+def cell_of(df: DataFrame, order: str, cell: str | Column) -> Column:
+    """The calendar cell of a time: minute, hour, day, week, month, quarter or year.
+
+    A Column is taken as it is and must grow with ``order``. Cells of a TIMESTAMP_NTZ do
+    not go through the session's time zone, where a clock change would break their order.
+    """
+    if isinstance(cell, Column):
+        return cell
+    time = F.col(order)
+    if cell == "day":
+        return time.cast("date")
+    if cell not in ("minute", "hour"):
+        return F.trunc(time.cast("date"), cell)
+    if not isinstance(df.schema[order].dataType, TimestampNTZType):
+        return F.floor(F.unix_seconds(time) / (60 if cell == "minute" else 3600))
+    since = time - F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    day, hour, minute = (F.extract(F.lit(part), since) for part in ("DAY", "HOUR", "MINUTE"))
+    hours = day.cast("bigint") * 24 + hour
+    return hours if cell == "hour" else hours * 60 + minute
 
 
 def scd2_rebuild(
@@ -46,7 +63,7 @@ def scd2_rebuild(
     in_key = Window.partitionBy(*keys).orderBy(ts)
     values = F.struct(*tracked)
 
-    rows = changes.select(*keys, *tracked, *carry, ts, cell_of(ts, cell).alias(CELL)).select(
+    rows = changes.select(*keys, *tracked, *carry, ts, cell_of(changes, ts, cell).alias(CELL)).select(
         "*",
         F.lag(values).over(in_cell).alias("_before"),
         F.lead(F.lit(True)).over(in_cell).isNull().alias("_tail"),
@@ -128,7 +145,7 @@ def with_next(
     in_cell = Window.partitionBy(*keys, CELL).orderBy(order, *tie_break)
     in_key = Window.partitionBy(*keys).orderBy(order, *tie_break)
     values = F.struct(*columns)
-    rows = df.withColumn(CELL, cell_of(order, cell)).select(
+    rows = df.withColumn(CELL, cell_of(df, order, cell)).select(
         "*",
         F.lead(values).over(in_cell).alias("_following"),
         F.lag(F.lit(True)).over(in_cell).isNull().alias("_head"),
@@ -225,11 +242,11 @@ def as_of_join(
     # One row per key and cell: its last version, and the one carried in from earlier cells.
     cells = (
         fact.select(*keys, time.alias("_at")).select(
-            *keys, cell_of("_at", cell).alias(CELL), F.lit(None).cast("timestamp_ntz").alias("_at"),
+            *keys, cell_of(opened, "_at", cell).alias(CELL), F.lit(None).cast("timestamp_ntz").alias("_at"),
             no_version.alias("_version"), F.lit(True).alias("_wanted"),
         ).distinct()
         .unionByName(
-            opened.select(*keys, cell_of("_at", cell).alias(CELL), "_at", "_version", F.lit(False).alias("_wanted"))
+            opened.select(*keys, cell_of(opened, "_at", cell).alias(CELL), "_at", "_version", F.lit(False).alias("_wanted"))
         )
         .groupBy(*keys, CELL)
         .agg(F.max_by("_version", "_at").alias("_version"), F.max("_wanted").alias("_wanted"))
@@ -243,7 +260,7 @@ def as_of_join(
             no_body.alias("_fact"), "_version",
         )
     )
-    rows = facts.unionByName(opened).withColumn(CELL, cell_of("_at", cell)).unionByName(carried)
+    rows = facts.unionByName(opened).withColumn(CELL, cell_of(opened, "_at", cell)).unionByName(carried)
     so_far = (
         Window.partitionBy(*keys, CELL)
         .orderBy(F.col("_at").asc_nulls_first(), "_kind")

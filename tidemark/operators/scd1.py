@@ -23,7 +23,7 @@ from tidemark.operators.common import (
 
 def default_tracked(batch: DataFrame, keys: Sequence[str], audit: Audit) -> list[str]:
     """Every batch column that is neither a key nor technical."""
-    technical = {*keys, *audit.columns(), audit.surrogate_key}
+    technical = {*keys, *audit.columns()}
     return [name for name in batch.columns if name not in technical]
 
 

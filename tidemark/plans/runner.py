@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime
@@ -21,6 +22,8 @@ from tidemark.sinks.mart import export_mart
 from tidemark.sources.files import read_incremental
 from tidemark.sources.jdbc import Connection, Partitioning, read_jdbc
 
+log = logging.getLogger(__name__)
+
 
 @dataclass(frozen=True)
 class LoadResult:
@@ -87,8 +90,11 @@ def run_load(
     if manifest is not None and datetime.fromisoformat(stamp) < datetime.fromisoformat(manifest.load_ts):
         raise ValueError(f"load time {stamp} is before the table's last load {manifest.load_ts}")
     # Check and merge need the batch more than once: extract it once.
-    batch = staged(prepare(spec, source, load_ts), spec.name)
     keys = list(strategy.business_keys)
+    rows = prepare(spec, source, load_ts)
+    if strategy.latest_by:
+        rows = latest_per_key(rows, keys, strategy.latest_by, [rule.target for rule in spec.mapping])
+    batch = staged(rows, spec.name)
     refuse_bad_batch(batch, keys)
     buckets = table.touched_buckets(batch, manifest)
     if isinstance(strategy, Scd1):
@@ -120,6 +126,8 @@ def _incremental(
 ) -> LoadResult:
     if lower_bound is None and manifest is not None:
         lower_bound = manifest.watermark
+    if lower_bound is None:
+        log.warning("%s: no lower bound, reading the whole source", spec.name)
     source_column = strategy.source_watermark or strategy.watermark
     rows = prepare(spec, read_incremental(source, source_column, lower_bound, strategy.overlap), load_ts)
     if not strategy.keep_latest:

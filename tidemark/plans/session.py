@@ -25,6 +25,8 @@ def cluster_settings(shuffled_gigabytes: float, task_megabytes: int = TASK_MEGAB
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": task_bytes,
         "spark.sql.shuffle.partitions": str(shuffle_partitions(shuffled_gigabytes, task_megabytes)),
         "spark.sql.files.maxPartitionBytes": task_bytes,
+        # A merge writes current and closed rows from each task: two open files, no sort.
+        "spark.sql.maxConcurrentOutputFileWriters": "4",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
         # State of streaming loads on disk instead of executor heap.

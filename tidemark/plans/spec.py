@@ -40,19 +40,25 @@ class Incremental:
 
 @dataclass(frozen=True)
 class Scd1:
-    """Update changed rows in place, insert new ones. No tracked columns means all but the keys."""
+    """Update changed rows in place, insert new ones. No tracked columns means all but the keys.
+
+    A batch with repeated keys is refused, unless ``latest_by`` names the column whose
+    highest value picks the row to take.
+    """
 
     business_keys: Sequence[str]
     tracked: Sequence[str] = ()
+    latest_by: str | None = None
 
 
 @dataclass(frozen=True)
 class Scd2:
-    """Keep every version of the tracked columns."""
+    """Keep every version of the tracked columns. Repeated keys are treated as in ``Scd1``."""
 
     business_keys: Sequence[str]
     tracked: Sequence[str]
     versions: Versions = Versions()
+    latest_by: str | None = None
 
 
 Strategy = Full | Incremental | Scd1 | Scd2
@@ -91,6 +97,7 @@ class LoadSpec:
             self._known("the watermark", [strategy.watermark], targets)
         if isinstance(strategy, (Scd1, Scd2)):
             self._known("tracked columns", strategy.tracked, targets)
+            self._known("latest_by", [strategy.latest_by] if strategy.latest_by else [], targets)
         if isinstance(strategy, Scd2):
             if not strategy.tracked:
                 raise ValueError("version history needs tracked columns")

@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import TimestampNTZType
 
 
 def stream_incremental(stream: DataFrame, keys: Sequence[str], ts: str, delay: str, splits: int = 8) -> DataFrame:
@@ -18,15 +17,12 @@ def stream_incremental(stream: DataFrame, keys: Sequence[str], ts: str, delay: s
     among the rest: many copies of one key spread over ``splits`` state entries instead of
     all going to one task. ``splits=1`` does it in one step.
     """
-    local_time = isinstance(stream.schema[ts].dataType, TimestampNTZType)
-    rows = stream.withColumn(ts, F.col(ts).cast("timestamp")) if local_time else stream
+    # The watermark needs a TIMESTAMP; the row's own time is not changed by it.
+    rows = stream.withColumn("_event_time", F.col(ts).cast("timestamp")).withWatermark("_event_time", delay)
     if splits > 1:
         rows = rows.withColumn("_split", F.pmod(F.spark_partition_id(), F.lit(splits)))
-        rows = rows.withWatermark(ts, delay).dropDuplicatesWithinWatermark([*keys, "_split"]).drop("_split")
-    else:
-        rows = rows.withWatermark(ts, delay)
-    rows = rows.dropDuplicatesWithinWatermark(list(keys))
-    return rows.withColumn(ts, F.col(ts).cast("timestamp_ntz")) if local_time else rows
+        rows = rows.dropDuplicatesWithinWatermark([*keys, "_split"]).drop("_split")
+    return rows.dropDuplicatesWithinWatermark(list(keys)).drop("_event_time")
 
 
 def append_stream(
