@@ -11,7 +11,6 @@ import json
 import os
 import statistics
 import sys
-import tempfile
 import time
 from collections.abc import Callable
 
@@ -87,8 +86,6 @@ def main() -> None:
         builder = builder.config(name, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="bench-"))
 
     times = {name: timed(lambda n=name: REGISTERED[n][0](spark, sf_dir), runs) for name in HEADLINE}
     times |= {name: timed(make, runs) for name, make in merges(spark, sf_dir).items()}

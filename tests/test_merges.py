@@ -18,6 +18,7 @@ from tidemark.operators import (
     scd1_upsert,
     scd2_changes,
     scd2_merge,
+    unloaded_rows,
 )
 from tidemark.operators.common import fits_broadcast
 from tidemark.operators.merge_into import scd1_merge_into, scd2_merge_into
@@ -295,6 +296,15 @@ def test_append_with_and_without_keys(spark):
         incremental_append(target, batch, ["k"])
 
 
+@pytest.mark.parametrize("small", FORMS)
+def test_unloaded_rows(spark, small):
+    target = spark.createDataFrame([(1, 1, "a"), (None, 1, "n")], "k int, w int, v string")
+    batch = spark.createDataFrame(
+        [(1, 9, "A"), (2, 1, "b"), (2, 3, "c"), (2, 2, "d"), (None, 1, "n")], "k int, w int, v string"
+    )
+    assert rows(unloaded_rows(target, batch, ["k"], "w", small)) == [(2, 3, "c"), (None, 1, "n")]
+
+
 def test_next_watermark(spark):
     df = spark.createDataFrame([(1,), (None,), (3,)], "w int")
     assert next_watermark(df, "w").first().next_watermark == 3

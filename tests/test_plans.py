@@ -170,6 +170,7 @@ def test_append_and_replace(spark):
     table.replace(df.where("id = 1"), "three", T3)
     assert rows(table.read()) == [(1, "1")]
     assert table.read(old).count() == 12  # readers of the older state are not disturbed
+    assert table.expired_paths() == [f"{table.root}/data/{p}" for p in old.paths]
 
 
 def test_a_load_that_dies_before_its_commit_leaves_no_trace(spark, monkeypatch):
@@ -201,6 +202,29 @@ def test_shared_folder_comes_from_the_session(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
 
 
+class Session:
+    """As much of a session as the shared folder looks at."""
+
+    def __init__(self, master, setting=None):
+        self.master, self.folder = master, None
+        self.sparkContext = self
+        self.conf = {"spark.checkpoint.dir": setting} if setting else {}
+
+    def getCheckpointDir(self):
+        return self.folder
+
+    def setCheckpointDir(self, folder):
+        self.folder = folder
+
+
+def test_shared_folder_without_a_setting():
+    assert shared_folder(Session("yarn", "s3a://shared/tmp/")) == "s3a://shared/tmp"
+    with pytest.raises(RuntimeError):
+        shared_folder(Session("yarn"))
+    local = Session("local[2]")
+    assert shared_folder(local) == shared_folder(local) == local.folder
+
+
 # runs
 
 
@@ -227,13 +251,25 @@ def test_incremental_runs_follow_the_watermark(spark):
 
 
 def test_incremental_run_keeping_the_latest(spark):
-    strategy = Incremental(["k"], "w", source_watermark="changed_at", keep_latest=True, overlap="2 days")
+    strategy = Incremental(["k"], "w", source_watermark="changed_at", on_repeat="latest", overlap="2 days")
     table = fresh(spark)
     run_load(spec(strategy), source(spark, [(1, "a", 1), (2, "b", 2)]), table, T1)
     run_load(spec(strategy), source(spark, [(2, "late", 2), (2, "B", 3), (5, "old", 1)]), table, T2)
     assert rows(table.read().select("k", "a")) == [(1, "A"), (2, "B"), (5, "OLD")]
 
 
+def test_incremental_run_skipping_what_is_there(spark):
+    strategy = Incremental(["k"], "w", source_watermark="changed_at", on_repeat="skip", overlap="2 days")
+    table = fresh(spark)
+    run_load(spec(strategy), source(spark, [(1, "a", 1), (2, "b", 2), (2, "b", 1)]), table, T1)
+    before = table.manifest().paths
+    run_load(spec(strategy), source(spark, [(2, "again", 2), (3, "c", 3), (3, "c", 2)]), table, T2)
+    assert rows(table.read().select("k", "a")) == [(1, "A"), (2, "B"), (3, "C")]
+    assert table.manifest().paths[: len(before)] == before  # appended, not rewritten
+    with pytest.raises(ValueError):
+        spec(Incremental(["k"], "w", on_repeat="guess"))
+
+
 @pytest.mark.parametrize("options", [{}, {"bucket_by": ["k"], "buckets": 4}])
 def test_scd1_runs(spark, options):
     table = fresh(spark, **options)

@@ -12,6 +12,7 @@ from pyspark.sql.types import StringType
 
 from tidemark.functions.types import cast_type, declared_length, text_pattern
 
+# Fixed value: how target columns may be named.
 _TARGET_NAME = re.compile(r"^[a-z_][a-z0-9_]*$")
 
 

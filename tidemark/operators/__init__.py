@@ -1,6 +1,6 @@
 from tidemark.operators.changes import apply_changes
 from tidemark.operators.history import as_of_join, check_scd2, scd2_extend, scd2_rebuild
-from tidemark.operators.incremental import incremental_append, latest_per_key, next_watermark
+from tidemark.operators.incremental import incremental_append, latest_per_key, next_watermark, unloaded_rows
 from tidemark.operators.lineage import column_lineage_audit, dataset_lineage, lineage_events, run_audit
 from tidemark.operators.profile import canonicalise, draft_mapping, key_candidates, profile_table
 from tidemark.operators.quality import (
@@ -50,4 +50,5 @@ __all__ = [
     "scd2_extend",
     "scd2_merge",
     "scd2_rebuild",
+    "unloaded_rows",
 ]

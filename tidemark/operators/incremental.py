@@ -7,7 +7,15 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.common import require_columns
+from tidemark.operators.common import (
+    BATCH,
+    fits_broadcast,
+    has_null,
+    prefixed,
+    require_columns,
+    same_keys,
+    unseen_rows,
+)
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: str, tie_break: Sequence[str] | None = None) -> DataFrame:
@@ -44,6 +52,23 @@ def incremental_append(
     return latest_per_key(appended, dedupe_keys, watermark, tie_break)
 
 
+def unloaded_rows(
+    target: DataFrame, batch: DataFrame, keys: Sequence[str], order: str, small_batch: bool | None = None
+) -> DataFrame:
+    """The batch's rows whose key the target lacks, one (the latest) per key.
+
+    Appending these makes an insert-only table safe to replay without rewriting it. A
+    small batch does not shuffle the target. Rows with a NULL key match nothing and stay.
+    """
+    latest = prefixed(latest_per_key(batch.where(~has_null(keys)), keys, order))
+    if fits_broadcast(batch) if small_batch is None else small_batch:
+        unseen = unseen_rows(target, latest, keys)
+    else:
+        unseen = latest.join(target.select(*keys), same_keys(keys), "left_anti")
+    rows = unseen.select(*[F.col(BATCH + name).alias(name) for name in batch.columns])
+    return rows.unionByName(batch.where(has_null(keys)))
+
+
 def next_watermark(df: DataFrame, watermark: str) -> DataFrame:
     """One row with the highest watermark of the slice; NULL when the slice is empty."""
     return df.agg(F.max(watermark).alias("next_watermark"))

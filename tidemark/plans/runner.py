@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.functions.audit import add_audit, utc_text
 from tidemark.functions.projection import project
-from tidemark.operators.incremental import latest_per_key
+from tidemark.operators.incremental import latest_per_key, unloaded_rows
 from tidemark.operators.quality import refuse_bad_batch
 from tidemark.operators.scd1 import default_tracked, scd1_upsert
 from tidemark.operators.scd2 import first_versions, scd2_delta
@@ -130,11 +130,14 @@ def _incremental(
         log.warning("%s: no lower bound, reading the whole source", spec.name)
     source_column = strategy.source_watermark or strategy.watermark
     rows = prepare(spec, read_incremental(source, source_column, lower_bound, strategy.overlap), load_ts)
-    if not strategy.keep_latest:
-        figures = table.append(rows, load_id, stamp, strategy.watermark)
-    else:
-        tie = [rule.target for rule in spec.mapping]
+    keys, tie = strategy.business_keys, [rule.target for rule in spec.mapping]
+    if strategy.on_repeat == "latest":
         both = rows if manifest is None else table.read(manifest).unionByName(rows)
-        latest = latest_per_key(both, strategy.business_keys, strategy.watermark, tie)
-        figures = table.replace(latest, load_id, stamp, strategy.watermark)
+        figures = table.replace(latest_per_key(both, keys, strategy.watermark, tie), load_id, stamp, strategy.watermark)
+    else:
+        if strategy.on_repeat == "skip":
+            rows = staged(rows, spec.name)
+            target = rows.limit(0) if manifest is None else table.read(manifest)
+            rows = unloaded_rows(target, rows, keys, strategy.watermark)
+        figures = table.append(rows, load_id, stamp, strategy.watermark)
     return LoadResult(load_id, figures, figures.get("watermark") or (manifest.watermark if manifest else None))

@@ -14,6 +14,7 @@ from tidemark.sinks.mart import MartSink
 from tidemark.sources.jdbc import Connection
 
 LAYERS = ("stg", "ods", "dds", "dm")
+# How sources and loads may be named.
 _SOURCE_REF = re.compile(r"^[a-z0-9_]+(\.[a-z0-9_]+){2}$")
 _LOAD_NAME = re.compile(r"^[a-z][a-z0-9_]*$")
 
@@ -28,13 +29,16 @@ class Incremental:
     """Append rows newer than the last watermark.
 
     ``watermark`` is a target column; ``source_watermark`` the source column behind it,
-    by default of the same name. ``keep_latest`` keeps one row per business key.
+    by default of the same name. ``on_repeat`` says what happens to a business key that is
+    there already: ``"append"`` adds the row next to the old one, ``"skip"`` leaves the old
+    one (for rows that never change), ``"latest"`` keeps the one with the highest
+    watermark, which rewrites the table.
     """
 
     business_keys: Sequence[str]
     watermark: str
     source_watermark: str | None = None
-    keep_latest: bool = False
+    on_repeat: str = "append"
     overlap: str | None = None
 
 
@@ -95,6 +99,8 @@ class LoadSpec:
                 raise ValueError("this strategy needs business keys")
         if isinstance(strategy, Incremental):
             self._known("the watermark", [strategy.watermark], targets)
+            if strategy.on_repeat not in ("append", "skip", "latest"):
+                raise ValueError(f"unknown on_repeat {strategy.on_repeat!r}")
         if isinstance(strategy, (Scd1, Scd2)):
             self._known("tracked columns", strategy.tracked, targets)
             self._known("latest_by", [strategy.latest_by] if strategy.latest_by else [], targets)

@@ -90,6 +90,16 @@ class VersionedTable:
         manifest = self.manifest()
         return manifest is not None and load_id in manifest.loads
 
+    def expired_paths(self) -> list[str]:
+        """Paths that older states used and the newest one does not: safe to delete once no
+        reader follows an older manifest."""
+        newest = self.manifest()
+        if newest is None:
+            return []
+        older = self.spark.read.schema(_MANIFEST).json(f"{self.root}/manifest/*")
+        used = older.select(F.explode("paths").alias("path")).distinct().collect()  # paths, not data
+        return sorted(f"{self.root}/data/{row.path}" for row in used if row.path not in newest.paths)
+
     def read(
         self, manifest: Manifest | None = None, part: str | None = None, buckets: Sequence[int] | None = None
     ) -> DataFrame:

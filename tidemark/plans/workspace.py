@@ -15,12 +15,13 @@ def shared_folder(spark: SparkSession) -> str:
 
     Only a local session, where driver and executors share a disk, may do without.
     """
-    folder = spark.conf.get(SETTING, None)
+    context = spark.sparkContext
+    folder = spark.conf.get(SETTING, None) or context.getCheckpointDir()
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise RuntimeError(f"set {SETTING} to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="tidemark-")
-        spark.conf.set(SETTING, folder)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-"))
+        folder = context.getCheckpointDir()
     return folder.rstrip("/")
 
 

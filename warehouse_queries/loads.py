@@ -6,7 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import Audit, ColumnMap, add_audit, project
-from tidemark.operators import apply_changes, incremental_append, latest_per_key, next_watermark, scd1_upsert
+from tidemark.operators import (
+    apply_changes,
+    incremental_append,
+    latest_per_key,
+    next_watermark,
+    scd1_upsert,
+    unloaded_rows,
+)
 from tidemark.plans import Incremental, LoadSpec, VersionedTable, run_load, scratch_path
 from tidemark.sources import read_incremental
 from warehouse_queries.inputs import (
@@ -59,6 +66,12 @@ def incremental_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return incremental_append(target, replay, ["order_id"], "updated_at", ["load_ts", "record_hash"])
 
 
+def incremental_skip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a replayed slice adds to an insert-only table."""
+    target, replay = _target_and_replay(spark, sf_dir)
+    return unloaded_rows(target, replay, ["order_id"], "updated_at")
+
+
 def watermark_of_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read_incremental(table(spark, sf_dir, "orders"), "o_orderdate", LOWER_BOUND)
     return next_watermark(project(rows, ORDER_LOG), "updated_at")
@@ -176,6 +189,14 @@ QUERIES = {
 SELECT * EXCLUDE (place) FROM (
   SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY updated_at DESC, load_ts DESC, record_hash DESC) AS place
   FROM appended) WHERE place = 1
+""",
+    ),
+    "incremental_skip": (
+        incremental_skip,
+        REPLAY_SQL
+        + f"""
+SELECT * FROM appended WHERE load_ts = TIMESTAMP '{SECOND}'
+AND order_id NOT IN (SELECT o_orderkey FROM loaded)
 """,
     ),
     "next_watermark": (
