@@ -219,3 +219,5 @@ def test_as_of_respects_gaps_and_shared_names(spark):
         assert [r.v for r in out.orderBy("seen").collect()] == ["a", None, "b"]
     with pytest.raises(ValueError):
         as_of_join(facts, history, ["k"], "seen", ["v"], how="full")
+    with pytest.raises(ValueError):
+        as_of_join(facts.withColumnRenamed("seen", "v"), history, ["k"], "v", ["v"])

@@ -6,7 +6,7 @@ import pytest
 
 from tidemark.operators import check_scd2
 from tidemark.plans import VersionedTable, scratch_path
-from tidemark.streaming import append_stream, merge_changes, stream_incremental, stream_scd2
+from tidemark.streaming import append_stream, merge_changes, stream_append, stream_incremental, stream_scd2
 
 START = datetime(2026, 4, 1)
 
@@ -34,6 +34,16 @@ def test_copies_are_appended_once(spark, splits):
     assert rows(spark.read.parquet(out)) == rows(hot.distinct())
 
 
+def test_late_copies_are_found_in_the_table(spark):
+    table = VersionedTable(spark, scratch_path(spark, "log"))
+    landing, checkpoint = scratch_path(spark, "landing"), scratch_path(spark, "checkpoint")
+    for batch in ([(1, "a", 0), (2, "b", 500)], [(1, "a", 0), (3, "very late", 1), (3, "very late", 1)]):
+        changes(spark, batch).write.mode("append").parquet(landing)
+        arriving = spark.readStream.schema(changes(spark, []).schema).parquet(landing)
+        stream_append(arriving, table, checkpoint, ["k"], "at").awaitTermination()
+    assert rows(table.read().select("k", "v")) == [(1, "a"), (2, "b"), (3, "very late")]
+
+
 def test_row_times_survive_a_clock_change(spark):
     landing, out, checkpoint = (scratch_path(spark, n) for n in ("landing", "out", "checkpoint"))
     skipped_hour = spark.createDataFrame([(1, datetime(2024, 3, 10, 2, 30))], "k int, at timestamp_ntz")

@@ -4,10 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.common import BATCH, has_null, like_target, prefixed, require_columns, same_keys
+from tidemark.operators.common import (
+    BATCH,
+    fits_broadcast,
+    has_null,
+    like_target,
+    prefixed,
+    require_columns,
+    same_keys,
+    unseen_rows,
+)
 from tidemark.operators.incremental import latest_per_key
 
 
@@ -18,6 +27,7 @@ def apply_changes(
     sequence: str,
     op: str,
     deletes: Sequence[str] = ("D",),
+    small_feed: bool | None = None,
 ) -> DataFrame:
     """Target after the feed: per key its last change decides.
 
@@ -25,27 +35,45 @@ def apply_changes(
     target keeps ``sequence`` as a column, changes that are not newer than the stored row
     are ignored, so the same feed can be applied again. Rows of the feed with a NULL key
     have no row to apply to and are refused by ``check_not_null`` beforehand.
+
+    As in the other merges, a feed small enough to broadcast does not shuffle the target.
     """
     values = [name for name in target.columns if name in feed.columns]
     require_columns(target, keys, "the target")
     require_columns(feed, [*keys, sequence, op], "the feed")
     wanted = list(dict.fromkeys([*values, sequence, op]))
-    last = latest_per_key(feed.select(*wanted).where(~has_null(keys)), keys, sequence)
+    last = prefixed(latest_per_key(feed.select(*wanted).where(~has_null(keys)), keys, sequence))
+    matchable = target.where(~has_null(keys))
 
-    joined = target.where(~has_null(keys)).join(prefixed(last), same_keys(keys), "full_outer")
     in_feed = F.col(BATCH + keys[0]).isNotNull()
     in_target = F.col(keys[0]).isNotNull()
     newer = F.lit(True)
     if sequence in target.columns:
         newer = F.coalesce(F.col(sequence) < F.col(BATCH + sequence), F.lit(True))
     applies = in_feed & (~in_target | newer)
-    removed = applies & F.coalesce(F.col(BATCH + op).isin(*deletes), F.lit(False))
-    merged = joined.where(~removed).select(
-        *[
-            F.when(applies, like_target(target, name, F.col(BATCH + name))).otherwise(F.col(name)).alias(name)
+    deleted = F.coalesce(F.col(BATCH + op).isin(*deletes), F.lit(False))
+
+    def written(take: Column) -> list[Column]:
+        return [
+            F.when(take, like_target(target, name, F.col(BATCH + name))).otherwise(F.col(name)).alias(name)
             if name in values
             else F.col(name)
             for name in target.columns
         ]
-    )
+
+    if fits_broadcast(feed) if small_feed is None else small_feed:
+        joined = matchable.join(last, same_keys(keys), "left")
+        merged = joined.where(~(applies & deleted)).select(*written(applies))
+        fresh = unseen_rows(matchable, last, keys).where(~deleted)
+        merged = merged.unionByName(
+            fresh.select(
+                *[
+                    like_target(target, name, F.col(BATCH + name) if name in values else F.lit(None))
+                    for name in target.columns
+                ]
+            )
+        )
+    else:
+        joined = matchable.join(last, same_keys(keys), "full_outer")
+        merged = joined.where(~(applies & deleted)).select(*written(applies))
     return merged.unionByName(target.where(has_null(keys)))

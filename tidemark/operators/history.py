@@ -216,6 +216,9 @@ def as_of_join(
     dim = dim.where(~has_null([*keys, start]))
     if how not in ("left", "inner"):
         raise ValueError("an as-of join is left or inner")
+    shared = [name for name in columns if name in fact.columns]
+    if shared:
+        raise ValueError(f"the facts have columns of the same name: {shared}")
     small = fits_broadcast(dim) if small_dim is None else small_dim
     if small:
         side = dim.select(

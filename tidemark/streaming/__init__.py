@@ -1,4 +1,4 @@
 from tidemark.streaming.history import merge_changes, stream_scd2
-from tidemark.streaming.incremental import append_stream, stream_incremental
+from tidemark.streaming.incremental import append_stream, stream_append, stream_incremental
 
-__all__ = ["append_stream", "merge_changes", "stream_incremental", "stream_scd2"]
+__all__ = ["append_stream", "merge_changes", "stream_append", "stream_incremental", "stream_scd2"]

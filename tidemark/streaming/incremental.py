@@ -8,12 +8,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemark.operators.incremental import unloaded_rows
+from tidemark.plans.versioned import VersionedTable
+from tidemark.plans.workspace import staged
+
 
 def stream_incremental(stream: DataFrame, keys: Sequence[str], ts: str, delay: str, splits: int = 8) -> DataFrame:
     """The stream with repeated keys removed, as long as copies are at most ``delay`` apart.
 
     State is kept per key until the watermark passes, so it does not grow with the table.
-    Copies are first removed among rows that came in through the same input split, then
+    Spark drops rows that arrive more than ``delay`` behind the newest; where none may be
+    lost, use ``stream_append``, which looks keys up in the table itself. Copies are first removed among rows that came in through the same input split, then
     among the rest: many copies of one key spread over ``splits`` state entries instead of
     all going to one task. ``splits=1`` does it in one step.
     """
@@ -25,6 +30,27 @@ def stream_incremental(stream: DataFrame, keys: Sequence[str], ts: str, delay: s
     return rows.dropDuplicatesWithinWatermark(list(keys)).drop("_event_time")
 
 
+def stream_append(
+    stream: DataFrame, table: VersionedTable, checkpoint: str, keys: Sequence[str], order: str
+) -> StreamingQuery:
+    """Append rows of new keys to a table, micro-batch by micro-batch, then stop.
+
+    However late a copy comes, it finds its key in the table. The batch number is the load
+    id, so a batch that Spark runs again after a failure is appended once.
+    """
+
+    def add(batch: DataFrame, number: int) -> None:
+        manifest, load_id = table.manifest(), f"batch-{number}"
+        if manifest is not None and load_id in manifest.loads:
+            return
+        rows = staged(batch, "arrived")
+        target = rows.limit(0) if manifest is None else table.read(manifest)
+        table.append(unloaded_rows(target, rows, keys, order), load_id)
+
+    writer = stream.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint)
+    return writer.trigger(availableNow=True).start()
+
+
 def append_stream(
     stream: DataFrame,
     path: str,

@@ -33,6 +33,7 @@ from warehouse_queries.inputs import (
 LOWER_BOUND = "1998-01-01 00:00:00"
 REPLAY_FROM = "1997-12-01 00:00:00"
 MIDDLE = "2024-01-15 00:00:00"
+FEED_KEYS = ["user_id", "band"]
 
 
 def _order_rows(df: DataFrame, load_ts: str) -> DataFrame:
@@ -117,7 +118,7 @@ def scd1_tracked_test(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scd1_upsert(target, batch, PRODUCT_KEYS, PRODUCT_TRACKED, change_test="tracked", carry_untracked=True)
 
 
-def apply_change_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _state_and_feed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """State per user and price band from the first events; the later ones as a change feed."""
     middle = F.lit(MIDDLE).cast("timestamp_ntz")
     rows = project(
@@ -129,11 +130,17 @@ def apply_change_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
             ColumnMap("ts", "TIMESTAMP_NTZ", source="ts"),
         ],
     )
-    keys = ["user_id", "band"]
-    state = latest_per_key(rows.where(F.col("ts") < middle), keys, "ts")
+    state = latest_per_key(rows.where(F.col("ts") < middle), FEED_KEYS, "ts")
     op = F.when(F.col("event_type") == "error", F.lit("D")).otherwise(F.lit("U"))
-    feed = rows.where(F.col("ts") >= middle).withColumn("op", op)
-    return apply_changes(state, feed, keys, "ts", "op")
+    return state, rows.where(F.col("ts") >= middle).withColumn("op", op)
+
+
+def apply_change_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return apply_changes(*_state_and_feed(spark, sf_dir), FEED_KEYS, "ts", "op")
+
+
+def apply_change_feed_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return apply_changes(*_state_and_feed(spark, sf_dir), FEED_KEYS, "ts", "op", small_feed=False)
 
 
 ORDER_LOG_NAMES = [rule.target for rule in ORDER_LOG]
@@ -175,6 +182,21 @@ _ALL = ["product_id", "name", "category", "brand", "price", "size", *_AUDIT]
 _UPSERT = _upsert_sql("t.record_hash <> s.record_hash", [*PRODUCT_TRACKED, *_AUDIT], _ALL)
 _DIFFERS = " OR ".join(f"t.{c} IS DISTINCT FROM s.{c}" for c in PRODUCT_TRACKED)
 
+_FEED_SQL = f"""
+WITH rows AS (
+  SELECT user_id, CAST(floor(value / 10) AS INTEGER) AS band, event_type, ts FROM events),
+state AS (
+  SELECT * FROM rows WHERE ts < TIMESTAMP '{MIDDLE}'
+  QUALIFY row_number() OVER (PARTITION BY user_id, band ORDER BY ts DESC) = 1),
+feed AS (
+  SELECT * FROM rows WHERE ts >= TIMESTAMP '{MIDDLE}'
+  QUALIFY row_number() OVER (PARTITION BY user_id, band ORDER BY ts DESC) = 1)
+SELECT * FROM feed WHERE event_type <> 'error'
+UNION ALL
+SELECT * FROM state WHERE NOT EXISTS (
+  SELECT 1 FROM feed WHERE feed.user_id = state.user_id AND feed.band = state.band)
+"""
+
 QUERIES = {
     "incremental_slice": (
         incremental_slice,
@@ -224,21 +246,6 @@ late AS (SELECT * FROM orders WHERE o_orderdate > (SELECT max(o_orderdate) FROM
         ),
     ),
     "scd1_tracked_test": (scd1_tracked_test, _upsert_sql(_DIFFERS, [c for c in _ALL if c != "product_id"], _ALL)),
-    "apply_changes": (
-        apply_change_feed,
-        f"""
-WITH rows AS (
-  SELECT user_id, CAST(floor(value / 10) AS INTEGER) AS band, event_type, ts FROM events),
-state AS (
-  SELECT * FROM rows WHERE ts < TIMESTAMP '{MIDDLE}'
-  QUALIFY row_number() OVER (PARTITION BY user_id, band ORDER BY ts DESC) = 1),
-feed AS (
-  SELECT * FROM rows WHERE ts >= TIMESTAMP '{MIDDLE}'
-  QUALIFY row_number() OVER (PARTITION BY user_id, band ORDER BY ts DESC) = 1)
-SELECT * FROM feed WHERE event_type <> 'error'
-UNION ALL
-SELECT * FROM state WHERE NOT EXISTS (
-  SELECT 1 FROM feed WHERE feed.user_id = state.user_id AND feed.band = state.band)
-""",
-    ),
+    "apply_changes": (apply_change_feed, _FEED_SQL),
+    "apply_changes_shuffled": (apply_change_feed_shuffled, _FEED_SQL),
 }

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import project
 from tidemark.plans import VersionedTable, scratch_path
-from tidemark.streaming import append_stream, stream_incremental, stream_scd2
+from tidemark.streaming import append_stream, stream_append, stream_incremental, stream_scd2
 from warehouse_queries.inputs import (
     CLIENT_HISTORY_SQL,
     CLIENT_KEYS,
@@ -32,6 +32,18 @@ def stream_incremental_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(events.schema).parquet(out)
 
 
+def stream_append_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, with keys looked up in the table: copies may be any time apart."""
+    landing, checkpoint = scratch_path(spark, "landing"), scratch_path(spark, "checkpoint")
+    target = VersionedTable(spark, scratch_path(spark, "events"))
+    events = table(spark, sf_dir, "events")
+    for _ in range(2):
+        events.write.mode("append").parquet(landing)
+        arriving = spark.readStream.schema(events.schema).parquet(landing)
+        stream_append(arriving, target, checkpoint, ["event_id"], "ts").awaitTermination()
+    return target.read()
+
+
 def stream_scd2_clients(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two client snapshots that land one after the other, merged as they come."""
     landing = scratch_path(spark, "landing")
@@ -48,6 +60,7 @@ def stream_scd2_clients(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "stream_incremental": (stream_incremental_events, "SELECT * FROM events"),
+    "stream_append": (stream_append_events, "SELECT * FROM events"),
     "stream_scd2": (
         stream_scd2_clients,
         CLIENT_HISTORY_SQL
