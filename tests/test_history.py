@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 import re
+from collections import Counter
 from datetime import datetime, timedelta
 
 import pytest
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import Audit, add_audit
 from tidemark.operators import as_of_join, check_scd2, first_versions, scd2_extend, scd2_merge, scd2_rebuild
-from tidemark.operators.history import cell_of
+from tidemark.operators.history import cell_of, with_cell
 from tidemark.plans import staged
 
 END = datetime(9999, 12, 31)
@@ -45,7 +46,7 @@ def versions_of(log):
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize("cell", ["minute", "hour", "day", "month"])
+@pytest.mark.parametrize("cell", ["minute", "hour", "day", "month", "auto"])
 @pytest.mark.parametrize("seed", [1, 2])
 def test_rebuild_matches_brute_force_for_any_cell(spark, cell, seed):
     log = change_log(seed, 12, 900)
@@ -53,6 +54,27 @@ def test_rebuild_matches_brute_force_for_any_cell(spark, cell, seed):
     assert rows(scd2_rebuild(df, ["k"], ["v"], "at", cell=cell)) == versions_of(log)
 
 
+@pytest.mark.parametrize("limit", [0, 60, 10_000])
+def test_auto_cells_split_hot_keys_only(spark, limit):
+    log = change_log(4, 12, 900)
+    df = spark.createDataFrame(log, "k int, at timestamp_ntz, v string").repartition(5)
+    sizes = Counter(k for k, _, _ in log)
+    hot = {k for k, n in sizes.items() if n > limit}
+    cells = with_cell(df, ["k"], "at", "auto", limit)
+    split = {r.k for r in cells.where("_cell is not null").collect()}
+    assert split == hot and cells.count() == len(log)
+    assert rows(scd2_rebuild(df, ["k"], ["v"], "at", rows_per_task=limit)) == versions_of(log)
+    assert check_scd2(scd2_rebuild(df, ["k"], ["v"], "at"), ["k"], rows_per_task=limit).isEmpty()
+
+
+def test_a_hot_null_key_is_split_too(spark):
+    log = [(None, START + timedelta(minutes=i), "ab"[i % 2]) for i in range(50)]
+    df = spark.createDataFrame(log, "k int, at timestamp_ntz, v string")
+    cells = with_cell(df, ["k"], "at", "auto", 10)
+    assert cells.select("_cell").distinct().count() == 50
+    assert scd2_rebuild(df, ["k"], ["v"], "at", rows_per_task=10).count() == 50
+
+
 def test_rebuild_takes_any_growing_cell(spark):
     log = change_log(3, 5, 300)
     df = spark.createDataFrame(log, "k int, at timestamp_ntz, v string")
@@ -104,10 +126,10 @@ def test_rebuild_spreads_a_hot_key(spark):
         F.timestamp_seconds(F.col("id") * 600).cast("timestamp_ntz").alias("at"),
         F.col("id").alias("v"),
     )
-    out = scd2_rebuild(df, ["k"], ["v"], "at")
+    out = scd2_rebuild(df, ["k"], ["v"], "at", cell="day")
     exchanges = re.findall(r"Exchange hashpartitioning\((.*?), \d+\)", out._jdf.queryExecution().executedPlan().toString())
     assert [("_cell" in e) for e in exchanges] == [True, False, True]  # the last is the second union branch's copy
-    assert out.count() == 20_000
+    assert out.count() == scd2_rebuild(df, ["k"], ["v"], "at", rows_per_task=1000).count() == 20_000
     assert out.where("is_current").count() == 1
     assert check_scd2(out, ["k"]).isEmpty()
 
@@ -163,7 +185,7 @@ def test_check_finds_each_fault(spark):
     )
 
 
-@pytest.mark.parametrize("cell", ["hour", "day", "year"])
+@pytest.mark.parametrize("cell", ["hour", "day", "year", "auto"])
 def test_check_sees_neighbours_in_other_cells(spark, cell):
     rng = random.Random(11)
     data, expected = [], 0
@@ -186,7 +208,7 @@ def test_check_sees_neighbours_in_other_cells(spark, cell):
 
 @pytest.mark.parametrize("how", ["left", "inner"])
 @pytest.mark.parametrize("small", [True, False])
-@pytest.mark.parametrize("cell", ["hour", "month"])
+@pytest.mark.parametrize("cell", ["hour", "month", "auto"])
 def test_as_of_matches_brute_force(spark, how, small, cell):
     log = change_log(21, 8, 400)
     versions = versions_of(log)
@@ -204,7 +226,7 @@ def test_as_of_matches_brute_force(spark, how, small, cell):
         hit = [v for k, v, a, b, _ in versions if key is not None and at is not None and k == key and a <= at < b]
         if hit or how == "left":
             expected.append((i, key, at, hit[0] if hit else None))
-    out = as_of_join(df, history, ["k"], "seen", ["v"], how=how, cell=cell, small_dim=small)
+    out = as_of_join(df, history, ["k"], "seen", ["v"], how=how, cell=cell, small_dim=small, rows_per_task=100)
     assert rows(out) == sorted(expected, key=repr)
 
 

@@ -1,45 +1,98 @@
 """Version history: rebuild it from a change log, check it, and read it as of a time.
 
-All three look at neighbouring rows of a key. One key may hold much of the table, so no
-window here spans all rows of a key: rows are grouped by key *and* a calendar cell (day,
-hour, ...), and only the few rows at a cell's edges meet their neighbours in other cells.
+All three look at neighbouring rows of a key. One key may hold much of the table, so rows
+are grouped by key *and* a cell of time, and only the few rows at a cell's edges meet
+their neighbours in other cells. ``cell="auto"`` counts rows per key first, and splits only
+keys with more rows than one task should sort; naming a calendar cell (minute, hour, day,
+...) splits every key and saves the count.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import TimestampNTZType
+from pyspark.sql.types import DataType, DateType, TimestampNTZType, TimestampType
 
 from tidemark.functions.audit import instant
-from tidemark.operators.common import any_of, fits_broadcast, has_null, like_target, require_columns
-from tidemark.operators.scd2 import Versions, closed_rows, current_rows
+from tidemark.operators.common import all_of, any_of, fits_broadcast, has_null, like_target, require_columns
+from tidemark.operators.scd2 import Versions
 
 CELL = "_cell"
+ROWS_PER_TASK = 5_000_000
+
+
+def position(value: Column, kind: DataType) -> Column:
+    """A value of the order column as a number: microseconds of a time, days of a date.
+
+    A TIMESTAMP_NTZ does not go through the session's time zone, where a clock change
+    would break the order.
+    """
+    if isinstance(kind, DateType):
+        return F.unix_date(value).cast("bigint")
+    if isinstance(kind, TimestampType):
+        return F.unix_micros(value)
+    if isinstance(kind, TimestampNTZType):
+        since = value - F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+        day, hour, minute, second = (F.extract(F.lit(p), since) for p in ("DAY", "HOUR", "MINUTE", "SECOND"))
+        minutes = (day.cast("bigint") * 24 + hour) * 60 + minute
+        return minutes * 60_000_000 + (second * 1_000_000).cast("bigint")
+    return value.cast("bigint")
+
+
+def rounded_down(number: Column, width: Column) -> Column:
+    return number - F.pmod(number, width)
 
 
 def cell_of(df: DataFrame, order: str, cell: str | Column) -> Column:
     """The calendar cell of a time: minute, hour, day, week, month, quarter or year.
 
-    A Column is taken as it is and must grow with ``order``. Cells of a TIMESTAMP_NTZ do
-    not go through the session's time zone, where a clock change would break their order.
+    A Column is taken as it is and must grow with ``order``.
     """
     if isinstance(cell, Column):
         return cell
-    time = F.col(order)
-    if cell == "day":
-        return time.cast("date")
-    if cell not in ("minute", "hour"):
-        return F.trunc(time.cast("date"), cell)
-    if not isinstance(df.schema[order].dataType, TimestampNTZType):
-        return F.floor(F.unix_seconds(time) / (60 if cell == "minute" else 3600))
-    since = time - F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    day, hour, minute = (F.extract(F.lit(part), since) for part in ("DAY", "HOUR", "MINUTE"))
-    hours = day.cast("bigint") * 24 + hour
-    return hours if cell == "hour" else hours * 60 + minute
+    if cell in ("minute", "hour"):
+        place = position(F.col(order), df.schema[order].dataType)
+        return rounded_down(place, F.lit(60_000_000 if cell == "minute" else 3_600_000_000))
+    date = F.col(order).cast("date")
+    return date if cell == "day" else F.trunc(date, cell)
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], order: str, rows_per_task: int) -> DataFrame:
+    """Keys with more than ``rows_per_task`` rows (renamed ``_hot_*``), and how to split them.
+
+    A key is split into cells of equal width, 64 times as many as its rows need if they came
+    evenly, so that busy times fit too. The set is broadcast: however the keys are spread,
+    a table of n rows has fewer than n / rows_per_task of them.
+    """
+    kind = df.schema[order].dataType
+    found = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min(order).alias("_from"), F.max(order).alias("_to"))
+    start, end = position(F.col("_from"), kind), position(F.col("_to"), kind)
+    width = F.greatest(F.lit(1).cast("bigint"), ((end - start) / (F.col("_n") * 64 / max(rows_per_task, 1))).cast("bigint"))
+    return found.where(F.col("_n") > rows_per_task).select(
+        *[F.col(key).alias("_hot_" + key) for key in keys], start.alias("_from"), width.alias("_width")
+    )
+
+
+def with_cell(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: str,
+    cell: str | Column,
+    rows_per_task: int = ROWS_PER_TASK,
+    hot: DataFrame | None = None,
+) -> DataFrame:
+    """Adds the cell column. With ``"auto"`` rows of hot keys are split by time; all rows of
+    any other key are in one cell, NULL."""
+    if isinstance(cell, Column) or cell != "auto":
+        return df.withColumn(CELL, cell_of(df, order, cell))
+    hot = hot_keys(df, keys, order, rows_per_task) if hot is None else hot
+    matches = all_of(F.col(key).eqNullSafe(F.col("_hot_" + key)) for key in keys)
+    marked = df.join(F.broadcast(hot), matches, "left")
+    place = position(F.col(order), df.schema[order].dataType) - F.col("_from")
+    part = F.when(F.col("_width").isNotNull(), rounded_down(place, F.col("_width")))
+    return marked.select(*df.columns, part.alias(CELL))
 
 
 def scd2_rebuild(
@@ -49,21 +102,23 @@ def scd2_rebuild(
     ts: str,
     versions: Versions = Versions(),
     carry: Sequence[str] = (),
-    cell: str | Column = "day",
+    cell: str | Column = "auto",
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Whole version history from a log of snapshots, the same as merging them one by one.
 
     ``changes`` has one row per key and time. Rows that repeat the previous tracked values
     are dropped; each remaining row is a version that ends where the next one starts.
-    ``carry`` columns come along from the row that opened the version. ``cell`` should be
-    narrow enough that one key's rows within it fit one task.
+    ``carry`` columns come along from the row that opened the version. A ``cell`` that is
+    named should be narrow enough that one key's rows within it fit one task.
     """
     require_columns(changes, [*keys, *tracked, ts, *carry], "the change log")
     in_cell = Window.partitionBy(*keys, CELL).orderBy(ts)
     in_key = Window.partitionBy(*keys).orderBy(ts)
     values = F.struct(*tracked)
 
-    rows = changes.select(*keys, *tracked, *carry, ts, cell_of(changes, ts, cell).alias(CELL)).select(
+    log = changes.select(*keys, *tracked, *carry, ts)
+    rows = with_cell(log, keys, ts, cell, rows_per_task).select(
         "*",
         F.lag(values).over(in_cell).alias("_before"),
         F.lead(F.lit(True)).over(in_cell).isNull().alias("_tail"),
@@ -111,8 +166,9 @@ def scd2_extend(
     ts: str,
     versions: Versions = Versions(),
     carry: Sequence[str] = (),
-    cell: str | Column = "day",
+    cell: str | Column = "auto",
     small_changes: bool | None = None,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Like ``scd2_delta`` for a log with several changes per key: one pass, any number of versions.
 
@@ -123,13 +179,13 @@ def scd2_extend(
         wanted = changes.select(*keys)
         rest = current.join(wanted, list(keys), "left_anti")
         touched = current.join(wanted, list(keys), "left_semi")
-        extended = scd2_extend(touched, changes, keys, tracked, ts, versions, carry, cell, False)
+        extended = scd2_extend(touched, changes, keys, tracked, ts, versions, carry, cell, False, rows_per_task)
         return rest.select(*current.columns).unionByName(extended)
     start = F.col(versions.valid_from).alias(ts)
     log = current.select(*keys, *tracked, *carry, start).unionByName(
         changes.select(*keys, *tracked, *carry, F.col(ts).cast("timestamp_ntz").alias(ts))
     )
-    rebuilt = scd2_rebuild(log, keys, tracked, ts, versions, carry, cell)
+    rebuilt = scd2_rebuild(log, keys, tracked, ts, versions, carry, cell, rows_per_task)
     return rebuilt.select(*[like_target(current, name, F.col(name)) for name in current.columns])
 
 
@@ -138,14 +194,15 @@ def with_next(
     keys: Sequence[str],
     order: str,
     columns: Sequence[str],
-    cell: str | Column = "day",
+    cell: str | Column = "auto",
     tie_break: Sequence[str] = (),
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Adds ``_following``: a struct of the next row's columns within the key, NULL at the end."""
     in_cell = Window.partitionBy(*keys, CELL).orderBy(order, *tie_break)
     in_key = Window.partitionBy(*keys).orderBy(order, *tie_break)
     values = F.struct(*columns)
-    rows = df.withColumn(CELL, cell_of(df, order, cell)).select(
+    rows = with_cell(df, keys, order, cell, rows_per_task).select(
         "*",
         F.lead(values).over(in_cell).alias("_following"),
         F.lag(F.lit(True)).over(in_cell).isNull().alias("_head"),
@@ -162,7 +219,8 @@ def check_scd2(
     dim: DataFrame,
     keys: Sequence[str],
     versions: Versions = Versions(),
-    cell: str | Column = "day",
+    cell: str | Column = "auto",
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Faults of a history table: keys, valid_from (NULL for faults of a whole key), issue.
 
@@ -170,7 +228,7 @@ def check_scd2(
     ``gap`` (against the next version of the key), ``no_current`` and ``several_current``.
     """
     start, end, flag = versions.columns()
-    rows = with_next(dim.select(*keys, start, end, flag), keys, start, [start], cell, tie_break=[end])
+    rows = with_next(dim.select(*keys, start, end, flag), keys, start, [start], cell, [end], rows_per_task)
     following = F.col("_following").getField(start)
     issues = F.array_compact(
         F.array(
@@ -202,8 +260,9 @@ def as_of_join(
     columns: Sequence[str],
     versions: Versions = Versions(),
     how: str = "left",
-    cell: str | Column = "day",
+    cell: str | Column = "auto",
     small_dim: bool | None = None,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Each fact row with ``columns`` of the version valid at its time (valid_from <= ts < valid_to).
 
@@ -242,15 +301,20 @@ def as_of_join(
         version.alias("_version"),
     )
 
+    both = facts.select(*keys, "_at").unionByName(opened.select(*keys, "_at"))
+    hot = hot_keys(both, keys, "_at", rows_per_task)  # used with "auto" only
+    facts = with_cell(facts, keys, "_at", cell, hot=hot)
+    opened = with_cell(opened, keys, "_at", cell, hot=hot)
+
     # One row per key and cell: its last version, and the one carried in from earlier cells.
+    # Keys that are not split have one cell (NULL) and nothing to carry.
     cells = (
-        fact.select(*keys, time.alias("_at")).select(
-            *keys, cell_of(opened, "_at", cell).alias(CELL), F.lit(None).cast("timestamp_ntz").alias("_at"),
-            no_version.alias("_version"), F.lit(True).alias("_wanted"),
+        facts.select(
+            *keys, CELL, F.lit(None).cast("timestamp_ntz").alias("_at"), no_version.alias("_version"),
+            F.lit(True).alias("_wanted"),
         ).distinct()
-        .unionByName(
-            opened.select(*keys, cell_of(opened, "_at", cell).alias(CELL), "_at", "_version", F.lit(False).alias("_wanted"))
-        )
+        .unionByName(opened.select(*keys, CELL, "_at", "_version", F.lit(False).alias("_wanted")))
+        .where(F.col(CELL).isNotNull())
         .groupBy(*keys, CELL)
         .agg(F.max_by("_version", "_at").alias("_version"), F.max("_wanted").alias("_wanted"))
     )
@@ -259,11 +323,11 @@ def as_of_join(
         cells.withColumn("_version", F.last("_version", ignorenulls=True).over(earlier))
         .where(F.col("_wanted") & F.col("_version").isNotNull())
         .select(
-            *keys, CELL, F.lit(None).cast("timestamp_ntz").alias("_at"), F.lit(0).alias("_kind"),
-            no_body.alias("_fact"), "_version",
+            *keys, F.lit(None).cast("timestamp_ntz").alias("_at"), F.lit(0).alias("_kind"),
+            no_body.alias("_fact"), "_version", CELL,
         )
     )
-    rows = facts.unionByName(opened).withColumn(CELL, cell_of(opened, "_at", cell)).unionByName(carried)
+    rows = facts.unionByName(opened).unionByName(carried)
     so_far = (
         Window.partitionBy(*keys, CELL)
         .orderBy(F.col("_at").asc_nulls_first(), "_kind")
@@ -277,13 +341,3 @@ def as_of_join(
         "_fact.*", *[F.when(valid, F.col("_version").getField(name)).alias(name) for name in columns]
     )
 
-
-__all__ = [
-    "as_of_join",
-    "check_scd2",
-    "closed_rows",
-    "current_rows",
-    "scd2_extend",
-    "scd2_rebuild",
-    "with_next",
-]

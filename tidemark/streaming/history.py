@@ -26,7 +26,7 @@ def merge_changes(
     versions: Versions = Versions(),
     carry: Sequence[str] = (),
     late_path: str | None = None,
-    cell: str = "day",
+    cell: str = "auto",
 ) -> dict:
     """Bring a history table up to date with a batch of timed changes.
 
@@ -75,7 +75,7 @@ def stream_scd2(
     versions: Versions = Versions(),
     carry: Sequence[str] = (),
     late_path: str | None = None,
-    cell: str = "day",
+    cell: str = "auto",
 ) -> StreamingQuery:
     """Merge a change stream into a history table, micro-batch by micro-batch, then stop.
 

@@ -13,7 +13,9 @@ from tidemark.plans.versioned import VersionedTable
 from tidemark.plans.workspace import staged
 
 
-def stream_incremental(stream: DataFrame, keys: Sequence[str], ts: str, delay: str, splits: int = 8) -> DataFrame:
+def stream_incremental(
+    stream: DataFrame, keys: Sequence[str], ts: str, delay: str, splits: int = 8
+) -> DataFrame:
     """The stream with repeated keys removed, as long as copies are at most ``delay`` apart.
 
     State is kept per key until the watermark passes, so it does not grow with the table.

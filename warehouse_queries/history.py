@@ -71,6 +71,11 @@ def event_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scd2_rebuild(table(spark, sf_dir, "events"), ["user_id"], ["event_type"], "ts")
 
 
+def event_history_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with every user taken for a hot key: each is split by the minute."""
+    return scd2_rebuild(table(spark, sf_dir, "events"), ["user_id"], ["event_type"], "ts", rows_per_task=0)
+
+
 def scd2_extend_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """History up to a day, then the rest of the log on top of its current rows."""
     events = table(spark, sf_dir, "events")
@@ -88,7 +93,7 @@ def _order_segments(spark: SparkSession, sf_dir: str, small_dim: bool | None) ->
         "o_orderkey", F.col("o_custkey").alias("client_id"), "o_orderdate"
     )
     return as_of_join(
-        orders, dim, CLIENT_KEYS, "o_orderdate", ["segment_code", "valid_from"], cell="month", small_dim=small_dim
+        orders, dim, CLIENT_KEYS, "o_orderdate", ["segment_code", "valid_from"], small_dim=small_dim
     )
 
 
@@ -107,7 +112,7 @@ def as_of_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_id", "user_id", (F.col("ts") - F.expr("interval 1 hour")).alias("at")
     )
     dim = staged(event_history(spark, sf_dir), "event-history")
-    return as_of_join(facts, dim, ["user_id"], "at", ["event_type"], how="inner", small_dim=False)
+    return as_of_join(facts, dim, ["user_id"], "at", ["event_type"], how="inner", small_dim=False, rows_per_task=0)
 
 
 _HISTORY_AS_OF = CLIENT_HISTORY_SQL.replace(FIRST, EARLY).replace(SECOND, LATER)
@@ -147,6 +152,7 @@ FROM history
 """,
     ),
     "scd2_rebuild_events": (event_history, EVENT_HISTORY_SQL + "SELECT * FROM history"),
+    "scd2_rebuild_split": (event_history_split, EVENT_HISTORY_SQL + "SELECT * FROM history"),
     "scd2_extend_events": (scd2_extend_events, EVENT_HISTORY_SQL + "SELECT * FROM history"),
     "scd2_as_of": (scd2_as_of, _AS_OF),
     "scd2_as_of_sorted": (scd2_as_of_sorted, _AS_OF),
