@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+import os
 from datetime import datetime
 
 import pytest
@@ -23,6 +24,7 @@ from tidemark.plans import (
     scratch_path,
     shared_folder,
     shuffle_partitions,
+    staging,
 )
 
 T1, T2, T3 = "2026-01-01 00:00:00", "2026-01-02 00:00:00", "2026-01-03 00:00:00"
@@ -197,6 +199,24 @@ def test_table_arguments(spark):
         fresh(spark, bucket_by=["k"], buckets=4, partition_by=["p"])
 
 
+def test_buckets_are_part_of_a_table(spark):
+    table = fresh(spark, bucket_by=["k"], buckets=4)
+    run_load(spec(Scd1(["k"])), source(spark, [(1, "a", 1)]), table, T1)
+    for options in ({}, {"bucket_by": ["k"], "buckets": 8}):
+        with pytest.raises(ValueError):
+            VersionedTable(spark, table.root, **options).read()
+    for change in (table.replace, table.append):
+        with pytest.raises(ValueError):
+            change(spark.range(1), "x")
+
+
+def test_staged_rows_are_removed_after_a_load(spark):
+    with staging(spark.range(5), "few") as rows_of_load:
+        folder = rows_of_load.inputFiles()[0].rsplit("/", 1)[0].removeprefix("file://")
+        assert rows_of_load.count() == 5 and os.path.exists(folder)
+    assert not os.path.exists(folder)
+
+
 def test_shared_folder_comes_from_the_session(spark):
     assert scratch_path(spark, "x").startswith(shared_folder(spark) + "/")
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
@@ -250,12 +270,16 @@ def test_incremental_runs_follow_the_watermark(spark):
     assert table.read().count() == 3
 
 
-def test_incremental_run_keeping_the_latest(spark):
+@pytest.mark.parametrize("options", [{}, {"bucket_by": ["k"], "buckets": 4}])
+def test_incremental_run_keeping_the_latest(spark, options):
     strategy = Incremental(["k"], "w", source_watermark="changed_at", on_repeat="latest", overlap="2 days")
-    table = fresh(spark)
+    table = fresh(spark, **options)
     run_load(spec(strategy), source(spark, [(1, "a", 1), (2, "b", 2)]), table, T1)
-    run_load(spec(strategy), source(spark, [(2, "late", 2), (2, "B", 3), (5, "old", 1)]), table, T2)
+    second = run_load(spec(strategy), source(spark, [(2, "late", 2), (2, "B", 3), (5, "old", 1)]), table, T2)
     assert rows(table.read().select("k", "a")) == [(1, "A"), (2, "B"), (5, "OLD")]
+    assert second.watermark == "2026-01-03 00:00:00"
+    run_load(spec(strategy), source(spark, []), table, T3)
+    assert table.read().count() == 3 and table.manifest().watermark in (None, "2026-01-03 00:00:00")
 
 
 def test_incremental_run_skipping_what_is_there(spark):

@@ -15,9 +15,9 @@ from tidemark.operators.incremental import latest_per_key, unloaded_rows
 from tidemark.operators.quality import refuse_bad_batch
 from tidemark.operators.scd1 import default_tracked, scd1_upsert
 from tidemark.operators.scd2 import first_versions, scd2_delta
-from tidemark.plans.spec import Full, Incremental, LoadSpec, Scd1
+from tidemark.plans.spec import Full, Incremental, LoadSpec, Scd1, Scd2
 from tidemark.plans.versioned import Manifest, VersionedTable
-from tidemark.plans.workspace import staged
+from tidemark.plans.workspace import staging
 from tidemark.sinks.mart import export_mart
 from tidemark.sources.files import read_incremental
 from tidemark.sources.jdbc import Connection, Partitioning, read_jdbc
@@ -89,28 +89,54 @@ def run_load(
 
     if manifest is not None and datetime.fromisoformat(stamp) < datetime.fromisoformat(manifest.load_ts):
         raise ValueError(f"load time {stamp} is before the table's last load {manifest.load_ts}")
-    # Check and merge need the batch more than once: extract it once.
     keys = list(strategy.business_keys)
     rows = prepare(spec, source, load_ts)
     if strategy.latest_by:
         rows = latest_per_key(rows, keys, strategy.latest_by, [rule.target for rule in spec.mapping])
-    batch = staged(rows, spec.name)
-    refuse_bad_batch(batch, keys)
-    buckets = table.touched_buckets(batch, manifest)
-    if isinstance(strategy, Scd1):
-        tracked = list(strategy.tracked) or default_tracked(batch, keys, spec.audit)
-        merged = batch.select(*keys, *tracked, *spec.audit.columns())
-        if manifest is not None:
-            target = table.read(manifest, buckets=buckets)
-            merged = scd1_upsert(target, batch, keys, tracked, spec.audit, null_keys=False)
-        return LoadResult(load_id, table.commit_rows(merged, load_id, stamp, buckets))
+    # Check and merge need the batch more than once: extract it once.
+    with staging(rows, spec.name) as batch:
+        refuse_bad_batch(batch, keys)
+        merge = _scd1 if isinstance(strategy, Scd1) else _scd2
+        return LoadResult(load_id, merge(spec, strategy, batch, table, manifest, load_ts, stamp, load_id))
+
+
+def _scd1(
+    spec: LoadSpec,
+    strategy: Scd1,
+    batch: DataFrame,
+    table: VersionedTable,
+    manifest: Manifest | None,
+    load_ts: datetime | str,
+    stamp: str,
+    load_id: str,
+) -> dict:
+    keys, buckets = list(strategy.business_keys), table.touched_buckets(batch, manifest)
+    tracked = list(strategy.tracked) or default_tracked(batch, keys, spec.audit)
+    merged = batch.select(*keys, *tracked, *spec.audit.columns())
+    if manifest is not None:
+        target = table.read(manifest, buckets=buckets)
+        merged = scd1_upsert(target, batch, keys, tracked, spec.audit, null_keys=False)
+    return table.commit_rows(merged, load_id, stamp, buckets)
+
+
+def _scd2(
+    spec: LoadSpec,
+    strategy: Scd2,
+    batch: DataFrame,
+    table: VersionedTable,
+    manifest: Manifest | None,
+    load_ts: datetime | str,
+    stamp: str,
+    load_id: str,
+) -> dict:
+    keys, buckets = list(strategy.business_keys), table.touched_buckets(batch, manifest)
     tracked, versions = list(strategy.tracked), strategy.versions
     if manifest is None:
         delta = first_versions(batch.select(*keys, *tracked, *spec.audit.columns()), load_ts, versions)
     else:
         current = table.current(versions, manifest, buckets)
         delta = scd2_delta(current, batch, keys, tracked, load_ts, versions, spec.audit, null_keys=False)
-    return LoadResult(load_id, table.commit_versions(delta, load_id, stamp, versions, buckets))
+    return table.commit_versions(delta, load_id, stamp, versions, buckets)
 
 
 def _incremental(
@@ -130,14 +156,17 @@ def _incremental(
         log.warning("%s: no lower bound, reading the whole source", spec.name)
     source_column = strategy.source_watermark or strategy.watermark
     rows = prepare(spec, read_incremental(source, source_column, lower_bound, strategy.overlap), load_ts)
-    keys, tie = strategy.business_keys, [rule.target for rule in spec.mapping]
-    if strategy.on_repeat == "latest":
-        both = rows if manifest is None else table.read(manifest).unionByName(rows)
-        figures = table.replace(latest_per_key(both, keys, strategy.watermark, tie), load_id, stamp, strategy.watermark)
+    keys, high = list(strategy.business_keys), strategy.watermark
+    if strategy.on_repeat == "append":
+        figures = table.append(rows, load_id, stamp, high)
     else:
-        if strategy.on_repeat == "skip":
-            rows = staged(rows, spec.name)
-            target = rows.limit(0) if manifest is None else table.read(manifest)
-            rows = unloaded_rows(target, rows, keys, strategy.watermark)
-        figures = table.append(rows, load_id, stamp, strategy.watermark)
+        with staging(rows, spec.name) as batch:
+            if strategy.on_repeat == "skip":
+                target = batch.limit(0) if manifest is None else table.read(manifest)
+                figures = table.append(unloaded_rows(target, batch, keys, high), load_id, stamp, high)
+            else:
+                buckets = table.touched_buckets(batch, manifest)
+                both = batch if manifest is None else table.read(manifest, buckets=buckets).unionByName(batch)
+                latest = latest_per_key(both, keys, high, [rule.target for rule in spec.mapping])
+                figures = table.commit_rows(latest, load_id, stamp, buckets, high)
     return LoadResult(load_id, figures, figures.get("watermark") or (manifest.watermark if manifest else None))

@@ -32,7 +32,7 @@ class Incremental:
     by default of the same name. ``on_repeat`` says what happens to a business key that is
     there already: ``"append"`` adds the row next to the old one, ``"skip"`` leaves the old
     one (for rows that never change), ``"latest"`` keeps the one with the highest
-    watermark, which rewrites the table.
+    watermark, which rewrites the table, or its touched buckets.
     """
 
     business_keys: Sequence[str]

@@ -25,7 +25,10 @@ from tidemark.sinks.tables import balanced, observe
 
 SEGMENT = "segment"
 BUCKET = "key_bucket"
-_MANIFEST = "number long, loads array<string>, load_ts string, watermark string, schema string, paths array<string>"
+_MANIFEST = (
+    "number long, loads array<string>, load_ts string, watermark string, schema string, buckets string, "
+    "paths array<string>"
+)
 
 
 @dataclass(frozen=True)
@@ -79,6 +82,8 @@ class VersionedTable:
         for number in numbers:  # the newest one may be the remains of a commit that died
             found = self.spark.read.schema(_MANIFEST).json(f"{self.root}/manifest/{number}").first()
             if found is not None:
+                if found["buckets"] != self._bucketing():
+                    raise ValueError(f"the table was written with buckets {found['buckets']}, not {self._bucketing()}")
                 schema = StructType.fromJson(json.loads(found["schema"]))
                 return Manifest(
                     number, tuple(found["loads"]), found["load_ts"], found["watermark"], schema, tuple(found["paths"])
@@ -128,6 +133,9 @@ class VersionedTable:
         """Current rows of a history table: reads just their files."""
         return self.read(manifest, f"{versions.is_current}=true", buckets)
 
+    def _bucketing(self) -> str:
+        return json.dumps([self.buckets, *self.bucket_by])
+
     def bucket(self) -> Column:
         """The bucket of a row: the same hash that Spark shuffles by, so that a merge's tasks
         (with a shuffle partition count that is a multiple of ``buckets``) hold one bucket each."""
@@ -148,6 +156,7 @@ class VersionedTable:
 
     def replace(self, df: DataFrame, load_id: str, load_ts: str | None = None, watermark: str | None = None) -> dict:
         """Make ``df`` the whole table. Returns the figures observed while writing."""
+        self._no_buckets()
         old = self.manifest()
         number, figures = self._write(df, old, self._figures(watermark), self.partition_by)
         loads = (*(old.loads if old else ()), load_id)
@@ -156,6 +165,7 @@ class VersionedTable:
 
     def append(self, df: DataFrame, load_id: str, load_ts: str | None = None, watermark: str | None = None) -> dict:
         """Add ``df`` to the table; a load id that is there already adds nothing."""
+        self._no_buckets()
         old = self.manifest()
         if old is None:
             return self.replace(df, load_id, load_ts, watermark)
@@ -168,17 +178,31 @@ class VersionedTable:
         self._commit(Manifest(number, (*old.loads, load_id), load_ts or old.load_ts, high, old.schema, paths))
         return figures
 
-    def commit_rows(self, merged: DataFrame, load_id: str, load_ts: str, buckets: Sequence[int] | None = None) -> dict:
-        """Take in the outcome of an in-place merge of the given buckets (all rows if None)."""
-        old = self.manifest()
+    def _no_buckets(self) -> None:
+        if self.bucket_by:
+            raise ValueError("a table with key buckets is merged into; it is not replaced or appended to")
+
+    def commit_rows(
+        self,
+        merged: DataFrame,
+        load_id: str,
+        load_ts: str,
+        buckets: Sequence[int] | None = None,
+        watermark: str | None = None,
+    ) -> dict:
+        """Take in the outcome of an in-place merge of the given buckets (all rows if there are none).
+
+        Each of these buckets must have rows left."""
         if not self.bucket_by:
-            return self.replace(merged, load_id, load_ts)
+            return self.replace(merged, load_id, load_ts, watermark)
+        old = self.manifest()
         rows = merged.withColumn(BUCKET, self.bucket())
-        number, figures = self._write(rows, old, self._figures(None), [BUCKET], shuffle=old is None)
+        number, figures = self._write(rows, old, self._figures(watermark), [BUCKET], shuffle=old is None)
+        high = figures.get("watermark") or (old.watermark if old else None)
         kept = [p for p in old.paths if _bucket_of(p) not in (buckets or ())] if old else []
         new = [f"{SEGMENT}={number}/{BUCKET}={b}" for b in buckets or ()]
         loads = (*(old.loads if old else ()), load_id)
-        self._commit(Manifest(number, loads, load_ts, None, merged.schema, tuple(kept + new)))
+        self._commit(Manifest(number, loads, load_ts, high, merged.schema, tuple(kept + new)))
         return figures
 
     def commit_versions(
@@ -210,7 +234,7 @@ class VersionedTable:
         history, current = f"{SEGMENT}={number}/{flag}=false", f"{SEGMENT}={number}/{flag}=true"
         paths = list(old.paths) if old else []
         if self.bucket_by:
-            replaced = {b for b in buckets or ()}
+            replaced = set(buckets or ())
             paths = [p for p in paths if f"{flag}=false" in p.split("/") or _bucket_of(p) not in replaced]
             paths += [f"{current}/{BUCKET}={b}" for b in buckets or ()]
         else:
@@ -256,6 +280,7 @@ class VersionedTable:
             manifest.load_ts,
             manifest.watermark,
             manifest.schema.json(),
+            self._bucketing(),
             list(manifest.paths),
         )
         one = self.spark.createDataFrame([row], _MANIFEST).coalesce(1)

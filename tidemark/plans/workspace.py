@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -36,7 +38,21 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     For rows that several steps need: the source is read once, all steps see the same
     rows, a lost executor costs no second extract, and the size is known from the files.
     """
+    return _written(df, scratch_path(df.sparkSession, name))
+
+
+@contextmanager
+def staging(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """Like ``staged``, for use within a load: the files are removed at its end."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    try:
+        yield _written(df, path)
+    finally:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
+
+
+def _written(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.incremental import unloaded_rows
 from tidemark.plans.versioned import VersionedTable
-from tidemark.plans.workspace import staged
+from tidemark.plans.workspace import staging
 
 
 def stream_incremental(
@@ -45,9 +45,9 @@ def stream_append(
         manifest, load_id = table.manifest(), f"batch-{number}"
         if manifest is not None and load_id in manifest.loads:
             return
-        rows = staged(batch, "arrived")
-        target = rows.limit(0) if manifest is None else table.read(manifest)
-        table.append(unloaded_rows(target, rows, keys, order), load_id)
+        with staging(batch, "arrived") as rows:
+            target = rows.limit(0) if manifest is None else table.read(manifest)
+            table.append(unloaded_rows(target, rows, keys, order), load_id)
 
     writer = stream.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint)
     return writer.trigger(availableNow=True).start()
