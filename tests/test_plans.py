@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import Audit, ColumnMap
 from tidemark.operators import BatchRefused, Versions, check_scd2
 from tidemark.plans import (
+    Changes,
     Full,
     Incremental,
     LoadSpec,
@@ -325,6 +326,39 @@ def test_scd2_runs(spark, options):
     assert "is_current=false" not in " ".join(table.current().inputFiles())
 
 
+@pytest.mark.parametrize("options", [{}, {"bucket_by": ["k"], "buckets": 4}])
+def test_change_feed_runs(spark, options):
+    mapping = [*MAPPING, ColumnMap("op", "STRING", source="op")]
+    strategy = Changes(["k"], "w", "op")
+
+    def feed(data):
+        return source(spark, [d[:3] for d in data]).withColumn(
+            "op", F.element_at(F.create_map(*[F.lit(x) for d in data for x in (d[0] * 100 + d[2], d[3])]),
+                               F.col("id") * 100 + F.dayofmonth("changed_at"))
+        )
+
+    table = fresh(spark, **options)
+    run_load(spec(strategy, mapping), feed([(k, "a", 1, "I") for k in range(8)] + [(1, "b", 2, "U")]), table, T1)
+    assert "op" not in table.read().columns and table.read().count() == 8
+    gone = feed([(k, "x", 3, "D") for k in range(1, 8)] + [(9, "n", 3, "I"), (0, "stale", 0 + 1, "U")])
+    run_load(spec(strategy, mapping), gone, table, T2)
+    assert rows(table.read().select("k", "a")) == [(0, "A"), (9, "N")]
+    with pytest.raises(BatchRefused):
+        run_load(spec(strategy, mapping), source(spark, [(None, "a", 1)]).withColumn("op", F.lit("I")), table, T3)
+
+
+@pytest.mark.parametrize("options", [{}, {"bucket_by": ["k"], "buckets": 4}])
+def test_scd2_run_closing_missing_keys(spark, options):
+    strategy = Scd2(["k"], ["a"], close_missing=True, carry_untracked=True)
+    table = fresh(spark, **options)
+    run_load(spec(strategy), source(spark, [(k, "a", 1) for k in range(8)]), table, T1)
+    run_load(spec(strategy), source(spark, [(1, "a", 2)]), table, T2)
+    assert [r.k for r in table.current().collect()] == [1]
+    assert table.read().count() == 8 and table.read().where("w is null").isEmpty()
+    run_load(spec(strategy), source(spark, [(2, "a", 3)]), table, T3)
+    assert rows(table.read().where("k = 2").select("is_current")) == [(False,), (True,)]
+
+
 def test_bucketed_merge_reads_touched_buckets_only(spark):
     table = fresh(spark, bucket_by=["k"], buckets=8)
     run_load(spec(Scd1(["k"])), source(spark, [(k, "a", 1) for k in range(40)]), table, T1)

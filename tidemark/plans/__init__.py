@@ -1,10 +1,11 @@
 from tidemark.plans.runner import LoadResult, export, extract, prepare, run_load
 from tidemark.plans.session import cluster_settings, shuffle_partitions
-from tidemark.plans.spec import Full, Incremental, LoadSpec, Scd1, Scd2, load_connection, load_spec
+from tidemark.plans.spec import Changes, Full, Incremental, LoadSpec, Scd1, Scd2, load_connection, load_spec
 from tidemark.plans.versioned import VersionedTable
 from tidemark.plans.workspace import scratch_path, shared_folder, staged, staging
 
 __all__ = [
+    "Changes",
     "Full",
     "Incremental",
     "LoadResult",

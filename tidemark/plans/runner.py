@@ -11,11 +11,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.functions.audit import add_audit, utc_text
 from tidemark.functions.projection import project
+from tidemark.operators.changes import apply_changes
+from tidemark.operators.common import has_null
 from tidemark.operators.incremental import latest_per_key, unloaded_rows
-from tidemark.operators.quality import refuse_bad_batch
+from tidemark.operators.quality import BatchRefused, refuse_bad_batch
 from tidemark.operators.scd1 import default_tracked, scd1_upsert
 from tidemark.operators.scd2 import first_versions, scd2_delta
-from tidemark.plans.spec import Full, Incremental, LoadSpec, Scd1, Scd2
+from tidemark.plans.spec import Changes, Full, Incremental, LoadSpec, Scd1, Scd2
 from tidemark.plans.versioned import Manifest, VersionedTable
 from tidemark.plans.workspace import staging
 from tidemark.sinks.mart import export_mart
@@ -57,9 +59,10 @@ def export(spec: LoadSpec, df: DataFrame, keep: Sequence[str] = ()) -> None:
 
 def prepare(spec: LoadSpec, source: DataFrame, load_ts: datetime | str) -> DataFrame:
     """Source rows as target rows: mapping, then technical columns. Narrow, no shuffle."""
-    return add_audit(
-        project(source, spec.mapping), load_ts, spec.source_system, spec.audit, keys=spec.primary_keys
-    )
+    rows = project(source, spec.mapping)
+    op = spec.strategy.op if isinstance(spec.strategy, Changes) else None
+    hashed = [name for name in rows.columns if name != op]
+    return add_audit(rows, load_ts, spec.source_system, spec.audit, hashed, spec.primary_keys)
 
 
 def run_load(
@@ -91,6 +94,8 @@ def run_load(
         raise ValueError(f"load time {stamp} is before the table's last load {manifest.load_ts}")
     keys = list(strategy.business_keys)
     rows = prepare(spec, source, load_ts)
+    if isinstance(strategy, Changes):
+        return LoadResult(load_id, _changes(spec, strategy, rows, table, manifest, stamp, load_id))
     if strategy.latest_by:
         rows = latest_per_key(rows, keys, strategy.latest_by, [rule.target for rule in spec.mapping])
     # Check and merge need the batch more than once: extract it once.
@@ -100,6 +105,25 @@ def run_load(
         return LoadResult(load_id, merge(spec, strategy, batch, table, manifest, load_ts, stamp, load_id))
 
 
+def _changes(
+    spec: LoadSpec,
+    strategy: Changes,
+    rows: DataFrame,
+    table: VersionedTable,
+    manifest: Manifest | None,
+    stamp: str,
+    load_id: str,
+) -> dict:
+    keys = list(strategy.business_keys)
+    with staging(rows, spec.name) as feed:
+        if not feed.where(has_null(keys)).isEmpty():
+            raise BatchRefused("changes with a NULL key")
+        buckets = table.touched_buckets(feed, manifest)
+        target = feed.drop(strategy.op).limit(0) if manifest is None else table.read(manifest, buckets=buckets)
+        merged = apply_changes(target, feed, keys, strategy.sequence, strategy.op, strategy.deletes)
+        return table.commit_rows(merged, load_id, stamp, buckets)
+
+
 def _scd1(
     spec: LoadSpec,
     strategy: Scd1,
@@ -112,10 +136,19 @@ def _scd1(
 ) -> dict:
     keys, buckets = list(strategy.business_keys), table.touched_buckets(batch, manifest)
     tracked = list(strategy.tracked) or default_tracked(batch, keys, spec.audit)
-    merged = batch.select(*keys, *tracked, *spec.audit.columns())
+    merged = batch if strategy.carry_untracked else batch.select(*keys, *tracked, *spec.audit.columns())
     if manifest is not None:
         target = table.read(manifest, buckets=buckets)
-        merged = scd1_upsert(target, batch, keys, tracked, spec.audit, null_keys=False)
+        merged = scd1_upsert(
+            target,
+            batch,
+            keys,
+            tracked,
+            spec.audit,
+            change_test=strategy.change_test,
+            carry_untracked=strategy.carry_untracked,
+            null_keys=False,
+        )
     return table.commit_rows(merged, load_id, stamp, buckets)
 
 
@@ -130,12 +163,26 @@ def _scd2(
     load_id: str,
 ) -> dict:
     keys, buckets = list(strategy.business_keys), table.touched_buckets(batch, manifest)
+    if strategy.close_missing and buckets is not None:
+        buckets = list(range(table.buckets))  # missing keys can be anywhere
     tracked, versions = list(strategy.tracked), strategy.versions
     if manifest is None:
-        delta = first_versions(batch.select(*keys, *tracked, *spec.audit.columns()), load_ts, versions)
+        first = batch if strategy.carry_untracked else batch.select(*keys, *tracked, *spec.audit.columns())
+        delta = first_versions(first, load_ts, versions)
     else:
         current = table.current(versions, manifest, buckets)
-        delta = scd2_delta(current, batch, keys, tracked, load_ts, versions, spec.audit, null_keys=False)
+        delta = scd2_delta(
+            current,
+            batch,
+            keys,
+            tracked,
+            load_ts,
+            versions,
+            spec.audit,
+            carry_untracked=strategy.carry_untracked,
+            close_missing=strategy.close_missing,
+            null_keys=False,
+        )
     return table.commit_versions(delta, load_id, stamp, versions, buckets)
 
 
@@ -161,6 +208,8 @@ def _incremental(
         figures = table.append(rows, load_id, stamp, high)
     else:
         with staging(rows, spec.name) as batch:
+            if manifest is not None and batch.isEmpty():
+                return LoadResult(load_id, {"rows": 0}, manifest.watermark)
             if strategy.on_repeat == "skip":
                 target = batch.limit(0) if manifest is None else table.read(manifest)
                 figures = table.append(unloaded_rows(target, batch, keys, high), load_id, stamp, high)

@@ -53,6 +53,8 @@ class Scd1:
     business_keys: Sequence[str]
     tracked: Sequence[str] = ()
     latest_by: str | None = None
+    change_test: str = "hash"
+    carry_untracked: bool = False
 
 
 @dataclass(frozen=True)
@@ -63,9 +65,22 @@ class Scd2:
     tracked: Sequence[str]
     versions: Versions = Versions()
     latest_by: str | None = None
+    carry_untracked: bool = False
+    close_missing: bool = False
 
 
-Strategy = Full | Incremental | Scd1 | Scd2
+@dataclass(frozen=True)
+class Changes:
+    """Apply a feed of inserts, updates and deletes: per key the row with the highest
+    ``sequence`` decides. ``op`` is mapped like any column, and not stored."""
+
+    business_keys: Sequence[str]
+    sequence: str
+    op: str
+    deletes: Sequence[str] = ("D",)
+
+
+Strategy = Full | Incremental | Scd1 | Scd2 | Changes
 
 
 @dataclass(frozen=True)
@@ -101,6 +116,8 @@ class LoadSpec:
             self._known("the watermark", [strategy.watermark], targets)
             if strategy.on_repeat not in ("append", "skip", "latest"):
                 raise ValueError(f"unknown on_repeat {strategy.on_repeat!r}")
+        if isinstance(strategy, Changes):
+            self._known("sequence and op", [strategy.sequence, strategy.op], targets)
         if isinstance(strategy, (Scd1, Scd2)):
             self._known("tracked columns", strategy.tracked, targets)
             self._known("latest_by", [strategy.latest_by] if strategy.latest_by else [], targets)

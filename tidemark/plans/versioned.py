@@ -74,12 +74,7 @@ class VersionedTable:
 
     def manifest(self) -> Manifest | None:
         """The newest manifest; None before the first load."""
-        folder = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/manifest")
-        files = folder.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
-        if not files.exists(folder):
-            return None
-        numbers = sorted((int(s.getPath().getName()) for s in files.listStatus(folder)), reverse=True)
-        for number in numbers:  # the newest one may be the remains of a commit that died
+        for number in sorted(map(int, self._names("manifest")), reverse=True):  # the newest one may be the remains of a commit that died
             found = self.spark.read.schema(_MANIFEST).json(f"{self.root}/manifest/{number}").first()
             if found is not None:
                 if found["buckets"] != self._bucketing():
@@ -152,6 +147,17 @@ class VersionedTable:
         found = keys.select(self.bucket().alias(BUCKET)).distinct().collect()  # at most ``buckets`` rows
         return sorted(row[BUCKET] for row in found)
 
+    def _names(self, folder: str) -> list[str]:
+        """Names of what lies in a folder of the table; none if it does not exist."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{folder}")
+        files = path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
+        return [found.getPath().getName() for found in files.listStatus(path)] if files.exists(path) else []
+
+    def _bucket_paths(self, folder: str) -> list[str]:
+        """Buckets that were written; one whose rows all went away has no folder."""
+        names = sorted(name for name in self._names(f"data/{folder}") if name.startswith(BUCKET + "="))
+        return [f"{folder}/{name}" for name in names]
+
     # writing
 
     def replace(self, df: DataFrame, load_id: str, load_ts: str | None = None, watermark: str | None = None) -> dict:
@@ -190,9 +196,7 @@ class VersionedTable:
         buckets: Sequence[int] | None = None,
         watermark: str | None = None,
     ) -> dict:
-        """Take in the outcome of an in-place merge of the given buckets (all rows if there are none).
-
-        Each of these buckets must have rows left."""
+        """Take in the outcome of an in-place merge of the given buckets (all rows if there are none)."""
         if not self.bucket_by:
             return self.replace(merged, load_id, load_ts, watermark)
         old = self.manifest()
@@ -200,7 +204,7 @@ class VersionedTable:
         number, figures = self._write(rows, old, self._figures(watermark), [BUCKET], shuffle=old is None)
         high = figures.get("watermark") or (old.watermark if old else None)
         kept = [p for p in old.paths if _bucket_of(p) not in (buckets or ())] if old else []
-        new = [f"{SEGMENT}={number}/{BUCKET}={b}" for b in buckets or ()]
+        new = self._bucket_paths(f"{SEGMENT}={number}")
         loads = (*(old.loads if old else ()), load_id)
         self._commit(Manifest(number, loads, load_ts, high, merged.schema, tuple(kept + new)))
         return figures
@@ -236,7 +240,7 @@ class VersionedTable:
         if self.bucket_by:
             replaced = set(buckets or ())
             paths = [p for p in paths if f"{flag}=false" in p.split("/") or _bucket_of(p) not in replaced]
-            paths += [f"{current}/{BUCKET}={b}" for b in buckets or ()]
+            paths += self._bucket_paths(current)
         else:
             paths = [p for p in paths if f"{flag}=false" in p.split("/")]
             paths += [current] if found["current"] else []

@@ -14,7 +14,7 @@ from tidemark.operators import (
     scd1_upsert,
     unloaded_rows,
 )
-from tidemark.plans import Incremental, LoadSpec, VersionedTable, run_load, scratch_path
+from tidemark.plans import Changes, Incremental, LoadSpec, VersionedTable, run_load, scratch_path
 from tidemark.sources import read_incremental
 from warehouse_queries.inputs import (
     FIRST,
@@ -118,18 +118,31 @@ def scd1_tracked_test(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scd1_upsert(target, batch, PRODUCT_KEYS, PRODUCT_TRACKED, change_test="tracked", carry_untracked=True)
 
 
+BAND_STATE = [
+    ColumnMap("user_id", "BIGINT", source="user_id"),
+    ColumnMap("band", "INT", source="value", transform="floor($ / 10)"),
+    ColumnMap("event_type", "STRING", source="event_type"),
+    ColumnMap("ts", "TIMESTAMP_NTZ", source="ts"),
+]
+
+
+def change_feed_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same feed as two runs into a table with key buckets."""
+    events, middle = table(spark, sf_dir, "events"), F.lit(MIDDLE).cast("timestamp_ntz")
+    op = ColumnMap("op", "STRING", expression="case when event_type = 'error' then 'D' else 'U' end")
+    spec = LoadSpec(
+        "ods_bands", f"{SYSTEM}.public.events", "warehouse.ods.bands", Changes(FEED_KEYS, "ts", "op"), [*BAND_STATE, op]
+    )
+    target = VersionedTable(spark, scratch_path(spark, "bands"), bucket_by=FEED_KEYS, buckets=8)
+    run_load(spec, events.where(F.col("ts") < middle), target, FIRST)
+    run_load(spec, events.where(F.col("ts") >= middle), target, SECOND)
+    return target.read()
+
+
 def _state_and_feed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """State per user and price band from the first events; the later ones as a change feed."""
     middle = F.lit(MIDDLE).cast("timestamp_ntz")
-    rows = project(
-        table(spark, sf_dir, "events"),
-        [
-            ColumnMap("user_id", "BIGINT", source="user_id"),
-            ColumnMap("band", "INT", source="value", transform="floor($ / 10)"),
-            ColumnMap("event_type", "STRING", source="event_type"),
-            ColumnMap("ts", "TIMESTAMP_NTZ", source="ts"),
-        ],
-    )
+    rows = project(table(spark, sf_dir, "events"), BAND_STATE)
     state = latest_per_key(rows.where(F.col("ts") < middle), FEED_KEYS, "ts")
     op = F.when(F.col("event_type") == "error", F.lit("D")).otherwise(F.lit("U"))
     return state, rows.where(F.col("ts") >= middle).withColumn("op", op)
@@ -248,4 +261,15 @@ late AS (SELECT * FROM orders WHERE o_orderdate > (SELECT max(o_orderdate) FROM
     "scd1_tracked_test": (scd1_tracked_test, _upsert_sql(_DIFFERS, [c for c in _ALL if c != "product_id"], _ALL)),
     "apply_changes": (apply_change_feed, _FEED_SQL),
     "apply_changes_shuffled": (apply_change_feed_shuffled, _FEED_SQL),
+    "change_feed_runs": (
+        change_feed_runs,
+        f"""
+SELECT *, CASE WHEN ts < TIMESTAMP '{MIDDLE}' THEN TIMESTAMP '{FIRST}' ELSE TIMESTAMP '{SECOND}' END AS load_ts,
+       '{SYSTEM}' AS source_system, {hash_sql([rule.target for rule in BAND_STATE])} AS record_hash
+FROM (
+  SELECT user_id, CAST(floor(value / 10) AS INTEGER) AS band, event_type, ts FROM events
+  QUALIFY row_number() OVER (PARTITION BY user_id, floor(value / 10) ORDER BY ts DESC) = 1)
+WHERE event_type <> 'error'
+""",
+    ),
 }
