@@ -53,18 +53,18 @@ def reconcile(
     return per_key.select(*keys, "source_rows", "target_rows", status.alias("status"))
 
 
-_PARTS = ("_part_1", "_part_2", "_part_3", "_part_4")
+_PARTS = tuple(f"_part_{i}" for i in range(6))
 
 
 def _hash_parts(name: str) -> list[Column]:
-    """Four 32-bit numbers of a record hash. Their sums over a key's rows do not depend on
-    order, cannot overflow below two thousand million rows, and differ, short of a 128-bit
-    collision, when the rows do."""
-    halves = []
+    """Six 21-bit numbers of a record hash. Their sums over a key's rows do not depend on
+    order, fit a BIGINT for four million million rows of one key, and differ, short of a
+    126-bit collision, when the rows do."""
+    parts = []
     for seed in (1, 2):
         number = F.xxhash64(F.lit(seed), F.col(name))
-        halves += [F.shiftright(number, 32), number.bitwiseAND(F.lit(0xFFFFFFFF))]
-    return [half.alias(part) for half, part in zip(halves, _PARTS)]
+        parts += [F.shiftrightunsigned(number, bits).bitwiseAND(F.lit(0x1FFFFF)) for bits in (1, 22, 43)]
+    return [part.alias(alias) for part, alias in zip(parts, _PARTS)]
 
 
 def reconcile_summary(compared: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ from tidemark.plans.workspace import staging
 
 
 def stream_incremental(
-    stream: DataFrame, keys: Sequence[str], ts: str, delay: str, splits: int = 8
+    stream: DataFrame, keys: Sequence[str], ts: str, delay: str, splits: int = 64
 ) -> DataFrame:
     """The stream with repeated keys removed, as long as copies are at most ``delay`` apart.
 

@@ -25,6 +25,7 @@ from tidemark.operators import (
     scd1_upsert,
     scd2_merge,
 )
+from tidemark.plans import staged
 from tidemark.sources import read_incremental
 from warehouse_queries.history import event_history, first_history
 from warehouse_queries.inputs import (
@@ -148,7 +149,7 @@ def dq_scd2(spark: SparkSession, sf_dir: str) -> DataFrame:
             "is_current": F.when(group == 2, F.lit(False)).when(group == 3, F.lit(True)).otherwise(F.col("is_current")),
         }
     )
-    return check_scd2(planted, ["user_id"])
+    return check_scd2(staged(planted, "event-history"), ["user_id"])
 
 
 def dq_write_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -72,15 +72,15 @@ def event_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def event_history_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same with every user taken for a hot key: each is split by the minute."""
-    return scd2_rebuild(table(spark, sf_dir, "events"), ["user_id"], ["event_type"], "ts", rows_per_task=0)
+    """The same with every user's rows split by the hour, without counting them first."""
+    return scd2_rebuild(table(spark, sf_dir, "events"), ["user_id"], ["event_type"], "ts", cell="hour")
 
 
 def scd2_extend_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """History up to a day, then the rest of the log on top of its current rows."""
     events = table(spark, sf_dir, "events")
     day = F.lit("2024-01-20").cast("timestamp_ntz")
-    past = scd2_rebuild(events.where(F.col("ts") < day), ["user_id"], ["event_type"], "ts")
+    past = staged(scd2_rebuild(events.where(F.col("ts") < day), ["user_id"], ["event_type"], "ts"), "event-history")
     later = events.where(F.col("ts") >= day)
     extended = scd2_extend(past.where("is_current"), later, ["user_id"], ["event_type"], "ts")
     return past.where(~F.col("is_current")).unionByName(extended)
@@ -112,7 +112,7 @@ def as_of_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_id", "user_id", (F.col("ts") - F.expr("interval 1 hour")).alias("at")
     )
     dim = staged(event_history(spark, sf_dir), "event-history")
-    return as_of_join(facts, dim, ["user_id"], "at", ["event_type"], how="inner", small_dim=False, rows_per_task=0)
+    return as_of_join(facts, dim, ["user_id"], "at", ["event_type"], how="inner", cell="hour", small_dim=False)
 
 
 _HISTORY_AS_OF = CLIENT_HISTORY_SQL.replace(FIRST, EARLY).replace(SECOND, LATER)
