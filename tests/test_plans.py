@@ -21,6 +21,7 @@ from tidemark.plans import (
     extract,
     load_connection,
     load_spec,
+    open_table,
     run_load,
     scratch_path,
     shared_folder,
@@ -359,6 +360,29 @@ def test_scd2_run_closing_missing_keys(spark, options):
     assert rows(table.read().where("k = 2").select("is_current")) == [(False,), (True,)]
 
 
+def test_partitions_are_kept_by_every_strategy(spark):
+    for strategy in (Full(), Incremental(["k"], "w", "changed_at"), Scd1(["k"]), Scd2(["k"], ["a", "w"])):
+        found = spec(strategy, partition_by=("a",), file_format="iceberg")
+        table = open_table(spark, found, scratch_path(spark, "t"))
+        run_load(found, source(spark, [(1, "a", 1), (2, "b", 1)]), table, T1)
+        run_load(found, source(spark, [(1, "c", 2), (2, "b", 2)]), table, T2)
+        assert any("/a=C/" in name for name in table.read().inputFiles())
+        assert "C" in {r.a for r in table.read().collect()}
+    bucketed = open_table(spark, spec(Scd1(["k"])), scratch_path(spark, "t"), buckets=4)
+    assert (bucketed.bucket_by, bucketed.buckets, bucketed.file_format) == (["k"], 4, "parquet")
+
+
+def test_plain_and_history_tables_are_not_mixed_up(spark):
+    plain, history = fresh(spark), fresh(spark)
+    run_load(spec(Full()), source(spark, [(1, "a", 1)]), plain, T1)
+    run_load(spec(Scd2(["k"], ["a"])), source(spark, [(1, "a", 1)]), history, T1)
+    with pytest.raises(ValueError):
+        run_load(spec(Scd2(["k"], ["a"])), source(spark, [(1, "a", 1)]), plain, T2)
+    with pytest.raises(ValueError):
+        history.append(history.read(), "x")
+    assert plain.read().count() == history.read().count() == 1
+
+
 def test_bucketed_merge_reads_touched_buckets_only(spark):
     table = fresh(spark, bucket_by=["k"], buckets=8)
     run_load(spec(Scd1(["k"])), source(spark, [(k, "a", 1) for k in range(40)]), table, T1)

@@ -1,4 +1,4 @@
-from tidemark.plans.runner import LoadResult, export, extract, prepare, run_load
+from tidemark.plans.runner import LoadResult, export, extract, open_table, prepare, run_load
 from tidemark.plans.session import cluster_settings, shuffle_partitions
 from tidemark.plans.spec import Changes, Full, Incremental, LoadSpec, Scd1, Scd2, load_connection, load_spec
 from tidemark.plans.versioned import VersionedTable
@@ -18,6 +18,7 @@ __all__ = [
     "extract",
     "load_connection",
     "load_spec",
+    "open_table",
     "prepare",
     "run_load",
     "scratch_path",

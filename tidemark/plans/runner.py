@@ -57,6 +57,15 @@ def export(spec: LoadSpec, df: DataFrame, keep: Sequence[str] = ()) -> None:
         export_mart(df, sink, spec.mapping, spec.primary_keys, keep=keep)
 
 
+def open_table(spark: SparkSession, spec: LoadSpec, root: str, buckets: int = 0) -> VersionedTable:
+    """The spec's target as a table of files under ``root``, partitioned as the spec says, or
+    by key buckets for merges that should rewrite only what they touch."""
+    file_format = "parquet" if spec.file_format == "iceberg" else spec.file_format
+    if buckets:
+        return VersionedTable(spark, root, file_format, bucket_by=spec.primary_keys, buckets=buckets)
+    return VersionedTable(spark, root, file_format, spec.partition_by)
+
+
 def prepare(spec: LoadSpec, source: DataFrame, load_ts: datetime | str) -> DataFrame:
     """Source rows as target rows: mapping, then technical columns. Narrow, no shuffle."""
     rows = project(source, spec.mapping)

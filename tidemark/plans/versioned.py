@@ -47,7 +47,8 @@ class VersionedTable:
     """One table under ``root``; one writer at a time.
 
     ``partition_by`` suits tables that are replaced or appended to. ``bucket_by`` with a
-    number of ``buckets`` suits tables that are merged into by these keys.
+    number of ``buckets`` suits tables that are merged into by these keys. History tables
+    are always partitioned by their current flag, first.
     """
 
     def __init__(
@@ -74,7 +75,8 @@ class VersionedTable:
 
     def manifest(self) -> Manifest | None:
         """The newest manifest; None before the first load."""
-        for number in sorted(map(int, self._names("manifest")), reverse=True):  # the newest one may be the remains of a commit that died
+        numbers = [int(name) for name in self._names("manifest") if name.isdigit()]
+        for number in sorted(numbers, reverse=True):  # the newest one may be the remains of a commit that died
             found = self.spark.read.schema(_MANIFEST).json(f"{self.root}/manifest/{number}").first()
             if found is not None:
                 if found["buckets"] != self._bucketing():
@@ -126,11 +128,19 @@ class VersionedTable:
         buckets: Sequence[int] | None = None,
     ) -> DataFrame:
         """Current rows of a history table: reads just their files."""
+        manifest = manifest or self.manifest()
+        self._only_history(manifest, versions)
         return self.read(manifest, f"{versions.is_current}=true", buckets)
 
     def _bucketing(self) -> str:
         return json.dumps([self.buckets, *self.bucket_by])
 
+    @staticmethod
+    def _only_history(manifest: Manifest | None, versions: Versions) -> None:
+        flags = {f"{versions.is_current}=true", f"{versions.is_current}=false"}
+        if manifest is not None and not all(flags & set(path.split("/")) for path in manifest.paths):
+            raise ValueError("the table was not written as a history table")
+
     def bucket(self) -> Column:
         """The bucket of a row: the same hash that Spark shuffles by, so that a merge's tasks
         (with a shuffle partition count that is a multiple of ``buckets``) hold one bucket each."""
@@ -177,6 +187,8 @@ class VersionedTable:
             return self.replace(df, load_id, load_ts, watermark)
         if load_id in old.loads:
             return {}
+        if any("/" in path for path in old.paths):
+            raise ValueError("a history table is merged into; it is not appended to")
         rows = df.select(*old.schema.names)
         number, figures = self._write(rows, old, self._figures(watermark), self.partition_by)
         paths = (*old.paths, f"{SEGMENT}={number}") if figures["rows"] else old.paths
@@ -225,16 +237,18 @@ class VersionedTable:
         """
         flag = versions.is_current
         old = self.manifest()
+        self._only_history(old, versions)
         figures = {
             **self._figures(None),
             "current": F.count_if(F.col(flag)),
             "closed": F.count_if(~F.col(flag)),
             "opened": F.count_if(F.col(flag) & (F.col(versions.valid_from) == instant(load_ts))),
         }
-        rows, layout = delta, [flag]
+        rows, values = delta, [name for name in self.partition_by if name != flag]
         if self.bucket_by:
-            rows, layout = delta.withColumn(BUCKET, self.bucket()), [flag, BUCKET]
-        number, found = self._write(rows, old, figures, layout, shuffle=bool(self.bucket_by) and old is None)
+            rows, values = delta.withColumn(BUCKET, self.bucket()), [BUCKET]
+        shuffle = bool(values) and (old is None or not self.bucket_by)
+        number, found = self._write(rows, old, figures, [flag, *values], shuffle=shuffle)
         history, current = f"{SEGMENT}={number}/{flag}=false", f"{SEGMENT}={number}/{flag}=true"
         paths = list(old.paths) if old else []
         if self.bucket_by:
