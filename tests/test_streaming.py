@@ -44,6 +44,19 @@ def test_late_copies_are_found_in_the_table(spark):
     assert rows(table.read().select("k", "v")) == [(1, "a"), (2, "b"), (3, "very late")]
 
 
+def test_a_stream_can_go_on(spark):
+    table = VersionedTable(spark, scratch_path(spark, "log"))
+    landing, checkpoint = scratch_path(spark, "landing"), scratch_path(spark, "checkpoint")
+    changes(spark, [(1, "a", 0)]).write.parquet(landing)
+    arriving = spark.readStream.schema(changes(spark, []).schema).parquet(landing)
+    query = stream_append(arriving, table, checkpoint, ["k"], "at", every="1 second")
+    query.processAllAvailable()
+    changes(spark, [(1, "a", 0), (2, "b", 0)]).write.mode("append").parquet(landing)
+    query.processAllAvailable()
+    query.stop()
+    assert rows(table.read().select("k", "v")) == [(1, "a"), (2, "b")]
+
+
 def test_row_times_survive_a_clock_change(spark):
     landing, out, checkpoint = (scratch_path(spark, n) for n in ("landing", "out", "checkpoint"))
     skipped_hour = spark.createDataFrame([(1, datetime(2024, 3, 10, 2, 30))], "k int, at timestamp_ntz")

@@ -14,6 +14,7 @@ from tidemark.operators.incremental import latest_per_key
 from tidemark.operators.scd2 import Versions
 from tidemark.plans.versioned import VersionedTable
 from tidemark.plans.workspace import staging
+from tidemark.streaming.incremental import started
 
 
 def merge_changes(
@@ -76,8 +77,9 @@ def stream_scd2(
     carry: Sequence[str] = (),
     late_path: str | None = None,
     cell: str = "auto",
+    every: str | None = None,
 ) -> StreamingQuery:
-    """Merge a change stream into a history table, micro-batch by micro-batch, then stop.
+    """Merge a change stream into a history table, micro-batch by micro-batch.
 
     The batch number is the load id, so a batch that Spark runs again after a failure is
     applied once.
@@ -86,5 +88,4 @@ def stream_scd2(
     def merge(batch: DataFrame, number: int) -> None:
         merge_changes(table, batch, f"batch-{number}", keys, tracked, ts, versions, carry, late_path, cell)
 
-    writer = stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
-    return writer.trigger(availableNow=True).start()
+    return started(stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint), every)

@@ -6,13 +6,19 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tidemark.operators.incremental import unloaded_rows
 from tidemark.plans.versioned import VersionedTable
 from tidemark.plans.workspace import staging
 
 
+def started(writer: DataStreamWriter, every: str | None) -> StreamingQuery:
+    """Start a stream: work off what has arrived and stop, or go on ``every`` interval."""
+    trigger = {"processingTime": every} if every else {"availableNow": True}
+    return writer.trigger(**trigger).start()
+
+
 def stream_incremental(
     stream: DataFrame, keys: Sequence[str], ts: str, delay: str, splits: int = 64
 ) -> DataFrame:
@@ -33,9 +39,14 @@ def stream_incremental(
 
 
 def stream_append(
-    stream: DataFrame, table: VersionedTable, checkpoint: str, keys: Sequence[str], order: str
+    stream: DataFrame,
+    table: VersionedTable,
+    checkpoint: str,
+    keys: Sequence[str],
+    order: str,
+    every: str | None = None,
 ) -> StreamingQuery:
-    """Append rows of new keys to a table, micro-batch by micro-batch, then stop.
+    """Append rows of new keys to a table, micro-batch by micro-batch.
 
     However late a copy comes, it finds its key in the table. The batch number is the load
     id, so a batch that Spark runs again after a failure is appended once.
@@ -49,8 +60,7 @@ def stream_append(
             target = rows.limit(0) if manifest is None else table.read(manifest)
             table.append(unloaded_rows(target, rows, keys, order), load_id)
 
-    writer = stream.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint)
-    return writer.trigger(availableNow=True).start()
+    return started(stream.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint), every)
 
 
 def append_stream(
@@ -59,9 +69,10 @@ def append_stream(
     checkpoint: str,
     file_format: str = "parquet",
     partition_by: Sequence[str] = (),
+    every: str | None = None,
 ) -> StreamingQuery:
-    """Append what has arrived so far and stop. The checkpoint remembers where it got to."""
+    """Append what arrives. The checkpoint remembers where it got to."""
     writer = stream.writeStream.format(file_format).outputMode("append").option("checkpointLocation", checkpoint)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    return writer.option("path", path).trigger(availableNow=True).start()
+    return started(writer.option("path", path), every)
