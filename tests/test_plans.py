@@ -360,6 +360,20 @@ def test_scd2_run_closing_missing_keys(spark, options):
     assert rows(table.read().where("k = 2").select("is_current")) == [(False,), (True,)]
 
 
+@pytest.mark.parametrize("buckets", [8, 5])
+def test_a_merge_writes_few_files(spark, buckets):
+    """4 shuffle partitions: 8 buckets fall into whole tasks, 5 need to be brought together."""
+    table = fresh(spark, bucket_by=["k"], buckets=buckets)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for ts, letter in ((T1, "a"), (T2, "b")):
+            run_load(spec(Scd1(["k"])), source(spark, [(k, letter, 1) for k in range(400)]), table, ts)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(table.read().inputFiles()) == buckets
+    assert rows(table.read().groupBy("a").count()) == [("B", 400)]
+
+
 def test_partitions_are_kept_by_every_strategy(spark):
     for strategy in (Full(), Incremental(["k"], "w", "changed_at"), Scd1(["k"]), Scd2(["k"], ["a", "w"])):
         found = spec(strategy, partition_by=("a",), file_format="iceberg")

@@ -142,10 +142,18 @@ class VersionedTable:
             raise ValueError("the table was not written as a history table")
 
     def bucket(self) -> Column:
-        """The bucket of a row: the same hash that Spark shuffles by, so that a merge's tasks
-        (with a shuffle partition count that is a multiple of ``buckets``) hold one bucket each."""
+        """The bucket of a row, by the same hash that Spark shuffles by."""
         return F.pmod(F.hash(*self.bucket_by), F.lit(self.buckets))
 
+    def _tasks_hold_buckets(self) -> bool:
+        """Whether the tasks of a merge hold whole buckets, or parts of one bucket each: so if
+        one of the numbers of shuffle partitions and of buckets divides the other. Otherwise
+        rows are brought together before writing, as each task would write to many buckets."""
+        settings = self.spark.conf
+        initial = settings.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+        partitions = int(initial or settings.get("spark.sql.shuffle.partitions"))
+        return partitions % self.buckets == 0 or self.buckets % partitions == 0
+
     def touched_buckets(self, batch: DataFrame, manifest: Manifest | None = None) -> list[int] | None:
         """Buckets that a batch has keys in; None for a table without buckets."""
         if not self.bucket_by:
@@ -213,7 +221,7 @@ class VersionedTable:
             return self.replace(merged, load_id, load_ts, watermark)
         old = self.manifest()
         rows = merged.withColumn(BUCKET, self.bucket())
-        number, figures = self._write(rows, old, self._figures(watermark), [BUCKET], shuffle=old is None)
+        number, figures = self._write(rows, old, self._figures(watermark), [BUCKET], old is None or not self._tasks_hold_buckets())
         high = figures.get("watermark") or (old.watermark if old else None)
         kept = [p for p in old.paths if _bucket_of(p) not in (buckets or ())] if old else []
         new = self._bucket_paths(f"{SEGMENT}={number}")
@@ -247,7 +255,7 @@ class VersionedTable:
         rows, values = delta, [name for name in self.partition_by if name != flag]
         if self.bucket_by:
             rows, values = delta.withColumn(BUCKET, self.bucket()), [BUCKET]
-        shuffle = bool(values) and (old is None or not self.bucket_by)
+        shuffle = bool(values) and (old is None or not self.bucket_by or not self._tasks_hold_buckets())
         number, found = self._write(rows, old, figures, [flag, *values], shuffle=shuffle)
         history, current = f"{SEGMENT}={number}/{flag}=false", f"{SEGMENT}={number}/{flag}=true"
         paths = list(old.paths) if old else []
