@@ -159,8 +159,7 @@ def forest(keys: np.ndarray, fps: np.ndarray, radius: int) -> list[tuple[int, in
     while len(at):
         at = at[at + step < len(keys)]
         at = at[keys[at] == keys[at + step]]
-        near = at[(d := np.bitwise_count(fps[at] ^ fps[at + step])) <= radius] if len(at) else at
-        del d
+        near = at[np.bitwise_count(fps[at] ^ fps[at + step]) <= radius]
         for a, b in zip(fps[near].tolist(), fps[near + step].tolist(), strict=True):
             x, y = top(a), top(b)
             if x != y:
