@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.llm.bpe import round_trip_digests
 from tidemark.llm.simhash import simhash_query
 
 
@@ -18,6 +20,12 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_query(documents(spark, sf_dir))
 
 
+def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids and decoded text of every document, as digests."""
+    return round_trip_digests(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+
+
 REGISTERED: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op7_simhash": (op7_simhash, None),
+    "op8_bpe": (op8_bpe, None),
 }
