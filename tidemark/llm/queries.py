@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.bpe import round_trip_digests
+from tidemark.llm.pii import personal_data_query
 from tidemark.llm.simhash import simhash_query
 
 
@@ -15,6 +16,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of personal data in every document."""
+    return personal_data_query(documents(spark, sf_dir))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     return simhash_query(documents(spark, sf_dir))
@@ -26,6 +32,7 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTERED: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
+    "op1_pii": (op1_pii, None),
     "op7_simhash": (op7_simhash, None),
     "op8_bpe": (op8_bpe, None),
 }
