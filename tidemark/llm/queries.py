@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.bpe import round_trip_digests
 from tidemark.llm.pii import personal_data_query
+from tidemark.llm.secrets import secrets_query
 from tidemark.llm.simhash import simhash_query
 
 
@@ -21,6 +22,11 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data_query(documents(spark, sf_dir))
 
 
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of secrets in every document."""
+    return secrets_query(documents(spark, sf_dir))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     return simhash_query(documents(spark, sf_dir))
@@ -33,6 +39,7 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 REGISTERED: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_pii": (op1_pii, None),
+    "op2_secrets": (op2_secrets, None),
     "op7_simhash": (op7_simhash, None),
     "op8_bpe": (op8_bpe, None),
 }
