@@ -11,6 +11,7 @@ from tidemark.llm.bpe import round_trip_digests
 from tidemark.llm.pii import personal_data_query
 from tidemark.llm.secrets import secrets_query
 from tidemark.llm.simhash import simhash_query
+from tidemark.llm.warc import warc_query
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,9 +38,15 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip_digests(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to archives and read back."""
+    return warc_query(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 REGISTERED: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_pii": (op1_pii, None),
     "op2_secrets": (op2_secrets, None),
     "op7_simhash": (op7_simhash, None),
     "op8_bpe": (op8_bpe, None),
+    "op10_warc": (op10_warc, None),
 }
