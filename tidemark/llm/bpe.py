@@ -214,8 +214,6 @@ class Encoder:
 
     def learn(self, chunks: set[str]) -> None:
         """Encodes chunks: words in the automaton together, the others by merging."""
-        if len(self.kept) + len(chunks) > KEPT:
-            self.kept.clear()
         split = [(c, self.tokenizer.words.findall(c)) for c in chunks]
         words = list({w for _, ws in split for w in ws})
         numbers = self.lexicon.numbers([w.encode() for w in words])
@@ -235,8 +233,10 @@ class Encoder:
                 block.append(self.segments(texts[at]))
                 size += len(texts[at])
                 at += 1
-            chunks = {c for text in block for _, cs in text for c in cs} - self.kept.keys()
-            self.learn(chunks)
+            chunks = {c for text in block for _, cs in text for c in cs}
+            if len(self.kept) + len(chunks) > KEPT:
+                self.kept.clear()
+            self.learn(chunks - self.kept.keys())
             kept = self.kept
             for text in block:
                 ids: list[int] = []

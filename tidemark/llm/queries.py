@@ -8,9 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.bpe import round_trip_digests
+from tidemark.llm.language import identify
 from tidemark.llm.pii import personal_data_query
 from tidemark.llm.secrets import secrets_query
 from tidemark.llm.simhash import simhash_query
+from tidemark.llm.toxicity import severity, train
 from tidemark.llm.warc import warc_query
 
 
@@ -28,6 +30,17 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets_query(documents(spark, sf_dir))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected severity of every document."""
+    docs = documents(spark, sf_dir)
+    return severity(docs, train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from two thirds of them."""
+    return identify(documents(spark, sf_dir))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     return simhash_query(documents(spark, sf_dir))
@@ -46,6 +59,8 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 REGISTERED: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_pii": (op1_pii, None),
     "op2_secrets": (op2_secrets, None),
+    "op3_toxicity": (op3_toxicity, None),
+    "op4_language": (op4_language, None),
     "op7_simhash": (op7_simhash, None),
     "op8_bpe": (op8_bpe, None),
     "op10_warc": (op10_warc, None),
