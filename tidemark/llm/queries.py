@@ -12,6 +12,7 @@ from tidemark.llm.language import identify
 from tidemark.llm.pii import personal_data_query
 from tidemark.llm.secrets import secrets_query
 from tidemark.llm.simhash import simhash_query
+from tidemark.llm.topk import TOP_K_SQL, top_k
 from tidemark.llm.toxicity import severity, train
 from tidemark.llm.warc import warc_query
 
@@ -41,6 +42,11 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(documents(spark, sf_dir))
 
 
+def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best inner products of every fiftieth vector with all others."""
+    return top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     return simhash_query(documents(spark, sf_dir))
@@ -61,6 +67,7 @@ REGISTERED: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None
     "op2_secrets": (op2_secrets, None),
     "op3_toxicity": (op3_toxicity, None),
     "op4_language": (op4_language, None),
+    "op6_topk": (op6_topk, TOP_K_SQL),
     "op7_simhash": (op7_simhash, None),
     "op8_bpe": (op8_bpe, None),
     "op10_warc": (op10_warc, None),
