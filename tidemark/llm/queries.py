@@ -12,6 +12,7 @@ from tidemark.llm.language import identify
 from tidemark.llm.pii import personal_data_query
 from tidemark.llm.secrets import secrets_query
 from tidemark.llm.simhash import simhash_query
+from tidemark.llm.suffixes import suffix_query
 from tidemark.llm.topk import TOP_K_SQL, top_k
 from tidemark.llm.toxicity import severity, train
 from tidemark.llm.warc import warc_query
@@ -57,6 +58,11 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip_digests(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op9_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without the strings of 100 bytes that start earlier."""
+    return suffix_query(documents(spark, sf_dir))
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page written to archives and read back."""
     return warc_query(spark.read.parquet(f"{sf_dir}/pages.parquet"))
@@ -70,5 +76,6 @@ REGISTERED: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None
     "op6_topk": (op6_topk, TOP_K_SQL),
     "op7_simhash": (op7_simhash, None),
     "op8_bpe": (op8_bpe, None),
+    "op9_suffix": (op9_suffix, None),
     "op10_warc": (op10_warc, None),
 }
