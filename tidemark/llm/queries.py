@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.bpe import round_trip_digests
+from tidemark.llm.decontaminate import contaminated
 from tidemark.llm.language import identify
 from tidemark.llm.pii import personal_data_query
 from tidemark.llm.secrets import secrets_query
@@ -43,6 +44,11 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(documents(spark, sf_dir))
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items found in the documents."""
+    return contaminated(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five best inner products of every fiftieth vector with all others."""
     return top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
@@ -73,6 +79,7 @@ REGISTERED: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None
     "op2_secrets": (op2_secrets, None),
     "op3_toxicity": (op3_toxicity, None),
     "op4_language": (op4_language, None),
+    "op5_decontaminate": (op5_decontaminate, None),
     "op6_topk": (op6_topk, TOP_K_SQL),
     "op7_simhash": (op7_simhash, None),
     "op8_bpe": (op8_bpe, None),
