@@ -2,7 +2,7 @@
 
 Toxic documents go, one document of each near-duplicate group stays, documents that hold benchmark items
 go, secrets are masked in what is left, and the last stage gives the token ids. ``run`` writes each stage's
-rows and the next one reads them. A SHA-based tokenizer, fingerprints and trained models are beyond SQL,
+rows and the next one reads them. Trained models, fingerprints and tokenizers are beyond SQL,
 so ``ORACLE_SQL`` is None; ``tests/llm`` has a brute-force version.
 """
 
