@@ -10,8 +10,9 @@ row: leading token, fingerprint of the run's bytes, document, start, number of s
 The rows are range-partitioned by leading token and fingerprint with splitters that Spark samples, and
 each bucket sorts them by multikey quicksort. Of equal runs all but the first are repeats. Runs that share
 the leading token but differ may still share strings; so may those at a bucket's edges, whose token can
-go on in the next bucket. Their strings are then compared one by one: counted by fingerprint with partial
-minima, so a token or string that very many documents have is no task's burden.
+go on in the next bucket. These runs are spelled out, dealt and sorted the same way, and a bucket compares
+their strings one by one. Only the strings of tokens at its edges are compared across boundaries, and only
+the first of each that a bucket has, so one that very many documents have comes once from each bucket.
 
 Fingerprints have 128 bits; strings count as equal when both halves are.
 
@@ -25,7 +26,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import zstandard
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import mixed, staged, text_bytes, whole_partition
@@ -33,7 +35,7 @@ from tidemark.llm.common import mixed, staged, text_bytes, whole_partition
 LENGTH = 100
 GRAM = 32
 PIECE = 1 << 18
-REPEAT, OPEN, FIRST = 1, 2, 3
+REPEAT, OPEN = 1, 2
 
 
 class Hashes:
@@ -94,7 +96,7 @@ def pieces(texts: list[bytes], length: int) -> Iterator[list[tuple[int, int, byt
 
 
 def runs(block: list[tuple[int, int, bytes]], length: int, gram: int) -> tuple[np.ndarray, ...]:
-    """(document, start, count, token, fingerprint) of the runs of strings in a block."""
+    """(document, start, count, token, fingerprint, anchor's distance) of the runs of strings in a block."""
     sizes = np.array([len(p) for _, _, p in block])
     begins = np.cumsum(sizes) - sizes
     data = np.frombuffer(b"".join(p for _, _, p in block), dtype=np.uint8)
@@ -115,7 +117,7 @@ def runs(block: list[tuple[int, int, bytes]], length: int, gram: int) -> tuple[n
     piece = np.searchsorted(begins, low, side="right") - 1
     document = np.array([i for i, _, _ in block])[piece]
     offset = np.array([o for _, o, _ in block])[piece] - begins[piece]
-    return document, low + offset, count, tokens[anchor], whole
+    return document, low + offset, count, tokens[anchor], whole, anchor - low
 
 
 def multikey_order(columns: list[np.ndarray]) -> np.ndarray:
@@ -134,13 +136,33 @@ def multikey_order(columns: list[np.ndarray]) -> np.ndarray:
     return order
 
 
-def coded(start, count, kind):
-    """A run in a number: where it starts, how many strings, what they are."""
-    return (start << 16) | (count << 2) | kind
+def coded(start, count, distance, kind):
+    """A run in a number: where it starts, how many strings, how far its anchor is, what it is."""
+    return (start << 29) | (count << 9) | (distance << 2) | kind
+
+
+def decoded(code: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return code >> 29, (code >> 9) & 0xFFFFF, (code >> 2) & 0x7F
+
+
+def joined(doc: np.ndarray, start: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(doc, code) of repeats, those that follow each other as one (up to the ends of pieces)."""
+    order = np.lexsort((start, doc))
+    doc, start, count = doc[order], start[order], count[order]
+    new = np.ones(len(doc), dtype=bool)
+    new[1:] = (doc[1:] != doc[:-1]) | (start[1:] != start[:-1] + count[:-1]) | (start[1:] % PIECE == 0)
+    first = np.flatnonzero(new)
+    total = np.add.reduceat(count, first) if len(first) else count
+    return doc[first], coded(start[first], total, 0, REPEAT)
+
+
+def rows_of(**columns: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c.view(np.int64) if c.dtype == np.uint64 else c) for c in columns.values()], list(columns))
 
 
 def anchored(docs: DataFrame, length: int, gram: int) -> DataFrame:
-    """The runs of every text; ``known`` are those that a batch has met before."""
+    """The runs of every text. Repeats that a batch sees by itself need no comparison, only passage: they
+    are joined to long runs and go to any bucket."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -148,20 +170,16 @@ def anchored(docs: DataFrame, length: int, gram: int) -> DataFrame:
             found = [runs(block, length, gram) for block in pieces(text_bytes(b.column(1)), length)]
             if not found:
                 continue
-            document, start, count, token, whole = (np.concatenate([f[i] for f in found]) for i in range(5))
+            document, start, count, token, whole, distance = (np.concatenate([f[i] for f in found]) for i in range(6))
             doc = ids[document]
             order = multikey_order([token, whole, doc, start])
-            t, w = token[order], whole[order]
             known = np.zeros(len(order), dtype=bool)
-            known[1:] = (t[1:] == t[:-1]) & (w[1:] == w[:-1])
-            doc, start, count = doc[order], start[order], count[order]
-            # a known repeat needs no comparison, only passage: it goes to any bucket
-            t = np.where(known, mixed(doc.astype(np.uint64) ^ mixed(start.astype(np.uint64))), t)
-            w = np.where(known, np.uint64(0), w)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(t.view(np.int64)), pa.array(w.view(np.int64)), pa.array(doc), pa.array(coded(start, count, np.where(known, REPEAT, OPEN)))],
-                ["token", "whole", "doc", "code"],
-            )
+            known[order[1:]] = (token[order][1:] == token[order][:-1]) & (whole[order][1:] == whole[order][:-1])
+            fresh = ~known
+            yield rows_of(token=token[fresh], whole=whole[fresh], doc=doc[fresh], code=coded(start[fresh], count[fresh], distance[fresh], OPEN))
+            if known.any():
+                doc, code = joined(doc[known], start[known], count[known])
+                yield rows_of(token=mixed(doc.astype(np.uint64) ^ mixed(code.astype(np.uint64))), whole=np.zeros(len(doc), np.uint64), doc=doc, code=code)
 
     return docs.select("doc", "text").mapInArrow(run, "token long, whole long, doc long, code long")
 
@@ -185,49 +203,109 @@ def bucketed(rows: DataFrame, parts: int) -> DataFrame:
         different = np.bincount(group, weights=new_run) > 1
         if len(different):
             different[[0, -1]] = True  # the token may go on in the bucket before or after
-        kept = ~new_run | different[group]
-        codes = np.where(new_run, code[order], (code[order] & ~3) | REPEAT)[kept]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate([columns[2][known], doc[order][kept]])), pa.array(np.concatenate([columns[3][known], codes]))], ["doc", "code"]
+        start, count, _ = decoded(code[order][~new_run])
+        doc_of_repeats, repeats = joined(doc[order][~new_run], start, count)
+        still = new_run & different[group]
+        yield rows_of(
+            doc=np.concatenate([columns[2][known], doc_of_repeats, doc[order][still]]), code=np.concatenate([columns[3][known], repeats, code[order][still]])
         )
 
     return rows.repartitionByRange(parts, "token", "whole").mapInArrow(compare, "doc long, code long")
 
 
-def strings(texts: DataFrame, length: int) -> DataFrame:
-    """(high, low, doc, start) of each string of the open runs: rows (doc, text, codes)."""
+def spelled(texts: DataFrame, length: int, gram: int) -> DataFrame:
+    """(token, whole, doc, code, bytes) of the open runs of rows (doc, packed text, codes)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        h = hashes(2 * (PIECE + length))
         for b in batches:
-            for doc, text, codes in zip(b.column(0).to_pylist(), text_bytes(b.column(1)), b.column(2).to_pylist(), strict=True):
+            for doc, text, codes in zip(b.column(0).to_pylist(), unpacked(b.column(1)), b.column(2).to_pylist(), strict=True):
                 code = np.sort(np.array(codes, dtype=np.int64))
-                begin, count = code >> 16, (code >> 2) & 0x3FFF
+                start, count, distance = decoded(code)
                 for at in range(0, len(text), PIECE):
-                    some = (begin >= at) & (begin < at + PIECE)
+                    some = (start >= at) & (start < at + PIECE)
                     if not some.any():
                         continue
-                    n = count[some]
-                    start = np.repeat(begin[some] - (np.cumsum(n) - n), n) + np.arange(n.sum())
                     data = np.frombuffer(text[at : at + PIECE + 2 * length], dtype=np.uint8)
-                    h, place = hashes(2 * (PIECE + length)), start - at
-                    high, low = (h.between(h.sums(data, i), place, place + length).view(np.int64) for i in (0, 1))
+                    low, stop = start[some] - at, start[some] - at + count[some] + length - 1
+                    anchor = low + distance[some]
+                    token = mixed(h.between(h.sums(data, 0), anchor, anchor + gram))
+                    whole = mixed(h.between(h.sums(data, 1), low, stop))
+                    spans = [text[at + i : at + j] for i, j in zip(low.tolist(), stop.tolist(), strict=True)]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(high), pa.array(low), pa.array(np.full(len(start), doc)), pa.array(start)], ["high", "low", "doc", "start"]
+                        [pa.array(token.view(np.int64)), pa.array(whole.view(np.int64)), pa.array(np.full(len(low), doc)), pa.array(code[some]), pa.array(spans, pa.binary())],
+                        ["token", "whole", "doc", "code", "bytes"],
                     )
 
-    return texts.mapInArrow(run, "high long, low long, doc long, start long")
+    return texts.mapInArrow(run, "token long, whole long, doc long, code long, bytes binary")
+
+
+def compared(rows: DataFrame, parts: int, length: int) -> DataFrame:
+    """(doc, code, high, low): strings that repeat, joined; and, with their fingerprint, the first of each
+    string whose token is at an edge of its bucket."""
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = [b for b in batches if b.num_rows]
+        if not table:
+            return
+        token, doc, code = (np.concatenate([b.column(i).to_numpy() for b in table]) for i in (0, 2, 3))
+        spans = [x for b in table for x in b.column(4).to_pylist()]
+        edge = np.isin(token, [token.min(), token.max()])
+        # a few tokens at a time, so that the strings of a bucket are never all in memory
+        order = multikey_order([token, doc, code])
+        size = np.cumsum([len(spans[i]) for i in order])
+        cuts = np.flatnonzero(np.concatenate([[True], token[order][1:] != token[order][:-1]]))
+        ends = np.append(cuts[1:], len(order))
+        at = 0
+        while at < len(cuts):
+            base = size[cuts[at] - 1] if cuts[at] else 0
+            to = max(int(np.searchsorted(size[ends - 1], base + PIECE, side="right")), at + 1)
+            yield from settled([order[i] for i in range(cuts[at], ends[to - 1])], spans, doc, code, edge)
+            at = to
+
+    def settled(rows, spans, doc, code, edge) -> Iterator[pa.RecordBatch]:
+        sizes = np.array([len(spans[i]) for i in rows])
+        data = np.frombuffer(b"".join(spans[i] for i in rows), dtype=np.uint8)
+        h = hashes(1 << max(20, int(len(data) + 1).bit_length()))
+        count = sizes - length + 1
+        begin = np.repeat(np.cumsum(sizes) - sizes - (np.cumsum(count) - count), count) + np.arange(count.sum())
+        high, low = (h.between(h.sums(data, i), begin, begin + length) for i in (0, 1))
+        own = np.repeat(np.array(rows), count)
+        place = np.arange(len(own)) - np.repeat(np.cumsum(count) - count, count)
+        of, start = doc[own], (code[own] >> 29) + place
+        order = multikey_order([high, low, of, start])
+        again = np.zeros(len(order), dtype=bool)
+        again[order[1:]] = (high[order][1:] == high[order][:-1]) & (low[order][1:] == low[order][:-1])
+        docs, codes = joined(of[again], start[again], np.ones(again.sum(), dtype=np.int64))
+        none = pa.nulls(len(docs), pa.int64())
+        yield pa.RecordBatch.from_arrays([pa.array(docs), pa.array(codes), none, none], ["doc", "code", "high", "low"])
+        asked = edge[own] & ~again
+        yield rows_of(doc=of[asked], code=coded(start[asked], 1, 0, REPEAT), high=high[asked], low=low[asked])
+
+    return rows.repartitionByRange(parts, "token", "whole").mapInArrow(compare, "doc long, code long, high long, low long")
 
 
 def covered(size: int, codes: list[int], length: int) -> np.ndarray:
     """Which bytes a repeated string covers."""
-    code = np.array(codes, dtype=np.int64)
-    kind, start, count = code & 3, code >> 16, (code >> 2) & 0x3FFF
-    run = kind != FIRST
-    edges = np.bincount(start[run], minlength=size + 1)[: size + 1] - np.bincount(start[run] + count[run], minlength=size + 1)[: size + 1]
-    repeated = np.cumsum(edges)[:size] > 0
-    repeated[start[~run]] = False
-    total = np.concatenate([[0], np.cumsum(repeated)])
-    return total[1:] - total[np.maximum(np.arange(1, size + 1) - length, 0)] > 0
+    start, count, _ = decoded(np.array(codes, dtype=np.int64))
+    edges = np.bincount(start, minlength=size + 1)[: size + 1] - np.bincount(start + count + length - 1, minlength=size + 1)[: size + 1]
+    return np.cumsum(edges)[:size] > 0
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    """(doc, doc_id, text) with texts as compressed bytes, for a shuffle."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        press = zstandard.ZstdCompressor(level=1)
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([press.compress(t) for t in text_bytes(b.column(2))], pa.binary())], ["doc", "doc_id", "text"])
+
+    return docs.mapInArrow(run, "doc long, doc_id long, text binary")
+
+
+def unpacked(column: pa.Array) -> list[bytes]:
+    open_ = zstandard.ZstdDecompressor()
+    return [open_.decompress(t) for t in column.to_pylist()]
 
 
 def ordered_documents(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -242,18 +320,20 @@ def ordered_documents(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def with_repeats(docs: DataFrame, id_col: str, text_col: str, length: int, gram: int) -> DataFrame:
-    """(doc_id, text, codes): every row with the runs that say what to remove."""
+    """(doc_id, packed text, codes): every row with the runs that say what to remove."""
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = ordered_documents(docs, id_col, text_col)
     found = staged(bucketed(anchored(rows, length, gram), parts), "repeated-runs")
-    # the texts are dealt by document once; both joins below read that exchange
-    dealt = rows.repartition(parts, "doc")
-    still = found.where(F.col("code").bitwiseAND(3) == OPEN).groupBy("doc").agg(F.collect_list("code").alias("codes"))
-    each = strings(dealt.join(still, "doc").select("doc", "text", "codes"), length)
-    first = each.groupBy("high", "low").agg(F.min(F.struct("doc", "start")).alias("at"))
-    firsts = first.select("at.doc", (F.shiftleft("at.start", 16) + 4 + FIRST).alias("code"))
-    told = found.unionByName(firsts).groupBy("doc").agg(F.collect_list("code").alias("codes"))
-    return dealt.join(told, "doc", "left").select("doc_id", "text", "codes")
+    texts, kind = packed(rows), F.col("code").bitwiseAND(3)
+    still = found.where(kind == OPEN).groupBy("doc").agg(F.collect_list("code").alias("codes"))
+    each = spelled(texts.join(still, "doc").select("doc", "text", "codes"), length, gram)
+    each = staged(compared(each, parts, length), "repeated-strings")
+    # across boundaries: a string comes at most once from each bucket
+    place = F.row_number().over(Window.partitionBy("high", "low").orderBy("doc", "code"))
+    across = each.where("high is not null").withColumn("place", place).where("place > 1").select("doc", "code")
+    told = found.where(kind == REPEAT).unionByName(each.where("high is null").select("doc", "code")).unionByName(across)
+    told = told.groupBy("doc").agg(F.collect_list("code").alias("codes"))
+    return texts.join(told, "doc", "left").select("doc_id", "text", "codes")
 
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM) -> DataFrame:
@@ -262,7 +342,7 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows: list[list] = [[], [], [], []]
-            for text, codes in zip(text_bytes(b.column(1)), b.column(2).to_pylist(), strict=True):
+            for text, codes in zip(unpacked(b.column(1)), b.column(2).to_pylist(), strict=True):
                 gone = covered(len(text), codes or [], length)
                 edges = np.diff(np.concatenate([[0], gone.view(np.int8)]))
                 kept = np.frombuffer(text, dtype=np.uint8)[~gone].tobytes()
