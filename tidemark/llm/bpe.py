@@ -22,7 +22,7 @@ import unicodedata
 import uuid
 from collections import Counter
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -33,8 +33,9 @@ from pyspark.sql import functions as F
 
 WORDS = 32_768
 SEEN = 8
-KEPT = 200_000
+KEPT = 250_000
 LONG = 64
+BITS, MASK, NONE = 20, (1 << 20) - 1, 1 << 62
 ODD_SPACE = re.compile("[\x1c-\x1f]")
 
 
@@ -55,9 +56,14 @@ class Tokenizer:
         self.pattern = split["pattern"]["Regex"]
         self.ids: dict[str, int] = found["model"]["vocab"]
         self.end: str = found["model"]["end_of_word_suffix"]
-        self.ranks = {tuple(m): i for i, m in enumerate(found["model"]["merges"])}
+        #: for a pair of ids (one in the upper, one in the lower bits) its rank and the id of the two together
+        self.pairs = {
+            self.ids[a] << BITS | self.ids[b]: i << BITS | self.ids[a + b] for i, (a, b) in enumerate(found["model"]["merges"])
+        }
         self.special = {t["content"]: t["id"] for t in found["added_tokens"]}
-        self.letters = byte_letters()
+        letters = byte_letters()
+        self.inner = [self.ids[c] for c in letters]
+        self.last = [self.ids[c + self.end] for c in letters]
         self.ready()
 
     def ready(self) -> None:
@@ -79,26 +85,43 @@ class Tokenizer:
 
     def merged(self, word: str) -> list[int]:
         """Ids of one word: the pair of lowest rank, leftmost first, is merged until none has a rank."""
-        parts: list[str | None] = [self.letters[b] for b in word.encode()]
-        if not parts:
+        raw = word.encode()
+        if not raw:
             return []
-        parts[-1] += self.end
-        n = len(parts)
-        after, before, ranks = [*range(1, n), -1], [*range(-1, n - 1)], self.ranks
-        heap = [(r, i, parts[i], parts[i + 1]) for i in range(n - 1) if (r := ranks.get((parts[i], parts[i + 1]))) is not None]
+        ids = [self.inner[b] for b in raw]
+        ids[-1] = self.last[raw[-1]]
+        if len(ids) > LONG:
+            return self.merged_long(ids)
+        get = self.pairs.get
+        ranks = [get(a << BITS | b, NONE) for a, b in pairwise(ids)]
+        while ranks and (least := min(ranks)) != NONE:
+            i = ranks.index(least)
+            ids[i] = least & MASK
+            del ids[i + 1], ranks[i]
+            if i < len(ranks):
+                ranks[i] = get(ids[i] << BITS | ids[i + 1], NONE)
+            if i:
+                ranks[i - 1] = get(ids[i - 1] << BITS | ids[i], NONE)
+        return ids
+
+    def merged_long(self, ids: list[int]) -> list[int]:
+        """The same with a heap, for words where looking at all pairs each time would take too long."""
+        n, get = len(ids), self.pairs.get
+        after, before = [*range(1, n), -1], [*range(-1, n - 1)]
+        heap = [(r, i) for i, (a, b) in enumerate(pairwise(ids)) if (r := get(a << BITS | b, NONE)) != NONE]
         heapq.heapify(heap)
         while heap:
-            _, i, left, right = heapq.heappop(heap)
+            rank, i = heapq.heappop(heap)
             j = after[i]
-            if j < 0 or parts[i] != left or parts[j] != right:
+            if ids[i] < 0 or j < 0 or get(ids[i] << BITS | ids[j]) != rank:
                 continue
-            parts[i], parts[j], after[i] = left + right, None, after[j]
+            ids[i], ids[j], after[i] = rank & MASK, -1, after[j]
             if after[i] >= 0:
                 before[after[i]] = i
             for a, b in ((before[i], i), (i, after[i])):
-                if a >= 0 and b >= 0 and (r := ranks.get((parts[a], parts[b]))) is not None:
-                    heapq.heappush(heap, (r, a, parts[a], parts[b]))
-        return [self.ids[p] for p in parts if p is not None]
+                if a >= 0 and b >= 0 and (r := get(ids[a] << BITS | ids[b], NONE)) != NONE:
+                    heapq.heappush(heap, (r, a))
+        return [i for i in ids if i >= 0]
 
     def decode(self, ids) -> str:
         """The tokens as they stand, with a space between: the file names no decoder."""
@@ -172,7 +195,7 @@ class Lexicon:
         at = 4096
         for name, size in sizes.items():
             array = np.memmap(path, dtype="<i8", mode="r", offset=at, shape=(size,)) if size else np.zeros(0, np.int64)
-            setattr(self, name, array)
+            setattr(self, name, array.view(np.ndarray))
             at += 8 * size
 
     def numbers(self, words: list[bytes]) -> np.ndarray:
@@ -206,15 +229,18 @@ class Lexicon:
 
 
 class Encoder:
-    """Encodes texts; keeps what chunks between white space gave, up to a bound."""
+    """Encodes texts; keeps what chunks between white space gave, the newest and as many before them."""
 
     def __init__(self, tokenizer: Tokenizer, lexicon: Lexicon):
         self.tokenizer, self.lexicon = tokenizer, lexicon
         self.kept: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, tuple[int, ...]] = {}
 
     def learn(self, chunks: set[str]) -> None:
         """Encodes chunks: words in the automaton together, the others by merging."""
-        split = [(c, self.tokenizer.words.findall(c)) for c in chunks]
+        for c in chunks & self.older.keys():
+            self.kept[c] = self.older[c]
+        split = [(c, [c] if c.isalpha() else self.tokenizer.words.findall(c)) for c in chunks - self.older.keys()]
         words = list({w for _, ws in split for w in ws})
         numbers = self.lexicon.numbers([w.encode() for w in words])
         known = {
@@ -235,7 +261,7 @@ class Encoder:
                 at += 1
             chunks = {c for text in block for _, cs in text for c in cs}
             if len(self.kept) + len(chunks) > KEPT:
-                self.kept.clear()
+                self.kept, self.older = {}, self.kept
             self.learn(chunks - self.kept.keys())
             kept = self.kept
             for text in block:
