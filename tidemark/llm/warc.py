@@ -93,7 +93,7 @@ class Roll:
         if self.out is None:
             self.name = f"part-{self.part:06d}-{self.count:05d}.warc.gz"
             self.temporary = f"temporary-{self.attempt}-{self.name}"
-            self.out = self.files.open_output_stream(f"{self.folder}/{self.temporary}")
+            self.out = self.files.open_output_stream(f"{self.folder}/{self.temporary}", compression=None)
             self.records, self.bytes, self.sha = 0, 0, hashlib.sha256()
         self.out.write(data)
         self.sha.update(data)
@@ -213,7 +213,7 @@ def read_warc(spark: SparkSession, folder: str, payloads: bool = True) -> DataFr
         for b in batches:
             for name, records in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
                 rows, count, size = [], 0, 0
-                with files.open_input_stream(f"{path}/{name}") as stream:
+                with files.open_input_stream(f"{path}/{name}", compression=None) as stream:
                     for data in members(stream):
                         fields, block = parsed(data)
                         digest = fields["warc-payload-digest"].removeprefix("sha1:")
