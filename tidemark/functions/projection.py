@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -72,12 +73,36 @@ class ColumnMap:
         pattern = text_pattern(kind) if text else None
         if pattern is None:
             return f"try_cast({value} as {kind})"
+        pattern = pattern.replace("\\", "\\\\")  # as a SQL literal
         return f"case when {value} rlike '{pattern}' then try_cast({value} as {kind}) end"
 
 
-def project(df: DataFrame, mapping: Sequence[ColumnMap], strict: bool = False) -> DataFrame:
-    """Apply a mapping. A narrow projection, so the scan reads mapped columns only."""
-    return df.select(*mapped_columns(df, mapping, strict))
+ANSI = "spark.sql.ansi.enabled"
+
+
+@contextmanager
+def lenient(spark: SparkSession, strict: bool = False) -> Iterator[None]:
+    """Within it, expressions are analysed so that bad values give NULL instead of failing.
+
+    An expression keeps what held when it was analysed, so the setting is needed only while a
+    projection is made, not while it runs; it is put back at the end.
+    """
+    before = spark.conf.get(ANSI)
+    spark.conf.set(ANSI, "true" if strict else "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(ANSI, before)
+
+
+def project(df: DataFrame, mapping: Sequence[ColumnMap], strict: bool = False, also: Sequence[Column] = ()) -> DataFrame:
+    """Apply a mapping. A narrow projection, so the scan reads mapped columns only.
+
+    A bad value in a transform, an expression or a cast gives NULL, unless ``strict``. ``also``
+    are further columns to select next to the mapped ones.
+    """
+    with lenient(df.sparkSession, strict):
+        return df.select(*mapped_columns(df, mapping, strict), *also)
 
 
 def mapped_columns(df: DataFrame, mapping: Sequence[ColumnMap], strict: bool = False) -> list[Column]:

@@ -105,7 +105,7 @@ def text_pattern(type_name: str) -> str | None:
     if base in ("TINYINT", "SMALLINT", "INT", "INTEGER", "BIGINT", "LONG", "SHORT", "BYTE"):
         return "^[^A-Za-z]*[0-9][^A-Za-z]*$"
     if base in ("DECIMAL", "DEC", "NUMERIC"):
-        return "^[^0-9A-Za-z]*[0-9]"
+        return r"^[^\p{Nd}A-Za-z]*\p{Nd}"  # decimals may be written in any script's digits
     if base in ("FLOAT", "REAL", "DOUBLE"):
         return "^[^0-9A-Za-z]*([0-9]|[Nn][Aa][Nn]|[Ii][Nn][Ff])"
     if base in ("DATE", "TIMESTAMP", "TIMESTAMP_NTZ", "TIMESTAMP_LTZ"):

@@ -28,12 +28,15 @@ def apply_changes(
     op: str,
     deletes: Sequence[str] = ("D",),
     small_feed: bool | None = None,
+    after: object = None,
 ) -> DataFrame:
     """Target after the feed: per key its last change decides.
 
     A delete removes the row; any other operation overwrites it or inserts it. When the
     target keeps ``sequence`` as a column, changes that are not newer than the stored row
-    are ignored, so the same feed can be applied again. Rows of the feed with a NULL key
+    are ignored. A deleted row leaves no sequence behind: for a feed that may hold changes which
+    were applied before, ``after`` is the highest sequence applied so far, and changes up to it
+    are ignored, so that an old change cannot bring a deleted row back. Rows of the feed with a NULL key
     have no row to apply to and are refused by ``check_not_null`` beforehand.
 
     As in the other merges, a feed small enough to broadcast does not shuffle the target.
@@ -42,6 +45,8 @@ def apply_changes(
     require_columns(target, keys, "the target")
     require_columns(feed, [*keys, sequence, op], "the feed")
     wanted = list(dict.fromkeys([*values, sequence, op]))
+    if after is not None:
+        feed = feed.where(F.col(sequence) > F.lit(after).cast(feed.schema[sequence].dataType))
     last = prefixed(latest_per_key(feed.select(*wanted).where(~has_null(keys)), keys, sequence))
     matchable = target.where(~has_null(keys))
 

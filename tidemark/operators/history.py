@@ -1,22 +1,33 @@
 """Version history: rebuild it from a change log, check it, and read it as of a time.
 
-All three look at neighbouring rows of a key. One key may hold much of the table, so rows
+All three look at neighbouring rows of a key. One key may hold much of the table, so its rows
 are grouped by key *and* a cell of time, and only the few rows at a cell's edges meet
-their neighbours in other cells. ``cell="auto"`` counts rows per key first, and splits only
-keys with more rows than one task should sort; naming a calendar cell (minute, hour, day,
-...) splits every key and saves the count.
+their neighbours in other cells. ``cell="auto"`` counts rows per key first (a job of its own)
+and splits only keys with more rows than one task should sort; all other keys take one window,
+and so one shuffle of the rows. Naming a calendar cell (minute, hour, day, ...) splits every key
+and saves the count.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, DateType, TimestampNTZType, TimestampType
 
 from tidemark.functions.audit import instant
-from tidemark.operators.common import all_of, any_of, fits_broadcast, has_null, like_target, require_columns
+from tidemark.operators.common import (
+    BATCH,
+    all_of,
+    any_of,
+    fits_broadcast,
+    has_null,
+    like_target,
+    prefixed,
+    require_columns,
+)
 from tidemark.operators.scd2 import Versions
 
 CELL = "_cell"
@@ -63,9 +74,8 @@ def hot_keys(df: DataFrame, keys: Sequence[str], order: str, rows_per_task: int)
     """Keys with more than ``rows_per_task`` rows (renamed ``_hot_*``), and how to split them.
 
     A key is split into cells of equal width, 64 times as many as its rows need if they came
-    evenly, so that busy times fit too. The set is broadcast: however the keys are spread,
-    a table of n rows has fewer than n / rows_per_task of them, 200,000 for a million
-    million rows at the default.
+    evenly, so that busy times fit too. A table of n rows has fewer than n / rows_per_task such
+    keys; whether they are broadcast is Spark's choice, by their size.
     """
     kind = df.schema[order].dataType
     found = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min(order).alias("_from"), F.max(order).alias("_to"))
@@ -89,13 +99,36 @@ def with_cell(
     if isinstance(cell, Column) or cell != "auto":
         return df.withColumn(CELL, cell_of(df, order, cell))
     hot = hot_keys(df, keys, order, rows_per_task) if hot is None else hot
-    matches = all_of(F.col(key).eqNullSafe(F.col("_hot_" + key)) for key in keys)
-    marked = df.join(F.broadcast(hot), matches, "left")
+    marked = df.join(hot, _is_hot(keys), "left")
     place = position(F.col(order), df.schema[order].dataType) - F.col("_from")
     part = F.when(F.col("_width").isNotNull(), rounded_down(place, F.col("_width")))
     return marked.select(*df.columns, part.alias(CELL))
 
 
+def _is_hot(keys: Sequence[str]) -> Column:
+    return all_of(F.col(key).eqNullSafe(F.col("_hot_" + key)) for key in keys)
+
+
+def _parts(
+    df: DataFrame, keys: Sequence[str], order: str, cell: str | Column, rows_per_task: int
+) -> tuple[DataFrame | None, DataFrame | None]:
+    """Rows of keys that one task can hold, and rows of the others with their cell; None for no rows."""
+    if isinstance(cell, Column) or cell != "auto":
+        return None, with_cell(df, keys, order, cell)
+    hot = hot_keys(df, keys, order, rows_per_task)
+    if hot.isEmpty():
+        return df, None
+    split = with_cell(df.join(hot, _is_hot(keys), "left_semi"), keys, order, cell, hot=hot)
+    return df.join(hot, _is_hot(keys), "left_anti"), split
+
+
+def _previous(values: Column, order: str, window: WindowSpec) -> Column:
+    """The row before, by time; fails on two rows of a key at one time, whose order nobody knows."""
+    first = F.lag(F.lit(True)).over(window).isNull()
+    tied = ~first & F.lag(order).over(window).eqNullSafe(F.col(order))
+    return F.when(tied, F.raise_error(F.lit("several changes of a key at one time"))).otherwise(F.lag(values).over(window))
+
+
 def scd2_rebuild(
     changes: DataFrame,
     keys: Sequence[str],
@@ -108,20 +141,43 @@ def scd2_rebuild(
 ) -> DataFrame:
     """Whole version history from a log of snapshots, the same as merging them one by one.
 
-    ``changes`` has one row per key and time. Rows that repeat the previous tracked values
+    ``changes`` has one row per key and time, and the job fails otherwise. Rows that repeat the previous tracked values
     are dropped; each remaining row is a version that ends where the next one starts.
     ``carry`` columns come along from the row that opened the version. A ``cell`` that is
     named should be narrow enough that one key's rows within it fit one task.
     """
     require_columns(changes, [*keys, *tracked, ts, *carry], "the change log")
+    log = changes.select(*keys, *tracked, *carry, ts)
+    plain, split = _parts(log, keys, ts, cell, rows_per_task)
+    made = [_opened(plain, keys, tracked, ts)] if plain is not None else []
+    made += [_opened_by_cell(split, keys, tracked, ts)] if split is not None else []
+    ends = F.coalesce(F.col("_next").cast("timestamp_ntz"), instant(versions.end_of_time))
+    return reduce(DataFrame.unionByName, [rows.select(*log.columns, "_next") for rows in made]).select(
+        *keys,
+        *tracked,
+        *carry,
+        F.col(ts).cast("timestamp_ntz").alias(versions.valid_from),
+        ends.alias(versions.valid_to),
+        F.col("_next").isNull().alias(versions.is_current),
+    )
+
+
+def _opened(log: DataFrame, keys: Sequence[str], tracked: Sequence[str], ts: str) -> DataFrame:
+    """Rows that open a version, and when the next one does (``_next``): one window per key."""
+    in_key = Window.partitionBy(*keys).orderBy(ts)
+    rows = log.withColumn("_before", _previous(F.struct(*tracked), ts, in_key))
+    rows = rows.where(F.col("_before").isNull() | _moved(tracked))
+    return rows.withColumn("_next", F.lead(ts).over(in_key))
+
+
+def _opened_by_cell(log: DataFrame, keys: Sequence[str], tracked: Sequence[str], ts: str) -> DataFrame:
+    """The same for rows with a cell; only rows at a cell's edges meet those of other cells."""
     in_cell = Window.partitionBy(*keys, CELL).orderBy(ts)
     in_key = Window.partitionBy(*keys).orderBy(ts)
     values = F.struct(*tracked)
-
-    log = changes.select(*keys, *tracked, *carry, ts)
-    rows = with_cell(log, keys, ts, cell, rows_per_task).select(
+    rows = log.select(
         "*",
-        F.lag(values).over(in_cell).alias("_before"),
+        _previous(values, ts, in_cell).alias("_before"),
         F.lead(F.lit(True)).over(in_cell).isNull().alias("_tail"),
     )
     head = F.col("_before").isNull()
@@ -139,20 +195,7 @@ def scd2_rebuild(
     edges = rows.where(~done).withColumn("_before", F.lag(values).over(in_key))
     edges = edges.where(F.col("_moved") | (F.col("_head") & (F.col("_before").isNull() | _moved(tracked))))
     edges = edges.withColumn("_next", F.coalesce(F.col("_next"), F.lead(ts).over(in_key)))
-
-    ends = F.coalesce(F.col("_next").cast("timestamp_ntz"), instant(versions.end_of_time))
-    return (
-        rows.where(done)
-        .unionByName(edges)
-        .select(
-            *keys,
-            *tracked,
-            *carry,
-            F.col(ts).cast("timestamp_ntz").alias(versions.valid_from),
-            ends.alias(versions.valid_to),
-            F.col("_next").isNull().alias(versions.is_current),
-        )
-    )
+    return rows.where(done).unionByName(edges)
 
 
 def _moved(tracked: Sequence[str]) -> Column:
@@ -177,9 +220,11 @@ def scd2_extend(
     are small enough to broadcast, current rows of other keys pass through unshuffled.
     """
     if fits_broadcast(changes) if small_changes is None else small_changes:
-        wanted = changes.select(*keys)
-        rest = current.join(wanted, list(keys), "left_anti")
-        touched = current.join(wanted, list(keys), "left_semi")
+        # NULL is a key like others here, as it is in the windows of the other form
+        wanted = prefixed(changes.select(*keys))
+        same = all_of(F.col(name).eqNullSafe(F.col(BATCH + name)) for name in keys)
+        rest = current.join(wanted, same, "left_anti")
+        touched = current.join(wanted, same, "left_semi")
         extended = scd2_extend(touched, changes, keys, tracked, ts, versions, carry, cell, False, rows_per_task)
         return rest.select(*current.columns).unionByName(extended)
     start = F.col(versions.valid_from).alias(ts)
@@ -203,7 +248,11 @@ def with_next(
     in_cell = Window.partitionBy(*keys, CELL).orderBy(order, *tie_break)
     in_key = Window.partitionBy(*keys).orderBy(order, *tie_break)
     values = F.struct(*columns)
-    rows = with_cell(df, keys, order, cell, rows_per_task).select(
+    plain, split = _parts(df, keys, order, cell, rows_per_task)
+    plain = None if plain is None else plain.withColumn("_following", F.lead(values).over(in_key))
+    if split is None:
+        return plain
+    rows = split.select(
         "*",
         F.lead(values).over(in_cell).alias("_following"),
         F.lag(F.lit(True)).over(in_cell).isNull().alias("_head"),
@@ -213,7 +262,8 @@ def with_next(
         "_following", F.coalesce(F.col("_following"), F.lead(values).over(in_key))
     )
     # A cell's first row with a follower in its own cell is only there to be found by others.
-    return rows.where(inner).unionByName(edges).drop(CELL, "_head")
+    found = rows.where(inner).unionByName(edges).drop(CELL, "_head")
+    return found if plain is None else plain.unionByName(found)
 
 
 def check_scd2(
@@ -310,7 +360,7 @@ def as_of_join(
     # One row per key and cell: its last version, and the one carried in from earlier cells.
     # Keys that are not split have one cell (NULL) and nothing to carry.
     cells = (
-        facts.select(
+        facts.where(F.col(CELL).isNotNull()).select(
             *keys, CELL, F.lit(None).cast("timestamp_ntz").alias("_at"), no_version.alias("_version"),
             F.lit(True).alias("_wanted"),
         ).distinct()

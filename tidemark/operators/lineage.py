@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.audit import Audit, instant
-from tidemark.functions.projection import ColumnMap, mapped_columns
+from tidemark.functions.projection import ColumnMap, lenient, mapped_columns
 from tidemark.operators.common import BATCH, prefixed, same_keys
 from tidemark.operators.quality import rows_per_column
 from tidemark.operators.reconcile import reconcile
@@ -32,12 +32,13 @@ def column_lineage_audit(
     column and give no row.
     """
     rules = [rule for rule in mapping if rule.source is not None]
-    made = {rule.target: column for rule, column in zip(mapping, mapped_columns(source, mapping))}
-    expected = source.select(
-        *[made[key] for key in keys],
-        *[made[rule.target].alias(f"_value_{rule.target}") for rule in rules],
-        *[F.expr(rule.source).isNull().alias(f"_empty_{rule.target}") for rule in rules],
-    )
+    with lenient(source.sparkSession):
+        made = {rule.target: column for rule, column in zip(mapping, mapped_columns(source, mapping))}
+        expected = source.select(
+            *[made[key] for key in keys],
+            *[made[rule.target].alias(f"_value_{rule.target}") for rule in rules],
+            *[F.expr(rule.source).isNull().alias(f"_empty_{rule.target}") for rule in rules],
+        )
     kept = target.select(*keys, *[F.col(rule.target).alias(f"_kept_{rule.target}") for rule in rules])
     joined = kept.join(prefixed(expected), same_keys(keys), "inner")
     figures = [F.count(F.lit(1)).alias("_rows")]

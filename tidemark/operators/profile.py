@@ -47,12 +47,16 @@ def profile_table(
         parts = {name: [*part, f"_distinct_{name}"] for name, part in parts.items()}
         return rows_per_column(df.agg(*figures), parts, names)
     plain = rows_per_column(df.agg(*figures), parts, names)
-    # Exact counts go apart from min and max: both then run as hash aggregates.
-    counts = df.agg(*[F.count_distinct(_comparable(df, name)).alias(f"_distinct_{name}") for name in columns])
-    counted = rows_per_column(counts, {name: [f"_distinct_{name}"] for name in columns}, ["distinct_count"])
+    # Exact counts go column by column: one aggregate over all of them would multiply rows by columns.
+    counted = reduce(DataFrame.unionByName, [_distinct_values(df, name) for name in columns])
     return plain.join(counted, "column_name")  # both sides have one row per column
 
 
+def _distinct_values(df: DataFrame, name: str) -> DataFrame:
+    values = df.select(_comparable(df, name).alias("value")).distinct()
+    return values.agg(F.count("value").alias("distinct_count")).select(F.lit(name).alias("column_name"), "distinct_count")
+
+
 def _comparable(df: DataFrame, name: str) -> Column:
     """Maps cannot be grouped on; their JSON text can."""
     return F.to_json(name) if isinstance(df.schema[name].dataType, T.MapType) else F.col(name)

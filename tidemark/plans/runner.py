@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.functions.audit import add_audit, utc_text
 from tidemark.functions.projection import project
@@ -26,6 +27,12 @@ from tidemark.sources.jdbc import Connection, Partitioning, read_jdbc
 
 log = logging.getLogger(__name__)
 
+SOURCE_MARK = "_source_mark"
+AUDIT_LOG = (
+    "load_id string, target string, strategy string, load_ts string, rows_written long, closed long, opened long, "
+    "watermark string"
+)
+
 
 @dataclass(frozen=True)
 class LoadResult:
@@ -60,17 +67,21 @@ def export(spec: LoadSpec, df: DataFrame, keep: Sequence[str] = ()) -> None:
 def open_table(spark: SparkSession, spec: LoadSpec, root: str, buckets: int = 0) -> VersionedTable:
     """The spec's target as a table of files under ``root``, partitioned as the spec says, or
     by key buckets for merges that should rewrite only what they touch."""
-    file_format = "parquet" if spec.file_format == "iceberg" else spec.file_format
+    if spec.file_format not in ("parquet", "orc"):
+        raise ValueError(f"{spec.file_format} tables are in a catalog: use create_or_replace and the MERGE operators")
     if buckets:
-        return VersionedTable(spark, root, file_format, bucket_by=spec.primary_keys, buckets=buckets)
-    return VersionedTable(spark, root, file_format, spec.partition_by)
+        return VersionedTable(spark, root, spec.file_format, bucket_by=spec.primary_keys, buckets=buckets)
+    return VersionedTable(spark, root, spec.file_format, spec.partition_by)
+
 
+def prepare(spec: LoadSpec, source: DataFrame, load_ts: datetime | str, mark: str | None = None) -> DataFrame:
+    """Source rows as target rows: mapping, then technical columns. Narrow, no shuffle.
 
-def prepare(spec: LoadSpec, source: DataFrame, load_ts: datetime | str) -> DataFrame:
-    """Source rows as target rows: mapping, then technical columns. Narrow, no shuffle."""
-    rows = project(source, spec.mapping)
+    ``mark`` is a source column that comes along as ``SOURCE_MARK``.
+    """
+    rows = project(source, spec.mapping, also=[F.col(mark).alias(SOURCE_MARK)] if mark else [])
     op = spec.strategy.op if isinstance(spec.strategy, Changes) else None
-    hashed = [name for name in rows.columns if name != op]
+    hashed = [name for name in rows.columns if name not in (op, SOURCE_MARK)]
     return add_audit(rows, load_ts, spec.source_system, spec.audit, hashed, spec.primary_keys)
 
 
@@ -81,8 +92,30 @@ def run_load(
     load_ts: datetime | str,
     lower_bound: datetime | str | None = None,
     load_id: str | None = None,
+    audit_log: str | None = None,
+) -> LoadResult:
+    """Load ``source`` into ``table`` by the spec's strategy, and note it in ``audit_log``.
+
+    The log is a folder of Parquet files with one row for each load that did something.
+    """
+    result = _run(spec, source, table, load_ts, lower_bound, load_id)
+    if audit_log is not None and result.figures:
+        counts = [result.figures.get(name) for name in ("rows", "closed", "opened")]
+        row = (result.load_id, spec.target, type(spec.strategy).__name__.lower(), utc_text(load_ts), *counts, result.watermark)
+        spark = source.sparkSession
+        spark.createDataFrame([row], AUDIT_LOG).coalesce(1).write.mode("append").parquet(audit_log)
+    return result
+
+
+def _run(
+    spec: LoadSpec,
+    source: DataFrame,
+    table: VersionedTable,
+    load_ts: datetime | str,
+    lower_bound: datetime | str | None,
+    load_id: str | None,
 ) -> LoadResult:
-    """Load ``source`` into ``table`` by the spec's strategy.
+    """One load, not yet in the log.
 
     The load id (by default name and load time) makes a run repeatable: one that was
     committed is not applied again. A batch with NULL or repeated keys is refused before
@@ -99,7 +132,7 @@ def run_load(
     if isinstance(strategy, Incremental):
         return _incremental(spec, strategy, source, table, manifest, load_ts, stamp, lower_bound, load_id)
 
-    if manifest is not None and datetime.fromisoformat(stamp) < datetime.fromisoformat(manifest.load_ts):
+    if manifest is not None and manifest.load_ts and datetime.fromisoformat(stamp) < datetime.fromisoformat(manifest.load_ts):
         raise ValueError(f"load time {stamp} is before the table's last load {manifest.load_ts}")
     keys = list(strategy.business_keys)
     rows = prepare(spec, source, load_ts)
@@ -129,8 +162,13 @@ def _changes(
             raise BatchRefused("changes with a NULL key")
         buckets = table.touched_buckets(feed, manifest)
         target = feed.drop(strategy.op).limit(0) if manifest is None else table.read(manifest, buckets=buckets)
-        merged = apply_changes(target, feed, keys, strategy.sequence, strategy.op, strategy.deletes)
-        return table.commit_rows(merged, load_id, stamp, buckets)
+        # Sequences up to the table's highest were applied before, by a load that ran again or a
+        # feed that overlaps it; a row that was deleted since must not come back.
+        after = manifest.watermark if manifest is not None else None
+        merged = apply_changes(target, feed, keys, strategy.sequence, strategy.op, strategy.deletes, after=after)
+        kind = feed.schema[strategy.sequence].dataType
+        highest = feed.agg(F.greatest(F.max(strategy.sequence), F.lit(after).cast(kind)).cast("string")).first()[0]
+        return table.commit_rows(merged, load_id, stamp, buckets, high=highest)
 
 
 def _scd1(
@@ -211,20 +249,25 @@ def _incremental(
     if lower_bound is None:
         log.warning("%s: no lower bound, reading the whole source", spec.name)
     source_column = strategy.source_watermark or strategy.watermark
-    rows = prepare(spec, read_incremental(source, source_column, lower_bound, strategy.overlap), load_ts)
+    # The next bound is the source column's own highest value, observed in the rows that were read:
+    # the target's may be coarser, and would let rows be read again.
+    rows = prepare(spec, read_incremental(source, source_column, lower_bound, strategy.overlap), load_ts, source_column)
     keys, high = list(strategy.business_keys), strategy.watermark
     if strategy.on_repeat == "append":
-        figures = table.append(rows, load_id, stamp, high)
+        figures = table.append(rows, load_id, stamp, SOURCE_MARK, [SOURCE_MARK])
     else:
-        with staging(rows, spec.name) as batch:
-            if manifest is not None and batch.isEmpty():
+        with staging(rows, spec.name) as landed:
+            if manifest is not None and landed.isEmpty():
                 return LoadResult(load_id, {"rows": 0}, manifest.watermark)
+            bound, batch = landed.agg(F.max(SOURCE_MARK).cast("string")).first()[0], landed.drop(SOURCE_MARK)
             if strategy.on_repeat == "skip":
                 target = batch.limit(0) if manifest is None else table.read(manifest)
-                figures = table.append(unloaded_rows(target, batch, keys, high), load_id, stamp, high)
+                fresh = unloaded_rows(target, batch, keys, high).withColumn(SOURCE_MARK, F.lit(bound))
+                figures = table.append(fresh, load_id, stamp, SOURCE_MARK, [SOURCE_MARK])
             else:
                 buckets = table.touched_buckets(batch, manifest)
                 both = batch if manifest is None else table.read(manifest, buckets=buckets).unionByName(batch)
                 latest = latest_per_key(both, keys, high, [rule.target for rule in spec.mapping])
-                figures = table.commit_rows(latest, load_id, stamp, buckets, high)
+                figures = table.commit_rows(latest, load_id, stamp, buckets, high=bound)
+                figures["watermark"] = bound
     return LoadResult(load_id, figures, figures.get("watermark") or (manifest.watermark if manifest else None))

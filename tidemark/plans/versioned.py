@@ -6,22 +6,27 @@ is made of. Readers follow the newest manifest: a load that dies half-way leaves
 as it was. Closed history is listed again, never rewritten. With key buckets, a merge also
 reads and rewrites only those buckets that its batch has keys in.
 
-Layout: ``<root>/data/segment=<n>/[column=value/]part-*`` and ``<root>/manifest/<n>/``.
+Every segment has a name of its own, and a manifest is only written while the one that its load
+began from is the newest: of two writers at once one fails, and neither undoes the other's load.
+
+Layout: ``<root>/data/segment=<n>-<id>/[column=value/]part-*`` and ``<root>/manifest/<n>/``.
 """
 
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tidemark.functions.audit import instant
 from tidemark.operators.scd2 import Versions
-from tidemark.sinks.tables import balanced, observe
+from tidemark.sinks.tables import balanced, observe, partitionable
 
 SEGMENT = "segment"
 BUCKET = "key_bucket"
@@ -31,6 +36,10 @@ _MANIFEST = (
 )
 
 
+class ConcurrentLoad(RuntimeError):
+    """Another load was committed to the table since this one began; run this one again."""
+
+
 @dataclass(frozen=True)
 class Manifest:
     """One state of a table: its files, and the loads that went into it."""
@@ -44,7 +53,7 @@ class Manifest:
 
 
 class VersionedTable:
-    """One table under ``root``; one writer at a time.
+    """One table under ``root``. Of writers at the same time one succeeds; the others raise ``ConcurrentLoad``.
 
     ``partition_by`` suits tables that are replaced or appended to. ``bucket_by`` with a
     number of ``buckets`` suits tables that are merged into by these keys. History tables
@@ -178,32 +187,63 @@ class VersionedTable:
 
     # writing
 
-    def replace(self, df: DataFrame, load_id: str, load_ts: str | None = None, watermark: str | None = None) -> dict:
-        """Make ``df`` the whole table. Returns the figures observed while writing."""
+    def replace(
+        self,
+        df: DataFrame,
+        load_id: str,
+        load_ts: str | None = None,
+        watermark: str | None = None,
+        hidden: Sequence[str] = (),
+    ) -> dict:
+        """Make ``df`` the whole table. Returns the figures observed while writing.
+
+        ``hidden`` columns are there for the figures, and are not written.
+        """
         self._no_buckets()
         old = self.manifest()
-        number, figures = self._write(df, old, self._figures(watermark), self.partition_by)
+        folder, figures = self._write(df, old, self._figures(watermark), self.partition_by, hidden=hidden)
         loads = (*(old.loads if old else ()), load_id)
-        self._commit(Manifest(number, loads, load_ts, figures.get("watermark"), df.schema, (f"{SEGMENT}={number}",)))
+        schema = df.drop(*hidden).schema
+        self._commit(old, loads, load_ts, figures.get("watermark"), schema, (folder,))
         return figures
 
-    def append(self, df: DataFrame, load_id: str, load_ts: str | None = None, watermark: str | None = None) -> dict:
-        """Add ``df`` to the table; a load id that is there already adds nothing."""
+    def append(
+        self,
+        df: DataFrame,
+        load_id: str,
+        load_ts: str | None = None,
+        watermark: str | None = None,
+        hidden: Sequence[str] = (),
+    ) -> dict:
+        """Add ``df`` to the table; a load id that is there already adds nothing.
+
+        Columns that the table lacks are added to it, NULL in older rows. A column that ``df``
+        lacks, or has with another type, is refused.
+        """
         self._no_buckets()
         old = self.manifest()
         if old is None:
-            return self.replace(df, load_id, load_ts, watermark)
+            return self.replace(df, load_id, load_ts, watermark, hidden)
         if load_id in old.loads:
             return {}
         if any("/" in path for path in old.paths):
             raise ValueError("a history table is merged into; it is not appended to")
-        rows = df.select(*old.schema.names)
-        number, figures = self._write(rows, old, self._figures(watermark), self.partition_by)
-        paths = (*old.paths, f"{SEGMENT}={number}") if figures["rows"] else old.paths
+        schema = self._widened(old.schema, df.drop(*hidden).schema)
+        rows = df.select(*schema.names, *hidden)
+        folder, figures = self._write(rows, old, self._figures(watermark), self.partition_by, hidden=hidden)
+        paths = (*old.paths, folder) if figures["rows"] else old.paths
         high = figures.get("watermark") or old.watermark
-        self._commit(Manifest(number, (*old.loads, load_id), load_ts or old.load_ts, high, old.schema, paths))
+        self._commit(old, (*old.loads, load_id), load_ts or old.load_ts, high, schema, paths)
         return figures
 
+    @staticmethod
+    def _widened(old: StructType, new: StructType) -> StructType:
+        there = {field.name: field.dataType for field in new}
+        wrong = [f.name for f in old if f.name not in there or there[f.name] != f.dataType]
+        if wrong:
+            raise ValueError(f"columns {wrong} of the table are missing, or have another type")
+        return StructType([*old.fields, *[field for field in new if field.name not in old.names]])
+
     def _no_buckets(self) -> None:
         if self.bucket_by:
             raise ValueError("a table with key buckets is merged into; it is not replaced or appended to")
@@ -215,18 +255,28 @@ class VersionedTable:
         load_ts: str,
         buckets: Sequence[int] | None = None,
         watermark: str | None = None,
+        high: str | None = None,
     ) -> dict:
-        """Take in the outcome of an in-place merge of the given buckets (all rows if there are none)."""
-        if not self.bucket_by:
+        """Take in the outcome of an in-place merge of the given buckets (all rows if there are none).
+
+        ``watermark`` names the column whose highest value is kept as the table's; ``high`` is that
+        value where the rows do not have it.
+        """
+        if not self.bucket_by and high is None:
             return self.replace(merged, load_id, load_ts, watermark)
         old = self.manifest()
+        loads = (*(old.loads if old else ()), load_id)
+        if not self.bucket_by:
+            folder, figures = self._write(merged, old, self._figures(None), self.partition_by)
+            self._commit(old, loads, load_ts, high, merged.schema, (folder,))
+            return figures
         rows = merged.withColumn(BUCKET, self.bucket())
-        number, figures = self._write(rows, old, self._figures(watermark), [BUCKET], old is None or not self._tasks_hold_buckets())
-        high = figures.get("watermark") or (old.watermark if old else None)
+        shuffle = old is None or not self._tasks_hold_buckets()
+        folder, figures = self._write(rows, old, self._figures(watermark), [BUCKET], shuffle)
+        high = high or figures.get("watermark") or (old.watermark if old else None)
         kept = [p for p in old.paths if _bucket_of(p) not in (buckets or ())] if old else []
-        new = self._bucket_paths(f"{SEGMENT}={number}")
-        loads = (*(old.loads if old else ()), load_id)
-        self._commit(Manifest(number, loads, load_ts, high, merged.schema, tuple(kept + new)))
+        new = self._bucket_paths(folder)
+        self._commit(old, loads, load_ts, high, merged.schema, tuple(kept + new))
         return figures
 
     def commit_versions(
@@ -256,8 +306,8 @@ class VersionedTable:
         if self.bucket_by:
             rows, values = delta.withColumn(BUCKET, self.bucket()), [BUCKET]
         shuffle = bool(values) and (old is None or not self.bucket_by or not self._tasks_hold_buckets())
-        number, found = self._write(rows, old, figures, [flag, *values], shuffle=shuffle)
-        history, current = f"{SEGMENT}={number}/{flag}=false", f"{SEGMENT}={number}/{flag}=true"
+        folder, found = self._write(rows, old, figures, [flag, *values], shuffle=shuffle)
+        history, current = f"{folder}/{flag}=false", f"{folder}/{flag}=true"
         paths = list(old.paths) if old else []
         if self.bucket_by:
             replaced = set(buckets or ())
@@ -268,7 +318,7 @@ class VersionedTable:
             paths += [current] if found["current"] else []
         paths += [history] if found["closed"] else []
         loads = (*(old.loads if old else ()), load_id)
-        self._commit(Manifest(number, loads, load_ts, None, delta.schema, tuple(paths)))
+        self._commit(old, loads, load_ts, None, delta.schema, tuple(paths))
         return found
 
     @staticmethod
@@ -285,33 +335,42 @@ class VersionedTable:
         figures: dict[str, Column],
         partition_by: Sequence[str],
         shuffle: bool | None = None,
-    ) -> tuple[int, dict]:
-        """Write the next segment. Rows are brought together by partition unless the tasks
-        of a merge hold few partitions each anyway."""
-        number = old.number + 1 if old else 1
+        hidden: Sequence[str] = (),
+    ) -> tuple[str, dict]:
+        """Write a new segment; its folder and figures. Rows are brought together by partition
+        unless the tasks of a merge hold few partitions each anyway."""
+        folder = f"{SEGMENT}={(old.number if old else 0) + 1}-{uuid.uuid4().hex}"
         by_value = partition_by == self.partition_by if shuffle is None else shuffle
         seen = Observation()
-        rows = observe(balanced(df, partition_by) if by_value else df, seen, figures)
-        # A segment left behind by a load that died before its commit is overwritten.
-        writer = rows.write.format(self.file_format).mode("overwrite")
+        dealt = balanced(df, partition_by) if by_value else partitionable(df, partition_by)
+        rows = observe(dealt, seen, figures).drop(*hidden)
+        writer = rows.write.format(self.file_format).mode("error")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
-        writer.save(f"{self.root}/data/{SEGMENT}={number}")
-        return number, seen.get
-
-    def _commit(self, manifest: Manifest) -> None:
-        row = (
-            manifest.number,
-            list(manifest.loads),
-            manifest.load_ts,
-            manifest.watermark,
-            manifest.schema.json(),
-            self._bucketing(),
-            list(manifest.paths),
-        )
+        writer.save(f"{self.root}/data/{folder}")
+        return folder, seen.get
+
+    def _commit(
+        self,
+        old: Manifest | None,
+        loads: Sequence[str],
+        load_ts: str | None,
+        watermark: str | None,
+        schema: StructType,
+        paths: Sequence[str],
+    ) -> None:
+        newest = self.manifest()
+        if (newest.number if newest else None) != (old.number if old else None):
+            raise ConcurrentLoad(f"{self.root} changed since this load began")
+        # Past the remains of commits that died; two writers that got here choose the same number,
+        # and the second one finds the folder there.
+        number = max([0, *(int(name) for name in self._names("manifest") if name.isdigit())]) + 1
+        row = (number, list(loads), load_ts, watermark, schema.json(), self._bucketing(), list(paths))
         one = self.spark.createDataFrame([row], _MANIFEST).coalesce(1)
-        # The number is new, so at most the remains of a commit that died are overwritten.
-        one.write.mode("overwrite").json(f"{self.root}/manifest/{manifest.number}")
+        try:
+            one.write.mode("error").json(f"{self.root}/manifest/{number}")
+        except AnalysisException as error:
+            raise ConcurrentLoad(f"{self.root} changed since this load began") from error
 
 
 def _bucket_of(path: str) -> int | None:

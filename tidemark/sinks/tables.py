@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, DataFrameWriter, Observation
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 TABLE_FORMATS = ("parquet", "orc", "iceberg")
 
@@ -16,7 +17,16 @@ def balanced(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     Without this every task writes a file per value it meets. Spark's rebalance also
     splits a value that holds much of the table over several tasks and joins small ones.
     """
-    return df.hint("rebalance", *partition_by) if partition_by else df
+    return partitionable(df, partition_by).hint("rebalance", *partition_by) if partition_by else df
+
+
+def partitionable(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Fails on an empty string in a partition column: a folder name cannot tell it from NULL."""
+    texts = [name for name in partition_by if isinstance(df.schema[name].dataType, StringType)]
+    message = "an empty string in partition column "
+    return df.withColumns(
+        {name: F.when(F.col(name) == "", F.raise_error(F.lit(message + name))).otherwise(F.col(name)) for name in texts}
+    )
 
 
 def _writer(df: DataFrame, file_format: str, mode: str, partition_by: Sequence[str]) -> DataFrameWriter:
@@ -27,8 +37,13 @@ def _writer(df: DataFrame, file_format: str, mode: str, partition_by: Sequence[s
 
 
 def full_load(df: DataFrame, path: str, file_format: str = "parquet", partition_by: Sequence[str] = ()) -> None:
-    """Replace everything at ``path``; the path is created if absent."""
-    _writer(balanced(df, partition_by), file_format, "overwrite", partition_by).save(path)
+    """Replace everything at ``path``; the path is created if absent.
+
+    Static, whatever the session says: partitions that ``df`` has no rows for go as well. Readers
+    of the old files fail meanwhile; ``VersionedTable.replace`` keeps them readable.
+    """
+    writer = _writer(balanced(df, partition_by), file_format, "overwrite", partition_by)
+    writer.option("partitionOverwriteMode", "static").save(path)
 
 
 def append(df: DataFrame, path: str, file_format: str = "parquet", partition_by: Sequence[str] = ()) -> None:

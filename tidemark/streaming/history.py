@@ -14,7 +14,9 @@ from tidemark.operators.incremental import latest_per_key
 from tidemark.operators.scd2 import Versions
 from tidemark.plans.versioned import VersionedTable
 from tidemark.plans.workspace import staging
-from tidemark.streaming.incremental import started
+from tidemark.streaming.incremental import started, stream_id
+
+LAST_SEEN = "last_seen"
 
 
 def merge_changes(
@@ -32,14 +34,17 @@ def merge_changes(
     """Bring a history table up to date with a batch of timed changes.
 
     A key may change several times in the batch. Of rows with the same key and time one
-    is kept. Rows that are not later than their key's current version cannot be placed;
-    those that differ from it are written to ``late_path`` (raising if there is none), and
-    so are rows with a NULL key. A load id that was committed is skipped.
+    is kept. ``last_seen`` in the table is the time of the last row of a key, changed or not.
+    Rows that are not later cannot be placed; those that the current version does not cover
+    with the same values are written to ``late_path`` (raising if there is none), and so are
+    rows with a NULL key. A load id that was committed is skipped.
     """
     manifest = table.manifest()
     if manifest is not None and load_id in manifest.loads:
         return {}
-    named = changes.select(*keys, *tracked, *carry, F.col(ts).cast("timestamp_ntz").alias(ts))
+    time = F.col(ts).cast("timestamp_ntz")
+    named = changes.select(*keys, *tracked, *carry, time.alias(ts), time.alias(LAST_SEEN))
+    carry = [*carry, LAST_SEEN]
     with staging(latest_per_key(named, [*keys, ts], ts), "changes") as landed:
         unkeyed = landed.where(has_null([*keys, ts]))
         rows = landed.where(~has_null([*keys, ts]))
@@ -49,15 +54,21 @@ def merge_changes(
             delta = scd2_rebuild(rows, keys, tracked, ts, versions, carry, cell)
         else:
             current = table.current(versions, manifest, buckets)
-            start = BATCH + versions.valid_from
+            start, last = BATCH + versions.valid_from, BATCH + LAST_SEEN
             # Current versions of the changed keys; a small batch is broadcast to find them.
-            seen = current.select(*keys, *tracked, versions.valid_from).join(rows.select(*keys), list(keys), "left_semi")
+            seen = current.select(*keys, *tracked, versions.valid_from, LAST_SEEN).join(rows.select(*keys), list(keys), "left_semi")
             paired = rows.join(prefixed(seen), same_keys(keys), "left")
-            is_late = F.col(start).isNotNull() & (F.col(ts) <= F.col(start))
-            replayed = (F.col(ts) == F.col(start)) & ~differs(tracked)
+            is_late = F.col(start).isNotNull() & (F.col(ts) <= F.col(last))
+            replayed = (F.col(ts) >= F.col(start)) & ~differs(tracked)
             late = paired.where(is_late & ~replayed).select(*rows.columns).unionByName(unkeyed)
             fresh = paired.where(~is_late).select(*rows.columns)
             delta = scd2_extend(current, fresh, keys, tracked, ts, versions, carry, cell, fits_broadcast(landed))
+        # a version that goes on was last seen when the batch last had its key
+        highs = prefixed(rows.groupBy(*keys).agg(F.max(ts).alias(LAST_SEEN)))
+        later = F.greatest(LAST_SEEN, BATCH + LAST_SEEN)
+        last_seen = F.when(F.col(versions.is_current), later).otherwise(F.col(LAST_SEEN))
+        columns = [last_seen.alias(c) if c == LAST_SEEN else F.col(c) for c in delta.columns]
+        delta = delta.join(highs, same_keys(keys), "left").select(*columns)
         if not late.isEmpty():
             if late_path is None:
                 raise ValueError("changes older than the current version of their key, or without a key")
@@ -81,11 +92,12 @@ def stream_scd2(
 ) -> StreamingQuery:
     """Merge a change stream into a history table, micro-batch by micro-batch.
 
-    The batch number is the load id, so a batch that Spark runs again after a failure is
-    applied once.
+    The stream's id and the batch number are the load id, so a batch that Spark runs again
+    after a failure is applied once. The table has a column ``last_seen``.
     """
 
     def merge(batch: DataFrame, number: int) -> None:
-        merge_changes(table, batch, f"batch-{number}", keys, tracked, ts, versions, carry, late_path, cell)
+        load_id = f"{stream_id(batch.sparkSession, checkpoint)}-batch-{number}"
+        merge_changes(table, batch, load_id, keys, tracked, ts, versions, carry, late_path, cell)
 
     return started(stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint), every)

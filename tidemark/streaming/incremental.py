@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
@@ -13,6 +13,11 @@ from tidemark.plans.versioned import VersionedTable
 from tidemark.plans.workspace import staging
 
 
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark gave the stream of a checkpoint; batch numbers start anew with each."""
+    return spark.read.schema("id string").json(f"{checkpoint}/metadata").first()["id"]
+
+
 def started(writer: DataStreamWriter, every: str | None) -> StreamingQuery:
     """Start a stream: work off what has arrived and stop, or go on ``every`` interval."""
     trigger = {"processingTime": every} if every else {"availableNow": True}
@@ -48,12 +53,12 @@ def stream_append(
 ) -> StreamingQuery:
     """Append rows of new keys to a table, micro-batch by micro-batch.
 
-    However late a copy comes, it finds its key in the table. The batch number is the load
-    id, so a batch that Spark runs again after a failure is appended once.
+    However late a copy comes, it finds its key in the table. The stream's id and the batch
+    number are the load id, so a batch that Spark runs again after a failure is appended once.
     """
 
     def add(batch: DataFrame, number: int) -> None:
-        manifest, load_id = table.manifest(), f"batch-{number}"
+        manifest, load_id = table.manifest(), f"{stream_id(batch.sparkSession, checkpoint)}-batch-{number}"
         if manifest is not None and load_id in manifest.loads:
             return
         with staging(batch, "arrived") as rows:

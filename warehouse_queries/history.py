@@ -63,8 +63,7 @@ def scd2_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def scd2_close_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
     target, batch = first_history(spark, sf_dir)
-    merged = scd2_merge(target, batch, CLIENT_KEYS, CLIENT_TRACKED, SECOND, close_missing=True)
-    return merged.drop(*TECHNICAL)
+    return scd2_merge(target, batch, CLIENT_KEYS, CLIENT_TRACKED, SECOND, close_missing=True)
 
 
 def event_history(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,16 +75,25 @@ def event_history_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scd2_rebuild(table(spark, sf_dir, "events"), ["user_id"], ["event_type"], "ts", cell="hour")
 
 
-def scd2_extend_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _extended(spark: SparkSession, sf_dir: str, small_changes: bool | None) -> DataFrame:
     """History up to a day, then the rest of the log on top of its current rows."""
     events = table(spark, sf_dir, "events")
     day = F.lit("2024-01-20").cast("timestamp_ntz")
     past = staged(scd2_rebuild(events.where(F.col("ts") < day), ["user_id"], ["event_type"], "ts"), "event-history")
     later = events.where(F.col("ts") >= day)
-    extended = scd2_extend(past.where("is_current"), later, ["user_id"], ["event_type"], "ts")
+    current = past.where("is_current")
+    extended = scd2_extend(current, later, ["user_id"], ["event_type"], "ts", small_changes=small_changes)
     return past.where(~F.col("is_current")).unionByName(extended)
 
 
+def scd2_extend_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _extended(spark, sf_dir, True)
+
+
+def scd2_extend_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _extended(spark, sf_dir, False)
+
+
 def _order_segments(spark: SparkSession, sf_dir: str, small_dim: bool | None) -> DataFrame:
     target, batch = first_history(spark, sf_dir, EARLY)
     dim = staged(scd2_merge(target, batch, CLIENT_KEYS, CLIENT_TRACKED, LATER), "dim-clients")
@@ -106,9 +114,9 @@ def scd2_as_of_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def as_of_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Purchases with the state the user was in an hour before: many versions per key."""
+    """Events with the state the user was in an hour before: many versions per key."""
     events = table(spark, sf_dir, "events")
-    facts = events.where("event_type = 'purchase'").select(
+    facts = events.select(
         "event_id", "user_id", (F.col("ts") - F.expr("interval 1 hour")).alias("at")
     )
     dim = staged(event_history(spark, sf_dir), "event-history")
@@ -144,7 +152,7 @@ WHERE t.full_name IS DISTINCT FROM s.full_name OR t.segment_code IS DISTINCT FRO
         scd2_close_missing,
         CLIENT_HISTORY_SQL
         + f"""
-SELECT client_id, full_name, segment_code, nation_id, valid_from,
+SELECT client_id, full_name, segment_code, nation_id, load_ts, source_system, record_hash, valid_from,
        CASE WHEN is_current AND client_id NOT IN (SELECT client_id FROM s)
             THEN TIMESTAMP '{SECOND}' ELSE valid_to END AS valid_to,
        is_current AND client_id IN (SELECT client_id FROM s) AS is_current
@@ -154,6 +162,7 @@ FROM history
     "scd2_rebuild_events": (event_history, EVENT_HISTORY_SQL + "SELECT * FROM history"),
     "scd2_rebuild_split": (event_history_split, EVENT_HISTORY_SQL + "SELECT * FROM history"),
     "scd2_extend_events": (scd2_extend_events, EVENT_HISTORY_SQL + "SELECT * FROM history"),
+    "scd2_extend_shuffled": (scd2_extend_shuffled, EVENT_HISTORY_SQL + "SELECT * FROM history"),
     "scd2_as_of": (scd2_as_of, _AS_OF),
     "scd2_as_of_sorted": (scd2_as_of_sorted, _AS_OF),
     "as_of_events": (
@@ -163,7 +172,6 @@ FROM history
 SELECT e.event_id, e.user_id, e.ts - INTERVAL 1 HOUR AS "at", h.event_type
 FROM events e JOIN history h
   ON e.user_id = h.user_id AND h.valid_from <= e.ts - INTERVAL 1 HOUR AND e.ts - INTERVAL 1 HOUR < h.valid_to
-WHERE e.event_type = 'purchase'
 """,
     ),
 }

@@ -92,6 +92,19 @@ def incremental_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return target.read()
 
 
+def incremental_date_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A target that keeps the day only, loaded twice from a source with times: the second run reads nothing."""
+    spec = LoadSpec(
+        "ods_event_days", f"{SYSTEM}.public.events", "warehouse.ods.event_days",
+        Incremental(["event_id"], "day", source_watermark="ts"),
+        [ColumnMap("event_id", "BIGINT", source="event_id"), ColumnMap("day", "DATE", source="ts")],
+    )
+    target = VersionedTable(spark, scratch_path(spark, "event-days"))
+    for load_ts in (FIRST, SECOND):
+        run_load(spec, table(spark, sf_dir, "events"), target, load_ts)
+    return target.read().select("event_id", "day")
+
+
 def scd1_upsert_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     target, batch = products(spark, sf_dir)
     return scd1_upsert(target, batch, PRODUCT_KEYS, PRODUCT_TRACKED)
@@ -128,14 +141,25 @@ BAND_STATE = [
 
 def change_feed_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same feed as two runs into a table with key buckets."""
+    return _feed_runs(spark, sf_dir, [0, 1])
+
+
+def apply_changes_replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with the first part once more at the end: rows deleted since do not come back."""
+    return _feed_runs(spark, sf_dir, [0, 1, 0])
+
+
+def _feed_runs(spark: SparkSession, sf_dir: str, order: list[int]) -> DataFrame:
+    """A run over each of the feed's two halves in the given order."""
     events, middle = table(spark, sf_dir, "events"), F.lit(MIDDLE).cast("timestamp_ntz")
     op = ColumnMap("op", "STRING", expression="case when event_type = 'error' then 'D' else 'U' end")
     spec = LoadSpec(
         "ods_bands", f"{SYSTEM}.public.events", "warehouse.ods.bands", Changes(FEED_KEYS, "ts", "op"), [*BAND_STATE, op]
     )
     target = VersionedTable(spark, scratch_path(spark, "bands"), bucket_by=FEED_KEYS, buckets=8)
-    run_load(spec, events.where(F.col("ts") < middle), target, FIRST)
-    run_load(spec, events.where(F.col("ts") >= middle), target, SECOND)
+    halves = [events.where(F.col("ts") < middle), events.where(F.col("ts") >= middle)]
+    for n, half in enumerate(order):
+        run_load(spec, halves[half], target, FIRST if n == 0 else SECOND, load_id=f"run-{n}")
     return target.read()
 
 
@@ -210,6 +234,15 @@ SELECT * FROM state WHERE NOT EXISTS (
   SELECT 1 FROM feed WHERE feed.user_id = state.user_id AND feed.band = state.band)
 """
 
+_FEED_SQL = f"""
+SELECT *, CASE WHEN ts < TIMESTAMP '{MIDDLE}' THEN TIMESTAMP '{FIRST}' ELSE TIMESTAMP '{SECOND}' END AS load_ts,
+       '{SYSTEM}' AS source_system, {hash_sql([rule.target for rule in BAND_STATE])} AS record_hash
+FROM (
+  SELECT user_id, CAST(floor(value / 10) AS INTEGER) AS band, event_type, ts FROM events
+  QUALIFY row_number() OVER (PARTITION BY user_id, floor(value / 10) ORDER BY ts DESC) = 1)
+WHERE event_type <> 'error'
+"""
+
 QUERIES = {
     "incremental_slice": (
         incremental_slice,
@@ -261,15 +294,9 @@ late AS (SELECT * FROM orders WHERE o_orderdate > (SELECT max(o_orderdate) FROM
     "scd1_tracked_test": (scd1_tracked_test, _upsert_sql(_DIFFERS, [c for c in _ALL if c != "product_id"], _ALL)),
     "apply_changes": (apply_change_feed, _FEED_SQL),
     "apply_changes_shuffled": (apply_change_feed_shuffled, _FEED_SQL),
-    "change_feed_runs": (
-        change_feed_runs,
-        f"""
-SELECT *, CASE WHEN ts < TIMESTAMP '{MIDDLE}' THEN TIMESTAMP '{FIRST}' ELSE TIMESTAMP '{SECOND}' END AS load_ts,
-       '{SYSTEM}' AS source_system, {hash_sql([rule.target for rule in BAND_STATE])} AS record_hash
-FROM (
-  SELECT user_id, CAST(floor(value / 10) AS INTEGER) AS band, event_type, ts FROM events
-  QUALIFY row_number() OVER (PARTITION BY user_id, floor(value / 10) ORDER BY ts DESC) = 1)
-WHERE event_type <> 'error'
-""",
+    "change_feed_runs": (change_feed_runs, _FEED_SQL),
+    "apply_changes_replayed": (apply_changes_replayed, _FEED_SQL),
+    "incremental_date_watermark": (
+        incremental_date_watermark, "SELECT CAST(event_id AS BIGINT) AS event_id, CAST(ts AS DATE) AS day FROM events"
     ),
 }

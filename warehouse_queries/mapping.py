@@ -26,6 +26,15 @@ LINES = [
 ]
 
 
+FAULTY = [
+    ColumnMap("order_id", "BIGINT", source="o_orderkey"),
+    ColumnMap("order_date", "DATE", expression="to_date(concat(if(o_orderkey % 7 = 0, 'x', ''), cast(o_orderdate as string)))"),
+    ColumnMap("urgency", "INT", source="o_orderpriority", transform="cast(substring($, 1, o_orderkey % 3 + 1) as int)"),
+    ColumnMap("share", "DOUBLE", expression="o_totalprice / (o_orderkey % 5)", null_default="-1"),
+    ColumnMap("small", "SMALLINT", source="o_custkey", transform="$ * 1000"),
+]
+
+
 def map_orders_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     return project(table(spark, sf_dir, "orders"), ORDERS)
 
@@ -40,8 +49,13 @@ def map_audit_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def map_surrogate_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     audit = Audit(record_hash=None, surrogate_key="client_sk")
-    rows = project(table(spark, sf_dir, "customer"), CLIENTS[:2])
-    return add_audit(rows, FIRST, SYSTEM, audit, keys=["client_id"]).select("client_id", "full_name", "client_sk")
+    rows = project(table(spark, sf_dir, "customer"), CLIENTS)
+    return add_audit(rows, FIRST, SYSTEM, audit, keys=["client_id"])
+
+
+def map_bad_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dates, numbers and divisions that cannot be, planted in transforms and expressions."""
+    return project(table(spark, sf_dir, "orders"), FAULTY)
 
 
 def load_orders_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,7 +105,22 @@ def canonical_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Arrays as JSON text; the text is read back, as engines print floats differently."""
     flat = canonicalise(table(spark, sf_dir, "embeddings"))
     numbers = F.from_json("embedding", "array<float>")
-    return flat.select("vec_id", "label", F.size(numbers).cast("bigint").alias("n"), numbers[0].alias("first_value"))
+    return flat.select("vec_id", "label", F.posexplode(numbers).alias("place", "number"))
+
+
+def full_load_replaced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A full load over one with more partitions, in a session that replaces partitions one by one."""
+    path, setting = scratch_path(spark, "orders"), "spark.sql.sources.partitionOverwriteMode"
+    year = ColumnMap("order_year", "STRING", source="o_orderdate", transform="date_format($, 'yyyy')")
+    rows = project(table(spark, sf_dir, "orders"), [*ORDERS, year])
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "dynamic")
+    try:
+        full_load(rows, path, partition_by=["order_year"])
+        full_load(rows.where("order_year >= '1995'"), path, partition_by=["order_year"])
+    finally:
+        spark.conf.set(setting, before)
+    return read_table(spark, path, schema=rows.schema)
 
 
 QUERIES = {
@@ -121,7 +150,9 @@ FROM (SELECT CAST(c_custkey AS BIGINT) AS client_id, c_name AS full_name, lower(
     "map_surrogate_key": (
         map_surrogate_key,
         """
-SELECT CAST(c_custkey AS BIGINT) AS client_id, c_name AS full_name,
+SELECT CAST(c_custkey AS BIGINT) AS client_id, c_name AS full_name, lower(trim(c_mktsegment)) AS segment_code,
+       CAST(c_nationkey AS INTEGER) AS nation_id, CAST(coalesce(c_acctbal, 0) AS DECIMAL(18,2)) AS balance,
+       CAST('2026-01-01' AS TIMESTAMP) AS load_ts, 'shop' AS source_system,
        sha256(concat(length(CAST(c_custkey AS VARCHAR)), ':', CAST(c_custkey AS VARCHAR))) AS client_sk
 FROM customer
 """,
@@ -141,6 +172,22 @@ SELECT CAST(c_custkey AS BIGINT) AS client_id, c_name AS full_name, lower(trim(c
        CAST(c_nationkey AS INTEGER) AS nation_id, CAST(coalesce(c_acctbal, 0) AS DECIMAL(18,2)) AS balance
 FROM customer
 """,
+    ),
+    "map_bad_values": (
+        map_bad_values,
+        """
+SELECT CAST(o_orderkey AS BIGINT) AS order_id,
+       CASE WHEN o_orderkey % 7 <> 0 THEN CAST(o_orderdate AS DATE) END AS order_date,
+       CASE WHEN o_orderkey % 3 = 0 THEN CAST(substring(o_orderpriority, 1, 1) AS INTEGER) END AS urgency,
+       CASE WHEN o_orderkey % 5 = 0 THEN -1.0 ELSE o_totalprice / (o_orderkey % 5) END AS share,
+       TRY_CAST(o_custkey * 1000 AS SMALLINT) AS small
+FROM orders
+""",
+    ),
+    "full_load_replaced": (
+        full_load_replaced,
+        f"""SELECT {ORDER_COLUMNS_SQL}, strftime(o_orderdate, '%Y') AS order_year FROM orders
+WHERE o_orderdate >= TIMESTAMP '1995-01-01'""",
     ),
     "full_load_partitioned": (
         full_load_partitioned,
@@ -165,6 +212,9 @@ FROM events
     ),
     "canonical_nested": (
         canonical_nested,
-        "SELECT vec_id, label, CAST(len(embedding) AS BIGINT) AS n, embedding[1] AS first_value FROM embeddings",
+        """
+SELECT vec_id, label, CAST(place AS INTEGER) AS place, embedding[place + 1] AS number
+FROM (SELECT *, unnest(range(len(embedding))) AS place FROM embeddings)
+""",
     ),
 }

@@ -11,6 +11,7 @@ from tidemark.streaming import append_stream, stream_append, stream_incremental,
 from warehouse_queries.inputs import (
     CLIENT_HISTORY_SQL,
     CLIENT_KEYS,
+    CLIENT_MERGE_SQL,
     CLIENT_TRACKED,
     CLIENTS,
     FIRST,
@@ -19,6 +20,8 @@ from warehouse_queries.inputs import (
     table,
 )
 
+AFTER = "2026-01-03 00:00:00"
+
 
 def stream_incremental_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events that landed twice, appended once."""
@@ -44,6 +47,39 @@ def stream_append_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return target.read()
 
 
+def stream_append_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two streams with checkpoints of their own, one after the other, into one table."""
+    target = VersionedTable(spark, scratch_path(spark, "events"))
+    events = table(spark, sf_dir, "events")
+    for part in (events.where("event_id % 3 = 0"), events.where("event_id % 3 <> 0")):
+        landing = scratch_path(spark, "landing")
+        part.write.parquet(landing)
+        arriving = spark.readStream.schema(events.schema).parquet(landing)
+        stream_append(arriving, target, scratch_path(spark, "checkpoint"), ["event_id"], "ts").awaitTermination()
+    return target.read()
+
+
+def stream_scd2_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first snapshot seen twice, then the second as of a time between: what it says of known clients is late."""
+    landing, late = scratch_path(spark, "landing"), scratch_path(spark, "late")
+    tracked = [rule for rule in CLIENTS if rule.target in (*CLIENT_KEYS, *CLIENT_TRACKED)]
+    target, checkpoint = VersionedTable(spark, scratch_path(spark, "dim-clients")), scratch_path(spark, "checkpoint")
+    first, second = (project(t, tracked) for t in (table(spark, sf_dir, "customer"), customer_second(spark, sf_dir)))
+    for rows, times in ((first, [FIRST, AFTER]), (second, [SECOND])):
+        for seen in times:
+            landed = rows.withColumn("seen_at", F.lit(seen).cast("timestamp_ntz"))
+            landed.write.mode("append").parquet(landing)
+        arriving = spark.readStream.schema(landed.schema).parquet(landing)
+        stream_scd2(
+            arriving, target, checkpoint, CLIENT_KEYS, CLIENT_TRACKED, "seen_at", late_path=late
+        ).awaitTermination()
+    placed = target.read().select(*CLIENT_KEYS, *CLIENT_TRACKED, "valid_from", "last_seen", F.lit(False).alias("is_late"))
+    apart = spark.read.parquet(late).select(
+        *CLIENT_KEYS, *CLIENT_TRACKED, F.col("seen_at").alias("valid_from"), F.col("seen_at").alias("last_seen"), F.lit(True).alias("is_late")
+    )
+    return placed.unionByName(apart)
+
+
 def stream_scd2_clients(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two client snapshots that land one after the other, merged as they come."""
     landing = scratch_path(spark, "landing")
@@ -55,10 +91,27 @@ def stream_scd2_clients(spark: SparkSession, sf_dir: str) -> DataFrame:
         landed.write.mode("append").parquet(landing)
         arriving = spark.readStream.schema(landed.schema).parquet(landing)
         stream_scd2(arriving, target, checkpoint, CLIENT_KEYS, CLIENT_TRACKED, "seen_at").awaitTermination()
-    return target.read()
+    return target.read().drop("last_seen")
 
 
 QUERIES = {
+    "stream_append_restart": (stream_append_restart, "SELECT * FROM events"),
+    "stream_scd2_late": (
+        stream_scd2_late,
+        CLIENT_MERGE_SQL
+        + f"""
+SELECT client_id, full_name, segment_code, nation_id, TIMESTAMP '{FIRST}' AS valid_from, TIMESTAMP '{AFTER}' AS last_seen,
+       FALSE AS is_late FROM t
+UNION ALL
+SELECT client_id, full_name, segment_code, nation_id, TIMESTAMP '{SECOND}', TIMESTAMP '{SECOND}', FALSE
+FROM s WHERE client_id NOT IN (SELECT client_id FROM t)
+UNION ALL
+SELECT s.client_id, s.full_name, s.segment_code, s.nation_id, TIMESTAMP '{SECOND}', TIMESTAMP '{SECOND}', TRUE
+FROM s JOIN t ON s.client_id = t.client_id
+WHERE s.full_name IS DISTINCT FROM t.full_name OR s.segment_code IS DISTINCT FROM t.segment_code
+   OR s.nation_id IS DISTINCT FROM t.nation_id
+""",
+    ),
     "stream_incremental": (stream_incremental_events, "SELECT * FROM events"),
     "stream_append": (stream_append_events, "SELECT * FROM events"),
     "stream_scd2": (
