@@ -192,6 +192,7 @@ class Lexicon:
     def __init__(self, path: str):
         with open(path, "rb") as f:
             sizes = json.loads(f.read(4096))
+        self.read: dict[int, tuple[int, ...]] = {}
         at = 4096
         for name, size in sizes.items():
             array = np.memmap(path, dtype="<i8", mode="r", offset=at, shape=(size,)) if size else np.zeros(0, np.int64)
@@ -224,8 +225,10 @@ class Lexicon:
             depth += 1
         return found
 
-    def entry(self, number: int) -> list[int]:
-        return self.ids[self.starts[number] : self.starts[number + 1]].tolist()
+    def entry(self, number: int) -> tuple[int, ...]:
+        if number not in self.read:
+            self.read[number] = tuple(self.ids[self.starts[number] : self.starts[number + 1]].tolist())
+        return self.read[number]
 
 
 class Encoder:
@@ -238,17 +241,24 @@ class Encoder:
 
     def learn(self, chunks: set[str]) -> None:
         """Encodes chunks: words in the automaton together, the others by merging."""
-        for c in chunks & self.older.keys():
-            self.kept[c] = self.older[c]
-        split = [(c, [c] if c.isalpha() else self.tokenizer.words.findall(c)) for c in chunks - self.older.keys()]
-        words = list({w for _, ws in split for w in ws})
-        numbers = self.lexicon.numbers([w.encode() for w in words])
-        known = {
-            w: self.lexicon.entry(n) if n >= 0 else self.tokenizer.merged(w)
-            for w, n in zip(words, numbers.tolist(), strict=True)
-        }
-        for c, ws in split:
-            self.kept[c] = tuple(chain.from_iterable(known[w] for w in ws))
+        kept, older, find = self.kept, self.older, self.tokenizer.words.findall
+        single, several = [], []
+        for c in chunks:
+            if c in older:
+                kept[c] = older[c]
+            elif c.isalpha():
+                single.append(c)
+            else:
+                several.append(c)
+        split = [find(c) for c in several]
+        words = list({*single, *chain.from_iterable(split)})
+        numbers = self.lexicon.numbers([w.encode() for w in words]).tolist()
+        entry, merged = self.lexicon.entry, self.tokenizer.merged
+        known = {w: entry(n) if n >= 0 else tuple(merged(w)) for w, n in zip(words, numbers, strict=True)}
+        for c in single:
+            kept[c] = known[c]
+        for c, ws in zip(several, split, strict=True):
+            kept[c] = tuple(chain.from_iterable([known[w] for w in ws]))
 
     def encode_batch(self, texts: list[str]) -> Iterator[list[int]]:
         """The ids of each text, in blocks of about a megabyte."""
