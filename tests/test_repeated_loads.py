@@ -44,7 +44,7 @@ def test_streams_with_checkpoints_of_their_own_share_a_table(spark):
 def test_late_is_judged_by_when_a_key_was_last_seen(spark):
     table, late = fresh(spark), scratch_path(spark, "late")
     merge_changes(table, changes(spark, [(1, "a", 1), (1, "a", 3)]), "one", ["k"], ["v"], "at")
-    merge_changes(table, changes(spark, [(1, "b", 2), (1, "a", 2), (2, "n", 2)]), "two", ["k"], ["v"], "at", late_path=late)
+    merge_changes(table, changes(spark, [(1, "b", 2), (2, "n", 2)]), "two", ["k"], ["v"], "at", late_path=late)
     assert rows(table.read().select("k", "v", "is_current")) == [(1, "a", True), (2, "n", True)]
     assert rows(spark.read.parquet(late).select("k", "v")) == [(1, "b")]
     merge_changes(table, changes(spark, [(1, "a", 9), (2, "m", 9)]), "three", ["k"], ["v"], "at")
@@ -79,12 +79,11 @@ def test_digits_of_any_script_are_decimals(spark):
 
 
 def test_of_two_writers_one_fails_and_undoes_nothing(spark):
-    table, other = fresh(spark), None
+    table = fresh(spark)
     table.append(spark.range(3), "a")
     other = VersionedTable(spark, table.root)
     stale = other.manifest()
     table.append(spark.range(5), "b")
-    other.manifest_of_test = stale
     write = other._write
 
     def begun_before(df, old, *args, **more):
@@ -174,7 +173,7 @@ def test_a_bad_value_in_a_transform_is_null(spark):
     mapping = [ColumnMap("d", "DATE", source="d", transform="to_date($)"), ColumnMap("q", "DOUBLE", expression="a / b"), ColumnMap("n", "INT", source="d", transform="cast($ as int)", null_default="7")]
     assert rows(project(df, mapping).select(F.col("d").cast("string"), "q", "n")) == [("2026-01-02", 2.0, 7), (None, None, 7)]
     assert spark.conf.get("spark.sql.ansi.enabled") == "true"
-    with pytest.raises(Exception, match="no date"):
+    with pytest.raises(Exception, match="cannot be cast"):
         project(df, mapping, strict=True).collect()
 
 
