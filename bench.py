@@ -11,6 +11,7 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 from collections.abc import Callable
 
@@ -29,7 +30,8 @@ HEADLINE = (
     "incremental_slice incremental_latest next_watermark incremental_runs scd1_upsert_products scd1_upsert_shuffled "
     "apply_changes scd2_changes scd2_merge_clients scd2_merge_shuffled scd2_replay scd2_rebuild_events scd2_as_of "
     "scd2_as_of_sorted profile_table key_candidates lineage_columns lineage_datasets run_audit dq_unique dq_orphans "
-    "dq_lengths dq_scd2 reconcile stream_incremental stream_scd2"
+    "dq_lengths dq_scd2 reconcile stream_incremental stream_scd2 stream_append change_feed_runs as_of_events "
+    "incremental_skip scd2_extend_shuffled map_bad_values incremental_date_watermark run_audit_log"
 ).split()
 
 LINES = [
@@ -80,6 +82,7 @@ def main() -> None:
         "spark.ui.enabled": "false",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
+        "spark.checkpoint.dir": tempfile.mkdtemp(prefix="bench-"),  # one machine: any folder is shared
     }
     builder = SparkSession.builder.master(f"local[{cpus}]").appName("bench")
     for name, value in settings.items():
