@@ -234,7 +234,7 @@ SELECT * FROM state WHERE NOT EXISTS (
   SELECT 1 FROM feed WHERE feed.user_id = state.user_id AND feed.band = state.band)
 """
 
-_FEED_SQL = f"""
+_RUNS_SQL = f"""
 SELECT *, CASE WHEN ts < TIMESTAMP '{MIDDLE}' THEN TIMESTAMP '{FIRST}' ELSE TIMESTAMP '{SECOND}' END AS load_ts,
        '{SYSTEM}' AS source_system, {hash_sql([rule.target for rule in BAND_STATE])} AS record_hash
 FROM (
@@ -294,8 +294,8 @@ late AS (SELECT * FROM orders WHERE o_orderdate > (SELECT max(o_orderdate) FROM
     "scd1_tracked_test": (scd1_tracked_test, _upsert_sql(_DIFFERS, [c for c in _ALL if c != "product_id"], _ALL)),
     "apply_changes": (apply_change_feed, _FEED_SQL),
     "apply_changes_shuffled": (apply_change_feed_shuffled, _FEED_SQL),
-    "change_feed_runs": (change_feed_runs, _FEED_SQL),
-    "apply_changes_replayed": (apply_changes_replayed, _FEED_SQL),
+    "change_feed_runs": (change_feed_runs, _RUNS_SQL),
+    "apply_changes_replayed": (apply_changes_replayed, _RUNS_SQL),
     "incremental_date_watermark": (
         incremental_date_watermark, "SELECT CAST(event_id AS BIGINT) AS event_id, CAST(ts AS DATE) AS day FROM events"
     ),
