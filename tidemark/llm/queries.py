@@ -16,7 +16,7 @@ from tidemark.llm.simhash import simhash_query
 from tidemark.llm.suffixes import suffix_query
 from tidemark.llm.topk import TOP_K_SQL, top_k
 from tidemark.llm.toxicity import severity, train
-from tidemark.llm.warc import warc_query
+from tidemark.llm.warc import WARC_SQL, warc_query
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,5 +84,5 @@ REGISTERED: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None
     "op7_simhash": (op7_simhash, None),
     "op8_bpe": (op8_bpe, None),
     "op9_suffix": (op9_suffix, None),
-    "op10_warc": (op10_warc, None),
+    "op10_warc": (op10_warc, WARC_SQL),
 }

@@ -254,3 +254,17 @@ def warc_query(pages: DataFrame) -> DataFrame:
     write_warc(pages, folder)
     found = read_warc(spark, folder, payloads=False)
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+WARC_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+d AS (SELECT page_id, strlen(h) AS n, sha1(h) AS x, min(page_id) OVER (PARTITION BY h) AS low FROM p)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes,
+       array_to_string(list_transform(range(32), lambda i: substr(
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         CAST((CAST('0x' || substr(x, (i // 4) * 5 + 1, 5) AS BIGINT) >> (15 - 5 * (i % 4))) & 31 AS INTEGER) + 1, 1)), '')
+         AS payload_digest,
+       CASE WHEN page_id = low THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> low THEN low END AS refers_to
+FROM d
+"""
