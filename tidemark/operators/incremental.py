@@ -64,7 +64,8 @@ def unloaded_rows(
     if fits_broadcast(batch) if small_batch is None else small_batch:
         unseen = unseen_rows(target, latest, keys)
     else:
-        unseen = latest.join(target.select(*keys), same_keys(keys), "left_anti")
+        # distinct: keys of an append-only table repeat, and Spark cannot split this side of the join
+        unseen = latest.join(target.select(*keys).distinct(), same_keys(keys), "left_anti")
     rows = unseen.select(*[F.col(BATCH + name).alias(name) for name in batch.columns])
     return rows.unionByName(batch.where(has_null(keys)))
 
