@@ -172,12 +172,13 @@ def forest(keys: np.ndarray, fps: np.ndarray, radius: int) -> list[tuple[int, in
 def links(distinct: DataFrame, radius: int = 2, sample_rows: int = SAMPLE) -> DataFrame:
     """(u, v): links that join every two fingerprints a chain of links within the radius joins.
 
-    ``sample_rows`` bounds the fingerprints that are looked at to choose masks and to find
+    ``sample_rows``, by a hash, bounds the fingerprints that are looked at to choose masks and to find
     values that many fingerprints share; neither changes which links are found.
     """
     total = distinct.count()
-    rows = distinct.orderBy(F.xxhash64("fp")).limit(sample_rows).select("fp").collect()
-    sample = np.array([r.fp for r in rows], dtype=np.int64).view(np.uint64)
+    some = distinct.where(F.pmod(F.xxhash64("fp"), F.lit(max(total, 1))) < sample_rows)  # about sample_rows at most
+    sample = np.sort(np.array([r.fp for r in some.select("fp").collect()], dtype=np.int64).view(np.uint64))
+    sample = sample[np.argsort(mixed(sample), kind="stable")]
     tree = probe_tree(sample, allocated(sample, total, radius), radius, HOT) if total > 1 else []
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
