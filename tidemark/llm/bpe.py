@@ -31,6 +31,8 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import staged
+
 WORDS = 32_768
 SEEN = 8
 KEPT = 250_000
@@ -298,9 +300,9 @@ _encoders: dict[str, Encoder] = {}
 
 
 def frequent_words(docs: DataFrame, text_col: str, tokenizer, words: int) -> list[str]:
-    """The most frequent words of all texts, ties by the word.
+    """The most frequent words of all texts: as many whole classes of frequency as ``words`` has room for.
 
-    Each batch counts all its words and sends those it has seen ``SEEN`` times: a rarer word is worth
+    A class is a quarter of a doubling, so that no more than ``words`` rows ever come to the driver. Each batch counts all its words and sends those it has seen ``SEEN`` times: a rarer word is worth
     no place in the automaton, and costs only its merging.
     """
 
@@ -318,7 +320,17 @@ def frequent_words(docs: DataFrame, text_col: str, tokenizer, words: int) -> lis
             yield pa.RecordBatch.from_arrays([pa.array(found.keys(), pa.string()), pa.array(found.values(), pa.int64())], ["word", "n"])
 
     counted = docs.select(text_col).mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    return [r.word for r in counted.orderBy(F.desc("n"), "word").limit(words).collect()]
+    counted = staged(counted.withColumn("class", F.floor(F.log2("n") * 4)), "word-counts")
+    room, least = words, None
+    for r in sorted(counted.groupBy("class").count().collect(), key=lambda r: -r["class"]):
+        room -= r["count"]
+        if room < 0:
+            break
+        least = r["class"]
+    if least is None:
+        return []
+    found = counted.where(F.col("class") >= least).collect()
+    return [r.word for r in sorted(found, key=lambda r: (-r.n, r.word))]
 
 
 def mapped_encoder(docs: DataFrame, text_col: str, path: str, words: int):
