@@ -6,8 +6,8 @@ features present, has the same weights for every threshold. Severity is the expe
 
 The labels say only whether a text is toxic, so grades are made from them: clean texts are 0, toxic ones
 1 to 3 by thirds of how many of the features that toxic texts favour they hold. Features enter when their
-log-likelihood ratio between the two labels is above ``least_ratio``. At most ``sample_rows`` labelled
-texts are read, chosen by a hash of the id: all toxic ones first, up to half of the bound.
+log-likelihood ratio between the two labels is above ``least_ratio``. About ``sample_rows`` labelled
+texts are read, chosen by a hash of the id: about half of the bound of either label at most.
 
 Null and empty texts have no features, and so the score zero, under all thresholds. Labels that are null or
 contradict each other are left out; without both labels nothing is toxic. Each row of the input gives one
@@ -129,9 +129,10 @@ def train(
 ) -> OrdinalModel:
     clear = labels.where(F.col("toxic").isin(0, 1)).groupBy(F.col(id_col).alias("id")).agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("most"))
     clear = clear.where("toxic = most and id is not null").select("id", "toxic")
-    order = F.xxhash64("id")
-    chosen = clear.where("toxic = 1").orderBy(order, "id").limit(sample_rows // 2)
-    chosen = chosen.unionByName(clear.where("toxic = 0").orderBy(order, "id").limit(sample_rows // 2))
+    sizes = {r.toxic: r["count"] for r in clear.groupBy("toxic").count().collect()}
+    # about half of the bound from either label; which, a hash says
+    share = F.when(F.col("toxic") == 1, F.lit(sizes.get(1, 1))).otherwise(F.lit(sizes.get(0, 1)))
+    chosen = clear.where(F.pmod(F.xxhash64("id"), share) < sample_rows // 2)
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     sample = texts.join(F.broadcast(chosen), "id")  # at most sample_rows ids and labels
 
