@@ -202,3 +202,25 @@ def test_estimates_are_close(spark, sf_dir):
     exact, estimated = ({r.column_name: r.distinct_count for r in profile_table(orders, distinct=d).collect()} for d in ("exact", "approx"))
     assert exact.keys() == estimated.keys()
     assert all(abs(estimated[c] - n) <= 0.15 * n for c, n in exact.items())
+
+
+@pytest.mark.parametrize("buckets", [0, 4])
+def test_late_changes_of_other_keys_are_taken(spark, buckets):
+    """Loads of parts of a feed, in any order, leave what one load of the whole feed leaves."""
+    schema = "k int, v string, n long, op string"
+    mapping = [ColumnMap("k", "INT", source="k", pk=True), ColumnMap("v", "STRING", source="v"), ColumnMap("n", "BIGINT", source="n"), ColumnMap("op", "STRING", source="op")]
+    spec = LoadSpec("f", "shop.public.f", "warehouse.stg.f", Changes(["k"], "n", "op"), mapping)
+    parts = [
+        [(1, "a", 1, "U"), (2, "b", 9, "U"), (3, "c", 5, "U"), (8, "n", None, "U")],
+        [(4, "late", 2, "I"), (5, "tied", 9, "I"), (3, "newer", 6, "U"), (6, "unnumbered", None, "I"), (1, None, 4, "D"), (7, None, 7, "D"), (2, "none", None, "U")],
+        [(1, "old", 3, "U"), (7, "old", 6, "I"), (3, "old", 4, "U"), (1, "old", None, "U"), (8, "m", 3, "U")],
+    ]
+    expected = [(2, "b"), (3, "newer"), (4, "late"), (5, "tied"), (6, "unnumbered"), (8, "m")]
+    for order in ([0, 1, 2], [2, 1, 0]) if buckets else ([1, 0, 2, 1],):
+        path = dict(bucket_by=["k"], buckets=buckets) if buckets else {}
+        table = fresh(spark, **path)
+        for i, part in enumerate(order):
+            run_load(spec, spark.createDataFrame(parts[part], schema), table, T1, load_id=str(i))
+        assert rows(table.read().select("k", "v")) == expected, order
+        run_load(spec, spark.createDataFrame([(1, "again", 5, "I")], schema), table, T2, load_id="more")
+        assert (1, "again") in rows(table.read().select("k", "v"))

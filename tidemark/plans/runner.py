@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.audit import add_audit, utc_text
 from tidemark.functions.projection import project
-from tidemark.operators.changes import apply_changes
+from tidemark.operators.changes import apply_changes, deleted_keys
 from tidemark.operators.common import has_null
 from tidemark.operators.incremental import latest_per_key, unloaded_rows
 from tidemark.operators.quality import BatchRefused, refuse_bad_batch
@@ -162,15 +162,42 @@ def _changes(
             raise BatchRefused("changes with a NULL key")
         buckets = table.touched_buckets(feed, manifest)
         target = feed.drop(strategy.op).limit(0) if manifest is None else table.read(manifest, buckets=buckets)
-        # Sequences up to the table's highest were applied before, by a load that ran again or a
-        # feed that overlaps it; a row that was deleted since must not come back.
+        # Changes may have been applied before, by a load that ran again or a feed that overlaps it;
+        # a row that was deleted since must not come back. Only a key's own last sequence tells: feeds
+        # may be late, or tied, for one key and not for another.
+        gone = _deleted(spec, strategy, feed, table, manifest, stamp, load_id)
+        merged = apply_changes(target, feed, keys, strategy.sequence, strategy.op, strategy.deletes, gone=gone)
         after = manifest.watermark if manifest is not None else None
-        merged = apply_changes(target, feed, keys, strategy.sequence, strategy.op, strategy.deletes, after=after)
         kind = feed.schema[strategy.sequence].dataType
         highest = feed.agg(F.greatest(F.max(strategy.sequence), F.lit(after).cast(kind)).cast("string")).first()[0]
         return table.commit_rows(merged, load_id, stamp, buckets, high=highest)
 
 
+def _deleted(
+    spec: LoadSpec,
+    strategy: Changes,
+    feed: DataFrame,
+    table: VersionedTable,
+    manifest: Manifest | None,
+    stamp: str,
+    load_id: str,
+) -> DataFrame | None:
+    """Keys deleted by loads before, from a table of their own below the target's root, to which the feed's are added.
+
+    It is committed first: what a load that then dies has left there are deletes of the source, which
+    stop older writes only. None when nothing was deleted yet.
+    """
+    keys = list(strategy.business_keys)
+    past = VersionedTable(table.spark, f"{table.root}/deleted", table.file_format, bucket_by=table.bucket_by, buckets=table.buckets)
+    old = past.manifest()
+    buckets = table.touched_buckets(feed, manifest)
+    gone = None if old is None else past.read(old, buckets=buckets)
+    if not feed.where(F.col(strategy.op).isin(*strategy.deletes)).isEmpty():
+        found = deleted_keys(feed, keys, strategy.sequence, strategy.op, strategy.deletes, gone)
+        past.commit_rows(found, load_id, stamp, buckets)
+    return gone
+
+
 def _scd1(
     spec: LoadSpec,
     strategy: Scd1,
