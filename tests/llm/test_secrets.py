@@ -62,6 +62,12 @@ def test_redacted(make):
     assert found == sorted(expected, key=str)
 
 
+def test_the_password_of_an_endpoint_is_redacted(make):
+    rows = [(1, "user=admin password=abcdef at postgres://app:Pa55w@db"), (2, "see https://db.example.com/x")]
+    found = {r.doc_id: r.text for r in secrets.redacted(make(rows)).collect()}
+    assert found == {1: "[SECRET] [SECRET] at [SECRET]@db", 2: rows[1][1]}
+
+
 def test_empty(make):
     assert secrets.secrets_query(make([])).collect() == []
     assert secrets.redacted(make([])).collect() == []

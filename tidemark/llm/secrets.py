@@ -152,11 +152,14 @@ def secrets_query(docs: DataFrame) -> DataFrame:
 
 
 def redacted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mask: str = "[SECRET]") -> DataFrame:
-    """The rows with every reported span of the text replaced; the other columns as they are."""
+    """The rows with every reported span of the text replaced, endpoints too, as they may hold a user and
+    password; the other columns as they are. What an endpoint's span does not reach, such as the rest of
+    a password with other characters, stays.
+    """
     rows, spans = credentials(docs, id_col, text_col)
     order = Window.partitionBy("row").orderBy("start", "stop")
     reach = F.max("stop").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    opened = spans.where("kind <> 5").select("row", "start", "stop", F.coalesce((F.col("start") >= reach).cast("int"), F.lit(1)).alias("opens"))
+    opened = spans.select("row", "start", "stop", F.coalesce((F.col("start") >= reach).cast("int"), F.lit(1)).alias("opens"))
     merged = opened.select("row", "start", "stop", F.sum("opens").over(order.rowsBetween(Window.unboundedPreceding, 0)).alias("run"))
     merged = merged.groupBy("row", "run").agg(F.min("start").alias("start"), F.max("stop").alias("stop"))
     by_row = merged.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", "stop"))).alias("__spans"))
