@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import subprocess
+import sys
+
 import pytest
 from compare import connect, spark_rows, sql_rows
 
@@ -36,3 +41,17 @@ def test_contract(spark):
     assert set(contract.oracle_sql()) <= set(contract.queries())
     assert set(REGISTERED) <= set(contract.queries())
     assert contract.entry(spark).columns[0] == "order_id"
+
+
+IMPORTED = "import __spark_entry__ as e; print(sorted(e.queries()) == sorted(e.WAREHOUSE), 'pipeline' in e.queries())"
+
+
+@pytest.mark.parametrize("with_pipeline", [False, True])
+def test_entry_imports_without_the_corpus_operators(tmp_path, with_pipeline):
+    top = os.path.dirname(os.path.abspath(contract.__file__))
+    tree = tmp_path / "tree"
+    shutil.copytree(top, tree, ignore=shutil.ignore_patterns("llm", ".git", "__pycache__", ".pytest_cache"))
+    if not with_pipeline and (tree / "corpus_pipeline.py").exists():
+        (tree / "corpus_pipeline.py").unlink()
+    run = subprocess.run([sys.executable, "-c", IMPORTED], cwd=tree, capture_output=True, text=True, timeout=120)
+    assert run.stdout.split() == ["True", "False"], run.stderr
