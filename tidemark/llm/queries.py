@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.llm.bpe import round_trip_digests
 from tidemark.llm.decontaminate import contaminated
 from tidemark.llm.language import identify
+from tidemark.llm.pieces import round_trip_digests as piece_digests
 from tidemark.llm.pii import personal_data_query
 from tidemark.llm.secrets import secrets_query
 from tidemark.llm.simhash import simhash_query
@@ -74,6 +75,11 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_query(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
 
+def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces and decoded text of every document, as digests."""
+    return piece_digests(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 REGISTERED: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_pii": (op1_pii, None),
     "op2_secrets": (op2_secrets, None),
@@ -85,4 +91,5 @@ REGISTERED: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None
     "op8_bpe": (op8_bpe, None),
     "op9_suffix": (op9_suffix, None),
     "op10_warc": (op10_warc, WARC_SQL),
+    "op11_sentencepiece": (op11_sentencepiece, None),
 }
