@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.llm.alignment import alignment_digests
 from tidemark.llm.bpe import round_trip_digests
 from tidemark.llm.decontaminate import contaminated
 from tidemark.llm.language import identify
@@ -80,6 +81,12 @@ def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_digests(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links of two tokenizers' tokens in every document, with corpus-wide counts."""
+    paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return alignment_digests(documents(spark, sf_dir), *paths)
+
+
 REGISTERED: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_pii": (op1_pii, None),
     "op2_secrets": (op2_secrets, None),
@@ -92,4 +99,5 @@ REGISTERED: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None
     "op9_suffix": (op9_suffix, None),
     "op10_warc": (op10_warc, WARC_SQL),
     "op11_sentencepiece": (op11_sentencepiece, None),
+    "op12_alignment": (op12_alignment, None),
 }
