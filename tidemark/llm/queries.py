@@ -13,6 +13,7 @@ from tidemark.llm.decontaminate import contaminated
 from tidemark.llm.language import identify
 from tidemark.llm.pieces import round_trip_digests as piece_digests
 from tidemark.llm.pii import personal_data_query
+from tidemark.llm.prefixes import TRIE_SQL, prefix_trie
 from tidemark.llm.secrets import secrets_query
 from tidemark.llm.simhash import simhash_query
 from tidemark.llm.suffixes import suffix_query
@@ -87,6 +88,11 @@ def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment_digests(documents(spark, sf_dir), *paths)
 
 
+def op13_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the prefix trie of the rebuilt conversations."""
+    return prefix_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 REGISTERED: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_pii": (op1_pii, None),
     "op2_secrets": (op2_secrets, None),
@@ -100,4 +106,5 @@ REGISTERED: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None
     "op10_warc": (op10_warc, WARC_SQL),
     "op11_sentencepiece": (op11_sentencepiece, None),
     "op12_alignment": (op12_alignment, None),
+    "op13_trie": (op13_trie, TRIE_SQL),
 }
