@@ -7,7 +7,15 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import project
 from tidemark.plans import VersionedTable, scratch_path
-from tidemark.streaming import append_stream, stream_append, stream_incremental, stream_scd2
+from tidemark.streaming import (
+    append_stream,
+    state_on_disk,
+    stream_append,
+    stream_incremental,
+    stream_scd2,
+    stream_versions,
+    versions_of,
+)
 from warehouse_queries.inputs import (
     CLIENT_HISTORY_SQL,
     CLIENT_KEYS,
@@ -94,7 +102,52 @@ def stream_scd2_clients(spark: SparkSession, sf_dir: str) -> DataFrame:
     return target.read().drop("last_seen")
 
 
+PART_DAYS, DELAY_DAYS, SILENT_HOURS = 10, 12, 24
+
+
+def stream_versions_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users' states from a stream that keeps them by key; half of each last day lands with the next part.
+
+    The stream is stopped and started again from its checkpoint before the last part.
+    """
+    landing, out, checkpoint = (scratch_path(spark, n) for n in ("landing", "versions", "checkpoint"))
+    events = table(spark, sf_dir, "events")
+    begin = F.lit("2024-01-01").cast("date")
+    day = F.date_diff(F.col("ts").cast("date"), begin)
+    behind = (F.pmod(day, F.lit(PART_DAYS)) == PART_DAYS - 1) & (F.col("event_id") % 2 == 0)
+    part = F.least(F.floor(day / PART_DAYS) + behind.cast("int"), F.lit(2))
+    for parts in ((0, 1), (2,)):
+        for n in parts:
+            events.where(part == n).coalesce(1).write.mode("append").parquet(landing)
+        arriving = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", "1").parquet(landing)
+        found = stream_versions(arriving, ["user_id"], ["event_type"], "ts", f"{DELAY_DAYS} days", SILENT_HOURS * 3600)
+        with state_on_disk(spark):
+            query = append_stream(found, out, checkpoint)
+        query.awaitTermination()
+    return versions_of(spark.read.parquet(out), ["user_id"], ["event_type"])
+
+
+STREAM_VERSIONS_SQL = f"""
+WITH mark AS (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL {DELAY_DAYS} DAY AS upto FROM events),
+seen AS (
+  SELECT user_id, event_type, ts, lag(ts) OVER w AS before,
+         row_number() OVER w = 1 OR event_type IS DISTINCT FROM lag(event_type) OVER w
+           OR ts > lag(ts) OVER w + INTERVAL {SILENT_HOURS} HOUR AS opens
+  FROM events, mark WHERE ts <= upto WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
+numbered AS (SELECT *, sum(CAST(opens AS INTEGER)) OVER (PARTITION BY user_id ORDER BY ts) AS version FROM seen),
+versions AS (
+  SELECT user_id, version, any_value(event_type) AS event_type, min(ts) AS valid_from,
+         max(ts) + INTERVAL {SILENT_HOURS} HOUR AS silent, lead(min(ts)) OVER (PARTITION BY user_id ORDER BY version) AS following
+  FROM numbered GROUP BY user_id, version)
+SELECT user_id, event_type, valid_from,
+       CASE WHEN following <= silent THEN following WHEN following IS NOT NULL OR silent <= upto THEN silent
+            ELSE TIMESTAMP '9999-12-31' END AS valid_to,
+       following IS NULL AND silent > upto AS is_current
+FROM versions, mark
+"""
+
 QUERIES = {
+    "stream_versions": (stream_versions_events, STREAM_VERSIONS_SQL),
     "stream_append_restart": (stream_append_restart, "SELECT * FROM events"),
     "stream_scd2_late": (
         stream_scd2_late,
