@@ -1,4 +1,5 @@
 from tidemark.operators.changes import apply_changes
+from tidemark.operators.corrections import correction_spans, one_per_time, scd2_corrections, scd2_place
 from tidemark.operators.history import as_of_join, check_scd2, scd2_extend, scd2_rebuild
 from tidemark.operators.incremental import incremental_append, latest_per_key, next_watermark, unloaded_rows
 from tidemark.operators.lineage import column_lineage_audit, dataset_lineage, lineage_events, run_audit
@@ -31,6 +32,7 @@ __all__ = [
     "check_unique",
     "check_write_conflicts",
     "column_lineage_audit",
+    "correction_spans",
     "dataset_lineage",
     "draft_mapping",
     "first_versions",
@@ -39,6 +41,7 @@ __all__ = [
     "latest_per_key",
     "lineage_events",
     "next_watermark",
+    "one_per_time",
     "profile_table",
     "reconcile",
     "reconcile_summary",
@@ -46,9 +49,11 @@ __all__ = [
     "run_audit",
     "scd1_upsert",
     "scd2_changes",
+    "scd2_corrections",
     "scd2_delta",
     "scd2_extend",
     "scd2_merge",
+    "scd2_place",
     "scd2_rebuild",
     "unloaded_rows",
 ]

@@ -5,7 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators import as_of_join, first_versions, scd2_changes, scd2_extend, scd2_merge, scd2_rebuild
+from tidemark.operators import (
+    as_of_join,
+    correction_spans,
+    first_versions,
+    scd2_changes,
+    scd2_extend,
+    scd2_merge,
+    scd2_place,
+    scd2_rebuild,
+)
 from tidemark.plans import LoadSpec, Scd2, VersionedTable, run_load, scratch_path, staged
 from warehouse_queries.inputs import (
     CLIENT_HISTORY_SQL,
@@ -94,6 +103,21 @@ def scd2_extend_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _extended(spark, sf_dir, False)
 
 
+def scd2_late_corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The event log in three parts, each with rows of all times, the last of them first."""
+    events, keys, tracked = table(spark, sf_dir, "events"), ["user_id"], ["event_type"]
+    parts = [events.where(F.col("event_id") % 3 == n) for n in (2, 0, 1)]
+    history, log = scd2_rebuild(parts[0], keys, tracked, "ts"), parts[0]
+    for part in parts[1:]:
+        history = staged(history, "event-history")
+        spans = staged(correction_spans(history, part, keys, "ts"), "spans")
+        least = spans.agg(F.min("_low").alias("low"), F.count_if(F.col("_low").isNull()).alias("open")).first()
+        since = log if least["open"] or least["low"] is None else log.where(F.col("ts") >= F.lit(least["low"]).cast("timestamp_ntz"))
+        history = scd2_place(history, since, part, keys, tracked, "ts", spans=spans)
+        log = log.unionByName(part)
+    return history
+
+
 def _order_segments(spark: SparkSession, sf_dir: str, small_dim: bool | None) -> DataFrame:
     target, batch = first_history(spark, sf_dir, EARLY)
     dim = staged(scd2_merge(target, batch, CLIENT_KEYS, CLIENT_TRACKED, LATER), "dim-clients")
@@ -161,6 +185,7 @@ FROM history
     ),
     "scd2_rebuild_events": (event_history, EVENT_HISTORY_SQL + "SELECT * FROM history"),
     "scd2_rebuild_split": (event_history_split, EVENT_HISTORY_SQL + "SELECT * FROM history"),
+    "scd2_late_corrections": (scd2_late_corrections, EVENT_HISTORY_SQL + "SELECT * FROM history"),
     "scd2_extend_events": (scd2_extend_events, EVENT_HISTORY_SQL + "SELECT * FROM history"),
     "scd2_extend_shuffled": (scd2_extend_shuffled, EVENT_HISTORY_SQL + "SELECT * FROM history"),
     "scd2_as_of": (scd2_as_of, _AS_OF),
