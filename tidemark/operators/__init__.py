@@ -2,6 +2,7 @@ from tidemark.operators.changes import apply_changes
 from tidemark.operators.corrections import correction_spans, one_per_time, scd2_corrections, scd2_place
 from tidemark.operators.history import as_of_join, check_scd2, scd2_extend, scd2_rebuild
 from tidemark.operators.incremental import incremental_append, latest_per_key, next_watermark, unloaded_rows
+from tidemark.operators.key_summary import merge_summaries, possible_parts, summarise_keys, words_for
 from tidemark.operators.lineage import column_lineage_audit, dataset_lineage, lineage_events, run_audit
 from tidemark.operators.profile import canonicalise, draft_mapping, key_candidates, profile_table
 from tidemark.operators.quality import (
@@ -40,8 +41,10 @@ __all__ = [
     "key_candidates",
     "latest_per_key",
     "lineage_events",
+    "merge_summaries",
     "next_watermark",
     "one_per_time",
+    "possible_parts",
     "profile_table",
     "reconcile",
     "reconcile_summary",
@@ -55,5 +58,7 @@ __all__ = [
     "scd2_merge",
     "scd2_place",
     "scd2_rebuild",
+    "summarise_keys",
     "unloaded_rows",
+    "words_for",
 ]

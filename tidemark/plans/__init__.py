@@ -1,3 +1,4 @@
+from tidemark.plans.keyed_log import KeyedLog
 from tidemark.plans.runner import LoadResult, export, extract, open_table, prepare, run_load
 from tidemark.plans.session import cluster_settings, shuffle_partitions
 from tidemark.plans.spec import Changes, Full, Incremental, LoadSpec, Scd1, Scd2, load_connection, load_spec
@@ -8,6 +9,7 @@ __all__ = [
     "Changes",
     "Full",
     "Incremental",
+    "KeyedLog",
     "LoadResult",
     "LoadSpec",
     "Scd1",

@@ -1,5 +1,5 @@
 from tidemark.streaming.history import merge_changes, stream_scd2
-from tidemark.streaming.incremental import append_stream, stream_append, stream_incremental
+from tidemark.streaming.incremental import append_stream, stream_append, stream_incremental, stream_keyed_append
 from tidemark.streaming.versions import state_on_disk, stream_versions, versions_of
 
 __all__ = [
@@ -8,6 +8,7 @@ __all__ = [
     "state_on_disk",
     "stream_append",
     "stream_incremental",
+    "stream_keyed_append",
     "stream_scd2",
     "stream_versions",
     "versions_of",

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tidemark.operators.incremental import unloaded_rows
+from tidemark.plans.keyed_log import KeyedLog
 from tidemark.plans.versioned import VersionedTable
 from tidemark.plans.workspace import staging
 
@@ -68,6 +69,18 @@ def stream_append(
     return started(stream.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint), every)
 
 
+def stream_keyed_append(stream: DataFrame, log: KeyedLog, checkpoint: str, every: str | None = None) -> StreamingQuery:
+    """Append rows of new keys to a keyed log, micro-batch by micro-batch.
+
+    However late a copy comes, the summaries lead to the load that has its key. The stream's id and the batch
+    number are the load id, so a batch that Spark runs again is appended once.
+    """
+    def add(batch: DataFrame, number: int) -> None:
+        log.append(batch, f"{stream_id(batch.sparkSession, checkpoint)}-batch-{number}")
+
+    return started(stream.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint), every)
+
+
 def append_stream(
     stream: DataFrame,
     path: str,

@@ -6,12 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import project
-from tidemark.plans import VersionedTable, scratch_path
+from tidemark.plans import KeyedLog, VersionedTable, scratch_path
 from tidemark.streaming import (
     append_stream,
     state_on_disk,
     stream_append,
     stream_incremental,
+    stream_keyed_append,
     stream_scd2,
     stream_versions,
     versions_of,
@@ -55,6 +56,18 @@ def stream_append_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return target.read()
 
 
+def stream_append_summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two landings that overlap by a third, with keys looked up by the summaries of what was appended."""
+    landing, checkpoint = scratch_path(spark, "landing"), scratch_path(spark, "checkpoint")
+    log = KeyedLog(spark, scratch_path(spark, "events-log"), ["event_id"], "ts")
+    events = table(spark, sf_dir, "events")
+    for part in (events.where("event_id % 3 <> 0"), events.where("event_id % 3 <> 1")):
+        part.write.mode("append").parquet(landing)
+        arriving = spark.readStream.schema(events.schema).parquet(landing)
+        stream_keyed_append(arriving, log, checkpoint).awaitTermination()
+    return log.read().drop("load")
+
+
 def stream_append_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two streams with checkpoints of their own, one after the other, into one table."""
     target = VersionedTable(spark, scratch_path(spark, "events"))
@@ -148,6 +161,7 @@ FROM versions, mark
 
 QUERIES = {
     "stream_versions": (stream_versions_events, STREAM_VERSIONS_SQL),
+    "stream_append_summaries": (stream_append_summaries, "SELECT * FROM events"),
     "stream_append_restart": (stream_append_restart, "SELECT * FROM events"),
     "stream_scd2_late": (
         stream_scd2_late,
