@@ -9,7 +9,7 @@ from collections import Counter, defaultdict
 import public_tokenizers
 import pytest
 import sentencepiece
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, normalizers
 
 from tidemark.llm import alignment
 from tidemark.llm.bpe import byte_letters
@@ -82,12 +82,14 @@ def rows(odd_rows):
     return [*odd_rows, *((50 + i, t) for i, t in enumerate(HARD)), *((200 + i, t) for i, t in enumerate(mixed))]
 
 
-@pytest.mark.parametrize(("chunk", "wide"), [(1 << 21, 256), (300, 256), (2000, 1)])
+@pytest.mark.parametrize(("chunk", "wide"), [(1 << 21, 256), (3000, 256), (8000, 1)])
 def test_equals_the_plain_version(make, rows, plain, monkeypatch, chunk, wide):
     """Chunks that hold few documents, and parts of documents; wide groups with few and many links."""
     monkeypatch.setattr(alignment, "CHUNK", chunk)
+    monkeypatch.setattr(alignment, "PART", chunk // 4)
+    monkeypatch.setattr(alignment, "BLOCK", 500)
     monkeypatch.setattr(alignment, "WIDE", wide)
-    some = rows if chunk > 300 else [r for r in rows if len(r[1] or "") < 5000]
+    some = rows if chunk > 3000 else [r for r in rows if len(r[1] or "") < 5000]
     pair = alignment.Pair(A, B)
     expected = plain(some)[0]
     own, pairs = [], []
@@ -124,12 +126,14 @@ def test_align_gives_the_groups(make, plain):
     assert got == {i: g for i, g in plain(rows)[2] if g}
 
 
-def test_cuts_are_kept_within_bounds(monkeypatch):
-    monkeypatch.setattr(alignment, "KEPT", 2)
+def test_a_tokenizer_that_loses_bytes():
+    """Sizes that do not add up are noticed, and the document has no tokens."""
     pair = alignment.Pair(A, B)
-    for words in ([" a", " b", " c"], [" a", " d"], [" e"]):
-        pair.learn(words)
-        assert all(pair.kept[w] for w in words) and len(pair.kept) <= 3
+    pair.library.normalizer = normalizers.Lowercase()
+    rows = ["all lower case", "Not All \n x", "İ"]
+    columns, links = alignment.chunk_rows(pair, rows)
+    assert [n > 0 for n in columns["n_a"].tolist()] == [True, False, False]
+    assert set(links["doc"].to_pylist()) == {0}
 
 
 def test_empty_table(make):

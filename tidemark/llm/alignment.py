@@ -13,7 +13,7 @@ Nothing of the corpus's pairs goes to the driver or is broadcast by force.
 
 Texts that are null, empty, or not given back byte by byte by both tokenizers have no tokens. Rows with
 equal or null ids are counted as documents of their own and give a row each. A long document is worked off
-in parts of ``CHUNK`` bytes; only its distinct pairs are held together.
+in parts of ``PART`` letters; only its distinct pairs are held together.
 """
 
 from __future__ import annotations
@@ -21,6 +21,7 @@ from __future__ import annotations
 import hashlib
 import json
 import os
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,7 +37,10 @@ from tidemark.llm.common import staged
 from tidemark.llm.pieces import SPACE, Model
 
 CHUNK = 2 << 20
-KEPT = 200_000
+#: letters that are joined at once, and that go to the library at once
+PART = 1 << 20
+BLOCK = 1 << 16
+SPACE_BEFORE = re.compile(r"\s ")
 #: links of a group are made of distinct ids with their numbers beyond so many
 WIDE = 256
 
@@ -58,7 +62,7 @@ def piece_entries(model: Model) -> list[bytes]:
 
 
 class Pair:
-    """Both tokenizers; encodes distinct cuts and keeps the newest of them."""
+    """Both tokenizers."""
 
     def __init__(self, path_a: str, path_b: str):
         with open(path_a, encoding="utf-8") as f:
@@ -77,12 +81,9 @@ class Pair:
         self.library.encode_special_tokens = True
         self.library.no_truncation()
         self.library.no_padding()
-        #: the ids of both sides of a cut as 32-bit integers, or None if its bytes do not come back
-        self.kept: dict[str, tuple[bytes, bytes] | None] = {}
-        self.older: dict[str, tuple[bytes, bytes] | None] = {}
 
     def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if k not in ("library", "kept", "older")}
+        return {k: v for k, v in self.__dict__.items() if k != "library"}
 
     def __setstate__(self, state):
         self.__dict__.update(state)
@@ -92,7 +93,7 @@ class Pair:
     def cuts(text: str) -> list[str]:
         """A space and the text, cut before each space that follows something else than white space."""
         parts = text.split(" ")
-        if not any(not p or p[-1].isspace() for p in parts[:-1]):
+        if text[0] != " " and not SPACE_BEFORE.search(text):
             return [" " + p for p in parts]
         out: list[str] = []
         glue = False
@@ -104,54 +105,72 @@ class Pair:
             glue = not p or p[-1].isspace()
         return out
 
-    def learn(self, needed: list[str]) -> None:
-        words = [w for w in needed if w not in self.kept]
-        if len(self.kept) + len(words) > KEPT:
-            self.kept, self.older, words = {}, self.kept, needed
-        kept, older = self.kept, self.older
-        new = []
-        for w in words:
-            if w in older:
-                kept[w] = older[w]
-            else:
-                new.append(w)
-        if not new:
-            return
-        first = [e.ids for e in self.library.encode_batch_fast(new, add_special_tokens=False)]
-        second = self.model.encode_words([w[1:].replace(" ", SPACE) for w in new])
-        same = np.ones(len(new), dtype=bool)
-        whole = pa.array([w.encode() for w in new], pa.binary())
-        for ids, entries in ((first, self.entries[0]), (second, self.entries[1])):
-            lists = pa.array(ids, pa.list_(pa.int32()))
+    def encoded(self, words: pa.Array) -> tuple[list[pa.ListArray], np.ndarray]:
+        """The ids of distinct cuts on both sides, and whether both give the cut's bytes back."""
+        own = words.to_pylist()
+        ids, cuts = self.model.encode_flat([w[1:].replace(" ", SPACE) for w in own])
+        second = pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(ids.astype(np.int32)))
+        sides = [self.first_side(own, pc.binary_length(words).to_numpy()), second]
+        whole, same = words.cast(pa.binary()), np.ones(len(words), dtype=bool)
+        for lists, entries in zip(sides, self.entries, strict=True):
             joined = pc.binary_join(pa.ListArray.from_arrays(lists.offsets, entries.take(lists.values)), b"")
             same &= pc.equal(joined, whole).to_numpy(zero_copy_only=False)
-        for w, a, b, ok in zip(new, first, second, same.tolist(), strict=True):
-            kept[w] = (np.array(a, np.int32).tobytes(), np.array(b, np.int32).tobytes()) if ok else None
-
+        return sides, same
+
+    def first_side(self, words: list[str], sizes: np.ndarray) -> pa.ListArray:
+        """The first tokenizer's ids of words.
+
+        Words go to it many at a time as one text, as it joins no two of them; those that end in white space, which
+        it might, by themselves. The sizes of tokens say where words end; should they not add up, a
+        tokenizer does not keep all bytes, and words go one by one.
+        """
+        apart = [w[-1].isspace() for w in words]
+        order = np.argsort(np.array([not x for x in apart], dtype=bool), kind="stable")
+        odd = sum(apart)
+        texts, held, size = [words[n] for n in order[:odd].tolist()], [], 0
+        for n in order[odd:].tolist():
+            held.append(words[n])
+            size += len(words[n])
+            if size > BLOCK:
+                texts.append("".join(held))
+                held, size = [], 0
+        texts.append("".join(held))
+        ids = np.array([i for e in self.library.encode_batch_fast(texts, add_special_tokens=False) for i in e.ids], dtype=np.int32)
+        ends = np.concatenate([[0], np.cumsum(self.sizes[0][ids])])
+        stops = np.concatenate([[0], np.cumsum(sizes[order])])
+        cuts = np.minimum(np.searchsorted(ends, stops), len(ids))
+        if ends[-1] != stops[-1] or (ends[cuts] != stops).any():
+            each = [e.ids for e in self.library.encode_batch_fast(words, add_special_tokens=False)]
+            return pa.array(each, pa.list_(pa.int32()))
+        lists = pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(ids))
+        if not odd:
+            return lists
+        place = np.empty(len(order), dtype=np.int64)
+        place[order] = np.arange(len(order))
+        return lists.take(pa.array(place))
 
     def comes_back(self, text: str) -> bool:
         """Whether both tokenizers give the text's bytes back."""
-        for words, _ in sliced(self.cuts(text)):
-            self.learn(list(dict.fromkeys(words)))
-            if any(self.kept[w] is None for w in words):
-                return False
-        return True
+        return all(self.encoded(pa.array(words, pa.string()))[1].all() for words, _ in sliced(self.cuts(text), len(text)))
 
 
 _pairs: dict[str, Pair] = {}
 
 
 def worker_pair(pair: Pair) -> Pair:
-    """The pair that a Python worker keeps between tasks, for the cuts that it knows."""
+    """The pair that a Python worker keeps between tasks."""
     return _pairs.setdefault(pair.digest, pair)
 
 
-def sliced(cuts: list[str]) -> Iterator[tuple[list[str], int]]:
-    """(cuts, letters) of a document in parts of about ``CHUNK`` letters."""
+def sliced(cuts: list[str], size: int) -> Iterator[tuple[list[str], int]]:
+    """(cuts, letters) of a document of so many letters in parts of about ``PART`` letters."""
+    if size <= PART:
+        yield cuts, size
+        return
     first = size = 0
     for n, cut in enumerate(cuts):
         size += len(cut)
-        if size >= CHUNK:
+        if size >= PART:
             yield cuts[first : n + 1], size
             first, size = n + 1, 0
     if first < len(cuts):
@@ -159,30 +178,30 @@ def sliced(cuts: list[str]) -> Iterator[tuple[list[str], int]]:
 
 
 def parts_of(pair: Pair, texts: list[str | None]) -> Iterator[tuple[pa.Array, np.ndarray]]:
-    """(cuts, document of each) of texts in their order, in parts of about ``CHUNK`` letters."""
+    """(cuts, document of each) of texts in their order, in parts of about ``PART`` letters."""
     words: list[str] = []
     docs: list[int] = []
+    counts: list[int] = []
     held = 0
     for n, text in enumerate(texts):
         if not text:
             continue
-        for some, size in sliced(pair.cuts(text)):
-            if words and held + size > CHUNK:
-                yield pa.array(words, pa.string()), np.array(docs)
-                words, docs, held = [], [], 0
+        for some, size in sliced(pair.cuts(text), len(text)):
+            if words and held + size > PART:
+                yield pa.array(words, pa.string()), np.repeat(np.array(docs), counts)
+                words, docs, counts, held = [], [], [], 0
             words += some
-            docs += [n] * len(some)
+            docs.append(n)
+            counts.append(len(some))
             held += size
     if words:
-        yield pa.array(words, pa.string()), np.array(docs)
+        yield pa.array(words, pa.string()), np.repeat(np.array(docs), counts)
 
 
 class Side:
     """The tokens of one tokenizer: ids, document of each, and its end within the document's part."""
 
-    def __init__(self, raw: list[bytes], take: np.ndarray, docs: np.ndarray, sizes: np.ndarray):
-        offsets = np.concatenate([[0], np.cumsum([len(r) // 4 for r in raw])]).astype(np.int32)
-        lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(raw), dtype=np.int32)))
+    def __init__(self, lists: pa.ListArray, take: np.ndarray, docs: np.ndarray, sizes: np.ndarray):
         lists = lists.take(pa.array(take))
         self.ids = lists.flatten()
         self.doc = docs[pc.list_parent_indices(lists).to_numpy()]
@@ -229,15 +248,14 @@ class Part:
     def __init__(self, pair: Pair, words: pa.Array, docs: np.ndarray):
         self.pair = pair
         numbered = words.dictionary_encode()
-        distinct, codes = numbered.dictionary.to_pylist(), numbered.indices.to_numpy()
-        pair.learn(distinct)
-        kept = [pair.kept[w] for w in distinct]
-        bad = np.array([k is None for k in kept])
+        codes = numbered.indices.to_numpy()
+        sides, same = pair.encoded(numbered.dictionary)
         #: documents that do not come back byte by byte
-        self.lost = np.unique(docs[bad[codes]])
-        fits = ~np.isin(docs, self.lost)
-        codes, docs = codes[fits], docs[fits]
-        self.a, self.b = (Side([b"" if k is None else k[i] for k in kept], codes, docs, pair.sizes[i]) for i in range(2))
+        self.lost = np.unique(docs[~same[codes]])
+        if len(self.lost):
+            fits = ~np.isin(docs, self.lost)
+            codes, docs = codes[fits], docs[fits]
+        self.a, self.b = (Side(lists, codes, docs, sizes) for lists, sizes in zip(sides, pair.sizes, strict=True))
         shared = self.a.table().join(self.b.table(), ["doc", "end"], right_suffix="_b", join_type="inner", use_threads=False)
         self.a.grouped(shared["at"].to_numpy())
         self.b.grouped(shared["at_b"].to_numpy())
@@ -274,6 +292,7 @@ def chunk_rows(pair: Pair, texts: list[str | None]) -> tuple[dict[str, np.ndarra
     sums = {k: np.zeros(size, dtype=np.int64) for k in ("n_a", "n_b", "n_groups")}
     digests: list = [None] * size
     lost: set[int] = set()
+    several: set[int] = set()
     tables = []
     for words, docs in parts_of(pair, texts):
         part = Part(pair, words, docs)
@@ -284,13 +303,16 @@ def chunk_rows(pair: Pair, texts: list[str | None]) -> tuple[dict[str, np.ndarra
             if digests[doc] is None:
                 digests[doc] = hashlib.sha256()
             else:
+                several.add(doc)
                 digests[doc].update(b";")
             digests[doc].update(text.encode())
             sums["n_groups"][doc] += n
         tables.append(part.links())
     links = pa.concat_tables(tables) if tables else no_links()
-    if len(tables) > 1:
-        links = links.group_by(["doc", "a", "b"], use_threads=False).aggregate([("n", "sum")]).rename_columns(["doc", "a", "b", "n"])
+    if several:  # documents of several parts
+        split = pa.array(np.isin(links["doc"].to_numpy(), sorted(several)))
+        again = links.filter(split).group_by(["doc", "a", "b"], use_threads=False).aggregate([("n", "sum")]).rename_columns(["doc", "a", "b", "n"])
+        links = pa.concat_tables([links.filter(pc.invert(split)), again])
     if lost:  # a later part of a long document may be the one that does not come back
         gone = np.array(sorted(lost))
         for column in sums.values():
@@ -381,7 +403,7 @@ def pair_counts(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id
 
 def align(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, part, a, b, a_group, b_group): the ids of each document and the group of each, numbered
-    within the part; a document of more than ``CHUNK`` letters has several parts, one without tokens none."""
+    within the part; a document of more than ``PART`` letters has several parts, one without tokens none."""
     shared = docs.sparkSession.sparkContext.broadcast(Pair(path_a, path_b))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

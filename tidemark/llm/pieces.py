@@ -146,8 +146,14 @@ class Model:
 
     def encode_words(self, words: list[str]) -> list[tuple[int, ...]]:
         """The ids of each word (given as ``words`` gives them)."""
+        ids, cuts = self.encode_flat(words)
+        flat, cuts = ids.tolist(), cuts.tolist()
+        return [tuple(flat[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)]
+
+    def encode_flat(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words one after the other, and where each word's begin, and the last one's end."""
         if not words:
-            return []
+            return np.zeros(0, np.int64), np.zeros(1, np.int64)
         sizes = np.array([len(w) + 1 for w in words])
         codes = np.frombuffer((SPACE + SPACE.join(words)).encode("utf-32-le"), dtype=np.uint32).astype(np.int64)
         word = np.repeat(np.arange(len(words)), sizes)
@@ -156,9 +162,7 @@ class Model:
         owner = np.zeros(int(segment[-1]) + 1, dtype=np.int64)
         owner[long[1]] = long[2]
         ids, of = self.as_bytes(symbols, owner[segment])
-        cuts = np.searchsorted(of, np.arange(len(words) + 1)).tolist()
-        flat = ids.tolist()
-        return [tuple(flat[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)]
+        return ids, np.searchsorted(of, np.arange(len(words) + 1))
 
     def segments(self, codes: np.ndarray, word: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, tuple[np.ndarray, ...]]:
         """The segment of each letter, and (size, number, word) of each: words, long ones cut where none can merge."""
