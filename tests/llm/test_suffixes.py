@@ -100,3 +100,22 @@ def test_equal_strings_have_equal_anchors(prose):
     whole = set(zip(a[3].tolist(), a[4].tolist(), strict=True))
     other = set(zip(b[3].tolist(), b[4].tolist(), strict=True))
     assert len(whole - other) <= 1  # the run that the edge cuts
+
+
+def test_a_common_phrase_gives_no_row_for_each_string(make, prose, monkeypatch):
+    """A line of 62 bytes with different surroundings in every document: its runs are open, none of their pieces."""
+    line = prose(1, words=40, seed=8)[0][:62]
+    rows = [(i, f"{t} {line} {t[::-1]}") for i, t in enumerate(prose(400, words=14, seed=9))]
+    seen = {}
+    inner = suffixes.staged
+    monkeypatch.setattr(suffixes, "staged", lambda df, name: seen.setdefault(name, inner(df, name)))
+    check(make(rows).repartition(6), rows, 100, 32)
+    assert seen["repeated-runs"].where("code & 3 = 2").count() > 400
+    assert seen["pieces"].count() > 1000 and seen["repeated-strings"].count() < 400
+
+
+def test_strings_across_buckets(make, prose):
+    """A passage of two strings' length that very many documents share: its strings lie at the edges of many buckets."""
+    passage = prose(1, words=60, seed=3)[0][:200]
+    rows = [(i, f"{t}{passage}{t[::-1]}") for i, t in enumerate(prose(300, words=9, seed=4))]
+    check(make(rows).repartition(9), rows, 100, 32)

@@ -10,8 +10,11 @@ row: leading token, fingerprint of the run's bytes, document, start, number of s
 The rows are range-partitioned by leading token and fingerprint with splitters that Spark samples, and
 each bucket sorts them by multikey quicksort. Of equal runs all but the first are repeats. Runs that share
 the leading token but differ may still share strings; so may those at a bucket's edges, whose token can
-go on in the next bucket. These runs are spelled out, dealt and sorted the same way, and a bucket compares
-their strings one by one. Only the strings of tokens at its edges are compared across boundaries, and only
+go on in the next bucket. These runs are cut into pieces of up to ``WIDTH`` strings that begin equally far
+before their anchor. All strings of such a piece have ``length`` less ``WIDTH`` less one bytes around the anchor in common, and
+these are its token when pieces are dealt and sorted the same way: a phrase that is shorter than that brings
+nobody together, however many documents have it. Only pieces that are still open are spelled out, and a
+bucket compares their strings one by one. The strings of tokens at its edges are compared across boundaries, and only
 the first of each that a bucket has, so one that very many documents have comes once from each bucket.
 
 Fingerprints have 128 bits; strings count as equal when both halves are.
@@ -35,6 +38,7 @@ from tidemark.llm.common import mixed, staged, text_bytes, whole_partition
 LENGTH = 100
 GRAM = 32
 PIECE = 1 << 18
+WIDTH = 10
 REPEAT, OPEN = 1, 2
 
 
@@ -112,8 +116,7 @@ def runs(block: list[tuple[int, int, bytes]], length: int, gram: int) -> tuple[n
     new = np.flatnonzero(np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (at[1:] != at[:-1] + 1)]))
     count = np.diff(np.concatenate([new, [len(at)]]))
     low, anchor = at[new], anchor[new]
-    shape = ((anchor - low) * length + count).astype(np.uint64)
-    whole = mixed(h.between(second, low, low + count + length - 1) ^ mixed(shape + np.uint64(1)))
+    whole = whole_of(h, second, low, count, anchor - low, length)
     piece = np.searchsorted(begins, low, side="right") - 1
     document = np.array([i for i, _, _ in block])[piece]
     offset = np.array([o for _, o, _ in block])[piece] - begins[piece]
@@ -213,31 +216,82 @@ def bucketed(rows: DataFrame, parts: int) -> DataFrame:
     return rows.repartitionByRange(parts, "token", "whole").mapInArrow(compare, "doc long, code long")
 
 
-def spelled(texts: DataFrame, length: int, gram: int) -> DataFrame:
-    """(token, whole, doc, code, bytes) of the open runs of rows (doc, packed text, codes)."""
+def located(texts: DataFrame, length: int, emit, schema: str) -> DataFrame:
+    """What ``emit`` makes of the open runs of rows (doc, packed text, codes), a part of a text at a time.
+
+    It gets the document, the part's bytes, their fingerprints' sums, and start, count and anchor within the part, and where it begins.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         h = hashes(2 * (PIECE + length))
         for b in batches:
             for doc, text, codes in zip(b.column(0).to_pylist(), unpacked(b.column(1)), b.column(2).to_pylist(), strict=True):
-                code = np.sort(np.array(codes, dtype=np.int64))
-                start, count, distance = decoded(code)
+                start, count, distance = decoded(np.sort(np.array(codes, dtype=np.int64)))
                 for at in range(0, len(text), PIECE):
                     some = (start >= at) & (start < at + PIECE)
-                    if not some.any():
-                        continue
-                    data = np.frombuffer(text[at : at + PIECE + 2 * length], dtype=np.uint8)
-                    low, stop = start[some] - at, start[some] - at + count[some] + length - 1
-                    anchor = low + distance[some]
-                    token = mixed(h.between(h.sums(data, 0), anchor, anchor + gram))
-                    whole = mixed(h.between(h.sums(data, 1), low, stop))
-                    spans = [text[at + i : at + j] for i, j in zip(low.tolist(), stop.tolist(), strict=True)]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(token.view(np.int64)), pa.array(whole.view(np.int64)), pa.array(np.full(len(low), doc)), pa.array(code[some]), pa.array(spans, pa.binary())],
-                        ["token", "whole", "doc", "code", "bytes"],
-                    )
-
-    return texts.mapInArrow(run, "token long, whole long, doc long, code long, bytes binary")
+                    if some.any():
+                        data = text[at : at + PIECE + 2 * length]
+                        raw = np.frombuffer(data, dtype=np.uint8)
+                        yield emit(doc, data, h, (h.sums(raw, 0), h.sums(raw, 1)), start[some] - at, count[some], distance[some], at)
+
+    return texts.mapInArrow(run, schema)
+
+
+def width_of(length: int) -> int:
+    """Strings of a piece: few enough that they have most of their bytes in common."""
+    return max(1, min(WIDTH, length // 4))
+
+
+def shared_part(h: Hashes, sums: np.ndarray, anchor: np.ndarray, distance: np.ndarray, length: int) -> np.ndarray:
+    """The token of pieces: the bytes that strings have in common which begin so far before the anchor."""
+    width = width_of(length)
+    place = distance // width
+    stop = anchor + length - (place * width + width - 1)
+    return mixed(h.between(sums, anchor - place * width, stop) ^ mixed(place.astype(np.uint64) + np.uint64(1)))
+
+
+def whole_of(h: Hashes, sums: np.ndarray, start: np.ndarray, count: np.ndarray, distance: np.ndarray, length: int) -> np.ndarray:
+    """The fingerprint of a run's bytes and shape."""
+    shape = (distance * length + count).astype(np.uint64)
+    return mixed(h.between(sums, start, start + count + length - 1) ^ mixed(shape + np.uint64(1)))
+
+
+def cut_in_pieces(texts: DataFrame, length: int) -> DataFrame:
+    """(token, whole, doc, code) of the pieces of open runs."""
+
+    width = width_of(length)
+
+    def emit(doc, _, h, sums, start, count, distance, at) -> pa.RecordBatch:
+        # strings begin distance - count + 1 to distance before the anchor
+        first, last = (distance - count + 1) // width, distance // width
+        of = np.repeat(np.arange(len(start)), last - first + 1)
+        place = first[of] + np.arange(len(of)) - np.repeat(np.cumsum(last - first + 1) - (last - first + 1), last - first + 1)
+        far = np.minimum(distance[of], place * width + width - 1)
+        near = np.maximum(distance[of] - count[of] + 1, place * width)
+        anchor = start[of] + distance[of]
+        low, many = anchor - far, far - near + 1
+        return rows_of(
+            token=shared_part(h, sums[0], anchor, far, length), whole=whole_of(h, sums[1], low, many, far, length),
+            doc=np.full(len(of), doc), code=coded(low + at, many, far, OPEN),
+        )
+
+    return located(texts, length, emit, "token long, whole long, doc long, code long")
+
+
+def spelled(texts: DataFrame, length: int) -> DataFrame:
+    """(token, whole, doc, code, bytes) of the open pieces of rows (doc, packed text, codes)."""
+
+    def emit(doc, data, h, sums, start, count, distance, at) -> pa.RecordBatch:
+        token = shared_part(h, sums[0], start + distance, distance, length)
+        whole = whole_of(h, sums[1], start, count, distance, length)
+        stop = start + count + length - 1
+        spans = [data[i:j] for i, j in zip(start.tolist(), stop.tolist(), strict=True)]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(token.view(np.int64)), pa.array(whole.view(np.int64)), pa.array(np.full(len(start), doc)), pa.array(coded(start + at, count, distance, OPEN)), pa.array(spans, pa.binary())],
+            ["token", "whole", "doc", "code", "bytes"],
+        )
+
+    return located(texts, length, emit, "token long, whole long, doc long, code long, bytes binary")
 
 
 def compared(rows: DataFrame, parts: int, length: int) -> DataFrame:
@@ -325,13 +379,18 @@ def with_repeats(docs: DataFrame, id_col: str, text_col: str, length: int, gram:
     rows = ordered_documents(docs, id_col, text_col)
     found = staged(bucketed(anchored(rows, length, gram), parts), "repeated-runs")
     texts, kind = packed(rows), F.col("code").bitwiseAND(3)
-    still = found.where(kind == OPEN).groupBy("doc").agg(F.collect_list("code").alias("codes"))
-    each = spelled(texts.join(still, "doc").select("doc", "text", "codes"), length, gram)
-    each = staged(compared(each, parts, length), "repeated-strings")
+
+    def still_open(runs: DataFrame) -> DataFrame:
+        codes = runs.where(kind == OPEN).groupBy("doc").agg(F.collect_list("code").alias("codes"))
+        return texts.join(codes, "doc").select("doc", "text", "codes")
+
+    pieces = staged(cut_in_pieces(still_open(found), length), "pieces")
+    finer = staged(bucketed(pieces, parts), "repeated-pieces")
+    each = staged(compared(spelled(still_open(finer), length), parts, length), "repeated-strings")
     # across boundaries: a string comes at most once from each bucket
     place = F.row_number().over(Window.partitionBy("high", "low").orderBy("doc", "code"))
     across = each.where("high is not null").withColumn("place", place).where("place > 1").select("doc", "code")
-    told = found.where(kind == REPEAT).unionByName(each.where("high is null").select("doc", "code")).unionByName(across)
+    told = found.unionByName(finer).where(kind == REPEAT).unionByName(each.where("high is null").select("doc", "code")).unionByName(across)
     told = told.groupBy("doc").agg(F.collect_list("code").alias("codes"))
     return texts.join(told, "doc", "left").select("doc_id", "text", "codes")
 
