@@ -18,13 +18,24 @@ from tidemark.operators.quality import (
 from tidemark.operators.reconcile import reconcile, reconcile_summary
 from tidemark.operators.scd1 import scd1_upsert
 from tidemark.operators.scd2 import Versions, first_versions, scd2_changes, scd2_delta, scd2_merge
+from tidemark.operators.transactions import (
+    FeedColumns,
+    apply_transactions,
+    broken_chains,
+    row_changes,
+    split_feed,
+    transaction_states,
+)
 
 __all__ = [
     "BatchRefused",
+    "FeedColumns",
     "Versions",
     "apply_changes",
+    "apply_transactions",
     "as_of_join",
     "batch_faults",
+    "broken_chains",
     "canonicalise",
     "check_lengths",
     "check_not_null",
@@ -49,6 +60,7 @@ __all__ = [
     "reconcile",
     "reconcile_summary",
     "refuse_bad_batch",
+    "row_changes",
     "run_audit",
     "scd1_upsert",
     "scd2_changes",
@@ -58,7 +70,9 @@ __all__ = [
     "scd2_merge",
     "scd2_place",
     "scd2_rebuild",
+    "split_feed",
     "summarise_keys",
+    "transaction_states",
     "unloaded_rows",
     "words_for",
 ]

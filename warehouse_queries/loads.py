@@ -2,19 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import Audit, ColumnMap, add_audit, project
 from tidemark.operators import (
     apply_changes,
+    apply_transactions,
     incremental_append,
     latest_per_key,
     next_watermark,
     scd1_upsert,
     unloaded_rows,
 )
-from tidemark.plans import Changes, Incremental, KeyedLog, LoadSpec, VersionedTable, run_load, scratch_path
+from tidemark.plans import Changes, Incremental, KeyedLog, LoadSpec, VersionedTable, run_load, scratch_path, staged
 from tidemark.sources import read_incremental
 from warehouse_queries.inputs import (
     FIRST,
@@ -191,6 +192,41 @@ def apply_change_feed_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_changes(*_state_and_feed(spark, sf_dir), FEED_KEYS, "ts", "op", small_feed=False)
 
 
+TX_HOURS, CUTS = 6, (4_000, 9_000)
+SLOT_KEYS = ["user_id", "slot"]
+
+
+def transaction_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A feed with images: each user has one row, whose key has the price band; an error removes it.
+
+    The events of six hours are a transaction; every tenth change is delivered twice.
+    """
+    by_user = Window.partitionBy("user_id").orderBy("ts")
+    row = F.struct("user_id", F.floor(F.col("value") / 20).alias("slot"), "event_type", "ts")
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "ts", row.alias("row"))
+    images = events.select(
+        "event_id",
+        F.floor(F.unix_timestamp(F.col("ts").cast("timestamp")) / (3600 * TX_HOURS)).alias("tx"),
+        F.lag(F.when(F.col("event_type") != "error", F.col("row"))).over(by_user).alias("before"),
+        F.when(F.col("event_type") != "error", F.col("row")).alias("after"),
+    )
+    sizes = images.groupBy("tx").agg(F.count("*").alias("size"))
+    feed = images.join(sizes, "tx").select("event_id", "tx", F.col("tx").alias("commit"), "size", F.col("event_id").alias("place"), "before", "after")
+    return feed.unionByName(feed.where("event_id % 10 = 0"))
+
+
+def transactions_applied(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed cut within a transaction, twice: what had to wait at the first cut comes again with the second part."""
+    feed = staged(transaction_feed(spark, sf_dir), "feed")
+    target = spark.createDataFrame([], "user_id long, slot long, event_type string, ts timestamp_ntz")
+    waiting, start = feed.limit(0), 0
+    for end in CUTS:
+        arrived = waiting.unionByName(feed.where(F.col("event_id").between(start, end - 1)))
+        state, left = apply_transactions(target, arrived, SLOT_KEYS)
+        target, waiting, start = staged(state, "slots"), staged(left, "waiting"), end
+    return target
+
+
 ORDER_LOG_NAMES = [rule.target for rule in ORDER_LOG]
 ORDER_LOG_SQL = f"{ORDER_COLUMNS_SQL}, o_orderdate AS updated_at"
 
@@ -313,6 +349,21 @@ late AS (SELECT * FROM orders WHERE o_orderdate > (SELECT max(o_orderdate) FROM
     "scd1_tracked_test": (scd1_tracked_test, _upsert_sql(_DIFFERS, [c for c in _ALL if c != "product_id"], _ALL)),
     "apply_changes": (apply_change_feed, _FEED_SQL),
     "apply_changes_shuffled": (apply_change_feed_shuffled, _FEED_SQL),
+    "transactions_applied": (
+        transactions_applied,
+        f"""
+WITH log AS (
+  SELECT *, CAST(floor(epoch(ts) / {3600 * TX_HOURS}) AS BIGINT) AS tx FROM events),
+whole AS (
+  SELECT tx FROM log GROUP BY tx HAVING count(*) = count(*) FILTER (event_id < {CUTS[-1]})),
+upto AS (
+  SELECT min(tx) AS horizon FROM log WHERE tx NOT IN (SELECT tx FROM whole) AND event_id < {CUTS[-1]}),
+last AS (
+  SELECT * FROM log WHERE tx IN (SELECT tx FROM whole) AND tx < coalesce((SELECT horizon FROM upto), 9223372036854775807)
+  QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC) = 1)
+SELECT user_id, CAST(floor(value / 20) AS BIGINT) AS slot, event_type, ts FROM last WHERE event_type <> 'error'
+""",
+    ),
     "change_feed_runs": (change_feed_runs, _RUNS_SQL),
     "apply_changes_replayed": (apply_changes_replayed, _RUNS_SQL),
     "incremental_date_watermark": (
