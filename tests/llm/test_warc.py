@@ -4,8 +4,11 @@ import base64
 import gzip
 import hashlib
 import os
+import subprocess
+import sys
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.llm import warc
 
@@ -69,13 +72,53 @@ def test_files_roll_and_are_as_the_manifest_says(spark, rows, tmp_path):
         assert gzip.decompress(data).count(b"WARC/1.1\r\n") == m["records"]
 
 
-def test_equal_input_gives_equal_bytes(spark, rows, tmp_path):
-    sums = []
-    for n, parts in ((1, 3), (2, 3)):
-        folder = f"file://{tmp_path}/{n}"
-        manifest = warc.write_warc(pages(spark, rows).repartition(parts), folder, roll=3000)
-        sums.append(sorted((m["name"], m["sha256"]) for m in spark.read.parquet(manifest).collect()))
-    assert sums[0] == sums[1]
+SESSIONS = """
+import sys
+from pyspark.sql import SparkSession
+from tidemark.llm import warc
+spark = SparkSession.builder.master("local[4]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", sys.argv[2]).config("spark.checkpoint.dir", sys.argv[3]).getOrCreate()
+pages = spark.read.parquet(sys.argv[3] + "/pages").repartition(int(sys.argv[2]) + 2)
+warc.write_warc(pages, "file://" + sys.argv[1], roll=100_000, shard_bytes=300_000)
+"""
+
+
+def files_of(folder):
+    return {f: hashlib.sha256(open(f"{folder}/{f}", "rb").read()).hexdigest() for f in os.listdir(folder) if f.endswith(".warc.gz")}
+
+
+def test_equal_input_gives_equal_files(spark, prose, tmp_path):
+    """40,000 pages through two sessions, partitionings and numbers of shuffle partitions, and twice in one session."""
+    texts = prose(50, words=12, seed=12)
+    some = spark.range(40_000).selectExpr("id * id % 1000003 AS page_id", "concat('http://host/', id) AS url", "id % 45000 AS n")
+    some = some.join(spark.createDataFrame(list(enumerate(texts)), "m long, text string"), F.col("n") % 50 == F.col("m"))
+    some = some.select("page_id", "url", F.concat("text", F.lit(" "), (F.col("n") % 30_000).cast("string")).alias("html"))
+    some.write.parquet(f"{tmp_path}/pages")
+    found = []
+    for n, parts in enumerate(("3", "11")):
+        run = [sys.executable, "-c", SESSIONS, f"{tmp_path}/session-{n}", parts, str(tmp_path)]
+        subprocess.run(run, check=True, timeout=300, capture_output=True, cwd=os.path.dirname(os.path.dirname(os.path.dirname(__file__))))
+        found.append(files_of(f"{tmp_path}/session-{n}"))
+    for n in range(2):
+        warc.write_warc(spark.read.parquet(f"{tmp_path}/pages"), f"file://{tmp_path}/here-{n}", roll=100_000, shard_bytes=300_000)
+        found.append(files_of(f"{tmp_path}/here-{n}"))
+    assert len(found[0]) > 20 and all(f == found[0] for f in found)
+    assert not [f for f in os.listdir(f"{tmp_path}/here-0") if f.startswith("temporary-")]
+
+
+def test_shards_are_ranges_of_ids(spark):
+    rows = [(None, "b"), (None, "d"), (-5, "x"), (1, "a"), (1, "b"), (1, "c"), (7, "a"), (9, "z")]
+    df = spark.createDataFrame(rows, "page_id long, sha string")
+    starts = [(None, "c"), (1, "b"), (7, "a"), (8, "q")]
+    assert [r.shard for r in df.select(warc.shard_of(starts).alias("shard")).collect()] == [0, 1, 1, 1, 2, 2, 3, 4]
+    assert df.select(warc.shard_of([]).alias("shard")).distinct().count() == 1
+
+
+def test_a_reader_between_manifest_and_commit(spark, rows, tmp_path, monkeypatch):
+    folder = f"file://{tmp_path}/out"
+    monkeypatch.setattr(warc, "commit", lambda *_: None)
+    warc.write_warc(pages(spark, rows), folder)
+    assert all(f.startswith("temporary-") for f in os.listdir(f"{tmp_path}/out") if f.endswith(".warc.gz"))
+    assert warc.read_warc(spark, folder).count() == len(rows)
 
 
 def test_commit_can_be_repeated(spark, rows, tmp_path):
@@ -87,6 +130,7 @@ def test_commit_can_be_repeated(spark, rows, tmp_path):
     open(f"{tmp_path}/out/temporary-999-part-000000-00000.warc.gz", "wb").write(b"remains of a lost task")
     warc.commit(spark, folder)
     assert warc.read_warc(spark, folder).count() == len(rows)
+    assert not [f for f in os.listdir(f"{tmp_path}/out") if f.startswith("temporary-")]
 
 
 def test_repeated_rows_give_one_response(spark):

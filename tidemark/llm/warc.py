@@ -1,14 +1,17 @@
 """WARC archives: a deterministic sharded writer with a manifest, and the reader back.
 
-Records are range-sorted by page id, so each task writes its own stretch of ids, and a new file
-begins when the compressed size reaches a bound. Of records with equal payloads the one with the
+Records are dealt in shards of neighbouring page ids and sorted; a new file begins with each shard and when
+the compressed size reaches a bound. Where shards begin follows from the rows alone: their number from all payload bytes,
+their first ids from the rows whose hash is below a threshold. So equal input gives equal files, whatever
+partitions, sessions and settings it comes through. Of records with equal payloads the one with the
 smallest page id is a response and the others revisit it; who that is travels to the writer as a row of
 its own, sorted before its page, so payloads are shuffled once. Every record is a gzip member without a
-time stamp; ids, dates and digests follow from the rows, so equal input gives equal bytes.
+time stamp; ids, dates and digests follow from the rows.
 
 Tasks write under temporary names that hold the attempt. The manifest, which Spark's own commit
 makes appear whole, names the files of the attempts that count; only these are renamed, and a rename
-that was done already is left, so a commit can be repeated. Readers go by the manifest.
+that was done already is left, so a commit can be repeated. What lost attempts have left is deleted then. Readers go by the
+manifest, and take a file that has not got its name yet by its temporary one.
 
 Null html is an empty payload, a null url gives no target. Rows with a null id are never a response
 when a payload has another id. Equal rows give one response; the others revisit it.
@@ -18,6 +21,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import json
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -26,12 +30,14 @@ from typing import NamedTuple
 import pyarrow as pa
 from pyarrow import fs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import shared_folder
 
 ROLL = 64 << 20
+#: payload bytes of a shard, the most shards, and rows of the sample for each
+SHARD, MOST, SAMPLED = 32 << 20, 16_384, 32
 #: Fixed values of the format.
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "2026-01-01T00:00:00Z"
@@ -80,16 +86,19 @@ def member(r: Record, revisit: bool) -> bytes:
 
 
 class Roll:
-    """The files of one task: a new one when the open one holds ``size`` bytes."""
+    """The files of one task: a new one for a new shard, and when the open one holds ``size`` bytes."""
 
     def __init__(self, folder: str, size: int):
         self.files, self.folder = fs.FileSystem.from_uri(folder)
-        self.size, self.count = size, 0
-        context = TaskContext.get()
-        self.part, self.attempt = context.partitionId(), context.taskAttemptId()
+        self.size, self.count, self.part = size, 0, -1
+        self.attempt = TaskContext.get().taskAttemptId()
         self.out = None
 
-    def add(self, data: bytes) -> Iterator[dict]:
+    def add(self, data: bytes, shard: int) -> Iterator[dict]:
+        if shard != self.part:
+            if self.out is not None:
+                yield self.end()
+            self.part, self.count = shard, 0
         if self.out is None:
             self.name = f"part-{self.part:06d}-{self.count:05d}.warc.gz"
             self.temporary = f"temporary-{self.attempt}-{self.name}"
@@ -108,7 +117,37 @@ class Roll:
         return {"temporary": self.temporary, "name": self.name, "records": self.records, "bytes": self.bytes, "sha256": self.sha.hexdigest()}
 
 
-def write_warc(pages: DataFrame, folder: str, least: int = 0, roll: int = ROLL) -> str:
+def splitters(rows: DataFrame, shard_bytes: int) -> list[tuple[int | None, str]]:
+    """The (page id, payload's hash) with which each shard but the first begins, of rows (page_id, sha, size)."""
+    total = rows.agg(F.count("*").alias("rows"), F.sum("size").alias("bytes")).first()  # one row
+    shards = min(MOST, -(-(total["bytes"] or 0) // shard_bytes), total["rows"])
+    if shards < 2:
+        return []
+    share = min(1.0, SAMPLED * shards / total["rows"])
+    place = F.pmod(F.xxhash64("page_id", "sha"), F.lit(1 << 31))
+    sample = rows.where(place < int(share * (1 << 31))).select("page_id", "sha").distinct().collect()  # some SAMPLED rows a shard
+    order = sorted(((r.page_id, r.sha) for r in sample), key=lambda k: (k[0] is not None, k[0] or 0, k[1]))
+    return list(dict.fromkeys(order[len(order) * n // shards] for n in range(1, shards))) if order else []
+
+
+def shard_of(starts: list[tuple[int | None, str]]) -> Column:
+    """How many of the starts are not beyond a row's (page_id, sha), by binary search."""
+    if not starts:
+        return F.lit(0)
+    listed = F.from_json(F.lit(json.dumps([{"page_id": i, "sha": s} for i, s in starts])), "array<struct<page_id: long, sha: string>>")
+    key = F.struct("page_id", "sha")
+
+    def halved(found: Column, _: Column) -> Column:
+        middle = ((found["low"] + found["high"]) / 2).cast("int")
+        beyond = F.get(listed, middle) > key
+        step = F.struct(F.when(beyond, found["low"]).otherwise(middle + 1).alias("low"), F.when(beyond, middle).otherwise(found["high"]).alias("high"))
+        return F.when(found["low"] < found["high"], step).otherwise(found)
+
+    whole = F.struct(F.lit(0).alias("low"), F.lit(len(starts)).alias("high"))
+    return F.aggregate(F.sequence(F.lit(0), F.lit(len(starts).bit_length())), whole, halved, lambda found: found["low"])
+
+
+def write_warc(pages: DataFrame, folder: str, least: int = 0, roll: int = ROLL, shard_bytes: int = SHARD) -> str:
     """Writes (page_id, url, html) as archives under ``folder``; gives the manifest's path.
 
     Payloads of fewer than ``least`` bytes are all responses.
@@ -118,7 +157,9 @@ def write_warc(pages: DataFrame, folder: str, least: int = 0, roll: int = ROLL)
     files.create_dir(path, recursive=True)
     html = F.encode(F.coalesce("html", F.lit("")), "utf-8")
     rows = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), html.alias("html")).withColumn("sha", F.sha1("html"))
-    sized = rows.select("page_id", "sha", F.length("html").alias("size")).distinct()
+    measured = rows.select("page_id", "sha", F.length("html").alias("size"))
+    starts = splitters(measured, shard_bytes)
+    sized = measured.distinct()
     first = sized.groupBy("sha").agg(F.min("page_id").alias("first"))
     told = sized.join(first, "sha").where((F.col("size") >= least) & F.col("first").isNotNull())
     none = F.lit(None)
@@ -127,13 +168,13 @@ def write_warc(pages: DataFrame, folder: str, least: int = 0, roll: int = ROLL)
     )
     order = ["page_id", "sha", "kind", "url"]
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = union.repartitionByRange(parts, "page_id", "sha").sortWithinPartitions(*order)
+    dealt = union.withColumn("shard", shard_of(starts)).repartition(max(parts, len(starts) + 1), "shard").sortWithinPartitions("shard", *order)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out, known, before = Roll(folder, roll), None, None
         done: list[dict] = []
         for b in batches:
-            for page_id, sha, kind, low, url, payload in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            for page_id, sha, kind, low, url, payload, shard in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 if not kind:
                     known = (page_id, sha, low)
                     continue
@@ -142,7 +183,7 @@ def write_warc(pages: DataFrame, folder: str, least: int = 0, roll: int = ROLL)
                 revisit = told and (page_id != refers_to or before == (page_id, sha))
                 before = (page_id, sha)
                 r = Record(page_id, url, payload, refers_to, base32_sha1(payload))
-                done.extend(out.add(member(r, revisit)))
+                done.extend(out.add(member(r, revisit), shard))
         if out.out is not None:
             done.append(out.end())
         if done:
@@ -161,7 +202,7 @@ def listed(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def commit(spark: SparkSession, folder: str) -> None:
-    """Gives the files that the manifest lists their names; may be run again."""
+    """Gives the files that the manifest lists their names, and deletes other temporary ones; may be run again."""
 
     def rename(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files, path = fs.FileSystem.from_uri(folder)
@@ -172,6 +213,10 @@ def commit(spark: SparkSession, folder: str) -> None:
             yield pa.RecordBatch.from_arrays([b.column(1)], ["name"])
 
     listed(spark, folder).mapInArrow(rename, "name string").write.format("noop").mode("overwrite").save()
+    files, path = fs.FileSystem.from_uri(folder)
+    for left in files.get_file_info(fs.FileSelector(path)):
+        if left.base_name.startswith("temporary-"):
+            files.delete_file(left.path)
 
 
 def parsed(data: bytes) -> tuple[dict[str, str], bytes]:
@@ -202,6 +247,17 @@ def members(stream) -> Iterator[bytes]:
         raise ValueError("the file ends within a record")
 
 
+def opened(files: fs.FileSystem, path: str, temporary: str, name: str):
+    """A file of the manifest, by its temporary name as long as the commit has not come to it."""
+    try:
+        return files.open_input_stream(f"{path}/{name}", compression=None)
+    except FileNotFoundError:
+        try:
+            return files.open_input_stream(f"{path}/{temporary}", compression=None)
+        except FileNotFoundError:  # renamed in between
+            return files.open_input_stream(f"{path}/{name}", compression=None)
+
+
 RECORDS = "page_id long, url string, record_type string, refers_to long, payload_bytes long, payload_digest string, payload binary"
 
 
@@ -211,9 +267,9 @@ def read_warc(spark: SparkSession, folder: str, payloads: bool = True) -> DataFr
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files, path = fs.FileSystem.from_uri(folder)
         for b in batches:
-            for name, records in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
+            for temporary, name, records in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
                 rows, count, size = [], 0, 0
-                with files.open_input_stream(f"{path}/{name}", compression=None) as stream:
+                with opened(files, path, temporary, name) as stream:
                     for data in members(stream):
                         fields, block = parsed(data)
                         digest = fields["warc-payload-digest"].removeprefix("sha1:")
