@@ -7,6 +7,10 @@ executor, whose tasks memory-map it. Words that it lacks are merged by rank, exa
 speed, never ids. The tokenizer file (BPE over bytes with word ends, NFC and lower case before,
 white space dropped, no decoder) is a parameter.
 
+Python's Unicode tables and those of the tokenizers library differ in characters that one of them does not know
+yet. Texts with characters that Python calls unassigned, or with marks that the library does not take for marks, are put
+in normal form and split by the library itself; a test over all code points shows that on others both agree. Their words are looked up and merged as any other.
+
 Null and empty texts have no ids and decode to the empty text. Rows repeat freely.
 """
 
@@ -22,6 +26,7 @@ import unicodedata
 import uuid
 from collections import Counter
 from collections.abc import Iterator
+from functools import cache
 from itertools import chain, pairwise
 
 import numpy as np
@@ -30,6 +35,7 @@ import regex
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer as Library
 
 from tidemark.llm.common import staged
 
@@ -41,6 +47,26 @@ BITS, MASK, NONE = 20, (1 << 20) - 1, 1 << 62
 ODD_SPACE = re.compile("[\x1c-\x1f]")
 
 
+@cache
+def odd_characters(rules: str) -> re.Pattern:
+    """Matches characters that Python's Unicode tables do not know, and marks that the library's do not.
+
+    A mark that is known lets a later mark of another class pass to the letter before it.
+    """
+    normal = Library.from_str(rules).normalizer.normalize_str
+
+    def passes(mark: str) -> bool:
+        return all(normal(x) == unicodedata.normalize("NFC", x).lower() for x in (f"e{mark}\u0301", f"e{mark}\u0327"))
+
+    def known(c: str) -> bool:
+        return unicodedata.category(c) != "Cn" and (not unicodedata.combining(c) or passes(c))
+
+    agreed = np.fromiter((known(chr(i)) for i in range(0x110000)), dtype=bool, count=0x110000)
+    edges = np.flatnonzero(np.diff(agreed, prepend=True, append=True))
+    ranges = zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True)
+    return re.compile("[" + "".join(f"{chr(a)}-{chr(b - 1)}" for a, b in ranges) + "]")
+
+
 def byte_letters() -> list[str]:
     """The printable letter that stands for each byte: itself if printable, else one from 256 on."""
     plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
@@ -63,6 +89,8 @@ class Tokenizer:
             self.ids[a] << BITS | self.ids[b]: i << BITS | self.ids[a + b] for i, (a, b) in enumerate(found["model"]["merges"])
         }
         self.special = {t["content"]: t["id"] for t in found["added_tokens"]}
+        rules = {"version": found["version"], "added_tokens": [], "normalizer": found["normalizer"], "pre_tokenizer": found["pre_tokenizer"]}
+        self.rules = json.dumps(rules | {"truncation": None, "padding": None, "post_processor": None, "decoder": None, "model": {"type": "BPE", "vocab": {}, "merges": []}})
         letters = byte_letters()
         self.inner = [self.ids[c] for c in letters]
         self.last = [self.ids[c + self.end] for c in letters]
@@ -71,10 +99,12 @@ class Tokenizer:
     def ready(self) -> None:
         self.words = regex.compile(self.pattern)
         self.parts = re.compile("(" + "|".join(map(re.escape, self.special)) + ")")
+        self.odd = odd_characters(self.rules)
+        self.library = Library.from_str(self.rules)
         self.tokens = {i: t for t, i in chain(self.ids.items(), self.special.items())}
 
     def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if k not in ("words", "parts", "tokens")}
+        return {k: v for k, v in self.__dict__.items() if k not in ("words", "parts", "tokens", "odd", "library")}
 
     def __setstate__(self, state):
         self.__dict__.update(state)
@@ -85,6 +115,11 @@ class Tokenizer:
         text = unicodedata.normalize("NFC", text)
         return "".join(map(str.lower, text)) if "Σ" in text else text.lower()
 
+    def split_by_library(self, text: str) -> list[tuple[str]]:
+        """The words of a text, each alone in a tuple, so that they are not split again."""
+        normal = self.library.normalizer.normalize_str(text)
+        return [(normal[a:b],) for _, (a, b) in self.library.pre_tokenizer.pre_tokenize_str(normal)]
+
     def merged(self, word: str) -> list[int]:
         """Ids of one word: the pair of lowest rank, leftmost first, is merged until none has a rank."""
         raw = word.encode()
@@ -238,21 +273,23 @@ class Encoder:
 
     def __init__(self, tokenizer: Tokenizer, lexicon: Lexicon):
         self.tokenizer, self.lexicon = tokenizer, lexicon
-        self.kept: dict[str, tuple[int, ...]] = {}
-        self.older: dict[str, tuple[int, ...]] = {}
+        self.kept: dict[str | tuple[str], tuple[int, ...]] = {}
+        self.older: dict[str | tuple[str], tuple[int, ...]] = {}
 
-    def learn(self, chunks: set[str]) -> None:
+    def learn(self, chunks: set[str | tuple[str]]) -> None:
         """Encodes chunks: words in the automaton together, the others by merging."""
         kept, older, find = self.kept, self.older, self.tokenizer.words.findall
         single, several = [], []
         for c in chunks:
             if c in older:
                 kept[c] = older[c]
+            elif type(c) is tuple:
+                several.append(c)
             elif c.isalpha():
                 single.append(c)
             else:
                 several.append(c)
-        split = [find(c) for c in several]
+        split = [c if type(c) is tuple else find(c) for c in several]
         words = list({*single, *chain.from_iterable(split)})
         numbers = self.lexicon.numbers([w.encode() for w in words]).tolist()
         entry, merged = self.lexicon.entry, self.tokenizer.merged
@@ -284,14 +321,17 @@ class Encoder:
                     ids.extend(chain.from_iterable([kept[c] for c in cs]))
                 yield ids
 
-    def segments(self, text: str) -> list[tuple[int | None, list[str]]]:
+    def segments(self, text: str) -> list[tuple[int | None, list[str | tuple[str]]]]:
         """(special token before or None, chunks) for each part between special tokens."""
         t = self.tokenizer
         parts = t.parts.split(text) if "<|" in text else [text]
         out = []
         for i in range(0, len(parts), 2):
-            normal = t.normal(parts[i])
-            chunks = t.words.findall(normal) if ODD_SPACE.search(normal) else normal.split()
+            if not parts[i].isascii() and t.odd.search(parts[i]):
+                chunks = t.split_by_library(parts[i])
+            else:
+                normal = t.normal(parts[i])
+                chunks = t.words.findall(normal) if ODD_SPACE.search(normal) else normal.split()
             out.append((t.special[parts[i - 1]] if i else None, chunks))
         return out
 
