@@ -1,5 +1,6 @@
 from tidemark.operators.changes import apply_changes
 from tidemark.operators.corrections import correction_spans, one_per_time, scd2_corrections, scd2_place
+from tidemark.operators.hash_tree import descend, range_sums, reconcile_by_ranges, unequal_ranges
 from tidemark.operators.history import as_of_join, check_scd2, scd2_extend, scd2_rebuild
 from tidemark.operators.incremental import incremental_append, latest_per_key, next_watermark, unloaded_rows
 from tidemark.operators.key_summary import merge_summaries, possible_parts, summarise_keys, words_for
@@ -26,6 +27,7 @@ from tidemark.operators.transactions import (
     split_feed,
     transaction_states,
 )
+from tidemark.operators.unique_sets import minimal_keys
 
 __all__ = [
     "BatchRefused",
@@ -46,6 +48,7 @@ __all__ = [
     "column_lineage_audit",
     "correction_spans",
     "dataset_lineage",
+    "descend",
     "draft_mapping",
     "first_versions",
     "incremental_append",
@@ -53,11 +56,14 @@ __all__ = [
     "latest_per_key",
     "lineage_events",
     "merge_summaries",
+    "minimal_keys",
     "next_watermark",
     "one_per_time",
     "possible_parts",
     "profile_table",
+    "range_sums",
     "reconcile",
+    "reconcile_by_ranges",
     "reconcile_summary",
     "refuse_bad_batch",
     "row_changes",
@@ -73,6 +79,7 @@ __all__ = [
     "split_feed",
     "summarise_keys",
     "transaction_states",
+    "unequal_ranges",
     "unloaded_rows",
     "words_for",
 ]

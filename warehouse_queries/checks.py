@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,8 +20,10 @@ from tidemark.operators import (
     dataset_lineage,
     key_candidates,
     lineage_events,
+    minimal_keys,
     profile_table,
     reconcile,
+    reconcile_by_ranges,
     reconcile_summary,
     run_audit,
     scd1_upsert,
@@ -57,6 +61,45 @@ TEXTS = [
 ]
 
 
+def reconcile_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders and a copy in which a few ranges of keys differ."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+    key = F.col("o_orderkey")
+    kept = orders.where(~key.between(700, 709)).withColumn(
+        "o_orderstatus", F.when(key.between(300, 420) & (key % 7 == 0), F.lit("Z")).otherwise(F.col("o_orderstatus"))
+    )
+    copy = kept.unionByName(orders.where(key < 4).withColumn("o_orderkey", -key - 1))
+    return reconcile_by_ranges(orders, copy, ["o_orderkey"], leaf_rows=50)
+
+
+def minimal_line_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minimal_keys(table(spark, sf_dir, "lineitem"), LINE_COLUMNS)
+
+
+def minimal_order_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minimal_keys(table(spark, sf_dir, "orders"))
+
+
+LINE_COLUMNS = "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount l_returnflag l_shipdate".split()
+ORDER_COLUMNS = "o_orderkey o_custkey o_orderstatus o_totalprice o_orderdate o_orderpriority".split()
+
+
+def lattice_sql(name: str, columns: list[str], most: int = 3) -> str:
+    """Every set of columns counted, and of the unique ones those that hold no other."""
+    sets = [c for size in range(1, most + 1) for c in combinations(columns, size)]
+    counted = " UNION ALL ".join(
+        f"SELECT '{','.join(c)}' AS columns, {len(c)} AS n_columns, (SELECT count(*) FROM (SELECT DISTINCT {', '.join(c)} FROM {name})) = count(*) "
+        f"AND count(*) = count(*) FILTER ({' AND '.join(f'{x} IS NOT NULL' for x in c)}) AS is_unique FROM {name}"
+        for c in sets
+    )
+    return f"""
+WITH counted AS ({counted}),
+found AS (SELECT columns, n_columns, string_split(columns, ',') AS names FROM counted WHERE is_unique)
+SELECT columns, CAST(n_columns AS INTEGER) AS n_columns FROM found f
+WHERE NOT EXISTS (SELECT 1 FROM found g WHERE g.n_columns < f.n_columns AND list_has_all(f.names, g.names))
+"""
+
+
 def profile_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = project(customer_second(spark, sf_dir), CLIENTS)
     return profile_table(rows)
@@ -400,6 +443,24 @@ WHERE NOT EXISTS (SELECT 1 FROM customer_second WHERE c_custkey = o_custkey) GRO
 written AS (SELECT c_custkey, 1 AS feed FROM customer UNION ALL SELECT c_custkey, 2 FROM customer_second)
 SELECT c_custkey, CAST(count(DISTINCT feed) AS INTEGER) AS feed_count, count(*) AS row_count
 FROM written GROUP BY c_custkey HAVING count(DISTINCT feed) > 1""",
+    ),
+    "minimal_line_keys": (minimal_line_keys, lattice_sql("lineitem", LINE_COLUMNS)),
+    "minimal_order_keys": (minimal_order_keys, lattice_sql("orders", ORDER_COLUMNS)),
+    "reconcile_by_ranges": (
+        reconcile_copy,
+        """
+WITH copy AS (
+  SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey BETWEEN 300 AND 420 AND o_orderkey % 7 = 0 THEN 'Z' ELSE o_orderstatus END AS o_orderstatus,
+         o_totalprice FROM orders WHERE o_orderkey NOT BETWEEN 700 AND 709
+  UNION ALL
+  SELECT -o_orderkey - 1, o_custkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderkey < 4)
+SELECT coalesce(o.o_orderkey, c.o_orderkey) AS o_orderkey, CAST(o.o_orderkey IS NOT NULL AS BIGINT) AS source_rows,
+       CAST(c.o_orderkey IS NOT NULL AS BIGINT) AS target_rows,
+       CASE WHEN c.o_orderkey IS NULL THEN 'missing' WHEN o.o_orderkey IS NULL THEN 'extra' ELSE 'changed' END AS status
+FROM orders o FULL JOIN copy c ON o.o_orderkey = c.o_orderkey
+WHERE o.o_orderkey IS NULL OR c.o_orderkey IS NULL OR o.o_custkey IS DISTINCT FROM c.o_custkey
+   OR o.o_orderstatus IS DISTINCT FROM c.o_orderstatus OR o.o_totalprice IS DISTINCT FROM c.o_totalprice
+""",
     ),
     "reconcile": (reconcile_clients, f"WITH {_STATUS_SQL} SELECT * FROM compared"),
     "reconcile_summary": (
