@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import ColumnMap, project
 from tidemark.operators import apply_changes, profile_table, scd2_extend, scd2_rebuild
-from tidemark.plans import Changes, Incremental, LoadSpec, Scd1, VersionedTable, open_table, run_load, scratch_path
+from tidemark.plans import Changes, Full, Incremental, LoadSpec, Scd1, Scd2, VersionedTable, open_table, run_load, scratch_path
 from tidemark.plans.versioned import ConcurrentLoad
 from tidemark.sinks import full_load
 from tidemark.streaming import merge_changes, stream_append
@@ -224,3 +224,20 @@ def test_late_changes_of_other_keys_are_taken(spark, buckets):
         assert rows(table.read().select("k", "v")) == expected, order
         run_load(spec, spark.createDataFrame([(1, "again", 5, "I")], schema), table, T2, load_id="more")
         assert (1, "again") in rows(table.read().select("k", "v"))
+
+
+@pytest.mark.parametrize("strategy", [Scd1(["k"]), Scd2(["k"], ["v"]), Full()])
+def test_a_load_that_died_before_it_was_noted(spark, strategy):
+    """Commit without a row in the log, as a crash between the two leaves it: the rerun notes it, once."""
+    spec = LoadSpec("t", "shop.public.t", "w.d.t", strategy, [ColumnMap("k", "INT", source="k", pk=True), ColumnMap("v", "STRING", source="v")])
+    table, log = VersionedTable(spark, scratch_path(spark, "t")), scratch_path(spark, "audit")
+    source = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    later = spark.createDataFrame([(1, "c"), (2, "b"), (3, "d")], "k int, v string")
+    run_load(spec, source, table, "2026-01-01", audit_log=log)
+    done = run_load(spec, later, table, "2026-01-02")  # not noted
+    run_load(spec, source, table, "2026-01-03", load_id="third")
+    for _ in range(2):
+        assert run_load(spec, later, table, "2026-01-02", audit_log=log).figures == {}
+        noted = {r.load_id: (r.rows_written, r.closed, r.opened, r.load_ts) for r in spark.read.parquet(log).collect()}
+        assert len(noted) == spark.read.parquet(log).count() == 2
+        assert noted[done.load_id] == (done.figures["rows"], done.figures.get("closed"), done.figures.get("opened"), "2026-01-02 00:00:00")

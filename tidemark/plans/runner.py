@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -96,17 +97,34 @@ def run_load(
 ) -> LoadResult:
     """Load ``source`` into ``table`` by the spec's strategy, and note it in ``audit_log``.
 
-    The log is a folder of Parquet files with one row for each load that did something.
+    The log is a folder of Parquet files with one row for each load that did something. The commit of a load
+    holds its figures: a load that died before it was noted is noted when it is run again.
     """
     result = _run(spec, source, table, load_ts, lower_bound, load_id)
-    if audit_log is not None and result.figures:
-        counts = [result.figures.get(name) for name in ("rows", "closed", "opened")]
-        row = (result.load_id, spec.target, type(spec.strategy).__name__.lower(), utc_text(load_ts), *counts, result.watermark)
-        spark = source.sparkSession
-        spark.createDataFrame([row], AUDIT_LOG).coalesce(1).write.mode("append").parquet(audit_log)
+    if audit_log is not None:
+        known = (result.figures, utc_text(load_ts), result.watermark) if result.figures else None
+        if known is None and not _is_noted(source.sparkSession, audit_log, result.load_id):
+            known = table.noted_load(result.load_id)
+        if known is not None:
+            _note(source.sparkSession, audit_log, result.load_id, spec, *known)
     return result
 
 
+def _is_noted(spark: SparkSession, audit_log: str, load_id: str) -> bool:
+    try:
+        return not spark.read.schema(AUDIT_LOG).parquet(audit_log).where(F.col("load_id") == load_id).isEmpty()
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+
+
+def _note(spark: SparkSession, audit_log: str, load_id: str, spec: LoadSpec, figures: dict, load_ts: str | None, watermark: str | None) -> None:
+    counts = [figures.get(name) for name in ("rows", "closed", "opened")]
+    row = (load_id, spec.target, type(spec.strategy).__name__.lower(), load_ts, *counts, watermark)
+    spark.createDataFrame([row], AUDIT_LOG).coalesce(1).write.mode("append").parquet(audit_log)
+
+
 def _run(
     spec: LoadSpec,
     source: DataFrame,

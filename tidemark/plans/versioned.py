@@ -32,7 +32,7 @@ SEGMENT = "segment"
 BUCKET = "key_bucket"
 _MANIFEST = (
     "number long, loads array<string>, load_ts string, watermark string, schema string, buckets string, "
-    "paths array<string>"
+    "paths array<string>, figures string"
 )
 
 
@@ -79,6 +79,7 @@ class VersionedTable:
         self.partition_by = list(partition_by)
         self.bucket_by = list(bucket_by)
         self.buckets = buckets
+        self._seen: dict = {}
 
     # reading
 
@@ -101,6 +102,12 @@ class VersionedTable:
         manifest = self.manifest()
         return manifest is not None and load_id in manifest.loads
 
+    def noted_load(self, load_id: str) -> tuple[dict, str | None, str | None] | None:
+        """(figures, load time, watermark) of a load as its commit noted them; None if it is not there."""
+        states = self.spark.read.schema(_MANIFEST).json(f"{self.root}/manifest/*")
+        found = states.where((F.element_at("loads", -1) == load_id) & F.col("figures").isNotNull()).orderBy("number").first()
+        return (json.loads(found["figures"]), found["load_ts"], found["watermark"]) if found else None
+
     def expired_paths(self) -> list[str]:
         """Paths that older states used and the newest one does not: safe to delete once no
         reader follows an older manifest."""
@@ -348,7 +355,8 @@ class VersionedTable:
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.save(f"{self.root}/data/{folder}")
-        return folder, seen.get
+        self._seen = seen.get
+        return folder, self._seen
 
     def _commit(
         self,
@@ -365,7 +373,7 @@ class VersionedTable:
         # Past the remains of commits that died; two writers that got here choose the same number,
         # and the second one finds the folder there.
         number = max([0, *(int(name) for name in self._names("manifest") if name.isdigit())]) + 1
-        row = (number, list(loads), load_ts, watermark, schema.json(), self._bucketing(), list(paths))
+        row = (number, list(loads), load_ts, watermark, schema.json(), self._bucketing(), list(paths), json.dumps(self._seen, default=str))
         one = self.spark.createDataFrame([row], _MANIFEST).coalesce(1)
         try:
             one.write.mode("error").json(f"{self.root}/manifest/{number}")

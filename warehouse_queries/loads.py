@@ -152,7 +152,7 @@ BAND_STATE = [
 
 
 def change_feed_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same feed as two runs into a table with key buckets."""
+    """The same feed as two runs into a table."""
     return _feed_runs(spark, sf_dir, [0, 1])
 
 
@@ -168,7 +168,7 @@ def _feed_runs(spark: SparkSession, sf_dir: str, order: list[int]) -> DataFrame:
     spec = LoadSpec(
         "ods_bands", f"{SYSTEM}.public.events", "warehouse.ods.bands", Changes(FEED_KEYS, "ts", "op"), [*BAND_STATE, op]
     )
-    target = VersionedTable(spark, scratch_path(spark, "bands"), bucket_by=FEED_KEYS, buckets=8)
+    target = VersionedTable(spark, scratch_path(spark, "bands"))
     halves = [events.where(F.col("ts") < middle), events.where(F.col("ts") >= middle)]
     for n, half in enumerate(order):
         run_load(spec, halves[half], target, FIRST if n == 0 else SECOND, load_id=f"run-{n}")
