@@ -5,7 +5,8 @@ frequency, unit length). Each language's training texts are clustered into a few
 k-means; a text takes the language of the centroid with the highest cosine, and is marked rejected when
 that cosine is lower than nearly all training texts of the language had with theirs.
 
-Training reads at most ``per_language`` texts of each language, chosen by a hash of the id; the number
+Training reads about ``per_language`` texts of each language, those whose hash of id and text is below a threshold
+that follows from how many the language has, equal rows once; the number
 of languages bounds the rest. Texts that are null or have no letter give ``und`` and score 0, as do all
 texts when there is nothing to learn from. Ties go to the language that sorts first. Each row of the
 input gives one row, also when ids repeat or are null.
@@ -18,7 +19,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import staged
@@ -77,11 +78,12 @@ def held_out(id_col: str) -> Column:
 def fitted(docs: DataFrame, id_col: str, text_col: str, lang_col: str, per_language: int, clusters: int):
     """(idf, centroids, language of each, least cosine of each language)."""
     known = docs.where(~held_out(id_col) & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    ids = known.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"))
-    chosen = ids.withColumn("place", F.row_number().over(first)).where(F.col("place") <= per_language).select("id").distinct()
     texts = known.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
-    sample = staged(texts.join(chosen, "id", "left_semi"), "language-sample").select("id", "lang", "text")
+    # a threshold of the hash for each language: no language's rows meet in a task, whatever share it has
+    limits = texts.groupBy("lang").agg((F.least(F.lit(1.0), per_language / F.count("*")) * (1 << 31)).cast("long").alias("limit"))
+    place = F.pmod(F.xxhash64("id", "text"), F.lit(1 << 31))
+    chosen = texts.join(limits, "lang").where(place < F.col("limit")).select("id", "lang", "text").dropDuplicates()
+    sample = staged(chosen, "language-sample")
 
     def document_frequency(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, n = np.zeros(DIMENSIONS, dtype=np.int64), 0
