@@ -48,8 +48,8 @@ ODD_SPACE = re.compile("[\x1c-\x1f]")
 
 
 @cache
-def odd_characters(rules: str) -> re.Pattern:
-    """Matches characters that Python's Unicode tables do not know, and marks that the library's do not.
+def odd_characters(rules: str) -> np.ndarray:
+    """Which code points Python's Unicode tables do not know, and which marks the library's do not.
 
     A mark that is known lets a later mark of another class pass to the letter before it.
     """
@@ -61,10 +61,7 @@ def odd_characters(rules: str) -> re.Pattern:
     def known(c: str) -> bool:
         return unicodedata.category(c) != "Cn" and (not unicodedata.combining(c) or passes(c))
 
-    agreed = np.fromiter((known(chr(i)) for i in range(0x110000)), dtype=bool, count=0x110000)
-    edges = np.flatnonzero(np.diff(agreed, prepend=True, append=True))
-    ranges = zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True)
-    return re.compile("[" + "".join(f"{chr(a)}-{chr(b - 1)}" for a, b in ranges) + "]")
+    return np.fromiter((not known(chr(i)) for i in range(0x110000)), dtype=bool, count=0x110000)
 
 
 def byte_letters() -> list[str]:
@@ -100,11 +97,12 @@ class Tokenizer:
         self.words = regex.compile(self.pattern)
         self.parts = re.compile("(" + "|".join(map(re.escape, self.special)) + ")")
         self.odd = odd_characters(self.rules)
+        self.beyond = re.compile(f"[{chr(int(self.odd.argmax()))}-{chr(0x10FFFF)}]")
         self.library = Library.from_str(self.rules)
         self.tokens = {i: t for t, i in chain(self.ids.items(), self.special.items())}
 
     def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if k not in ("words", "parts", "tokens", "odd", "library")}
+        return {k: v for k, v in self.__dict__.items() if k not in ("words", "parts", "tokens", "odd", "beyond", "library")}
 
     def __setstate__(self, state):
         self.__dict__.update(state)
@@ -115,6 +113,12 @@ class Tokenizer:
         text = unicodedata.normalize("NFC", text)
         return "".join(map(str.lower, text)) if "Σ" in text else text.lower()
 
+    def is_odd(self, text: str) -> bool:
+        """Whether a text has a character on which the tables differ; most texts have none as high as the first."""
+        if text.isascii() or not self.beyond.search(text):
+            return False
+        return bool(self.odd[np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32)].any())
+
     def split_by_library(self, text: str) -> list[tuple[str]]:
         """The words of a text, each alone in a tuple, so that they are not split again."""
         normal = self.library.normalizer.normalize_str(text)
@@ -327,7 +331,7 @@ class Encoder:
         parts = t.parts.split(text) if "<|" in text else [text]
         out = []
         for i in range(0, len(parts), 2):
-            if not parts[i].isascii() and t.odd.search(parts[i]):
+            if t.is_odd(parts[i]):
                 chunks = t.split_by_library(parts[i])
             else:
                 normal = t.normal(parts[i])
