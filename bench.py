@@ -31,7 +31,8 @@ HEADLINE = (
     "apply_changes scd2_changes scd2_merge_clients scd2_merge_shuffled scd2_replay scd2_rebuild_events scd2_as_of "
     "scd2_as_of_sorted profile_table key_candidates lineage_columns lineage_datasets run_audit dq_unique dq_orphans "
     "dq_lengths dq_scd2 reconcile stream_incremental stream_scd2 stream_append change_feed_runs as_of_events "
-    "incremental_skip scd2_extend_shuffled map_bad_values incremental_date_watermark run_audit_log"
+    "incremental_skip scd2_extend_shuffled map_bad_values incremental_date_watermark run_audit_log "
+    "scd2_late_corrections reconcile_by_ranges"
 ).split()
 
 LINES = [
