@@ -9,9 +9,9 @@ from itertools import combinations
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import descend, minimal_keys, range_sums, reconcile, reconcile_by_ranges, unequal_ranges
+from tidemark.operators import descend, minimal_keys, range_sums, reconcile, reconcile_by_ranges, unequal_ranges, unique_sets
 from tidemark.operators.hash_tree import Ranges, in_ranges
-from tidemark.operators.unique_sets import hashed_sample, repeats
+from tidemark.operators.unique_sets import hashed_sample, repeats, verified
 
 KINDS = {
     "long": ("k long", lambda n: n * 1_000_003 - 10**9),
@@ -103,3 +103,27 @@ def test_repeated_rows_have_no_key_and_empty_tables_have_all(spark):
     assert len(sample) == 3 and repeats(sample, [0, 1])
     assert minimal_keys(df).collect() == []
     assert sorted(r["columns"] for r in minimal_keys(df.limit(0)).collect()) == ["a", "b"]
+
+
+def shuffled_bytes(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return sum(files.apply(n).length() for n in range(files.size()))
+
+
+@pytest.mark.parametrize("small", [0, 1_000_000])
+def test_keys_are_proven_with_little_disk(spark, monkeypatch, small):
+    """No pass leaves its shuffle behind, and the passes tell what is unique."""
+    monkeypatch.setattr(unique_sets, "SMALL", small, raising=False)
+    df = spark.range(100_000).selectExpr("id AS a", "id % 50000 AS b", "id % 3 AS c", "id DIV 2 * 2 AS d")
+    before = shuffled_bytes(spark)
+    assert verified(df, [("a",), ("b",), ("b", "c"), ("d",), ("c", "d"), ("a", "c")]) == {("a",), ("b", "c"), ("c", "d"), ("a", "c")}
+    assert shuffled_bytes(spark) - before < 100_000
+
+
+@pytest.mark.parametrize("hits", [0, 1, 1000])
+def test_a_few_repeats_are_found_by_the_values(spark, monkeypatch, hits):
+    """Two equal rows among many: no share shows them for sure, the whole does."""
+    monkeypatch.setattr(unique_sets, "HITS", hits)
+    df = spark.range(5000).selectExpr("id AS a", "CAST(id AS STRING) AS b")
+    again = df.unionByName(df.where("a IN (17, 4321)"))
+    assert unique_sets.is_unique(df, ["a", "b"]) and not unique_sets.is_unique(again, ["a", "b"]) and not unique_sets.is_unique(again, ["b"])
