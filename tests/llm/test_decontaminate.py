@@ -214,3 +214,43 @@ def test_an_item_in_a_third_of_the_documents(make, prose, spark):
     benchmark = spark.createDataFrame([(0, item), *others], "item_id long, text string")
     found = {(r.doc_id, r.item_id) for r in d.contaminated(make(rows), benchmark, rank=4, sample_docs=20).collect()}
     assert found == {(i, 0) for i in range(0, 300, 3)}
+
+
+def dense_products(passages, idf):
+    """AᵀA with a row of length 1 for each passage."""
+    a = np.array([np.bincount(p, minlength=len(idf)) * idf for p in passages])
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    return a.T @ a
+
+
+def test_products_of_passages_that_repeat_terms():
+    rng = np.random.default_rng(5)
+    idf = rng.random(7) + 0.2
+    passages = [rng.integers(0, 7, n) for n in (1, 2, 2, 5, 32, 32, 9)]
+    out = np.zeros((7, 7))
+    d.add_products(out, np.concatenate(passages), np.array([1, 2, 0, 2, 5, 32, 32, 9]), idf)
+    assert np.allclose(out + out.T, dense_products(passages, idf))
+
+
+def test_the_space_is_fitted_to_all_documents(make, items, prose, monkeypatch):
+    """Without a number of documents, each passage of each document that has a word of the items counts."""
+    texts, benchmark = items
+    seen = []
+    inner = d.products
+
+    def noted(passages, block, idf):
+        gram, n = inner(passages, block, idf)
+        seen.append((block, idf, gram.copy(), n))
+        return gram, n
+
+    monkeypatch.setattr(d, "products", noted)
+    rows = [(i % 600, f"{texts[i % 40]} w{i} " + "other " * (i % 40)) for i in range(700)] + [(None, texts[0]), (5, None), (6, "")]
+    d.contaminated(make(rows), benchmark, rank=8).count()
+    [(block, idf, gram, n)] = seen
+    passages = []
+    for _, text in rows:
+        words = d.word_hashes((text or "").casefold().encode())[0]
+        known = [block.term_of(words[at : at + d.PASSAGE]) for at in range(0, len(words), d.PASSAGE)]
+        passages += [t[t >= 0] for t in known if (t >= 0).any()]
+    assert n == len(passages) > 700
+    assert np.allclose(gram + gram.T, dense_products(passages, idf), rtol=1e-4, atol=1e-4)

@@ -1,7 +1,7 @@
 """Benchmark passages in documents: latent semantic retrieval, then subsequence and answer checks.
 
 Passages are TF-IDF vectors over the terms of the benchmark; document frequencies come from all documents. A
-randomised SVD, whose products with the passage matrix Spark sums over a bounded sample of passages and the
+randomised SVD, for which Spark sums the products of terms over the passages of all documents and the
 benchmark itself, gives a latent space. Windows of about an item's length, four words apart or, if long, eight, are projected into
 it and compared by cosine with the items of that length; windows that have not as many of the benchmark's words as
 an item needs are left out before. A window and an item that are near are a candidate, and the latent
@@ -27,6 +27,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,8 +44,10 @@ PART = 100
 PASSAGE = 32
 BYTES = 1 << 18
 RANK, EXTRA, POWERS = 160, 8, 2
-#: weight of the benchmark's passages, all together, for each that the sample of documents has
+#: weight of the benchmark's passages, all together, for each that the documents have
 OWN = 4
+#: tasks that multiply passages at least, and bytes of a slice of their matrices
+TASKS, SLICE = 24, 1 << 20
 #: blocks of items that one pass over the documents looks for, and words of a block
 GROUP, BLOCK_WORDS = 8, 1 << 14
 #: an item of which the latent space holds less than this part is left to the index
@@ -137,8 +140,11 @@ class Terms:
     term_of = Items.term_of
 
 
-def document_frequency(docs: DataFrame, items: Items | Terms) -> tuple[int, np.ndarray]:
-    """The number of documents, and of those that have each term."""
+def counted_passages(docs: DataFrame, items: Items | Terms) -> DataFrame:
+    """(term, n, words), staged: how many documents have each term (-1: all), and the known words of each passage.
+
+    One reading of all documents gives both; a row has either.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, n = np.zeros(len(items.terms), dtype=np.int64), 0
@@ -146,15 +152,33 @@ def document_frequency(docs: DataFrame, items: Items | Terms) -> tuple[int, np.n
             for _, texts in blocks_of(folded(b.column(0))):
                 words, start = word_hashes(b"\n".join(texts))
                 begins = np.cumsum([0] + [len(t) + 1 for t in texts])
-                doc = np.searchsorted(begins, start, side="right")
+                doc = np.searchsorted(begins, start, side="right") - 1
                 term = items.term_of(words)
-                pairs = np.unique((doc * len(items.terms) + term)[term >= 0])
-                seen += np.bincount(pairs % len(items.terms), minlength=len(items.terms))
+                place = np.arange(len(words)) - np.searchsorted(start, begins)[doc]
+                known = np.flatnonzero(term >= 0)
+                pairs = doc[known] * len(items.terms) + term[known]
+                if len(texts) * len(items.terms) <= 1 << 23:
+                    there = np.zeros((len(texts), len(items.terms)), dtype=bool)
+                    there.reshape(-1)[pairs] = True
+                    seen += there.sum(axis=0)
+                else:
+                    seen += np.bincount(np.unique(pairs) % len(items.terms), minlength=len(items.terms))
                 n += len(texts)
+                if len(known):
+                    owner, passage = doc[known], place[known] // PASSAGE
+                    edges = np.flatnonzero((np.diff(owner, prepend=-1) != 0) | (np.diff(passage, prepend=-1) != 0))
+                    lists = pa.ListArray.from_arrays(pa.array(np.append(edges, len(known)).astype(np.int32)), pa.array(words[known].view(np.int64)))
+                    yield pa.RecordBatch.from_arrays([pa.nulls(len(lists), pa.int64()), pa.nulls(len(lists), pa.int64()), lists], ["term", "n", "words"])
         kept = np.flatnonzero(seen)
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([[-1], kept])), pa.array(np.concatenate([[n], seen[kept]]))], ["term", "n"])
+        counts = [pa.array(np.concatenate([[-1], kept])), pa.array(np.concatenate([[n], seen[kept]]))]
+        yield pa.RecordBatch.from_arrays([*counts, pa.nulls(len(kept) + 1, pa.list_(pa.int64()))], ["term", "n", "words"])
+
+    return staged(docs.select("text").mapInArrow(run, "term long, n long, words array<long>"), "passages")
 
-    rows = docs.select("text").mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()  # one row a term
+
+def document_frequency(counted: DataFrame, items: Items | Terms) -> tuple[int, np.ndarray]:
+    """The number of documents, and of those that have each term."""
+    rows = counted.where("term IS NOT NULL").groupBy("term").agg(F.sum("n").alias("n")).collect()  # one row a term
     found = np.zeros(len(items.terms), dtype=np.int64)
     total = 0
     for r in rows:
@@ -166,7 +190,7 @@ def document_frequency(docs: DataFrame, items: Items | Terms) -> tuple[int, np.n
 
 
 def sampled_passages(docs: DataFrame, sample_docs: int) -> DataFrame:
-    """(words): the words' fingerprints of the passages of ``sample_docs`` documents, chosen by a hash of the id."""
+    """(words): the words' fingerprints of the passages of ``sample_docs`` documents, for callers that ask for so few."""
     chosen = docs.select("id").orderBy(F.xxhash64("id"), "id").limit(sample_docs).distinct()
 
     def passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -181,55 +205,98 @@ def sampled_passages(docs: DataFrame, sample_docs: int) -> DataFrame:
     return staged(some.mapInArrow(passages, "words array<long>"), "passages")
 
 
+def add_products(out: np.ndarray, flat: np.ndarray, sizes: np.ndarray, idf: np.ndarray) -> None:
+    """Adds the upper half of AᵀA, with half of the diagonal, for passages whose terms stand one after the other.
+
+    A passage is a row of A, its weights of length 1. Those of equal size are multiplied together, term by term.
+    """
+    terms, cells = len(idf), out.reshape(-1)
+    starts = np.cumsum(sizes) - sizes
+    for size in np.unique(sizes[sizes > 0]).tolist():
+        first = starts[sizes == size]
+        for low in range(0, len(first), 8192):
+            some = np.sort(flat[first[low : low + 8192] + np.arange(size)[:, None]], axis=0)
+            w = idf[some]
+            squares = (w * w).sum(axis=0)
+            for d in range(1, size):  # terms that the passage repeats
+                same = some[d:] == some[:-d]
+                if not same.any():
+                    break
+                squares += 2 * (w[d:] * w[:-d] * same).sum(axis=0)
+            w = (w / np.sqrt(squares)).astype(out.dtype)
+            for i in range(size):
+                product = w[i] * w[i:]
+                product[0] /= 2
+                np.add.at(cells, (some[i] * terms + some[i:]).ravel(), product.ravel())
+
+
+def products(passages: DataFrame, items: Items, idf: np.ndarray) -> tuple[np.ndarray, int]:
+    """AᵀA over all passages, whose rows are A, and the number of those that have a term of the items.
+
+    Few tasks read many passages each and keep a matrix of terms by terms, the size of which the block of items
+    bounds; slices of these matrices are added up by Spark, so that one matrix comes to the driver.
+    """
+    spark, terms = passages.sparkSession, len(items.terms)
+    shared = spark.sparkContext.broadcast((items.terms, idf))
+    height = max(1, SLICE // (4 * terms))
+
+    def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, idf = shared.value
+        out, n = np.zeros((len(known), len(known)), dtype=np.float32), 0
+        for b in batches:
+            words = b.column(0).flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+            owner = pc.list_parent_indices(b.column(0)).to_numpy()
+            at = np.minimum(np.searchsorted(known, words), len(known) - 1)
+            there = known[at] == words
+            sizes = np.bincount(owner[there], minlength=len(b))
+            add_products(out, at[there], sizes, idf)
+            n += int((sizes > 0).sum())
+        for low in range(0, len(known) if n else 0, height):
+            part = [pa.array([low // height], pa.int32()), pa.array([n if low == 0 else 0], pa.int64()), pa.array([out[low : low + height].tobytes()], pa.binary())]
+            yield pa.RecordBatch.from_arrays(part, ["slice", "n", "sums"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        count: dict[int, int] = {}
+        for b in batches:
+            for i, n, data in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                own = np.frombuffer(data, dtype=np.float32)
+                sums[i] = sums[i] + own if i in sums else own.astype(np.float64)
+                count[i] = count.get(i, 0) + n
+        for i in sums:
+            yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([count[i]], pa.int64()), pa.array([sums[i].astype(np.float32).tobytes()], pa.binary())], ["slice", "n", "sums"])
+
+    schema = "slice int, n long, sums binary"
+    each = passages.select("words").coalesce(max(TASKS, spark.sparkContext.defaultParallelism)).mapInArrow(multiply, schema)
+    out, n = np.zeros((terms, terms), dtype=np.float32), 0
+    for r in each.repartition(-(-terms // height), "slice").mapInArrow(add, schema).collect():  # one matrix
+        rows = np.frombuffer(r.sums, dtype=np.float32).reshape(-1, terms)
+        out[r.slice * height : r.slice * height + len(rows)] = rows
+        n += r.n
+    return out, n
+
+
 def latent_space(passages: DataFrame, items: Items, idf: np.ndarray, rank: int) -> np.ndarray:
     """An orthonormal basis (terms by rank) of the passages' main directions, by randomised SVD.
 
-    Passages of documents and of the items stand in the rows; the items' weigh ``OWN`` times as much together, so
-    that the space holds them. Each product is a job: tasks multiply their passages and give the sums, one matrix each.
+    Passages of documents and of the items stand in the rows of A; the items' weigh ``OWN`` times as much together, so
+    that the space holds them. Spark gives AᵀA over the documents' passages, with which the driver turns the basis.
     """
-    sampled = passages.repartition(8)
+    gram, n = products(passages, items, idf)
     own = [items.term_of(p) for _, p, _ in items.parts]
-    weight = math.sqrt(OWN * max(1, passages.count()) / max(1, len(own)))
+    parts = np.zeros_like(gram)
+    add_products(parts, np.concatenate(own), np.array([len(t) for t in own]), idf)
+    gram += np.float32(OWN * max(1, n) / max(1, len(own))) * parts
+    gram = gram + gram.T
     width = min(rank + EXTRA, len(items.terms))
 
-    def product(basis: np.ndarray, terms: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        """(AᵀAB, BᵀAᵀAB) over the rows of A given by their terms."""
-        out, gram = np.zeros_like(basis), np.zeros((basis.shape[1],) * 2)
-        for at in range(0, len(terms), 512):
-            some = terms[at : at + 512]
-            flat, row = np.concatenate(some), np.repeat(np.arange(len(some)), [len(t) for t in some])
-            a = np.zeros((len(some), len(items.terms)))
-            np.add.at(a, (row, flat), idf[flat])
-            a /= np.linalg.norm(a, axis=1, keepdims=True)
-            y = a @ basis
-            out += a.T @ y
-            gram += y.T @ y
-        return out, gram
-
-    def known(words: list[list[int]]) -> list[np.ndarray]:
-        found = [items.term_of(np.array(w, dtype=np.int64).view(np.uint64)) for w in words]
-        return [t[t >= 0] for t in found if (t >= 0).any()]
-
-    def summed(basis: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        shared = passages.sparkSession.sparkContext.broadcast(basis)
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            out, gram = np.zeros_like(shared.value), np.zeros((shared.value.shape[1],) * 2)
-            for b in batches:
-                o, g = product(shared.value, known(b.column(0).to_pylist()))
-                out, gram = out + o, gram + g
-            yield pa.RecordBatch.from_arrays([pa.array([out.tobytes()], pa.binary()), pa.array([gram.tobytes()], pa.binary())], ["out", "gram"])
-
-        out, gram = (weight**2 * x for x in product(basis, own))
-        for r in sampled.mapInArrow(run, "out binary, gram binary").collect():  # eight matrices
-            out = out + np.frombuffer(r.out).reshape(out.shape)
-            gram = gram + np.frombuffer(r.gram).reshape(gram.shape)
-        return out, gram
+    def turned(basis: np.ndarray) -> np.ndarray:
+        return np.concatenate([gram[low : low + 1024].astype(np.float64) @ basis for low in range(0, len(gram), 1024)])
 
     basis = np.linalg.qr(np.random.default_rng(7).standard_normal((len(items.terms), width)))[0]
     for _ in range(POWERS):
-        basis = np.linalg.qr(summed(basis)[0])[0]
-    values, turn = np.linalg.eigh(summed(basis)[1])
+        basis = np.linalg.qr(turned(basis))[0]
+    values, turn = np.linalg.eigh(basis.T @ turned(basis))
     return basis @ turn[:, np.argsort(-values)[:rank]]
 
 
@@ -442,7 +509,7 @@ def found_in(finders: list[Finder], texts: list[bytes], index: bool = True) -> l
 
 
 def finders(
-    docs: DataFrame, benchmark: DataFrame, block: int, sample_docs: int, rank: int, near: float, least_common: float
+    docs: DataFrame, benchmark: DataFrame, block: int, sample_docs: int | None, rank: int, near: float, least_common: float
 ) -> Iterator[list[Finder]]:
     """Finders for ``GROUP`` blocks of items at a time; docs are rows (id, text).
 
@@ -459,9 +526,10 @@ def finders(
         group = [items for items in group if items.ids]
         if not group:
             continue
-        passages = sampled_passages(docs, sample_docs) if passages is None else passages
         every = Terms(group)
-        total, df = document_frequency(docs, every)
+        counted = counted_passages(docs, every)
+        total, df = document_frequency(counted, every)
+        passages = counted.where("words IS NOT NULL") if sample_docs is None else passages or sampled_passages(docs, sample_docs)
         idf = np.log((1 + total) / (1 + df)) + 0.1
         found = []
         for items in group:
@@ -476,7 +544,7 @@ def contaminated(
     id_col: str = "doc_id",
     text_col: str = "text",
     block: int = 256,
-    sample_docs: int = 500,
+    sample_docs: int | None = None,
     rank: int = RANK,
     near: float = 0.6,
     least_common: float = 0.7,
@@ -485,7 +553,8 @@ def contaminated(
     """(doc_id, item_id, cosine, common): the items found in each document.
 
     ``near`` is the least cosine of a candidate: an item that has ``least_common`` of its words, the others being
-    as heavy, has that cosine, less what a window that is half a step off loses.
+    as heavy, has that cosine, less what a window that is half a step off loses. The space is fitted to the passages of
+    all documents, or of ``sample_docs`` of them if that is given.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     found = []
@@ -506,7 +575,7 @@ def contaminated(
 
 
 def decontaminated(
-    docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", block: int = 256, sample_docs: int = 500,
+    docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", block: int = 256, sample_docs: int | None = None,
     rank: int = RANK, near: float = 0.6, least_common: float = 0.7,
 ) -> DataFrame:
     """The rows that hold no item, with their columns as they are."""
