@@ -136,5 +136,41 @@ def test_a_tokenizer_that_loses_bytes():
     assert set(links["doc"].to_pylist()) == {0}
 
 
+@pytest.mark.parametrize("kept", [0, 2000, 16 << 20])
+def test_cuts_kept_between_parts(rows, plain, monkeypatch, kept):
+    """Part by part, with cuts given up and encoded again, documents have the same columns and links."""
+    monkeypatch.setattr(alignment, "KEPT", kept)
+    monkeypatch.setattr(alignment, "PART", 400)
+    some = [r for r in rows if len(r[1] or "") < 5000]
+    pair = alignment.Pair(A, B)
+    for _ in range(2):
+        got = []
+        for at in range(0, len(some), 7):
+            columns, links = alignment.chunk_rows(pair, [t for _, t in some[at : at + 7]])
+            n_links = Counter()
+            for d, n in zip(links["doc"].to_pylist(), links["n"].to_pylist(), strict=True):
+                n_links[d] += n
+            own = zip(*(columns[k].tolist() for k in ("n_a", "n_b", "n_groups")), columns["groups_sha256"], strict=True)
+            got += [(some[at + d][0], *c[:3], n_links[d], c[3]) for d, c in enumerate(own)]
+        assert sorted(got, key=str) == sorted((e[:6] for e in plain(some)[0]), key=str)
+        assert not kept or len(pair.known.words)
+
+
+def test_cuts_are_encoded_once(monkeypatch):
+    """What a worker has encoded it does not encode again in a later part, unless it is long or there is too much."""
+    pair, encoded = alignment.Pair(A, B), []
+    plainly = pair.encoded
+    monkeypatch.setattr(pair, "encoded", lambda words: encoded.append(words.to_pylist()) or plainly(words))
+    long = "y" * 100
+    for text in (f"one two two {long}", f"two three {long} one"):
+        alignment.chunk_rows(pair, [text])
+    assert [sorted(e) for e in encoded] == [sorted([" one", " two", f" {long}"]), sorted([" three", f" {long}"])]
+    monkeypatch.setattr(alignment, "KEPT", 150)
+    encoded.clear()
+    for text in ("a b c d e", "a f", "c f"):
+        alignment.chunk_rows(pair, [text])
+    assert encoded == [[" a", " b", " c", " d", " e"], [" f"], [" c"]]
+
+
 def test_empty_table(make):
     assert found(alignment.alignment_digests(make([]), A, B)) == []

@@ -1,10 +1,10 @@
 """Which tokens of two tokenizers stand for the same bytes, with corpus-wide counts of linked ids.
 
 Arrow does the work of a batch in whole columns. Texts are cut where neither tokenizer joins (before a
-space that follows a letter or sign); distinct cuts are encoded once and taken back by their numbers as
-lists, whose flattened tokens know their document by parent index. Segmented cumulative sums of token
-sizes give each token's end within its document; a hash join of both sides on (document, end) finds the
-ends they share, which number the groups; a hash join on the group gives the links, and
+space that follows a letter or sign); distinct cuts are encoded once, a worker keeping those it
+used last, and taken back by their numbers as lists, whose flattened tokens know their document by parent index.
+Cumulative sums of token sizes give each token's end; marks at the ends of one side, looked up by the
+other, find the ends they share, which number the groups; a hash join on the group gives the links, and
 ``Table.group_by`` makes them one row for each document and id pair, then partial counts for each pair.
 
 Spark adds the partial counts up over all chunks (about ``CHUNK`` bytes of text each), joins the
@@ -23,6 +23,7 @@ import json
 import os
 import re
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +44,8 @@ BLOCK = 1 << 16
 SPACE_BEFORE = re.compile(r"\s ")
 #: links of a group are made of distinct ids with their numbers beyond so many
 WIDE = 256
+#: bytes of the distinct cuts that a worker keeps encoded, with their ids; and letters of the longest
+KEPT, KEPT_LETTERS = 16 << 20, 64
 
 
 def byte_level_entries(path: str) -> list[bytes]:
@@ -61,6 +64,35 @@ def piece_entries(model: Model) -> list[bytes]:
     return [bytes([s]) if isinstance(s, int) else p.replace(SPACE, " ").encode() for p, s in zip(model.pieces, model.surfaces, strict=True)]
 
 
+class Cuts(NamedTuple):
+    """Distinct cuts, the ids of each on both sides, whether both give its bytes back, and when it was last used."""
+
+    words: pa.Array
+    a: pa.ListArray
+    b: pa.ListArray
+    same: np.ndarray
+    used: np.ndarray
+
+    def and_more(self, more: Cuts) -> Cuts:
+        return Cuts(
+            *(pa.concat_arrays([x, y]) for x, y in zip(self[:3], more[:3], strict=True)),
+            *(np.concatenate([x, y]) for x, y in zip(self[3:], more[3:], strict=True)),
+        )
+
+    def kept(self) -> Cuts:
+        """The short cuts; should they have more than ``KEPT`` bytes, those of them used last, in half of that."""
+        stay = pc.less_equal(pc.utf8_length(self.words), KEPT_LETTERS).to_numpy(zero_copy_only=False)
+        sizes = 16 + pc.binary_length(self.words).to_numpy() + 4 * sum(np.diff(x.offsets.to_numpy()) for x in (self.a, self.b))
+        if sizes[stay].sum() > KEPT:
+            short = np.flatnonzero(stay)
+            newest = short[np.argsort(-self.used[short], kind="stable")]
+            stay[newest[np.cumsum(sizes[newest]) > KEPT // 2]] = False
+        if stay.all():
+            return self
+        at = np.flatnonzero(stay)
+        return Cuts(*(x.take(pa.array(at)) for x in self[:3]), self.same[at], self.used[at])
+
+
 class Pair:
     """Both tokenizers."""
 
@@ -81,9 +113,12 @@ class Pair:
         self.library.encode_special_tokens = True
         self.library.no_truncation()
         self.library.no_padding()
+        ids = pa.array([], pa.list_(pa.int32()))
+        self.known = Cuts(pa.array([], pa.string()), ids, ids, np.zeros(0, dtype=bool), np.zeros(0, dtype=np.int64))
+        self.parts = 0
 
     def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if k != "library"}
+        return {k: v for k, v in self.__dict__.items() if k not in ("library", "known", "parts")}
 
     def __setstate__(self, state):
         self.__dict__.update(state)
@@ -105,6 +140,21 @@ class Pair:
             glue = not p or p[-1].isspace()
         return out
 
+    def looked_up(self, words: pa.Array) -> tuple[Cuts, np.ndarray]:
+        """Encoded cuts, and the place among them of each of these, which are distinct; only new ones are encoded."""
+        self.parts += 1
+        found = pc.index_in(words, value_set=self.known.words)
+        new = words.filter(found.is_null())
+        place = found.fill_null(-1).to_numpy().astype(np.int64)
+        place[place < 0] = len(self.known.words) + np.arange(len(new))
+        cuts = self.known
+        if len(new):
+            (a, b), same = self.encoded(new)
+            cuts = cuts.and_more(Cuts(new, a, b, same, np.zeros(len(new), dtype=np.int64)))
+        cuts.used[place] = self.parts
+        self.known = cuts.kept()
+        return cuts, place
+
     def encoded(self, words: pa.Array) -> tuple[list[pa.ListArray], np.ndarray]:
         """The ids of distinct cuts on both sides, and whether both give the cut's bytes back."""
         own = words.to_pylist()
@@ -199,24 +249,24 @@ def parts_of(pair: Pair, texts: list[str | None]) -> Iterator[tuple[pa.Array, np
 
 
 class Side:
-    """The tokens of one tokenizer: ids, document of each, and its end within the document's part."""
+    """The tokens of one tokenizer: ids, document of each, and its end, after all documents before."""
 
     def __init__(self, lists: pa.ListArray, take: np.ndarray, docs: np.ndarray, sizes: np.ndarray):
         lists = lists.take(pa.array(take))
         self.ids = lists.flatten()
         self.doc = docs[pc.list_parent_indices(lists).to_numpy()]
-        total = pc.cumulative_sum(pa.array(sizes[self.ids.to_numpy()])).to_numpy()
-        first = np.flatnonzero(np.concatenate([[True], self.doc[1:] != self.doc[:-1]])) if len(self.doc) else np.zeros(0, np.int64)
-        before = np.concatenate([[0], total])[first]
-        self.end = total - np.repeat(before, np.diff(np.append(first, len(self.doc))))
+        #: documents have the same bytes on both sides; their numbers keep a token without bytes off the document before
+        self.end = np.cumsum(sizes[self.ids.to_numpy()]) + self.doc
 
-    def table(self) -> pa.Table:
-        return pa.table({"doc": self.doc, "end": self.end, "at": np.arange(len(self.doc))})
+    def marks(self) -> np.ndarray:
+        """Whether a token ends at each place."""
+        marks = np.zeros(self.end[-1] + 1 if len(self.end) else 0, dtype=bool)
+        marks[self.end] = True
+        return marks
 
-    def grouped(self, shared: np.ndarray) -> None:
+    def grouped(self, other: np.ndarray) -> None:
         """Numbers the groups: one ends with each token whose end the other side has as well."""
-        last = np.zeros(len(self.doc), dtype=np.int64)
-        last[shared] = 1
+        last = other[self.end].astype(np.int64)
         self.group = np.cumsum(last) - last
         self.stops = np.flatnonzero(last) + 1
 
@@ -248,17 +298,17 @@ class Part:
     def __init__(self, pair: Pair, words: pa.Array, docs: np.ndarray):
         self.pair = pair
         numbered = words.dictionary_encode()
-        codes = numbered.indices.to_numpy()
-        sides, same = pair.encoded(numbered.dictionary)
+        cuts, place = pair.looked_up(numbered.dictionary)
+        codes = place[numbered.indices.to_numpy()]
         #: documents that do not come back byte by byte
-        self.lost = np.unique(docs[~same[codes]])
+        self.lost = np.unique(docs[~cuts.same[codes]])
         if len(self.lost):
             fits = ~np.isin(docs, self.lost)
             codes, docs = codes[fits], docs[fits]
-        self.a, self.b = (Side(lists, codes, docs, sizes) for lists, sizes in zip(sides, pair.sizes, strict=True))
-        shared = self.a.table().join(self.b.table(), ["doc", "end"], right_suffix="_b", join_type="inner", use_threads=False)
-        self.a.grouped(shared["at"].to_numpy())
-        self.b.grouped(shared["at_b"].to_numpy())
+        self.a, self.b = (Side(lists, codes, docs, sizes) for lists, sizes in zip((cuts.a, cuts.b), pair.sizes, strict=True))
+        marks = self.a.marks(), self.b.marks()
+        self.a.grouped(marks[1])
+        self.b.grouped(marks[0])
         self.group_doc = self.a.doc[self.a.stops - 1]
 
     def links(self) -> pa.Table:
