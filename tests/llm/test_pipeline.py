@@ -11,6 +11,7 @@ from tokenizers import Tokenizer
 
 import __spark_entry__ as contract
 import corpus_pipeline
+from tidemark.llm import decontaminate
 from tidemark.llm.queries import REGISTERED
 
 DOCUMENTS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -71,3 +72,23 @@ def test_run(spark, sf_dir):
     rows = found.collect()
     assert found.columns == ["doc_id", "n_tokens", "ids"] and len({r.doc_id for r in rows}) == len(rows) > 0
     assert np.all([r.n_tokens == len(r.ids) for r in rows])
+
+
+def test_decontamination_is_fitted_to_all_documents(spark, prose, tmp_path, monkeypatch):
+    """The stage takes no sample: its counts are those of all documents, its space that of all their passages."""
+    texts = prose(60, words=70, seed=31)
+    spark.createDataFrame([(i, " ".join(t.split()[:20])) for i, t in enumerate(texts[:8])], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = spark.createDataFrame([(i % 700, f"w{i} {texts[i % 60]}") for i in range(900)], "doc_id long, text string")
+    counts, passages = [], []
+    frequency, products = decontaminate.document_frequency, decontaminate.products
+    monkeypatch.setattr(decontaminate, "sampled_passages", lambda *_: pytest.fail("a sample"))
+    monkeypatch.setattr(decontaminate, "document_frequency", lambda *a: counts.append(frequency(*a)) or counts[-1])
+    monkeypatch.setattr(decontaminate, "products", lambda *a: passages.append(products(*a)) or passages[-1])
+    kept = {r.doc_id for r in corpus_pipeline.drop_benchmark_leaks(spark, docs, str(tmp_path)).collect()}
+    assert kept and not any(i % 60 < 8 for i in kept if i >= 200)
+    words = [t.casefold().split() for t in texts]
+    folded = [[f"w{i}", *words[i % 60]] for i in range(900)]
+    known = {w for t in words[:8] for w in t[:20]}
+    assert [n for n, _ in counts] == [900]
+    assert sorted(counts[0][1]) == sorted(sum(w in t for t in map(set, folded)) for w in known)
+    assert [n for _, n in passages] == [sum(not known.isdisjoint(t[at : at + 32]) for t in folded for at in range(0, len(t), 32))]
