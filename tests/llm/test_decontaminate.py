@@ -254,3 +254,100 @@ def test_the_space_is_fitted_to_all_documents(make, items, prose, monkeypatch):
         passages += [t[t >= 0] for t in known if (t >= 0).any()]
     assert n == len(passages) > 700
     assert np.allclose(gram + gram.T, dense_products(passages, idf), rtol=1e-4, atol=1e-4)
+
+
+@given(st.lists(st.sampled_from([0, 1, 2**63, 2**64 - 1, *range(2**60, 2**60 + 9)]), max_size=9, unique=True), st.integers(0, 40))
+def test_terms_are_numbered_in_their_order(some, more):
+    spread = d.mixed(np.arange(more, dtype=np.uint64))
+    terms = np.unique(np.concatenate([np.array(some, dtype=np.uint64), spread]))
+    words = np.concatenate([terms, terms + np.uint64(1), terms - np.uint64(1), np.array([0, 2**64 - 1], dtype=np.uint64)])
+    number = {t: n for n, t in enumerate(terms.tolist())}
+    assert d.Terms(terms).term_of(words).tolist() == [number.get(w, -1) for w in words.tolist()]
+
+
+@pytest.fixture(scope="module")
+def finder(prose):
+    """A finder whose space holds every item whole, and its items' texts."""
+    texts = [*(t for n in (16, 20, 24, 40, 56) for t in prose(4, words=n, seed=50 + n)), "one one two one three two one two one one two one"]
+    block = d.Items(list(enumerate(texts)))
+    rng = np.random.default_rng(3)
+    return d.Finder(block, rng.random(len(block.terms)) + 0.5, np.eye(len(block.terms)), 0.6, 0.7), texts
+
+
+def test_words_of_stretches_are_counted_as_one_by_one(finder, monkeypatch):
+    monkeypatch.setattr(d, "STRETCHES", 300)
+    block, rng = finder[0].items, np.random.default_rng(4)
+    term = rng.integers(-1, len(block.terms) + 1, 500)
+    item = rng.integers(0, len(block.words), 400)
+    for n in range(0, 500, 100):  # an item with its words in another order
+        own = block.term_of(block.words[n // 100 * 4])
+        term[n : n + len(own)] = rng.permutation(own)
+    low = rng.integers(0, 480, 400)
+    low[:20], item[:20] = np.repeat(np.arange(0, 500, 100), 4), np.repeat(np.arange(0, 20, 4), 4)
+    high = np.minimum(low + rng.integers(1, 120, 400), 500)
+    want = []
+    for a, b, i in zip(low, high, item, strict=True):
+        own, there = (np.bincount(x[x >= 0], minlength=len(block.terms) + 1) for x in (block.term_of(block.words[i]), term[a:b]))
+        want.append(np.minimum(own, there).sum() >= finder[0].need[i])
+    got = finder[0].enough(term, low, high, item)
+    assert got.tolist() == want and 0 < sum(want) < 400
+    assert finder[0].enough(term, low[:0], high[:0], item[:0]).tolist() == []
+
+
+def test_windows_between_other_words_have_their_cosine(finder):
+    """Those of an item's words in clusters, with words that no item has in between."""
+    f, rng = finder[0], np.random.default_rng(5)
+    term = np.full(1200, -1)
+    for n, words in enumerate(f.items.words):
+        own = f.items.term_of(words)
+        term[n * 57 : n * 57 + len(own)] = np.where(rng.random(len(own)) < 0.1, -1, own)
+    found = 0
+    padded = np.concatenate([term, np.full(200, -1)])
+    for first, item, cosine, size in f.candidates(term):
+        for at, i, c in zip(first, item, cosine, strict=True):
+            window, own = (f.project[x].sum(axis=0, dtype=np.float64) for x in (padded[at : at + size], f.items.term_of(f.items.words[i])))
+            assert c == pytest.approx(window[:-1] @ own[:-1] / np.sqrt(window[-1] * own[-1]) * own[-1] / (own[:-1] @ own[:-1]), rel=1e-4)
+            found += 1
+    assert found > len(f.items.words)
+
+
+class Noting(np.ndarray):
+    """An array that notes how many of its rows are asked for."""
+
+    rows: list[int] = []
+
+    def __getitem__(self, at):
+        if isinstance(at, np.ndarray):
+            self.rows.append(len(at))
+        return np.asarray(self)[at]
+
+
+def test_words_outside_of_windows_are_not_projected(finder, monkeypatch):
+    f, texts = finder
+    monkeypatch.setattr(Noting, "rows", [])
+    monkeypatch.setattr(f, "project", f.project.view(Noting))
+    term = np.full(40000, -1)
+    own = f.items.term_of(f.items.words[19])
+    term[20000 : 20000 + len(own)] = own
+    assert any((item == 19).any() for _, item, _, _ in f.candidates(term))
+    assert 0 < sum(Noting.rows) < 1000
+
+
+def test_stretches_without_the_words_are_not_compared_in_order(finder, monkeypatch):
+    """Windows near an item that have too few of its words, as often as it has them, are left out together."""
+    f, texts = finder
+    enough = []
+    inner = f.common
+
+    def noted(around, item):
+        own, there = (np.bincount(x[x >= 0], minlength=len(f.items.terms) + 1) for x in (f.items.term_of(f.items.words[item]), around))
+        enough.append(np.minimum(own, there).sum() >= f.need[item])
+        return inner(around, item)
+
+    monkeypatch.setattr(f, "common", noted)
+    rows = ["one " * 40 + "two two two", texts[7], " ".join(sorted(texts[12].split())), ""]  # the first is near the last item
+    found = d.found_in([f], d.folded(pa.array(rows)))
+    assert any((item == 20).any() for _, item, _, _ in f.candidates(np.resize(f.items.term_of(d.word_hashes(rows[0].encode())[0]), 44)))
+    truth = [{i for _, i in brute_pairs([(0, t)], list(enumerate(texts)))} for t in rows]
+    assert [{i for i, _, _ in x} for x in found] == truth and truth[1] == {7}
+    assert enough and all(enough)

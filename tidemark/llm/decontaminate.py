@@ -5,7 +5,8 @@ randomised SVD, for which Spark sums the products of terms over the passages of
 benchmark itself, gives a latent space. Windows of about an item's length, four words apart or, if long, eight, are projected into
 it and compared by cosine with the items of that length; windows that have not as many of the benchmark's words as
 an item needs are left out before. A window and an item that are near are a candidate, and the latent
-cosine alone says so. It counts when the longest common subsequence of their words has
+cosine alone says so. Candidates around which too few of the item's words stand, in whatever order, can not pass and
+are dropped together. Another counts when the longest common subsequence of their words has
 ``least_common`` of the item's, and that of the item's last quarter, where the answer stands, likewise.
 
 The space holds nearly all of the items (tests measure what it finds by itself). What it can not find, items that
@@ -50,6 +51,8 @@ OWN = 4
 TASKS, SLICE = 24, 1 << 20
 #: blocks of items that one pass over the documents looks for, and words of a block
 GROUP, BLOCK_WORDS = 8, 1 << 14
+#: words of stretches that are counted at once
+STRETCHES = 1 << 16
 #: an item of which the latent space holds less than this part is left to the index
 HELD = 0.35
 #: an item is looked at where one in so many of its words, of the rarest, are
@@ -95,7 +98,32 @@ def common_subsequence(masks: list[int], size: int, words: list[int]) -> int:
     return size - state.bit_count()
 
 
-class Items:
+def ranges(first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """As many numbers from each first one on as its size says, one range after the other."""
+    return np.repeat(first - (np.cumsum(size) - size), size) + np.arange(size.sum())
+
+
+class Terms:
+    """Distinct fingerprints, by which words are numbered."""
+
+    def __init__(self, terms: np.ndarray):
+        self.terms = terms
+        bits = min(20, len(terms).bit_length() + 4)
+        self.shift = np.uint64(64 - bits)
+        #: the first term with each value of the leading bits or a higher one, and how many share a value at most
+        self.first = np.searchsorted(terms, np.arange(1 << bits, dtype=np.uint64) << self.shift).astype(np.int32)
+        self.most = int(np.diff(self.first, append=len(terms)).max())
+
+    def term_of(self, hashes: np.ndarray) -> np.ndarray:
+        """The number of each word's term, -1 for words that are none."""
+        ended = np.append(self.terms, np.uint64(2**64 - 1))
+        at = self.first[(hashes >> self.shift).view(np.int64)].astype(np.int64)
+        for _ in range(self.most - 1):
+            at += ended[at] < hashes
+        return np.where((ended[at] == hashes) & (at < len(self.terms)), at, -1)
+
+
+class Items(Terms):
     """A block of benchmark items: their words, terms and the parts that are looked up."""
 
     def __init__(self, rows: list[tuple[int, str]]):
@@ -105,18 +133,13 @@ class Items:
             if len(words):
                 self.ids.append(item_id)
                 self.words.append(words)
-        self.terms = np.unique(np.concatenate(self.words)) if self.words else np.zeros(0, np.uint64)
+        super().__init__(np.unique(np.concatenate(self.words)) if self.words else np.zeros(0, np.uint64))
         #: (item, words of the part, place in SIZES of the window nearest to its length)
         self.parts: list[tuple[int, np.ndarray, int]] = []
         for i, words in enumerate(self.words):
             for part in np.array_split(words, math.ceil(len(words) / PART)):
                 self.parts.append((i, part, min(range(len(SIZES)), key=lambda n: abs(SIZES[n] - len(part)))))
 
-    def term_of(self, hashes: np.ndarray) -> np.ndarray:
-        """The number of each word's term, -1 for words that no item has."""
-        at = np.minimum(np.searchsorted(self.terms, hashes), len(self.terms) - 1)
-        return np.where(self.terms[at] == hashes, at, -1)
-
 
 def blocks_of(texts: list[bytes]) -> Iterator[tuple[int, list[bytes]]]:
     """Neighbouring texts of about a bound together, with the number of the first."""
@@ -131,16 +154,7 @@ def blocks_of(texts: list[bytes]) -> Iterator[tuple[int, list[bytes]]]:
         yield first, block
 
 
-class Terms:
-    """The terms of several blocks."""
-
-    def __init__(self, blocks: list[Items]):
-        self.terms = np.unique(np.concatenate([b.terms for b in blocks]))
-
-    term_of = Items.term_of
-
-
-def counted_passages(docs: DataFrame, items: Items | Terms) -> DataFrame:
+def counted_passages(docs: DataFrame, items: Terms) -> DataFrame:
     """(term, n, words), staged: how many documents have each term (-1: all), and the known words of each passage.
 
     One reading of all documents gives both; a row has either.
@@ -151,12 +165,12 @@ def counted_passages(docs: DataFrame, items: Items | Terms) -> DataFrame:
         for b in batches:
             for _, texts in blocks_of(folded(b.column(0))):
                 words, start = word_hashes(b"\n".join(texts))
-                begins = np.cumsum([0] + [len(t) + 1 for t in texts])
-                doc = np.searchsorted(begins, start, side="right") - 1
+                bounds = np.searchsorted(start, np.cumsum([0] + [len(t) + 1 for t in texts]))
+                doc = np.repeat(np.arange(len(texts)), np.diff(bounds))
                 term = items.term_of(words)
-                place = np.arange(len(words)) - np.searchsorted(start, begins)[doc]
                 known = np.flatnonzero(term >= 0)
-                pairs = doc[known] * len(items.terms) + term[known]
+                owner = doc[known]
+                pairs = owner * len(items.terms) + term[known]
                 if len(texts) * len(items.terms) <= 1 << 23:
                     there = np.zeros((len(texts), len(items.terms)), dtype=bool)
                     there.reshape(-1)[pairs] = True
@@ -165,7 +179,7 @@ def counted_passages(docs: DataFrame, items: Items | Terms) -> DataFrame:
                     seen += np.bincount(np.unique(pairs) % len(items.terms), minlength=len(items.terms))
                 n += len(texts)
                 if len(known):
-                    owner, passage = doc[known], place[known] // PASSAGE
+                    passage = (known - bounds[owner]) // PASSAGE
                     edges = np.flatnonzero((np.diff(owner, prepend=-1) != 0) | (np.diff(passage, prepend=-1) != 0))
                     lists = pa.ListArray.from_arrays(pa.array(np.append(edges, len(known)).astype(np.int32)), pa.array(words[known].view(np.int64)))
                     yield pa.RecordBatch.from_arrays([pa.nulls(len(lists), pa.int64()), pa.nulls(len(lists), pa.int64()), lists], ["term", "n", "words"])
@@ -176,7 +190,7 @@ def counted_passages(docs: DataFrame, items: Items | Terms) -> DataFrame:
     return staged(docs.select("text").mapInArrow(run, "term long, n long, words array<long>"), "passages")
 
 
-def document_frequency(counted: DataFrame, items: Items | Terms) -> tuple[int, np.ndarray]:
+def document_frequency(counted: DataFrame, items: Terms) -> tuple[int, np.ndarray]:
     """The number of documents, and of those that have each term."""
     rows = counted.where("term IS NOT NULL").groupBy("term").agg(F.sum("n").alias("n")).collect()  # one row a term
     found = np.zeros(len(items.terms), dtype=np.int64)
@@ -237,21 +251,21 @@ def products(passages: DataFrame, items: Items, idf: np.ndarray) -> tuple[np.nda
     bounds; slices of these matrices are added up by Spark, so that one matrix comes to the driver.
     """
     spark, terms = passages.sparkSession, len(items.terms)
-    shared = spark.sparkContext.broadcast((items.terms, idf))
+    shared = spark.sparkContext.broadcast((Terms(items.terms), idf))
     height = max(1, SLICE // (4 * terms))
 
     def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, idf = shared.value
-        out, n = np.zeros((len(known), len(known)), dtype=np.float32), 0
+        out, n = np.zeros((len(idf), len(idf)), dtype=np.float32), 0
         for b in batches:
             words = b.column(0).flatten().to_numpy(zero_copy_only=False).view(np.uint64)
             owner = pc.list_parent_indices(b.column(0)).to_numpy()
-            at = np.minimum(np.searchsorted(known, words), len(known) - 1)
-            there = known[at] == words
+            at = known.term_of(words)
+            there = at >= 0
             sizes = np.bincount(owner[there], minlength=len(b))
             add_products(out, at[there], sizes, idf)
             n += int((sizes > 0).sum())
-        for low in range(0, len(known) if n else 0, height):
+        for low in range(0, len(idf) if n else 0, height):
             part = [pa.array([low // height], pa.int32()), pa.array([n if low == 0 else 0], pa.int64()), pa.array([out[low : low + height].tobytes()], pa.binary())]
             yield pa.RecordBatch.from_arrays(part, ["slice", "n", "sums"])
 
@@ -333,6 +347,10 @@ class Finder:
             answer = max(1, len(w) // 4)
             self.masks.append([places_of(x, len(distinct)) for x in ((own + 1).tolist(), (own[-answer:] + 1).tolist())])
             self.lengths.append((len(w), answer))
+        #: the counts of all items one after the other, where each item's begin, and how many they are
+        self.limits = np.concatenate(self.counts) if self.counts else np.zeros(0, np.int64)
+        self.widths = np.array([len(c) for c in self.counts], dtype=np.int64)
+        self.begins = np.cumsum(self.widths) - self.widths
         #: of each item: words that must be common, words of the stretch in which they must be, hits that this takes
         self.need = np.array([max(1, math.ceil(least_common * len(w) - 1e-9)) for w in items.words], dtype=np.int64)
         self.room = np.array([2 * len(w) for w in items.words], dtype=np.int64)
@@ -373,8 +391,14 @@ class Finder:
             wanted.append(np.flatnonzero(nearby >= need))
         if not any(len(w) for w in wanted):
             return
-        # sums of 4, 8, 16, ... words from each step on, of which windows are made
-        blocks = padded[STEP:].reshape(-1, STEP)
+        # sums of 4, 8, 16, ... words from each step on, of which windows are made; only of steps that are in a window
+        inside = np.zeros(len(padded) // STEP, dtype=np.int64)
+        for size, at in zip(SIZES, wanted, strict=True):
+            inside[at] += 1
+            inside[at + size // STEP] -= 1
+        inside = np.cumsum(inside) > 0
+        place = np.cumsum(inside) - 1
+        blocks = padded[STEP:].reshape(-1, STEP)[np.flatnonzero(inside[:-1])]
         sums = {STEP: self.project[blocks[:, 0]]}
         for k in range(1, STEP):
             sums[STEP] += self.project[blocks[:, k]]
@@ -384,10 +408,11 @@ class Finder:
         for size, at, (item, vectors, _) in zip(SIZES, wanted, self.queries, strict=True):
             for low in range(0, len(at), 2048):
                 some = at[low : low + 2048]
+                first = place[some]
                 window, done = None, 0
                 for width in sorted(sums, reverse=True):
                     while size - done >= width:
-                        part = sums[width][some + done // STEP]
+                        part = sums[width][first + done // STEP]
                         window = part if window is None else np.add(window, part, out=window)
                         done += width
                 norm = np.sqrt(np.maximum(window[:, -1], 1e-9))
@@ -413,6 +438,9 @@ class Finder:
                 at, item, cosine = (np.concatenate([f[n] for f in found]) for n in range(3))
                 size = np.concatenate([np.full(len(f[0]), f[3]) for f in found])
                 owner = np.searchsorted(places, at, side="right") - 1
+                low = self.around(at - places[owner], size, item) + bounds[owner]
+                some = self.enough(flat, low, np.minimum(low + self.room[item], bounds[owner + 1]), item)
+                at, item, cosine, size, owner = (x[some] for x in (at, item, cosine, size, owner))
                 for n in np.lexsort((-cosine, item, owner)):
                     key = (int(owner[n]), int(item[n]))
                     if key in done:
@@ -458,7 +486,8 @@ class Finder:
         room, need = int(self.room[item]), self.need[item]
         known = np.concatenate([[0], np.cumsum(weight[term] > 0)])
         lows, highs = np.maximum(0, runs[:, 1] - room + 1), np.minimum(len(term), runs[:, 0] + room)
-        for n in np.flatnonzero(known[highs] - known[lows] >= need):
+        some = np.flatnonzero(known[highs] - known[lows] >= need)
+        for n in some[self.enough(term, lows[some], highs[some], np.full(len(some), item))]:
             low, high, start = int(lows[n]), int(highs[n]), int(runs[n, 0])
             # all stretches that begin the run together first, then each, from the middle one outwards
             share = self.common(term[low:high], item)
@@ -477,9 +506,27 @@ class Finder:
 
     def checked(self, term: np.ndarray, at: int, size: int, item: int) -> float:
         """The common share of the item around a window, or 0 when that or the answer's is too small."""
-        low = max(0, at - (int(self.room[item]) - size) // 2)
+        low = int(self.around(at, size, item))
         return self.common(term[low : low + int(self.room[item])], item)
 
+    def around(self, at: np.ndarray, size: np.ndarray, item: np.ndarray) -> np.ndarray:
+        """Where the stretch around a window begins."""
+        return np.maximum(0, at - (self.room[item] - size) // 2)
+
+    def enough(self, term: np.ndarray, low: np.ndarray, high: np.ndarray, item: np.ndarray) -> np.ndarray:
+        """Whether stretches have as many words of an item as must be common, each no more often than the item has it."""
+        have = np.zeros(len(item), dtype=np.int64)
+        size, width = high - low, self.widths[item]
+        cost = np.cumsum(size + width)
+        for part in np.split(np.arange(len(item)), np.flatnonzero(np.diff(cost // STRETCHES)) + 1) if len(item) else ():
+            own, reach, cells = item[part], size[part], width[part]
+            word = self.local.ravel()[np.repeat(own * self.local.shape[1], reach) + term[ranges(low[part], reach)]]  # before each row stands a 0, for -1
+            first = np.cumsum(cells) - cells
+            count = np.bincount(np.repeat(first, reach) + word, minlength=cells.sum())
+            limit = self.limits[ranges(self.begins[own], cells)]  # 0 of words that the item has not
+            have[part] = np.add.reduceat(np.minimum(count, limit), first)
+        return have >= self.need[item]
+
     def common(self, around: np.ndarray, item: int) -> float:
         """The common share of the item and a stretch, or 0 when that or the answer's is too small."""
         words = self.local[item, around]
@@ -526,7 +573,7 @@ def finders(
         group = [items for items in group if items.ids]
         if not group:
             continue
-        every = Terms(group)
+        every = Terms(np.unique(np.concatenate([items.terms for items in group])))
         counted = counted_passages(docs, every)
         total, df = document_frequency(counted, every)
         passages = counted.where("words IS NOT NULL") if sample_docs is None else passages or sampled_passages(docs, sample_docs)
