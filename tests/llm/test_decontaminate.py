@@ -256,6 +256,44 @@ def test_the_space_is_fitted_to_all_documents(make, items, prose, monkeypatch):
     assert np.allclose(gram + gram.T, dense_products(passages, idf), rtol=1e-4, atol=1e-4)
 
 
+def test_no_matrix_of_terms_comes_to_the_driver(make, items, prose, monkeypatch):
+    """What the driver gathers for the latent space has a row as short as the basis for each term, and is the product."""
+    texts, _ = items
+    block = d.Items(list(enumerate(texts)))
+    terms, rank = len(block.terms), 4
+    docs = make([(i, f"{texts[i % 40]} {t}") for i, t in enumerate(prose(80, words=50, seed=41))]).select("text")
+    idf = np.random.default_rng(6).random(terms) + 0.2
+    counted = d.counted_passages(docs, block).where("words IS NOT NULL")
+    gathered = []
+    inner = type(docs).collect
+
+    def noted(self):
+        rows = inner(self)
+        gathered.append(sum(len(x) if isinstance(x, bytes | bytearray) else 8 for r in rows for x in r))
+        return rows
+
+    monkeypatch.setattr(type(docs), "collect", noted)
+    basis = d.latent_space(counted, block, idf, rank)
+    monkeypatch.undo()
+    assert basis.shape == (terms, rank) and 3 <= len(gathered)
+    assert max(gathered) <= 8 * terms * (rank + d.EXTRA) + 16 * terms < 4 * terms * terms / 4
+
+    monkeypatch.setattr(d, "SLICE", 8 * 4 * terms)  # many slices, of 8 rows
+    gram, n = d.products(counted, block, idf)
+    passages = [block.term_of(np.array(r.words, dtype=np.int64).view(np.uint64)) for r in counted.collect()]
+    some = np.random.default_rng(8).standard_normal((terms, 5))
+    assert n == len(passages) and np.allclose(gram.times(some), dense_products(passages, idf) @ some, rtol=1e-4, atol=1e-3)
+    own = [block.term_of(p) for _, p, _ in block.parts]
+    assert np.allclose(d.ItemPassages(block, idf).times(some), dense_products(own, idf) @ some)
+
+
+def test_a_half_is_made_whole():
+    half = np.triu(np.random.default_rng(9).random((23, 23)))
+    whole = half.copy()
+    d.made_whole(whole, 5)
+    assert np.array_equal(whole, half + half.T)
+
+
 @given(st.lists(st.sampled_from([0, 1, 2**63, 2**64 - 1, *range(2**60, 2**60 + 9)]), max_size=9, unique=True), st.integers(0, 40))
 def test_terms_are_numbered_in_their_order(some, more):
     spread = d.mixed(np.arange(more, dtype=np.uint64))

@@ -1,8 +1,8 @@
 """Benchmark passages in documents: latent semantic retrieval, then subsequence and answer checks.
 
 Passages are TF-IDF vectors over the terms of the benchmark; document frequencies come from all documents. A
-randomised SVD, for which Spark sums the products of terms over the passages of all documents and the
-benchmark itself, gives a latent space. Windows of about an item's length, four words apart or, if long, eight, are projected into
+randomised SVD, for which Spark sums the products of terms over the passages of all documents and multiplies them by
+the basis, and to which the benchmark's own passages are added, gives a latent space. Windows of about an item's length, four words apart or, if long, eight, are projected into
 it and compared by cosine with the items of that length; windows that have not as many of the benchmark's words as
 an item needs are left out before. A window and an item that are near are a candidate, and the latent
 cosine alone says so. Candidates around which too few of the item's words stand, in whatever order, can not pass and
@@ -244,15 +244,61 @@ def add_products(out: np.ndarray, flat: np.ndarray, sizes: np.ndarray, idf: np.n
                 np.add.at(cells, (some[i] * terms + some[i:]).ravel(), product.ravel())
 
 
-def products(passages: DataFrame, items: Items, idf: np.ndarray) -> tuple[np.ndarray, int]:
+class Products:
+    """AᵀA of a block of items, a square of its terms, in slices of rows that stay with Spark."""
+
+    def __init__(self, slices: DataFrame, terms: int):
+        self.slices, self.terms, self.height = slices, terms, slice_height(terms)
+
+    def times(self, basis: np.ndarray) -> np.ndarray:
+        """The matrix times a basis (terms by rank): each slice is multiplied where it is, and a few numbers for each term come back."""
+        shared = self.slices.sparkSession.sparkContext.broadcast(basis)
+
+        def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                for i, data in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                    rows = np.frombuffer(data, dtype=np.float32).reshape(-1, len(shared.value))
+                    turned = rows.astype(np.float64) @ shared.value
+                    yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([turned.tobytes()], pa.binary())], ["slice", "sums"])
+
+        out = np.zeros((self.terms, basis.shape[1]))
+        for r in self.slices.select("slice", "sums").mapInArrow(multiply, "slice int, sums binary").collect():  # terms by rank
+            rows = np.frombuffer(r.sums).reshape(-1, basis.shape[1])
+            out[r.slice * self.height : r.slice * self.height + len(rows)] = rows
+        shared.destroy()
+        return out
+
+    def copy(self) -> np.ndarray:
+        """Half of the matrix, to which its transpose adds the other half: the whole of it in the driver, for looking at small blocks."""
+        out = np.zeros((self.terms, self.terms), dtype=np.float32)
+        for r in self.slices.select("slice", "sums").toLocalIterator():
+            rows = np.frombuffer(r.sums, dtype=np.float32).reshape(-1, self.terms)
+            out[r.slice * self.height : r.slice * self.height + len(rows)] = rows / 2
+        return out
+
+
+def slice_height(terms: int) -> int:
+    return max(1, SLICE // (4 * terms))
+
+
+def made_whole(half: np.ndarray, size: int = 512) -> None:
+    """Adds the transpose to a square matrix, in place."""
+    for low in range(0, len(half), size):
+        for left in range(low, len(half), size):
+            upper, lower = half[low : low + size, left : left + size], half[left : left + size, low : low + size]
+            both = upper + lower.T
+            upper[:], lower[:] = both, both.T
+
+
+def products(passages: DataFrame, items: Items, idf: np.ndarray) -> tuple[Products, int]:
     """AᵀA over all passages, whose rows are A, and the number of those that have a term of the items.
 
     Few tasks read many passages each and keep a matrix of terms by terms, the size of which the block of items
-    bounds; slices of these matrices are added up by Spark, so that one matrix comes to the driver.
+    bounds; slices of these matrices are added up by Spark and written, and none of them comes to the driver.
     """
     spark, terms = passages.sparkSession, len(items.terms)
     shared = spark.sparkContext.broadcast((Terms(items.terms), idf))
-    height = max(1, SLICE // (4 * terms))
+    height = slice_height(terms)
 
     def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, idf = shared.value
@@ -265,6 +311,7 @@ def products(passages: DataFrame, items: Items, idf: np.ndarray) -> tuple[np.nda
             sizes = np.bincount(owner[there], minlength=len(b))
             add_products(out, at[there], sizes, idf)
             n += int((sizes > 0).sum())
+        made_whole(out)
         for low in range(0, len(idf) if n else 0, height):
             part = [pa.array([low // height], pa.int32()), pa.array([n if low == 0 else 0], pa.int64()), pa.array([out[low : low + height].tobytes()], pa.binary())]
             yield pa.RecordBatch.from_arrays(part, ["slice", "n", "sums"])
@@ -282,30 +329,46 @@ def products(passages: DataFrame, items: Items, idf: np.ndarray) -> tuple[np.nda
 
     schema = "slice int, n long, sums binary"
     each = passages.select("words").coalesce(max(TASKS, spark.sparkContext.defaultParallelism)).mapInArrow(multiply, schema)
-    out, n = np.zeros((terms, terms), dtype=np.float32), 0
-    for r in each.repartition(-(-terms // height), "slice").mapInArrow(add, schema).collect():  # one matrix
-        rows = np.frombuffer(r.sums, dtype=np.float32).reshape(-1, terms)
-        out[r.slice * height : r.slice * height + len(rows)] = rows
-        n += r.n
-    return out, n
+    slices = staged(each.repartition(-(-terms // height), "slice").mapInArrow(add, schema), "products")
+    return Products(slices, terms), slices.agg(F.sum("n")).first()[0] or 0
+
+
+class ItemPassages:
+    """The items' passages as rows of a matrix, each of length 1."""
+
+    def __init__(self, items: Items, idf: np.ndarray):
+        own = [items.term_of(p) for _, p, _ in items.parts]
+        self.count, terms = len(own), len(idf)
+        cells, often = np.unique(np.repeat(np.arange(len(own)), [len(t) for t in own]) * terms + np.concatenate(own), return_counts=True)
+        self.row, self.term = np.divmod(cells, terms)
+        weight = often * idf[self.term]
+        self.weight = (weight / np.sqrt(np.bincount(self.row, weights=weight**2))[self.row])[:, None]
+
+    def times(self, basis: np.ndarray) -> np.ndarray:
+        """AᵀA of this matrix times a basis."""
+        rows, out = np.zeros((self.count, basis.shape[1])), np.zeros(basis.shape)
+        for low in range(0, len(self.row), 4096):
+            some = slice(low, low + 4096)
+            np.add.at(rows, self.row[some], self.weight[some] * basis[self.term[some]])
+        for low in range(0, len(self.row), 4096):
+            some = slice(low, low + 4096)
+            np.add.at(out, self.term[some], self.weight[some] * rows[self.row[some]])
+        return out
 
 
 def latent_space(passages: DataFrame, items: Items, idf: np.ndarray, rank: int) -> np.ndarray:
     """An orthonormal basis (terms by rank) of the passages' main directions, by randomised SVD.
 
     Passages of documents and of the items stand in the rows of A; the items' weigh ``OWN`` times as much together, so
-    that the space holds them. Spark gives AᵀA over the documents' passages, with which the driver turns the basis.
+    that the space holds them. Spark multiplies AᵀA over the documents' passages by the basis that the driver turns.
     """
     gram, n = products(passages, items, idf)
-    own = [items.term_of(p) for _, p, _ in items.parts]
-    parts = np.zeros_like(gram)
-    add_products(parts, np.concatenate(own), np.array([len(t) for t in own]), idf)
-    gram += np.float32(OWN * max(1, n) / max(1, len(own))) * parts
-    gram = gram + gram.T
+    own = ItemPassages(items, idf)
+    share = OWN * max(1, n) / max(1, own.count)
     width = min(rank + EXTRA, len(items.terms))
 
     def turned(basis: np.ndarray) -> np.ndarray:
-        return np.concatenate([gram[low : low + 1024].astype(np.float64) @ basis for low in range(0, len(gram), 1024)])
+        return gram.times(basis) + share * own.times(basis)
 
     basis = np.linalg.qr(np.random.default_rng(7).standard_normal((len(items.terms), width)))[0]
     for _ in range(POWERS):
