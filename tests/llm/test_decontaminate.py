@@ -284,7 +284,13 @@ def test_no_matrix_of_terms_comes_to_the_driver(make, items, prose, monkeypatch)
     some = np.random.default_rng(8).standard_normal((terms, 5))
     assert n == len(passages) and np.allclose(gram.times(some), dense_products(passages, idf) @ some, rtol=1e-4, atol=1e-3)
     own = [block.term_of(p) for _, p, _ in block.parts]
-    assert np.allclose(d.ItemPassages(block, idf).times(some), dense_products(own, idf) @ some)
+    more = np.concatenate(own), np.array([len(t) for t in own]), idf, np.float32(0.5)
+    both = dense_products(passages, idf) + dense_products(own, idf) / 2
+    assert np.allclose(gram.times(some, more), both @ some, rtol=1e-4, atol=1e-3)
+
+    gram, n = d.products(counted.limit(0), block, idf)  # the items count without any passage of a document
+    assert n == 0 and not gram.times(some).any()
+    assert np.allclose(gram.times(some, more), dense_products(own, idf) @ some / 2, rtol=1e-4, atol=1e-3)
 
 
 def test_a_half_is_made_whole():

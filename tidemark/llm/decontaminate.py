@@ -1,8 +1,8 @@
 """Benchmark passages in documents: latent semantic retrieval, then subsequence and answer checks.
 
 Passages are TF-IDF vectors over the terms of the benchmark; document frequencies come from all documents. A
-randomised SVD, for which Spark sums the products of terms over the passages of all documents and multiplies them by
-the basis, and to which the benchmark's own passages are added, gives a latent space. Windows of about an item's length, four words apart or, if long, eight, are projected into
+randomised SVD, for which Spark sums the products of terms over the passages of all documents and the
+benchmark itself and multiplies them by the basis, gives a latent space. Windows of about an item's length, four words apart or, if long, eight, are projected into
 it and compared by cosine with the items of that length; windows that have not as many of the benchmark's words as
 an item needs are left out before. A window and an item that are near are a candidate, and the latent
 cosine alone says so. Candidates around which too few of the item's words stand, in whatever order, can not pass and
@@ -250,21 +250,32 @@ class Products:
     def __init__(self, slices: DataFrame, terms: int):
         self.slices, self.terms, self.height = slices, terms, slice_height(terms)
 
-    def times(self, basis: np.ndarray) -> np.ndarray:
-        """The matrix times a basis (terms by rank): each slice is multiplied where it is, and a few numbers for each term come back."""
-        shared = self.slices.sparkSession.sparkContext.broadcast(basis)
+    def times(self, basis: np.ndarray, own: tuple[np.ndarray, np.ndarray, np.ndarray, np.float32] | None = None) -> np.ndarray:
+        """The matrix times a basis (terms by rank): each slice is multiplied where it is, and a row as short as the basis for each term comes back.
+
+        own: further passages that count as well, for ``add_products`` (terms, sizes, idf), and the weight of each.
+        """
+        shared, height = self.slices.sparkSession.sparkContext.broadcast((basis, own)), self.height
 
         def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            basis, own = shared.value
+            half = None
             for b in batches:
                 for i, data in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                    rows = np.frombuffer(data, dtype=np.float32).reshape(-1, len(shared.value))
-                    turned = rows.astype(np.float64) @ shared.value
+                    rows = np.frombuffer(data, dtype=np.float32).reshape(-1, len(basis))
+                    if own is not None:
+                        if half is None:
+                            half = np.zeros((len(basis), len(basis)), dtype=np.float32)
+                            add_products(half, *own[:3])
+                        some = slice(i * height, i * height + len(rows))
+                        rows = rows + own[3] * (half[some] + half[:, some].T)
+                    turned = rows.astype(np.float64) @ basis
                     yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([turned.tobytes()], pa.binary())], ["slice", "sums"])
 
         out = np.zeros((self.terms, basis.shape[1]))
         for r in self.slices.select("slice", "sums").mapInArrow(multiply, "slice int, sums binary").collect():  # terms by rank
             rows = np.frombuffer(r.sums).reshape(-1, basis.shape[1])
-            out[r.slice * self.height : r.slice * self.height + len(rows)] = rows
+            out[r.slice * height : r.slice * height + len(rows)] = rows
         shared.destroy()
         return out
 
@@ -321,59 +332,34 @@ def products(passages: DataFrame, items: Items, idf: np.ndarray) -> tuple[Produc
         count: dict[int, int] = {}
         for b in batches:
             for i, n, data in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                own = np.frombuffer(data, dtype=np.float32)
+                own = np.frombuffer(data, dtype=np.float32) if data else np.zeros(min(height, terms - i * height) * terms)
                 sums[i] = sums[i] + own if i in sums else own.astype(np.float64)
                 count[i] = count.get(i, 0) + n
         for i in sums:
             yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([count[i]], pa.int64()), pa.array([sums[i].astype(np.float32).tobytes()], pa.binary())], ["slice", "n", "sums"])
 
     schema = "slice int, n long, sums binary"
+    none = spark.range(-(-terms // height)).select(F.col("id").cast("int").alias("slice"), F.lit(0).cast("long").alias("n"), F.lit(b"").alias("sums"))  # slices that no passage fills are there too
     each = passages.select("words").coalesce(max(TASKS, spark.sparkContext.defaultParallelism)).mapInArrow(multiply, schema)
-    slices = staged(each.repartition(-(-terms // height), "slice").mapInArrow(add, schema), "products")
+    slices = staged(each.unionByName(none).repartition(-(-terms // height), "slice").mapInArrow(add, schema), "products")
     return Products(slices, terms), slices.agg(F.sum("n")).first()[0] or 0
 
 
-class ItemPassages:
-    """The items' passages as rows of a matrix, each of length 1."""
-
-    def __init__(self, items: Items, idf: np.ndarray):
-        own = [items.term_of(p) for _, p, _ in items.parts]
-        self.count, terms = len(own), len(idf)
-        cells, often = np.unique(np.repeat(np.arange(len(own)), [len(t) for t in own]) * terms + np.concatenate(own), return_counts=True)
-        self.row, self.term = np.divmod(cells, terms)
-        weight = often * idf[self.term]
-        self.weight = (weight / np.sqrt(np.bincount(self.row, weights=weight**2))[self.row])[:, None]
-
-    def times(self, basis: np.ndarray) -> np.ndarray:
-        """AᵀA of this matrix times a basis."""
-        rows, out = np.zeros((self.count, basis.shape[1])), np.zeros(basis.shape)
-        for low in range(0, len(self.row), 4096):
-            some = slice(low, low + 4096)
-            np.add.at(rows, self.row[some], self.weight[some] * basis[self.term[some]])
-        for low in range(0, len(self.row), 4096):
-            some = slice(low, low + 4096)
-            np.add.at(out, self.term[some], self.weight[some] * rows[self.row[some]])
-        return out
-
-
 def latent_space(passages: DataFrame, items: Items, idf: np.ndarray, rank: int) -> np.ndarray:
     """An orthonormal basis (terms by rank) of the passages' main directions, by randomised SVD.
 
     Passages of documents and of the items stand in the rows of A; the items' weigh ``OWN`` times as much together, so
-    that the space holds them. Spark multiplies AᵀA over the documents' passages by the basis that the driver turns.
+    that the space holds them. Spark multiplies AᵀA by the basis that the driver turns.
     """
     gram, n = products(passages, items, idf)
-    own = ItemPassages(items, idf)
-    share = OWN * max(1, n) / max(1, own.count)
+    parts = [items.term_of(p) for _, p, _ in items.parts]
+    own = np.concatenate(parts), np.array([len(t) for t in parts]), idf, np.float32(OWN * max(1, n) / max(1, len(parts)))
     width = min(rank + EXTRA, len(items.terms))
 
-    def turned(basis: np.ndarray) -> np.ndarray:
-        return gram.times(basis) + share * own.times(basis)
-
     basis = np.linalg.qr(np.random.default_rng(7).standard_normal((len(items.terms), width)))[0]
     for _ in range(POWERS):
-        basis = np.linalg.qr(turned(basis))[0]
-    values, turn = np.linalg.eigh(basis.T @ turned(basis))
+        basis = np.linalg.qr(gram.times(basis, own))[0]
+    values, turn = np.linalg.eigh(basis.T @ gram.times(basis, own))
     return basis @ turn[:, np.argsort(-values)[:rank]]
 
 
