@@ -2,8 +2,8 @@
 
 Passages are TF-IDF vectors over the terms of the benchmark; document frequencies come from all documents. A
 randomised SVD, for which Spark sums the products of terms over the passages of all documents and the
-benchmark itself and multiplies them by the basis, gives a latent space. Windows of about an item's length, four words apart or, if long, eight, are projected into
-it and compared by cosine with the items of that length; windows that have not as many of the benchmark's words as
+benchmark itself and multiplies them by the basis, gives a latent space. Windows of about an item's length, four words
+apart or, if long, eight, are projected into it and compared by cosine with the items of that length; windows that have not as many of the benchmark's words as
 an item needs are left out before. A window and an item that are near are a candidate, and the latent
 cosine alone says so. Candidates around which too few of the item's words stand, in whatever order, can not pass and
 are dropped together. Another counts when the longest common subsequence of their words has
